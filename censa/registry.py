@@ -16,6 +16,12 @@ from pyspark.sql.types import DoubleType, FloatType
 from . import oracle
 from .design import SurveyDesign
 from .operators.estimates import Analysis, survey_results
+from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
+                                 weight_diagnostics)
+from .operators.tables import label_results, results_wide, review_labels
+from .plans.analysis_list import SURVEY_METADATA, analysis_list
+from .plans.results import multi_results
+from .session import scratch_path
 from .sources.multichoice import expand_select_multiple, members_long
 
 DEC = oracle.R
@@ -69,12 +75,105 @@ def q_expand_select_multiple(spark, sf_dir):
     return members_long(part, "p_name", "p_partkey")
 
 
+# --- W9-W11 sampling ----------------------------------------------------------
+
+def q_sample_sizes(spark, sf_dir):
+    return sample_sizes(table(spark, sf_dir, "orders"), "o_orderpriority", 0.95, 0.05)
+
+
+def q_stratified_sample(spark, sf_dir):
+    return rounded(stratified_sample(table(spark, sf_dir, "orders"), "o_orderpriority",
+                                     "o_orderkey", 0.95, 0.05, seed=42))
+
+
+def q_weight_diagnostics(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return rounded(weight_diagnostics(li, "l_quantity", by="l_returnflag", overall=True))
+
+
+# --- W4, W6-W8 analysis list and tables --------------------------------------
+
+PART_FORM = [("select_multiple name_list", "p_name"), ("select_one brand_list", "p_brand"),
+             ("integer", "p_size"), ("decimal", "p_retailprice"), ("text", "p_type")]
+
+
+def q_analysis_list(spark, sf_dir):
+    part = expand_select_multiple(table(spark, sf_dir, "part"), "p_name")
+    form = spark.createDataFrame(PART_FORM, "type string, name string")
+    return analysis_list(spark, form=form, data=part, level=0.95,
+                         group_vars=["p_brand", "p_type"])
+
+
+def _lineitem_results(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    loa = (_overall_and("l_linestatus", "prop_select_one", ["l_returnflag"])
+           + _overall_and("l_discount", "mean", ["l_returnflag"]))
+    return survey_results(li, SurveyDesign("l_suppkey", "l_quantity"), loa)
+
+
+def q_results_wide(spark, sf_dir):
+    return rounded(results_wide(_lineitem_results(spark, sf_dir), "l_returnflag"))
+
+
+def _customer_dictionary(spark, sf_dir):
+    questions = spark.createDataFrame(
+        [("select_one segment", "c_mktsegment", "Market segment"),
+         ("select_one nation", "c_nationkey", "Nation")], "type string, name string, label string")
+    nation = table(spark, sf_dir, "nation")
+    segs = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
+    choices = (nation.select(F.lit("nation").alias("list_name"),
+                             F.col("n_nationkey").cast("string").alias("name"),
+                             F.col("n_name").alias("label"))
+               .unionByName(segs.select(F.lit("segment").alias("list_name"),
+                                        F.col("c_mktsegment").alias("name"),
+                                        F.lower("c_mktsegment").alias("label"))))
+    return questions, choices
+
+
+def q_label_results(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    res = survey_results(cust, SurveyDesign(None, None),
+                         _overall_and("c_mktsegment", "prop_select_one", ["c_nationkey"]))
+    questions, choices = _customer_dictionary(spark, sf_dir)
+    return rounded(label_results(res, questions, choices, "label"))
+
+
+def q_review_labels(spark, sf_dir):
+    questions, choices = _customer_dictionary(spark, sf_dir)
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    by_region = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+                       .select(F.lit("nation_region").alias("list_name"),
+                               F.col("n_nationkey").cast("string").alias("name"),
+                               F.col("r_name").alias("label")))
+    return review_labels(questions, choices.unionByName(by_region), "label")
+
+
+def q_run_summary(spark, sf_dir):
+    import uuid
+    li = table(spark, sf_dir, "lineitem")
+    loa = (_overall_and("l_linestatus", "prop_select_one", ["l_returnflag"])
+           + _overall_and("l_discount", "mean", ["l_returnflag", "l_linestatus"])
+           + _overall_and("l_discount", "median", ["l_returnflag"])
+           + [Analysis("no_such_column", "mean")])
+    out = scratch_path(spark, f"results-{uuid.uuid4().hex[:12]}")
+    return multi_results(li, SurveyDesign("l_suppkey", "l_quantity"), loa, out,
+                         use_labels=False).summary.drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_prop_select_one": q_survey_prop_select_one,
     "survey_mean": q_survey_mean,
     "survey_median": q_survey_median,
     "survey_prop_select_multiple": q_survey_prop_select_multiple,
     "expand_select_multiple": q_expand_select_multiple,
+    "sample_sizes": q_sample_sizes,
+    "stratified_sample": q_stratified_sample,
+    "weight_diagnostics": q_weight_diagnostics,
+    "analysis_list": q_analysis_list,
+    "results_wide": q_results_wide,
+    "label_results": q_label_results,
+    "review_labels": q_review_labels,
+    "run_summary": q_run_summary,
 }
 
 
@@ -82,6 +181,8 @@ def _union(*sqls: str) -> str:
     return "\nUNION ALL\n".join(f"SELECT * FROM ({s})" for s in sqls)
 
 
+N0 = base_sample_size(0.95, 0.05)
+
 ORACLE: dict[str, str] = {
     "survey_prop_select_one": oracle.survey_prop_sql(
         "lineitem", "l_suppkey", "l_quantity", "l_linestatus", ["l_returnflag"]),
@@ -103,8 +204,148 @@ SELECT p.p_partkey, c.tok AS choice,
 FROM part p,
      (SELECT DISTINCT unnest(regexp_split_to_array(trim(p_name), '\\s+')) AS tok FROM part) c
 WHERE c.tok <> ''""",
+    "sample_sizes": f"""
+SELECT o_orderpriority, count(*) AS n,
+       CAST(least(ceil({N0!r} / (1.0 + ({N0!r} - 1.0) / CAST(count(*) AS DOUBLE))), count(*)) AS BIGINT)
+         AS sample
+FROM orders GROUP BY o_orderpriority""",
+    "stratified_sample": f"""
+WITH s AS (
+  SELECT o_orderpriority AS sp, count(*) AS n,
+         CAST(least(ceil({N0!r} / (1.0 + ({N0!r} - 1.0) / CAST(count(*) AS DOUBLE))), count(*)) AS BIGINT)
+           AS sample
+  FROM orders GROUP BY o_orderpriority),
+r AS (
+  SELECT o.*, row_number() OVER (PARTITION BY o.o_orderpriority
+                                 ORDER BY md5('42:' || CAST(o.o_orderkey AS VARCHAR)), o.o_orderkey) AS rk
+  FROM orders o)
+SELECT r.o_orderkey, r.o_custkey, r.o_orderstatus, round(r.o_totalprice, 6) AS o_totalprice,
+       r.o_orderdate, r.o_orderpriority, s.n, s.sample, true AS incl
+FROM r JOIN s ON r.o_orderpriority IS NOT DISTINCT FROM s.sp
+WHERE r.rk <= s.sample""",
+    "weight_diagnostics": """
+WITH g AS (
+  SELECT CAST(NULL AS VARCHAR) AS l_returnflag, count(*) AS n,
+         CASE WHEN count(l_quantity) = count(*) THEN avg(l_quantity) END AS m,
+         CASE WHEN count(l_quantity) = count(*) THEN stddev_samp(l_quantity) END AS sd
+  FROM lineitem
+  UNION ALL
+  SELECT l_returnflag, count(*),
+         CASE WHEN count(l_quantity) = count(*) THEN avg(l_quantity) END,
+         CASE WHEN count(l_quantity) = count(*) THEN stddev_samp(l_quantity) END
+  FROM lineitem GROUP BY l_returnflag),
+c AS (SELECT *, CASE WHEN m <> 0 THEN sd / m END AS cv FROM g),
+e AS (SELECT *, n / (1.0 + cv * cv) AS neff FROM c)
+SELECT l_returnflag, CAST(n AS BIGINT) AS n, round(m, 6) AS mean_weight, round(sd, 6) AS sd_weight,
+       round(cv, 6) AS cv_weight, round(n / neff, 6) AS design_effect, round(neff, 6) AS effective_n,
+       round(1.96 * sqrt(0.25 / neff) * 100.0, 6) AS margin_of_error_95
+FROM e""",
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_survey_prop_select_one(spark, sf_dir)
+    """Weighted stratified proportions and means, overall and by return
+    flag, as a variable x group table."""
+    return q_results_wide(spark, sf_dir)
+
+
+def _loa_sql() -> str:
+    form = ", ".join(f"('{t}', '{n}')" for t, n in PART_FORM)
+    meta = ", ".join(f"'{m}'" for m in SURVEY_METADATA)
+    return f"""
+WITH form(type, name) AS (VALUES {form}),
+cols AS (SELECT column_name AS name, data_type FROM information_schema.columns
+         WHERE table_name = 'part'),
+data_loa AS (
+  SELECT name AS analysis_var,
+         CASE WHEN data_type = 'VARCHAR' THEN 'prop_select_one'
+              WHEN data_type IN ('BIGINT', 'INTEGER', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT')
+                   OR data_type LIKE 'DECIMAL%' THEN 'median:mean' END AS packed
+  FROM cols
+  WHERE name NOT IN ({meta}) AND name NOT LIKE '%/%' AND name NOT IN (SELECT name FROM form)),
+form_loa AS (
+  SELECT name AS analysis_var,
+         CASE WHEN trim(type) IN ('integer', 'decimal') THEN 'mean:median'
+              WHEN contains(trim(type), 'select_one') THEN 'prop_select_one'
+              WHEN contains(trim(type), 'select_mult') THEN 'prop_select_multiple' END AS packed
+  FROM form),
+loa AS (SELECT analysis_var, unnest(string_split(packed, ':')) AS analysis_type
+        FROM (SELECT * FROM data_loa UNION ALL SELECT * FROM form_loa) u WHERE packed IS NOT NULL),
+g AS (SELECT unnest([NULL, 'p_brand', 'p_type']) AS group_var)
+SELECT loa.analysis_var, loa.analysis_type, CAST(0.95 AS DOUBLE) AS level, g.group_var
+FROM loa, g WHERE g.group_var IS NULL OR g.group_var <> loa.analysis_var"""
+
+
+def _wide_sql() -> str:
+    src = _union(
+        oracle.survey_prop_sql("lineitem", "l_suppkey", "l_quantity", "l_linestatus",
+                               ["l_returnflag"]),
+        oracle.survey_mean_sql("lineitem", "l_suppkey", "l_quantity", "l_discount",
+                               ["l_returnflag"]))
+    cols = []
+    for gv, cond in [("Overall", "group_var IS NULL")] + [
+            (v, f"group_var = 'l_returnflag' AND group_var_value = '{v}'") for v in "ANR"]:
+        for c in ("stat", "stat_upp", "stat_low", "n"):
+            cols.append(f"max(CASE WHEN {cond} THEN {c} END) AS {gv}_{c}")
+    return f"""
+SELECT analysis_type, analysis_var, analysis_var_value, {', '.join(cols)}
+FROM ({src}) r GROUP BY analysis_type, analysis_var, analysis_var_value"""
+
+
+def _label_sql() -> str:
+    res = oracle.survey_prop_sql("customer", None, None, "c_mktsegment", ["c_nationkey"])
+    key = ("concat_ws(' @/@ ', r.analysis_type, concat_ws(' %/% ', {v}, coalesce({vv}, 'NA')), "
+           "concat_ws(' %/% ', coalesce({g}, 'NA'), coalesce({gv}, 'NA')))")
+    return f"""
+WITH r AS ({res}),
+qd(qn, ql, qlist) AS (VALUES ('c_mktsegment', 'Market segment', 'segment'),
+                             ('c_nationkey', 'Nation', 'nation')),
+cd AS (SELECT 'nation' AS cl, CAST(n_nationkey AS VARCHAR) AS cn, min(n_name) AS clab
+       FROM nation GROUP BY 1, 2
+       UNION ALL
+       SELECT 'segment', c_mktsegment, min(lower(c_mktsegment)) FROM customer GROUP BY 1, 2),
+l AS (
+  SELECT r.*, coalesce(qv.ql, r.analysis_var) AS label_analysis_var,
+         CASE WHEN r.analysis_var_value IS NOT NULL THEN coalesce(cv.clab, r.analysis_var_value) END
+           AS label_analysis_var_value,
+         CASE WHEN r.group_var IS NOT NULL THEN coalesce(qg.ql, r.group_var) END AS label_group_var,
+         CASE WHEN r.group_var_value IS NOT NULL THEN coalesce(cg.clab, r.group_var_value) END
+           AS label_group_var_value
+  FROM r
+  LEFT JOIN qd qv ON r.analysis_var = qv.qn
+  LEFT JOIN cd cv ON qv.qlist = cv.cl AND r.analysis_var_value = cv.cn
+  LEFT JOIN qd qg ON r.group_var = qg.qn
+  LEFT JOIN cd cg ON qg.qlist = cg.cl AND r.group_var_value = cg.cn)
+SELECT r.*, {key.format(v='r.label_analysis_var', vv='r.label_analysis_var_value',
+                        g='r.label_group_var', gv='r.label_group_var_value')} AS label_analysis_key
+FROM l r"""
+
+
+def _review_sql() -> str:
+    return """
+WITH qs AS (SELECT * FROM (VALUES ('survey', CAST(NULL AS VARCHAR), 'c_mktsegment', 'Market segment'),
+                                  ('survey', CAST(NULL AS VARCHAR), 'c_nationkey', 'Nation'))
+            t(sheet, list_name, name, label)),
+cs AS (SELECT 'choices' AS sheet, 'nation' AS list_name, CAST(n_nationkey AS VARCHAR) AS name,
+              n_name AS label FROM nation
+       UNION ALL
+       SELECT DISTINCT 'choices', 'segment', c_mktsegment, lower(c_mktsegment) FROM customer
+       UNION ALL
+       SELECT 'choices', 'nation_region', CAST(n.n_nationkey AS VARCHAR), r.r_name
+       FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+b AS (SELECT * FROM qs UNION ALL SELECT * FROM cs),
+d AS (SELECT sheet, list_name, label FROM b WHERE label IS NOT NULL AND trim(label) <> ''
+      GROUP BY sheet, list_name, label HAVING count(DISTINCT name) > 1)
+SELECT sheet, list_name, name, label, 'missing label' AS issue FROM b
+WHERE label IS NULL OR trim(label) = ''
+UNION ALL
+SELECT b.sheet, b.list_name, b.name, b.label, 'duplicated label'
+FROM b JOIN d ON b.sheet = d.sheet AND b.list_name IS NOT DISTINCT FROM d.list_name AND b.label = d.label"""
+
+
+ORACLE.update({
+    "analysis_list": _loa_sql(),
+    "results_wide": _wide_sql(),
+    "label_results": _label_sql(),
+    "review_labels": _review_sql(),
+})
