@@ -26,6 +26,15 @@ def require_columns(df: DataFrame, names: Iterable[str], what: str = "input") ->
         raise ValueError(f"{what} is missing column(s): {', '.join(missing)}")
 
 
+def epoch_millis(df: DataFrame, name: str) -> Column:
+    """Milliseconds since 1970-01-01 for a TIMESTAMP or TIMESTAMP_NTZ column,
+    independent of the session time zone for NTZ values."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[name].dataType, TimestampNTZType):
+        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q(name)})")
+    return F.unix_millis(col(name))
+
+
 def safe_name_expr(c: Column) -> Column:
     """Clean token for a file or folder name; NULL becomes 'Overall'.
 

@@ -16,12 +16,16 @@ from pyspark.sql.types import DoubleType, FloatType
 from . import oracle
 from .design import SurveyDesign
 from .operators.estimates import Analysis, survey_results
+from .functions.columns import epoch_millis
+from .operators.duration import interview_duration
+from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
                                  weight_diagnostics)
 from .operators.tables import label_results, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .plans.results import multi_results
 from .session import scratch_path
+from .sources.submissions import split_repeats
 from .sources.multichoice import expand_select_multiple, members_long
 
 DEC = oracle.R
@@ -160,6 +164,56 @@ def q_run_summary(spark, sf_dir):
                          use_labels=False).summary.drop("path")
 
 
+# --- W12 odds ratios ----------------------------------------------------------
+
+ODDS_REFS = {"lang": "en", "source": "src0"}
+
+
+def _labelled_documents(spark, sf_dir):
+    labels, docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
+    return labels.join(docs.select("doc_id", "lang", "source"), "doc_id")
+
+
+def q_odds_ratio_counts(spark, sf_dir):
+    return rounded(odds_ratio_counts(_labelled_documents(spark, sf_dir), "toxic", ODDS_REFS))
+
+
+def q_odds_ratios(spark, sf_dir):
+    return rounded(odds_ratios(_labelled_documents(spark, sf_dir), "toxic", ODDS_REFS))
+
+
+# --- W1, W3 submissions and audit ---------------------------------------------
+
+def events_as_audit(spark, sf_dir) -> DataFrame:
+    """Events stand in for audit logs: uuid user_id, node event_type,
+    start = event time in whole ms (truncated), end = start + value seconds."""
+    ev = table(spark, sf_dir, "events")
+    start = epoch_millis(ev, "ts")
+    return ev.select(F.col("user_id").alias("uuid"), F.col("event_type").alias("node"),
+                     start.alias("start"),
+                     (start + F.round(F.col("value") * 1000).cast("long")).alias("end"))
+
+
+def q_interview_duration(spark, sf_dir):
+    subs = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "uuid")
+    res = interview_duration(subs, events_as_audit(spark, sf_dir), remove_geo=True,
+                             exclude_pattern="error")
+    return rounded(res.df_and_duration)
+
+
+LINE_FIELDS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+               "l_returnflag"]
+
+
+def q_split_repeats(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    nested = (li.groupBy("l_orderkey")
+                .agg(F.array_sort(F.collect_list(F.struct(*LINE_FIELDS))).alias("lines")))
+    orders = table(spark, sf_dir, "orders")
+    subs = orders.join(nested, orders.o_orderkey == nested.l_orderkey, "left").drop("l_orderkey")
+    return rounded(split_repeats(subs, key="o_orderkey", repeats=["lines"]).repeats["lines"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_prop_select_one": q_survey_prop_select_one,
     "survey_mean": q_survey_mean,
@@ -174,6 +228,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_results": q_label_results,
     "review_labels": q_review_labels,
     "run_summary": q_run_summary,
+    "odds_ratio_counts": q_odds_ratio_counts,
+    "odds_ratios": q_odds_ratios,
+    "interview_duration": q_interview_duration,
+    "split_repeats": q_split_repeats,
 }
 
 
@@ -349,3 +407,57 @@ ORACLE.update({
     "label_results": _label_sql(),
     "review_labels": _review_sql(),
 })
+
+
+def _odds_sql() -> str:
+    refs = ", ".join(f"('{g}', '{r}')" for g, r in ODDS_REFS.items())
+    longs = " UNION ALL ".join(
+        f"SELECT '{g}' AS group_var, CAST({g} AS VARCHAR) AS level, y FROM d "
+        f"WHERE y IS NOT NULL AND {g} IS NOT NULL" for g in ODDS_REFS)
+    return f"""
+WITH d AS (SELECT CAST(l.toxic AS DOUBLE) AS y, x.lang, x.source
+           FROM labels l JOIN documents x ON l.doc_id = x.doc_id),
+lg AS ({longs}),
+c AS (SELECT group_var, level, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS k1,
+             sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS k0,
+             sum(CASE WHEN y NOT IN (0, 1) THEN 1 ELSE 0 END) AS other
+      FROM lg GROUP BY group_var, level),
+v AS (SELECT group_var FROM c GROUP BY group_var
+      HAVING count(*) >= 2 AND sum(other) = 0 AND sum(k1) > 0 AND sum(k0) > 0),
+refs(group_var, ref_group) AS (VALUES {refs}),
+a AS (SELECT c.group_var, r.ref_group, c.k1 AS a1, c.k0 AS a0
+      FROM c JOIN refs r ON c.group_var = r.group_var AND c.level = r.ref_group),
+t AS (SELECT c.group_var, a.ref_group, c.level, CAST(a.a1 AS DOUBLE) AS a1, CAST(a.a0 AS DOUBLE) AS a0,
+             CAST(c.k1 AS DOUBLE) AS k1, CAST(c.k0 AS DOUBLE) AS k0
+      FROM c JOIN v ON c.group_var = v.group_var JOIN a ON c.group_var = a.group_var
+      WHERE c.level <> a.ref_group),
+s AS (SELECT *, (a1 = 0 OR a0 = 0 OR k1 = 0 OR k0 = 0) AS separated FROM t)
+SELECT 'toxic' AS question, group_var, ref_group, group_var || level AS term,
+       CAST(a1 AS BIGINT) AS a1, CAST(a0 AS BIGINT) AS a0, CAST(k1 AS BIGINT) AS k1,
+       CAST(k0 AS BIGINT) AS k0,
+       round(CASE WHEN k0 * a1 <> 0 THEN k1 * a0 / (k0 * a1) END, 6) AS estimate,
+       round(CASE WHEN NOT separated THEN sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0) END, 6) AS se,
+       round(CASE WHEN NOT separated THEN ln(k1 * a0 / (k0 * a1)) / sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0)
+             END, 6) AS z,
+       separated
+FROM s"""
+
+
+ORACLE["odds_ratio_counts"] = _odds_sql()
+
+ORACLE["interview_duration"] = """
+WITH a AS (SELECT user_id AS uuid, epoch_us(ts) // 1000 AS s,
+                  epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS e
+           FROM events WHERE NOT contains(event_type, 'error')),
+summ AS (SELECT uuid, coalesce(sum((e - s) / 60000.0), 0.0) AS d, min(s) AS st FROM a GROUP BY uuid)
+SELECT c.c_custkey AS uuid, c.c_name, c.c_nationkey, round(c.c_acctbal, 6) AS c_acctbal,
+       c.c_mktsegment, round(s.d, 6) AS interview_duration, s.st AS interview_start
+FROM customer c LEFT JOIN summ s ON c.c_custkey = s.uuid"""
+
+ORACLE["split_repeats"] = f"""
+SELECT l.l_orderkey AS o_orderkey,
+       row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {', '.join('l.' + c for c in LINE_FIELDS)})
+         AS _index,
+       {', '.join(('round(l.' + c + ', 6) AS ' + c) if c in ('l_quantity', 'l_extendedprice')
+                  else 'l.' + c for c in LINE_FIELDS)}
+FROM lineitem l WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders)"""
