@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -17,6 +17,9 @@ from . import oracle
 from .design import SurveyDesign
 from .operators.estimates import Analysis, survey_results
 from .functions.columns import epoch_millis
+from .operators.cleaning import (CHANGE_TYPES, FIXED_LISTS, choice_lists, column_manifest,
+                                 other_options, recode_others, validate_cleaning_log,
+                                 variable_tracker)
 from .operators.duration import interview_duration
 from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
@@ -214,6 +217,103 @@ def q_split_repeats(spark, sf_dir):
     return rounded(split_repeats(subs, key="o_orderkey", repeats=["lines"]).repeats["lines"])
 
 
+# --- W13-W17 cleaning log ------------------------------------------------------
+
+CLEAN_FORM = [
+    (1, "select_one segment_list", "c_mktsegment", None),
+    (2, "text", "c_mktsegment_other", "${c_mktsegment} = 'other'"),
+    (3, "select_multiple type_list", "p_type", None),
+    (4, "text", "p_type_other", "selected(${p_type}, 'other')"),
+    (5, "integer", "c_nationkey", None),
+    (6, "begin_group", "grp", None),
+    (7, "end group", "grp", None),
+]
+MISSING_SEGMENT = "HOUSEHOLD"  # left out of the segment list: its recodes are invalid
+
+
+def clean_form(spark):
+    return spark.createDataFrame(CLEAN_FORM, "pos int, type string, name string, relevant string")
+
+
+def clean_choices(spark, sf_dir):
+    """Choice lists from the data: market segments (one left out) and part
+    types, each followed by its 'other' answer; pos = sheet order."""
+    cust, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    seg = (cust.where(F.col("c_mktsegment") != MISSING_SEGMENT)
+               .select(F.lit("segment_list").alias("list_name"), F.col("c_mktsegment").alias("name"))
+               .distinct())
+    typ = part.select(F.lit("type_list").alias("list_name"), F.col("p_type").alias("name")).distinct()
+    others = spark.createDataFrame([("segment_list", "other"), ("type_list", "Other")],
+                                   "list_name string, name string")
+    allc = seg.unionByName(typ).withColumn("is_other", F.lit(0)).unionByName(
+        others.withColumn("is_other", F.lit(1)))
+    w = Window.partitionBy("list_name").orderBy("is_other", "name")
+    return allc.select("list_name", "name", F.row_number().over(w).alias("pos"))
+
+
+def q_other_options(spark, sf_dir):
+    return other_options(clean_form(spark), clean_choices(spark, sf_dir))
+
+
+def q_choice_lists(spark, sf_dir):
+    return choice_lists(clean_choices(spark, sf_dir), clean_form(spark), others=True)
+
+
+def _validation_log(spark, sf_dir):
+    cust, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    cols = ["uuid", "question", "change_type", "issue", "new_value"]
+    a = cust.select(F.col("c_custkey").cast("string"), F.lit("c_mktsegment"),
+                    F.when(F.col("c_acctbal") < 0, "blank_response").otherwise("change_response"),
+                    F.lit("check"), F.col("c_mktsegment")).toDF(*cols)
+    b = part.select(F.col("p_partkey").cast("string"), F.concat(F.lit("p_type/"), F.lower("p_type")),
+                    F.lit("change_response"), F.lit("check"),
+                    F.when(F.col("p_size") > 25, "1").otherwise("TRUE")).toDF(*cols)
+    c = nation.select(F.lit("all"), F.lit("c_mktsegment"), F.lit("no_action"), F.lit("check"),
+                      F.col("n_name")).toDF(*cols)
+    d = region.select(F.col("r_regionkey").cast("string"), F.lit("c_nationkey"), F.lit("delete"),
+                      F.lit("check"), F.col("r_name")).toDF(*cols)
+    return a.unionByName(b).unionByName(c).unionByName(d)
+
+
+def q_validate_cleaning_log(spark, sf_dir):
+    return validate_cleaning_log(_validation_log(spark, sf_dir), clean_form(spark),
+                                 clean_choices(spark, sf_dir))
+
+
+def _recode_log(spark, sf_dir):
+    cust, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    cols = ["uuid", "question", "change_type", "issue", "new_value"]
+    a = cust.select(F.col("c_custkey").cast("string"), F.lit("c_mktsegment_other"),
+                    F.lit("change_response"), F.lit("recode other"), F.col("c_mktsegment")).toDF(*cols)
+    b = part.select(F.col("p_partkey").cast("string"), F.lit("p_type_other"),
+                    F.lit("change_response"), F.lit("recode other"), F.col("p_type")).toDF(*cols)
+    c = cust.select(F.col("c_custkey").cast("string"), F.lit("c_nationkey"),
+                    F.lit("change_response"), F.lit("outlier"),
+                    F.col("c_nationkey").cast("string")).toDF(*cols)
+    d = part.select(F.col("p_partkey").cast("string"), F.lit("c_mktsegment"),
+                    F.lit("change_response"), F.lit("typo"), F.col("p_name")).toDF(*cols)
+    return a.unionByName(b).unionByName(c).unionByName(d)
+
+
+def q_recode_others(spark, sf_dir):
+    return recode_others(clean_form(spark), clean_choices(spark, sf_dir), _recode_log(spark, sf_dir))
+
+
+def _clean_lineitem(li):
+    return (li.drop("l_tax")
+              .withColumn("l_net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+              .withColumn("l_discount", F.when(F.col("l_returnflag") == "R", F.lit(None))
+                          .otherwise(F.col("l_discount"))))
+
+
+def q_variable_tracker(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    raw = column_manifest(li, "l_returnflag")
+    clean = column_manifest(_clean_lineitem(li), "l_returnflag")
+    return variable_tracker(raw, clean)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_prop_select_one": q_survey_prop_select_one,
     "survey_mean": q_survey_mean,
@@ -232,6 +332,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "odds_ratios": q_odds_ratios,
     "interview_duration": q_interview_duration,
     "split_repeats": q_split_repeats,
+    "other_options": q_other_options,
+    "choice_lists": q_choice_lists,
+    "validate_cleaning_log": q_validate_cleaning_log,
+    "recode_others": q_recode_others,
+    "variable_tracker": q_variable_tracker,
 }
 
 
@@ -461,3 +566,144 @@ SELECT l.l_orderkey AS o_orderkey,
        {', '.join(('round(l.' + c + ', 6) AS ' + c) if c in ('l_quantity', 'l_extendedprice')
                   else 'l.' + c for c in LINE_FIELDS)}
 FROM lineitem l WHERE l.l_orderkey IN (SELECT o_orderkey FROM orders)"""
+
+
+def _sq(v) -> str:
+    """SQL literal."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _clean_ctes() -> str:
+    form = ", ".join("(" + ", ".join(_sq(x) for x in row) + ")" for row in CLEAN_FORM)
+    return f"""form(pos, type, name, relevant) AS (VALUES {form}),
+ch AS (
+  SELECT list_name, name, row_number() OVER (PARTITION BY list_name ORDER BY is_other, name) AS pos
+  FROM (SELECT DISTINCT 'segment_list' AS list_name, c_mktsegment AS name, 0 AS is_other
+        FROM customer WHERE c_mktsegment <> {_sq(MISSING_SEGMENT)}
+        UNION ALL SELECT DISTINCT 'type_list', p_type, 0 FROM part
+        UNION ALL SELECT 'segment_list', 'other', 1
+        UNION ALL SELECT 'type_list', 'Other', 1) u),
+f2 AS (SELECT * FROM form WHERE NOT coalesce(regexp_matches(type, '(begin|end)(\\s+|_)group'), false)),
+oq AS (SELECT name AS other_question,
+              nullif(regexp_extract(relevant, '\\{{([A-Za-z0-9_]+)\\}}', 1), '') AS parent_question
+       FROM f2 WHERE type = 'text' AND regexp_matches(relevant, {_sq("(?i)'other'")})),
+par AS (SELECT name, string_split(type, ' ')[2] AS list_name FROM f2
+        WHERE contains(type, 'select') AND name IN (SELECT parent_question FROM oq)),
+orows AS (SELECT oq.other_question, c.pos, c.name AS choice
+          FROM par JOIN oq ON par.name = oq.parent_question JOIN ch c ON c.list_name = par.list_name
+          WHERE c.name NOT IN ('other', 'Other') OR c.name IS NULL),
+fixed(name, pos, value) AS (VALUES {", ".join(f"({_sq(n)}, {i + 1}, {_sq(v)})"
+                                                for n, vals in FIXED_LISTS.items()
+                                                for i, v in enumerate(vals))}),
+sel AS (SELECT name, string_split(type, ' ')[2] AS list_name FROM f2 WHERE contains(type, 'select')),
+perq AS (SELECT s.name, row_number() OVER (PARTITION BY s.name, s.list_name ORDER BY c.pos, c.name) AS pos,
+                c.name AS value
+         FROM sel s JOIN ch c ON c.list_name = s.list_name)"""
+
+
+ORACLE["other_options"] = f"""
+WITH {_clean_ctes()}
+SELECT other_question, string_agg(choice, ';' || chr(10) ORDER BY pos, choice) AS choices
+FROM orows GROUP BY other_question"""
+
+ORACLE["choice_lists"] = f"""
+WITH {_clean_ctes()},
+oth AS (SELECT other_question AS name,
+               row_number() OVER (PARTITION BY other_question ORDER BY pos, choice) AS pos, choice AS value
+        FROM orows)
+SELECT name, CAST(pos AS INTEGER) AS pos, value FROM fixed
+UNION ALL
+SELECT DISTINCT name, CAST(pos AS INTEGER), value FROM (SELECT * FROM perq UNION ALL SELECT * FROM oth) x"""
+
+ORACLE["validate_cleaning_log"] = f"""
+WITH {_clean_ctes()},
+lists AS (SELECT name, value FROM fixed UNION ALL SELECT name, value FROM perq),
+names AS (SELECT DISTINCT name FROM lists),
+log AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS uuid, 'c_mktsegment' AS question,
+         CASE WHEN c_acctbal < 0 THEN 'blank_response' ELSE 'change_response' END AS change_type,
+         'check' AS issue, c_mktsegment AS new_value FROM customer
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), 'p_type/' || lower(p_type), 'change_response', 'check',
+         CASE WHEN p_size > 25 THEN '1' ELSE 'TRUE' END FROM part
+  UNION ALL SELECT 'all', 'c_mktsegment', 'no_action', 'check', n_name FROM nation
+  UNION ALL SELECT CAST(r_regionkey AS VARCHAR), 'c_nationkey', 'delete', 'check', r_name FROM region),
+r AS (SELECT l.*,
+             CASE WHEN n.name IS NOT NULL AND coalesce(l.uuid <> 'all', false) THEN l.question
+                  WHEN (contains(l.question, '.') OR contains(l.question, '/'))
+                       AND coalesce(l.uuid <> 'all', false) THEN 'binaries_sm_options_lgl' END AS allowed_list
+      FROM log l LEFT JOIN names n ON l.question = n.name)
+SELECT r.uuid, r.question, r.change_type, r.issue, r.new_value, r.allowed_list,
+       CASE WHEN r.allowed_list IS NOT NULL THEN
+         EXISTS (SELECT 1 FROM lists x WHERE x.name = r.allowed_list AND x.value = r.new_value) END
+         AS new_value_ok,
+       coalesce(r.change_type IN ({", ".join(_sq(c) for c in CHANGE_TYPES)}), false) AS change_type_ok
+FROM r"""
+
+ORACLE["recode_others"] = f"""
+WITH {_clean_ctes()},
+oqs AS (SELECT name, nullif(regexp_extract(relevant, '\\{{([A-Za-z0-9_]+)\\}}', 1), '') AS parent_question
+        FROM form WHERE type = 'text'
+        AND regexp_matches(relevant, {_sq(r"(?i)(selected\([^)]*'other'\)|=\s*'other')")})),
+sl AS (SELECT name, regexp_split_to_array(trim(type), ' +')[2] AS list_name,
+              regexp_split_to_array(trim(type), ' +')[1] AS select_type
+       FROM form WHERE contains(type, 'select')),
+qa AS (SELECT DISTINCT s.name AS parent, c.name AS answer
+       FROM sl s JOIN ch c ON c.list_name = s.list_name
+       WHERE s.name IN (SELECT parent_question FROM oqs)),
+log AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS uuid, 'c_mktsegment_other' AS question,
+         'change_response' AS change_type, 'recode other' AS issue, c_mktsegment AS new_value FROM customer
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'p_type_other', 'change_response', 'recode other', p_type
+  FROM part
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'c_nationkey', 'change_response', 'outlier',
+                   CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'c_mktsegment', 'change_response', 'typo', p_name FROM part),
+rc AS (SELECT l.*, o.parent_question FROM log l LEFT JOIN oqs o ON l.question = o.name
+       WHERE l.change_type = 'change_response' AND l.issue = 'recode other'),
+valid AS (SELECT rc.*, s.select_type FROM rc
+          JOIN qa ON rc.parent_question = qa.parent AND rc.new_value = qa.answer
+          LEFT JOIN sl s ON rc.parent_question = s.name),
+nw AS (
+  SELECT uuid, parent_question || '/' || new_value AS question, change_type, '1' AS new_value
+  FROM valid WHERE select_type = 'select_multiple'
+  UNION ALL SELECT uuid, parent_question || '/other', change_type, '0' FROM valid
+  WHERE select_type = 'select_multiple'
+  UNION ALL SELECT uuid, question, change_type, NULL FROM valid WHERE select_type = 'select_multiple'
+  UNION ALL SELECT uuid, parent_question, change_type, new_value FROM valid WHERE select_type = 'select_one'
+  UNION ALL SELECT uuid, question, change_type, NULL FROM valid WHERE select_type = 'select_one')
+SELECT uuid, question, change_type, issue, new_value FROM log l
+WHERE NOT (l.uuid IN (SELECT uuid FROM nw) AND l.question IN (SELECT question FROM nw)
+           AND l.change_type = 'change_response')
+UNION ALL
+SELECT uuid, question, change_type, CAST(NULL AS VARCHAR), new_value FROM nw"""
+
+
+def _tracker_sql() -> str:
+    raw_cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"]
+    clean_cols = [c for c in raw_cols if c != "l_tax"] + ["l_net"]
+
+    def manifest(src, cols):
+        return " UNION ALL ".join(
+            f"SELECT l_returnflag AS dataset, '{c}' AS variable FROM {src} GROUP BY l_returnflag "
+            f"HAVING count({c}) > 0" for c in cols)
+    return f"""
+WITH cl AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+                   CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_discount END AS l_discount,
+                   l_returnflag, l_linestatus, l_shipdate,
+                   l_extendedprice * (1 - l_discount) AS l_net FROM lineitem),
+raw AS ({manifest('lineitem', raw_cols)}),
+cln AS ({manifest('cl', clean_cols)})
+SELECT dataset, variable AS Variable, 'remove' AS Action, '' AS Rationale FROM raw
+WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM cln)
+UNION ALL
+SELECT dataset, variable, 'added', '' FROM cln
+WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM raw)"""
+
+
+ORACLE["variable_tracker"] = _tracker_sql()
