@@ -56,15 +56,18 @@ class DesignInfo:
         return self.n - self.n_strata
 
 
-def design_info(df: DataFrame, design: SurveyDesign,
-                center_cols=()) -> tuple[DesignInfo, dict[str, float]]:
-    """One small job: design size, strata, lonely strata, NULL weights.
-
-    ``center_cols`` are numeric columns whose plain mean is returned too
-    (used to centre variables before moment sums). The job is a grouped
-    aggregate by stratum followed by a one-row total; nothing data-sized
-    reaches the driver.
+def design_table(df: DataFrame, design: SurveyDesign, center_cols=()):
+    """Per-stratum design table, written once, and the design summary.
+
+    One grouped aggregate by stratum gives the full-design size ``n_h`` (with
+    the variance factors ``__f = n_h/(n_h-1)``, ``__g = 1/(n_h-1)``; a
+    stratum of one row gets 0, i.e. ``lonely='skip'``), the count of NULL or
+    non-numeric weights, and sums for centring ``center_cols``. The table
+    (one row per stratum) is checkpointed to ``spark.checkpoint.dir`` so the
+    summary job and the estimation plan read it without rescanning the
+    data. Returns (DesignInfo, centres, sizes DataFrame).
     """
+    from .session import ensure_checkpoint_dir
     design.check(df)
     require_columns(df, center_cols, "data")
     per_h_aggs = [F.count(F.lit(1)).alias("n_h"),
@@ -74,18 +77,30 @@ def design_info(df: DataFrame, design: SurveyDesign,
         x = F.col(f"`{c}`").try_cast("double")
         per_h_aggs += [F.sum(x).alias(f"s{i}"), F.count(x).alias(f"c{i}")]
         tot_aggs += [F.sum(f"s{i}").alias(f"s{i}"), F.sum(f"c{i}").alias(f"c{i}")]
+    ensure_checkpoint_dir(df.sparkSession)
+    n_h = F.col("n_h")
     per_h = (df.select(design.stratum_col().alias(H), design.weight_col().alias(W),
                        *[F.col(f"`{c}`") for c in center_cols])
-               .groupBy(H).agg(*per_h_aggs))
+               .groupBy(H).agg(*per_h_aggs)
+               .withColumn("__f", F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0))
+               .withColumn("__g", F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0))
+               .checkpoint(eager=True))
     row = per_h.agg(F.count(F.lit(1)).alias("H"), F.sum("n_h").alias("n"),
                     F.sum(F.when(F.col("n_h") == 1, 1).otherwise(0)).alias("lonely"),
                     F.sum("nw").alias("nw"), *tot_aggs).first()
     centres = {}
     for i, c in enumerate(center_cols):
-        s, k = row[f"s{i}"], row[f"c{i}"]
-        centres[c] = float(s) / k if k else 0.0
+        s_, k = row[f"s{i}"], row[f"c{i}"]
+        centres[c] = float(s_) / k if k else 0.0
     info = DesignInfo(int(row["n"] or 0), int(row["H"] or 0), int(row["lonely"] or 0),
                       int(row["nw"] or 0))
+    return info, centres, per_h.select(H, "n_h", "__f", "__g")
+
+
+def design_info(df: DataFrame, design: SurveyDesign,
+                center_cols=()) -> tuple[DesignInfo, dict[str, float]]:
+    """Design summary only (see :func:`design_table`)."""
+    info, centres, _ = design_table(df, design, center_cols)
     return info, centres
 
 

@@ -28,7 +28,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..design import H, W, SurveyDesign, design_info, prepared, stratum_sizes
+from pyspark.sql import Window
+
+from ..design import H, W, SurveyDesign, design_table, prepared
 from ..functions.columns import q
 from ..functions.stats import two_sided_crit
 from .cumulative import running_sum
@@ -131,7 +133,7 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     if not analyses:
         raise ValueError("no analysis in the list applies to the data")
     mean_vars = sorted({a.analysis_var for a in analyses if a.analysis_type == "mean"})
-    info, centres = design_info(df, design, center_cols=mean_vars)
+    info, centres, sizes = design_table(df, design, center_cols=mean_vars)
     if info.null_weights:
         raise ValueError(f"{info.null_weights} row(s) have a NULL or non-numeric weight")
     if info.lonely_strata and design.lonely == "fail":
@@ -147,7 +149,6 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         if a.analysis_type == "prop_select_multiple":
             needed += [c for c, _ in members(df, a.analysis_var, sm_sep)]
     base = prepared(df, design, needed)
-    sizes = stratum_sizes(df, design)
 
     moment_recs, median_recs = [], []
     for aid, a in enumerate(analyses):
@@ -183,7 +184,9 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
 
 
 def _records(base: DataFrame, recs: list[Column]) -> DataFrame:
-    return base.select(H, W, F.inline(F.array_compact(F.array(*recs))))
+    # a NULL element (variable not answered) inlines as a row of NULLs and is
+    # dropped by the filter; no lambda, so the stage stays in generated code
+    return base.select(H, W, F.inline(F.array(*recs))).where(F.col("aid").isNotNull())
 
 
 def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
@@ -192,6 +195,10 @@ def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
 
 
 def _moment_estimates(base, sizes, recs, meta) -> DataFrame:
+    """One linear plan: sums per (analysis, group value, choice, stratum);
+    stratum factors; domain sums per stratum by a window (a single-choice
+    domain spans its values, other domains are their own row); per-choice
+    sums; domain totals by a window over the choices of a domain."""
     w, y = F.col(W), F.col("y")
     agg = (_records(base, recs)
            .groupBy("aid", "gval", "val", H)
@@ -201,26 +208,26 @@ def _moment_estimates(base, sizes, recs, meta) -> DataFrame:
                 F.sum(w * w).alias("T")))
     aid = F.col("aid")
     is_one = _pick([t == "prop_select_one" for t in meta["types"]], "boolean", aid)
-    agg = _nsjoin(agg, sizes, [H]).withColumn(
+    agg = _nsjoin(agg, sizes.drop("n_h"), [H]).withColumn(
         "vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val")))
-
-    # domain sums per stratum: a single-choice domain is the sum over its values
-    dom_h = (agg.groupBy("aid", "gval", "vkey", H)
-                .agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"),
-                     F.sum("cnt").alias("nD"), F.max("__f").alias("f"),
-                     F.max("__g").alias("g")))
-    f, g, SD = F.col("f"), F.col("g"), F.col("SD")
-    dom = (dom_h.groupBy("aid", "gval", "vkey")
-                .agg(F.sum(SD).alias("Wt"), F.sum(f * F.col("TD")).alias("fT"),
-                     F.sum(g * SD * SD).alias("gSS"), F.sum("nD").alias("n_total")))
-    A, B, Q = F.col("A"), F.col("B"), F.col("Q")
-    vals = (_nsjoin(agg, dom_h.select("aid", "gval", "vkey", H, "SD"), ["aid", "gval", "vkey", H])
-            .groupBy("aid", "gval", "val", "vkey")
-            .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
-                 F.sum(F.col("__f") * B).alias("fB"), F.sum(F.col("__f") * Q).alias("fQ"),
-                 F.sum(F.col("__g") * A * A).alias("gAA"),
-                 F.sum(F.col("__g") * A * SD).alias("gAS")))
-    res = _nsjoin(vals, dom, ["aid", "gval", "vkey"])
+    dom_h = Window.partitionBy("aid", "gval", "vkey", H)
+    agg = (agg.withColumn("SD", F.sum("S").over(dom_h))
+              .withColumn("TD", F.sum("T").over(dom_h))
+              .withColumn("nD", F.sum("cnt").over(dom_h))
+              .withColumn("first", F.row_number().over(dom_h.orderBy("val")) == 1))
+    f, g, SD, A = F.col("__f"), F.col("__g"), F.col("SD"), F.col("A")
+    once = lambda c: F.sum(F.when(F.col("first"), c).otherwise(F.lit(0.0)))
+    vals = (agg.groupBy("aid", "gval", "vkey", "val")
+               .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
+                    F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("Q")).alias("fQ"),
+                    F.sum(g * A * A).alias("gAA"), F.sum(g * A * SD).alias("gAS"),
+                    once(SD).alias("dW"), once(f * F.col("TD")).alias("dfT"),
+                    once(g * SD * SD).alias("dgSS"), once(F.col("nD")).alias("dn")))
+    dom = Window.partitionBy("aid", "gval", "vkey")
+    res = (vals.withColumn("Wt", F.sum("dW").over(dom))
+               .withColumn("fT", F.sum("dfT").over(dom))
+               .withColumn("gSS", F.sum("dgSS").over(dom))
+               .withColumn("n_total", F.sum("dn").over(dom)))
     Wt = F.col("Wt")
     p = F.col("sumA") / Wt
     se = F.sqrt(_variance(p, F.col("fQ"), F.col("fB"), F.col("fT"), F.col("gAA"),
@@ -261,7 +268,7 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
              .groupBy("aid", "gval", H)
              .agg(F.sum(w * ind).alias("A"), F.sum(w * w * ind).alias("B"),
                   F.sum(w).alias("S"), F.sum(w * w).alias("T")))
-    per_h = _nsjoin(per_h, sizes, [H])
+    per_h = _nsjoin(per_h, sizes.drop("n_h"), [H])
     f, g, A, S = F.col("__f"), F.col("__g"), F.col("A"), F.col("S")
     share = (per_h.groupBy("aid", "gval")
                   .agg(F.sum(A).alias("sumA"), F.sum(S).alias("Ws"),
