@@ -16,7 +16,8 @@ from ..session import ensure_checkpoint_dir
 
 
 def running_sum(df: DataFrame, keys: list[str], order: str, value: str,
-                out: str = "__cum", partitions: int | None = None) -> DataFrame:
+                out: str = "__cum", partitions: int | None = None,
+                materialize: bool = False) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows of the same ``keys`` with
     ``order`` less than or equal to this row's. ``order`` must be unique
     within ``keys`` (aggregate to distinct values first)."""
@@ -40,4 +41,7 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str,
                                        offsets["__pid"].alias("__o_pid"), "__off"),
                         [local["__pid"] == F.col("__o_pid")]
                         + [local[k].eqNullSafe(F.col(f"__o_{k}")) for k in keys])
-    return joined.select(*df.columns, (F.col("__off") + F.col("__local")).alias(out))
+    result = joined.select(*df.columns, (F.col("__off") + F.col("__local")).alias(out))
+    # callers scan the running sums several times (totals, crossings): store
+    # them once instead of re-running the windows for each scan
+    return result.checkpoint(eager=True) if materialize else result

@@ -25,13 +25,16 @@ def normalise_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:(//)?", "")
 
 
-def read_audit_csv(spark: SparkSession, paths, max_columns: int = 32) -> DataFrame:
-    """Audit rows of many files: file, node, start (ms), end (ms),
-    old_value, new_value (hyphenated header names are folded in)."""
-    schema = StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
-                .option("mode", "PERMISSIVE").csv(paths)
-                .select("*", normalise_path(F.col("_metadata.file_path")).alias("file")))
+def audit_schema(max_columns: int = 32) -> StructType:
+    """Fixed wide string schema of the headerless audit scan."""
+    return StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
+
+
+def parse_audit_rows(raw: DataFrame, max_columns: int = 32) -> DataFrame:
+    """Header-aware fields of raw headerless rows tagged with ``file``.
+
+    Works on a batch scan and on a micro-batch of a stream alike (a file is
+    read whole, so its header row is in the same batch as its data rows)."""
     cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
     is_header = F.coalesce(F.array_contains(cells, "node") & F.array_contains(cells, "start")
                            & F.array_contains(cells, "end"), F.lit(False))
@@ -51,6 +54,15 @@ def read_audit_csv(spark: SparkSession, paths, max_columns: int = 32) -> DataFra
         F.coalesce(pick("new_value"), pick("new-value")).alias("new_value"))
 
 
+def read_audit_csv(spark: SparkSession, paths, max_columns: int = 32) -> DataFrame:
+    """Audit rows of many files: file, node, start (ms), end (ms),
+    old_value, new_value (hyphenated header names are folded in)."""
+    raw = (spark.read.schema(audit_schema(max_columns)).option("header", False)
+                .option("multiLine", True).option("mode", "PERMISSIVE").csv(paths)
+                .select("*", normalise_path(F.col("_metadata.file_path")).alias("file")))
+    return parse_audit_rows(raw, max_columns)
+
+
 def audit_attachments(submissions: DataFrame, key: str = "uuid",
                       url_field: str = "download_url",
                       basename: str = "audit.csv") -> DataFrame:
