@@ -47,12 +47,18 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
     map task before the shuffle, and a stratum holding a third of the data
     ships only ``ceil(n0)`` rows per task. The bound is applied by the
     optimizer when it is at most ``spark.sql.optimizer.windowGroupLimitThreshold``
-    (default 1000; 95 %/5 % gives 385). Output: the data columns, ``n``,
-    ``sample`` and ``incl`` = true.
+    (default 1000; 95 %/5 % gives 385); a larger bound raises that session
+    setting to the bound. Output: the data columns, ``n``, ``sample`` and
+    ``incl`` = true.
     """
     require_columns(df, [strata, key], "data")
     n0 = base_sample_size(conf_level, margin_of_error, prop)
     bound = max(1, math.ceil(n0))
+    spark = df.sparkSession
+    key_conf = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if bound > int(spark.conf.get(key_conf, "1000")):
+        # keep the per-task top-k below the shuffle for larger samples too
+        spark.conf.set(key_conf, str(bound))
     sizes = sample_sizes(df, strata, conf_level, margin_of_error, prop)
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string")))
     w = Window.partitionBy(F.col(q(strata))).orderBy(order, F.col(q(key)))
