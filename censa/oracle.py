@@ -42,7 +42,7 @@ def _domains(groups, where: str, xexpr: str) -> str:
 
 def _head(table: str, strata: str | None, weight: str | None, cols, level: float) -> str:
     h = strata if strata else "CAST(NULL AS VARCHAR)"
-    w = f"CAST({weight} AS DOUBLE)" if weight else "1.0"
+    w = f"CAST({weight} AS DOUBLE)" if weight else "CAST(1.0 AS DOUBLE)"
     return f"""WITH base AS (SELECT {h} AS h, {w} AS w, {', '.join(cols)} FROM {table}),
 nh AS (SELECT h, count(*) AS n_h FROM base GROUP BY h),
 design AS (SELECT sum(n_h) - count(*) AS df FROM nh),

@@ -561,7 +561,8 @@ FROM customer c LEFT JOIN summ s ON c.c_custkey = s.uuid"""
 
 ORACLE["split_repeats"] = f"""
 SELECT l.l_orderkey AS o_orderkey,
-       row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {', '.join('l.' + c for c in LINE_FIELDS)})
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey
+                               ORDER BY {', '.join('l.' + c for c in LINE_FIELDS)}) AS INTEGER)
          AS _index,
        {', '.join(('round(l.' + c + ', 6) AS ' + c) if c in ('l_quantity', 'l_extendedprice')
                   else 'l.' + c for c in LINE_FIELDS)}

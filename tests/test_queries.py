@@ -19,6 +19,11 @@ def _norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+                 "DateType": "DATE"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -43,6 +48,9 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType))
+              for f in df.schema.fields}
+    assert stypes == {d[0]: str(d[1]) for d in res.description}
     assert _rows(df.columns, rows) == _rows(dcols, res.fetchall())
 
 
