@@ -16,23 +16,28 @@ from ..session import ensure_checkpoint_dir
 
 
 def running_sum(df: DataFrame, keys: list[str], order: str, value: str,
-                out: str = "__cum", partitions: int | None = None,
-                materialize: bool = False) -> DataFrame:
+                out: str = "__cum", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows of the same ``keys`` with
     ``order`` less than or equal to this row's. ``order`` must be unique
-    within ``keys`` (aggregate to distinct values first)."""
+    within ``keys`` (aggregate to distinct values first).
+
+    One branch computes, per range partition and group, the running sum and
+    the range total with a single window; that table is checkpointed. The
+    offsets (sum of earlier ranges' totals, at most partitions x groups rows)
+    are then joined back, so later scans only repeat that small join."""
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(partitions, *keys, order)
-                .withColumn("__pid", F.spark_partition_id())
-                .checkpoint(eager=True))
     within = Window.partitionBy("__pid", *keys)
-    local = ranged.withColumn(
-        "__local", F.sum(value).over(within.orderBy(order)
-                                     .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    totals = local.groupBy(*keys, "__pid").agg(F.sum(value).alias("__ptot"))
+    local = (df.repartitionByRange(partitions, *keys, order)
+               .withColumn("__pid", F.spark_partition_id())
+               .withColumn("__local", F.sum(value).over(
+                   within.orderBy(order).rowsBetween(Window.unboundedPreceding,
+                                                     Window.currentRow)))
+               .withColumn("__ptot", F.sum(value).over(within))
+               .checkpoint(eager=True))
+    totals = local.groupBy(*keys, "__pid").agg(F.max("__ptot").alias("__ptot"))
     offsets = totals.withColumn(
         "__off", F.coalesce(F.sum("__ptot").over(
             Window.partitionBy(*keys).orderBy("__pid")
@@ -41,7 +46,4 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str,
                                        offsets["__pid"].alias("__o_pid"), "__off"),
                         [local["__pid"] == F.col("__o_pid")]
                         + [local[k].eqNullSafe(F.col(f"__o_{k}")) for k in keys])
-    result = joined.select(*df.columns, (F.col("__off") + F.col("__local")).alias(out))
-    # callers scan the running sums several times (totals, crossings): store
-    # them once instead of re-running the windows for each scan
-    return result.checkpoint(eager=True) if materialize else result
+    return joined.select(*df.columns, (F.col("__off") + F.col("__local")).alias(out))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q, require_columns
+from ..session import ensure_checkpoint_dir
 
 KEY_COLUMNS = ["analysis_type", "analysis_var", "analysis_var_value"]
 LABEL_KEY_COLUMNS = ["analysis_type", "label_analysis_var", "label_analysis_var_value"]
@@ -128,6 +129,10 @@ def results_wide(results: DataFrame, group_var: str | None,
         "__pivot", F.when(F.col("group_var").isNull(), F.lit(OVERALL))
                     .otherwise(F.coalesce(F.col(gvcol).cast("string"), F.lit("NA"))))
     if group_values is None:
+        # the pivot columns come from the data: store the (result-sized) rows
+        # once so listing them does not rerun the estimation plan
+        ensure_checkpoint_dir(results.sparkSession)
+        rows = rows.checkpoint(eager=True)
         found = [r["__pivot"] for r in rows.select("__pivot").distinct().collect()]
         group_values = sorted(v for v in found if v != OVERALL)
     pivots = [OVERALL] + [v for v in group_values if v != OVERALL]

@@ -52,3 +52,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared scratch folder, for written outputs."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
