@@ -103,10 +103,11 @@ def _packed(items: Column) -> Column:
 
 # --- W14 other options -------------------------------------------------------------
 
-def other_options(form: DataFrame, choices: DataFrame) -> DataFrame:
+def other_options(form: DataFrame, choices: DataFrame, strict: bool = False) -> DataFrame:
     """(other_question, choices): the parent's choices, except the literal
     other answers, joined by ';\\n' in sheet order. Parents without choices
-    give no row. Groups hold one list each (form-sized)."""
+    give no row. Groups hold one list each (form-sized). ``strict`` raises
+    when no 'other' question with choices is found (one small job)."""
     oq = other_questions(form, strict=False)
     parents = select_questions(form, single_blank=True).join(
         oq.select(F.col("parent_question").alias("name")).distinct(), "name", "left_semi")
@@ -114,8 +115,11 @@ def other_options(form: DataFrame, choices: DataFrame) -> DataFrame:
     ch = _ordered_choices(choices)
     rows = (linked.join(ch, "list_name")
                   .where(~F.col("choice").isin(*LITERAL_OTHERS) | F.col("choice").isNull()))
-    return (rows.groupBy("other_question")
-                .agg(_packed(F.collect_list(F.struct("pos", "choice"))).alias("choices")))
+    out = (rows.groupBy("other_question")
+               .agg(_packed(F.collect_list(F.struct("pos", "choice"))).alias("choices")))
+    if strict and out.isEmpty():
+        raise ValueError("no 'other' questions with matching choices found")
+    return out
 
 
 # --- W15 choice lists ------------------------------------------------------------------

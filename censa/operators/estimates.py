@@ -122,13 +122,18 @@ def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 
 def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
-                   range_partitions: int | None = None) -> DataFrame:
+                   range_partitions: int | None = None, ci_method: str = "wald") -> DataFrame:
     """Long results table: one row per (analysis, choice, group value).
 
     Columns: analysis_type, analysis_var, analysis_var_value, group_var,
     group_var_value, stat, stat_low, stat_upp, n, n_total, n_w, n_w_total,
     level. One small design job runs first (sizes, NULL weights, centres).
+    ``ci_method='logit'`` gives proportions the interval
+    ``expit(logit(p) -/+ t * SE / (p (1 - p)))`` (NULL at p = 0 or 1); means
+    and medians keep theirs.
     """
+    if ci_method not in ("wald", "logit"):
+        raise ValueError("ci_method must be 'wald' or 'logit'")
     analyses, _ = plan_analyses(df, loa, sm_sep)
     if not analyses:
         raise ValueError("no analysis in the list applies to the data")
@@ -174,7 +179,7 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         crit=crit, centre=[centres.get(a.analysis_var, 0.0) if a.analysis_type == "mean" else 0.0
                            for a in analyses])
     if moment_recs:
-        parts.append(_moment_estimates(base, sizes, moment_recs, meta))
+        parts.append(_moment_estimates(base, sizes, moment_recs, meta, ci_method))
     if median_recs:
         parts.append(_median_estimates(base, sizes, median_recs, meta, range_partitions))
     out = parts[0]
@@ -194,7 +199,7 @@ def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
     return F.greatest(num, F.lit(0.0)) / (Wt * Wt)
 
 
-def _moment_estimates(base, sizes, recs, meta) -> DataFrame:
+def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataFrame:
     """One linear plan: sums per (analysis, group value, choice, stratum);
     stratum factors; domain sums per stratum by a window (a single-choice
     domain spans its values, other domains are their own row); per-choice
@@ -236,13 +241,20 @@ def _moment_estimates(base, sizes, recs, meta) -> DataFrame:
     is_mean = typ == F.lit("mean")
     stat = p + _pick(meta["centre"], "double", aid)
     crit = _pick(meta["crit"], "double", aid)
+    low, upp = stat - crit * se, stat + crit * se
+    if ci_method == "logit":
+        inner = (p > 0) & (p < 1)
+        lg = F.log(p / (1 - p))
+        half = crit * se / (p * (1 - p))
+        expit = lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
+        low = F.when(is_mean, low).when(inner, expit(lg - half))
+        upp = F.when(is_mean, upp).when(inner, expit(lg + half))
     return res.select(
         typ.alias("analysis_type"), _pick(meta["vars"], "string", aid).alias("analysis_var"),
         F.col("val").alias("analysis_var_value"),
         _pick(meta["groups"], "string", aid).alias("group_var"),
         F.col("gval").alias("group_var_value"),
-        stat.alias("stat"), (stat - crit * se).alias("stat_low"),
-        (stat + crit * se).alias("stat_upp"),
+        stat.alias("stat"), low.alias("stat_low"), upp.alias("stat_upp"),
         F.when(is_mean, F.col("n_c")).otherwise(F.col("n_y").cast("long")).alias("n"),
         F.col("n_total").cast("long").alias("n_total"),
         F.when(is_mean, Wt).otherwise(F.col("sumA")).alias("n_w"),

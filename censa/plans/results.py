@@ -13,7 +13,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..design import SurveyDesign
 from ..functions.columns import safe_name
@@ -27,7 +26,7 @@ SUMMARY_SCHEMA = ("group string, safe_name string, success boolean, write_ok boo
 class MultiResults(NamedTuple):
     results: DataFrame        # long results (stored copy), labelled if asked
     summary: DataFrame        # one status row per disaggregation
-    aggregated_path: str      # the combined long table (all groups)
+    aggregated_path: str | None  # the combined long table (all groups)
 
 
 def _unique_names(groups):
@@ -42,9 +41,11 @@ def _unique_names(groups):
 
 def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Table",
                   value_columns=VALUE_COLUMNS, overwrite: bool = True,
-                  use_labels: bool = False, fmt: str = "parquet") -> tuple[DataFrame, str]:
+                  use_labels: bool = False, fmt: str = "parquet",
+                  na_text: str | None = None) -> tuple[DataFrame, str]:
     """Write the long table partitioned by group_var and one wide table per
-    disaggregation. Returns (run summary, path of the long table)."""
+    disaggregation (``fmt`` parquet or csv; ``na_text`` is written for NULL
+    in csv). Returns (run summary, path of the long table)."""
     spark = results.sparkSession
     mode = "overwrite" if overwrite else "errorifexists"
     out_dir = out_dir.rstrip("/")
@@ -60,7 +61,12 @@ def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Tab
         path = f"{out_dir}/{file_prefix}__{name}"
         try:
             wide = results_wide(stored, g, value_columns, use_labels)
-            wide.write.mode(mode).format(fmt).save(path)
+            writer = wide.write.mode(mode).format(fmt)
+            if fmt == "csv":
+                writer = writer.option("header", True)
+                if na_text is not None:
+                    writer = writer.option("nullValue", na_text)
+            writer.save(path)
             statuses.append((g, name, True, True, path, None))
         except Exception as e:  # noqa: BLE001 - reported in the summary
             statuses.append((g, name, False, False, path, str(e).splitlines()[0][:500]))
@@ -71,18 +77,25 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
                   file_prefix: str = "Desc_Table", questions: DataFrame | None = None,
                   choices: DataFrame | None = None, label_column: str = "label::english",
                   use_labels: bool = True, value_columns=VALUE_COLUMNS,
-                  overwrite: bool = True, sm_sep: str = "/") -> MultiResults:
+                  overwrite: bool = True, sm_sep: str = "/", ci_method: str = "wald",
+                  fmt: str = "parquet", na_text: str | None = None) -> MultiResults:
     """Estimates for every listed analysis and disaggregation, labelled,
     laid out per group and written. Analyses whose variable is missing are
     dropped and reported in the summary (``success = false``)."""
     spark = data.sparkSession
     kept, dropped = plan_analyses(data, loa, sm_sep)
-    res = add_analysis_key(survey_results(data, design, kept, sm_sep))
+    try:
+        res = add_analysis_key(survey_results(data, design, kept, sm_sep, ci_method=ci_method))
+    except ValueError as e:  # design problems (lonely strata, bad weights): one row per group
+        groups = sorted({a.group_var for a in kept if a.group_var is not None}) or [None]
+        rows = [(g, safe_name(g), False, False, None, str(e)) for g in groups]
+        empty = spark.createDataFrame([], "analysis_type string")
+        return MultiResults(empty, spark.createDataFrame(rows, SUMMARY_SCHEMA), None)
     labelled = use_labels and questions is not None and choices is not None
     if labelled:
         res = label_results(res, questions, choices, label_column)
     summary, long_path = write_results(res, out_dir, file_prefix, value_columns, overwrite,
-                                       use_labels=labelled)
+                                       use_labels=labelled, fmt=fmt, na_text=na_text)
     if dropped:
         rows = [(a.group_var, safe_name(a.group_var), False, False, None,
                  f"analysis {a.analysis_type} of {a.analysis_var} dropped: {why}")

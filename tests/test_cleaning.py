@@ -79,3 +79,13 @@ def test_b6_validate(spark):
     num = validate_cleaning_log(log, form, choices, sm_dropdown_type="numerical") \
         .where("new_value = '1'").first()
     assert num.allowed_list == "binaries_sm_options_num" and num.new_value_ok
+
+
+def test_other_options_strict(spark):
+    import pytest
+    form = spark.createDataFrame([(1, "integer", "age", None)],
+                                 "pos int, type string, name string, relevant string")
+    choices = spark.createDataFrame(CHOICES, "list_name string, name string, pos int")
+    assert other_options(form, choices).count() == 0
+    with pytest.raises(ValueError):
+        other_options(form, choices, strict=True)

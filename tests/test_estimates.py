@@ -123,3 +123,18 @@ def test_lonely_and_null_weights(spark):
     bad = spark.createDataFrame([("s1", "x", 1.0), ("s1", "1", 2.0)], "h string, w string, y double")
     with pytest.raises(ValueError, match="weight"):
         survey_results(bad, SurveyDesign("h", "w"), [Analysis("y", "mean")])
+
+
+def test_logit_interval(spark):
+    df = spark.createDataFrame([("s1", 1.0, "yes"), ("s1", 1.0, "no"), ("s2", 2.0, "yes"),
+                                ("s2", 2.0, "yes"), ("s2", 1.0, "no")], "st string, w double, x string")
+    wald = rows(survey_results(df, SurveyDesign("st", "w"), [Analysis("x", "prop_select_one")]))
+    logit = rows(survey_results(df, SurveyDesign("st", "w"), [Analysis("x", "prop_select_one")],
+                                ci_method="logit"))
+    for k, r in logit.items():
+        p, w_r = r.stat, wald[k]
+        se = (w_r.stat_upp - w_r.stat) / t_quantile(0.975, 5 - 2)
+        lg, half = math.log(p / (1 - p)), t_quantile(0.975, 3) * se / (p * (1 - p))
+        assert r.stat_low == pytest.approx(1 / (1 + math.exp(-(lg - half))))
+        assert r.stat_upp == pytest.approx(1 / (1 + math.exp(-(lg + half))))
+        assert 0 < r.stat_low < p < r.stat_upp < 1

@@ -42,3 +42,23 @@ def test_multi_results_summary(spark):
     assert ("g", True) in summ and (None, False) in summ
     assert mr.results.count() == 5  # NATION_0 answered only "yes"
     assert spark.read.parquet(f"{out}/Desc_Table__g").count() == 2
+
+
+def test_design_error_in_summary(spark):
+    df = spark.createDataFrame([("s1", 1.0, "a", "g1"), ("s2", 1.0, "b", "g1")],
+                               "st string, w double, x string, g string")
+    mr = multi_results(df, SurveyDesign("st", "w"),
+                       [Analysis("x", "prop_select_one", 0.95, "g")],
+                       scratch_path(spark, "test-multi-lonely"), use_labels=False)
+    rows = mr.summary.collect()
+    assert len(rows) == 1 and not rows[0].success and "single row" in rows[0].error
+
+
+def test_csv_na_text(spark):
+    df, loa, _ = _res(spark)
+    out = scratch_path(spark, "test-multi-csv")
+    mr = multi_results(df, SurveyDesign("st", "w"), loa, out, use_labels=False, fmt="csv",
+                       na_text="NA")
+    assert all(r.success for r in mr.summary.collect())
+    text = spark.read.text(f"{out}/Desc_Table__g").collect()
+    assert any(",NA," in r.value or r.value.endswith(",NA") for r in text)
