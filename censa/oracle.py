@@ -65,7 +65,16 @@ def _out(atype: str, var: str, value: str, stat: str, se: str, n: str, n_total:
   round({n_w}, {R}) AS n_w, round({n_w_total}, {R}) AS n_w_total, CAST({level} AS DOUBLE) AS level"""
 
 
-def survey_prop_sql(table, strata, weight, var, groups, level=0.95, multi=False) -> str:
+def _logit_bounds(p: str, se: str) -> tuple[str, str]:
+    half = f"crit.t * {se} / ({p} * (1 - {p}))"
+    lg = f"ln({p} / (1 - {p}))"
+    inner = f"{p} > 0 AND {p} < 1"
+    return (f"CASE WHEN {inner} THEN 1 / (1 + exp(-({lg} - {half}))) END",
+            f"CASE WHEN {inner} THEN 1 / (1 + exp(-({lg} + {half}))) END")
+
+
+def survey_prop_sql(table, strata, weight, var, groups, level=0.95, multi=False,
+                    ci_method="wald") -> str:
     """Proportions. ``multi``: ``var`` holds blank-separated choices; every
     token seen anywhere in the table is a choice of every domain."""
     head = _head(table, strata, weight, [var] + list(groups), level)
@@ -82,6 +91,8 @@ def survey_prop_sql(table, strata, weight, var, groups, level=0.95, multi=False)
         vals = "SELECT DISTINCT group_var, gval, x AS v FROM dom"
         atype = "prop_select_one"
     k = ["group_var", "gval"]
+    bounds = (_logit_bounds("(e.wy / e.wt)", "sqrt(greatest(vr.var, 0.0))")
+              if ci_method == "logit" else (None, None))
     return f"""{head},
 dom AS ({dom}),
 vals AS ({vals}),
@@ -99,7 +110,7 @@ zh AS (SELECT group_var, gval, v, h, sum(z) AS sz, sum(z * z) AS szz FROM zs GRO
 vr AS (SELECT zh.group_var, zh.gval, zh.v, {_VAR} AS var
        FROM zh JOIN nh ON zh.h IS NOT DISTINCT FROM nh.h GROUP BY zh.group_var, zh.gval, zh.v)
 {_out(atype, var, 'e.v', 'e.wy / e.wt', 'sqrt(greatest(vr.var, 0.0))', 'e.n', 'e.n_total',
-      'e.wy', 'e.wt', level)}
+      'e.wy', 'e.wt', level, *bounds)}
 FROM est e JOIN vr ON {_nsd('e', 'vr', k + ['v'])} CROSS JOIN crit"""
 
 

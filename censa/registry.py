@@ -57,6 +57,13 @@ def q_survey_prop_select_one(spark, sf_dir):
     return rounded(survey_results(li, SurveyDesign("l_suppkey", "l_quantity"), loa))
 
 
+def q_survey_prop_logit(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    loa = _overall_and("l_linestatus", "prop_select_one", ["l_returnflag"])
+    return rounded(survey_results(li, SurveyDesign("l_suppkey", "l_quantity"), loa,
+                                  ci_method="logit"))
+
+
 def q_survey_mean(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     loa = (_overall_and("l_extendedprice", "mean", ["l_returnflag"])
@@ -316,6 +323,7 @@ def q_variable_tracker(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_prop_select_one": q_survey_prop_select_one,
+    "survey_prop_logit": q_survey_prop_logit,
     "survey_mean": q_survey_mean,
     "survey_median": q_survey_median,
     "survey_prop_select_multiple": q_survey_prop_select_multiple,
@@ -349,6 +357,9 @@ N0 = base_sample_size(0.95, 0.05)
 ORACLE: dict[str, str] = {
     "survey_prop_select_one": oracle.survey_prop_sql(
         "lineitem", "l_suppkey", "l_quantity", "l_linestatus", ["l_returnflag"]),
+    "survey_prop_logit": oracle.survey_prop_sql(
+        "lineitem", "l_suppkey", "l_quantity", "l_linestatus", ["l_returnflag"],
+        ci_method="logit"),
     "survey_mean": _union(
         oracle.survey_mean_sql("lineitem", "l_suppkey", "l_quantity", "l_extendedprice",
                                ["l_returnflag"]),
