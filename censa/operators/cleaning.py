@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import q, require_columns
+from ..session import ensure_checkpoint_dir
 
 # Allowed change types and the two binary answer lists.
 CHANGE_TYPES = ["change_response", "blank_response", "remove_survey", "no_action"]
@@ -54,11 +55,17 @@ def variable_tracker(raw: DataFrame, clean: DataFrame) -> DataFrame:
     (dataset, variable); see :func:`column_manifest`."""
     require_columns(raw, ["dataset", "variable"], "raw manifest")
     require_columns(clean, ["dataset", "variable"], "clean manifest")
-    removed = raw.join(clean, ["dataset", "variable"], "left_anti").withColumn("Action", F.lit("remove"))
-    added = clean.join(raw, ["dataset", "variable"], "left_anti").withColumn("Action", F.lit("added"))
-    return (removed.unionByName(added)
-                   .select("dataset", F.col("variable").alias("Variable"), "Action",
-                           F.lit("").alias("Rationale")))
+    # one union and one grouped pass instead of two anti-joins, so each
+    # manifest is computed once
+    sides = (raw.select("dataset", "variable", F.lit(1).alias("r"), F.lit(0).alias("c"))
+                .unionByName(clean.select("dataset", "variable", F.lit(0).alias("r"),
+                                          F.lit(1).alias("c"))))
+    both = sides.groupBy("dataset", "variable").agg(F.max("r").alias("r"), F.max("c").alias("c"))
+    action = (F.when((F.col("r") == 1) & (F.col("c") == 0), F.lit("remove"))
+               .when((F.col("r") == 0) & (F.col("c") == 1), F.lit("added")))
+    return (both.select("dataset", F.col("variable").alias("Variable"), action.alias("Action"),
+                        F.lit("").alias("Rationale"))
+                .where(F.col("Action").isNotNull()))
 
 
 # --- form helpers --------------------------------------------------------------
@@ -244,7 +251,9 @@ def recode_others(form: DataFrame, choices: DataFrame, log: DataFrame, sm_sep: s
     single = F.array(change(parent, F.col("new_value")), change(text_q, F.lit(None)))
     changes = F.when(F.col("select_type") == "select_multiple", multi) \
                .when(F.col("select_type") == "select_one", single)
-    new_rows = valid.select(F.explode(changes).alias("c")).select("c.*")
+    # stored once: the rows are appended and also drive both memberships
+    ensure_checkpoint_dir(log.sparkSession)
+    new_rows = valid.select(F.explode(changes).alias("c")).select("c.*").checkpoint(eager=True)
 
     if match == "pair":
         keys = (new_rows.select(F.col("uuid").alias("__u"), F.col("question").alias("__q"))

@@ -173,6 +173,10 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
                                       _record(aid, g, F.lit(None), x.try_cast("double"))))
 
     parts = []
+    if design.strata is None:
+        # one stratum: the factors are constants, so no join with a one-row table
+        n = info.n
+        sizes = (float(n) / (n - 1) if n > 1 else 0.0, 1.0 / (n - 1) if n > 1 else 0.0)
     meta = dict(
         types=[a.analysis_type for a in analyses], vars=[a.analysis_var for a in analyses],
         groups=[a.group_var for a in analyses], levels=[float(a.level) for a in analyses],
@@ -188,6 +192,14 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     return out
 
 
+def _with_factors(df: DataFrame, sizes) -> DataFrame:
+    """Attach the stratum factors __f, __g: a join with the per-stratum
+    table, or literals when the design has a single stratum."""
+    if isinstance(sizes, tuple):
+        return df.withColumn("__f", F.lit(sizes[0])).withColumn("__g", F.lit(sizes[1]))
+    return _nsjoin(df, sizes.drop("n_h"), [H])
+
+
 def _records(base: DataFrame, recs: list[Column]) -> DataFrame:
     # a NULL element (variable not answered) inlines as a row of NULLs and is
     # dropped by the filter; no lambda, so the stage stays in generated code
@@ -213,7 +225,7 @@ def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataF
                 F.sum(w * w).alias("T")))
     aid = F.col("aid")
     is_one = _pick([t == "prop_select_one" for t in meta["types"]], "boolean", aid)
-    agg = _nsjoin(agg, sizes.drop("n_h"), [H]).withColumn(
+    agg = _with_factors(agg, sizes).withColumn(
         "vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val")))
     dom_h = Window.partitionBy("aid", "gval", "vkey", H)
     agg = (agg.withColumn("SD", F.sum("S").over(dom_h))
@@ -280,7 +292,7 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
              .groupBy("aid", "gval", H)
              .agg(F.sum(w * ind).alias("A"), F.sum(w * w * ind).alias("B"),
                   F.sum(w).alias("S"), F.sum(w * w).alias("T")))
-    per_h = _nsjoin(per_h, sizes.drop("n_h"), [H])
+    per_h = _with_factors(per_h, sizes)
     f, g, A, S = F.col("__f"), F.col("__g"), F.col("A"), F.col("S")
     share = (per_h.groupBy("aid", "gval")
                   .agg(F.sum(A).alias("sumA"), F.sum(S).alias("Ws"),

@@ -69,20 +69,22 @@ def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, s
                        F.sum(F.when(F.col("y") == 0, 1).otherwise(0)).alias("k0"),
                        F.sum(F.when(~F.col("y").isin(0.0, 1.0), 1).otherwise(0)).alias("other")))
     per_var = Window.partitionBy("group_var")
-    counts = (counts.withColumn("n_levels", F.count(F.lit(1)).over(per_var))
+    ref_of = F.create_map(*[x for g, r in group_vars_refs.items() for x in (F.lit(g), F.lit(r))])
+    ref = F.element_at(ref_of, F.col("group_var"))
+    # one window over the (small) count table gives the variable checks and
+    # the reference level's counts; no self-join, so the counts run once
+    counts = (counts.withColumn("ref_group", ref)
+                    .withColumn("n_levels", F.count(F.lit(1)).over(per_var))
                     .withColumn("n1", F.sum("k1").over(per_var))
                     .withColumn("n0", F.sum("k0").over(per_var))
                     .withColumn("n_other", F.sum("other").over(per_var))
+                    .withColumn("a1", F.max(F.when(F.col("level") == F.col("ref_group"),
+                                                   F.col("k1"))).over(per_var))
+                    .withColumn("a0", F.max(F.when(F.col("level") == F.col("ref_group"),
+                                                   F.col("k0"))).over(per_var))
                     .where((F.col("n_levels") >= 2) & (F.col("n_other") == 0)
                            & (F.col("n1") > 0) & (F.col("n0") > 0)))
-    refs = df.sparkSession.createDataFrame(list(group_vars_refs.items()),
-                                           "__gv string, ref_group string")
-    with_ref = counts.join(refs, counts["group_var"] == refs["__gv"]).drop("__gv")
-    ref_counts = (with_ref.where(F.col("level") == F.col("ref_group"))
-                          .select(F.col("group_var").alias("__rg"), F.col("k1").alias("a1"),
-                                  F.col("k0").alias("a0")))
-    rows = (with_ref.where(F.col("level") != F.col("ref_group"))
-                    .join(ref_counts, F.col("group_var") == F.col("__rg"), "left"))
+    rows = counts.where(F.col("level") != F.col("ref_group"))
     a1 = F.col("a1").cast("double")
     a0, k1, k0 = F.col("a0").cast("double"), F.col("k1").cast("double"), F.col("k0").cast("double")
     separated = (F.col("a1") == 0) | (F.col("a0") == 0) | (F.col("k1") == 0) | (F.col("k0") == 0)
