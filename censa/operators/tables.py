@@ -138,3 +138,10 @@ def results_wide(results: DataFrame, group_var: str | None,
     pivots = [OVERALL] + [v for v in group_values if v != OVERALL]
     return (rows.groupBy(*keys).pivot("__pivot", pivots)
                 .agg(*[F.max(F.col(q(c))).alias(c) for c in value_columns]))
+
+
+def numeric_value_columns(wide: DataFrame, n_keys: int = 3) -> DataFrame:
+    """Cast every column after the first ``n_keys`` to double (text that is
+    not a number becomes NULL), e.g. for a wide table read back from CSV."""
+    return wide.select(*[F.col(q(c)) if i < n_keys else F.col(q(c)).try_cast("double").alias(c)
+                         for i, c in enumerate(wide.columns)])

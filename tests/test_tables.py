@@ -62,3 +62,11 @@ def test_csv_na_text(spark):
     assert all(r.success for r in mr.summary.collect())
     text = spark.read.text(f"{out}/Desc_Table__g").collect()
     assert any(",NA," in r.value or r.value.endswith(",NA") for r in text)
+
+
+def test_numeric_value_columns(spark):
+    from censa.operators.tables import numeric_value_columns
+    df = spark.createDataFrame([("a", "b", "c", "1.5", "NA")], "k1 string, k2 string, k3 string, "
+                                                              "x string, y string")
+    r = numeric_value_columns(df).first()
+    assert r.k1 == "a" and r.x == 1.5 and r.y is None
