@@ -162,15 +162,16 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         if a.analysis_type == "prop_select_one":
             moment_recs.append(F.when(x.isNotNull(), _record(aid, g, x, F.lit(1.0))))
         elif a.analysis_type == "mean":
-            y = x.try_cast("double") - F.lit(centres[a.analysis_var])
-            moment_recs.append(F.when(x.isNotNull(), _record(aid, g, F.lit(None), y)))
+            xv = x.try_cast("double")  # text that is not a number is not in the domain
+            y = xv - F.lit(centres[a.analysis_var])
+            moment_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), y)))
         elif a.analysis_type == "prop_select_multiple":
             for mcol, choice in members(df, a.analysis_var, sm_sep):
                 y = F.coalesce(F.col(q(mcol)).try_cast("double"), F.lit(0.0))
                 moment_recs.append(F.when(x.isNotNull(), _record(aid, g, F.lit(choice), y)))
         else:
-            median_recs.append(F.when(x.isNotNull(),
-                                      _record(aid, g, F.lit(None), x.try_cast("double"))))
+            xv = x.try_cast("double")
+            median_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), xv)))
 
     parts = []
     if design.strata is None:

@@ -17,7 +17,8 @@ from . import oracle
 from .design import SurveyDesign
 from .operators.estimates import Analysis, survey_results
 from .functions.columns import epoch_millis
-from .operators.cleaning import (CHANGE_TYPES, FIXED_LISTS, choice_lists, column_manifest,
+from .operators.cleaning import (CHANGE_TYPES, FIXED_LISTS, choice_lists, choice_lists_wide,
+                                 column_manifest,
                                  other_options, recode_others, validate_cleaning_log,
                                  variable_tracker)
 from .operators.duration import interview_duration
@@ -236,6 +237,8 @@ CLEAN_FORM = [
     (7, "end group", "grp", None),
 ]
 MISSING_SEGMENT = "HOUSEHOLD"  # left out of the segment list: its recodes are invalid
+CHOICE_LIST_NAMES = ["change_type_validation", "binaries_sm_options_lgl", "binaries_sm_options_num",
+                     "c_mktsegment", "p_type", "c_mktsegment_other", "p_type_other"]
 
 
 def clean_form(spark):
@@ -314,6 +317,23 @@ def _clean_lineitem(li):
                           .otherwise(F.col("l_discount"))))
 
 
+def q_choice_lists_wide(spark, sf_dir):
+    long = choice_lists(clean_choices(spark, sf_dir), clean_form(spark), others=True)
+    return choice_lists_wide(long, CHOICE_LIST_NAMES)
+
+
+def q_recode_others_pair(spark, sf_dir):
+    return recode_others(clean_form(spark), clean_choices(spark, sf_dir), _recode_log(spark, sf_dir),
+                         match="pair")
+
+
+def q_interview_audit(spark, sf_dir):
+    subs = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "uuid")
+    res = interview_duration(subs, events_as_audit(spark, sf_dir), remove_geo=True,
+                             exclude_pattern="error")
+    return rounded(res.audit)
+
+
 def q_variable_tracker(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     raw = column_manifest(li, "l_returnflag")
@@ -345,6 +365,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_cleaning_log": q_validate_cleaning_log,
     "recode_others": q_recode_others,
     "variable_tracker": q_variable_tracker,
+    "choice_lists_wide": q_choice_lists_wide,
+    "recode_others_pair": q_recode_others_pair,
+    "interview_audit": q_interview_audit,
 }
 
 
@@ -719,3 +742,28 @@ WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM raw)"""
 
 
 ORACLE["variable_tracker"] = _tracker_sql()
+
+
+ORACLE["choice_lists_wide"] = f"""
+WITH {_clean_ctes()},
+oth AS (SELECT other_question AS name,
+               row_number() OVER (PARTITION BY other_question ORDER BY pos, choice) AS pos, choice AS value
+        FROM orows),
+lst AS (SELECT name, CAST(pos AS INTEGER) AS pos, value FROM fixed
+        UNION ALL
+        SELECT DISTINCT name, CAST(pos AS INTEGER), value
+        FROM (SELECT * FROM perq UNION ALL SELECT * FROM oth) x)
+SELECT pos, {", ".join(f"max(CASE WHEN name = '{n}' THEN value END) AS {n}" for n in CHOICE_LIST_NAMES)}
+FROM lst GROUP BY pos"""
+
+ORACLE["recode_others_pair"] = ORACLE["recode_others"].replace(
+    """WHERE NOT (l.uuid IN (SELECT uuid FROM nw) AND l.question IN (SELECT question FROM nw)
+           AND l.change_type = 'change_response')""",
+    """WHERE NOT ((l.uuid, l.question) IN (SELECT uuid, question FROM nw)
+           AND l.change_type = 'change_response')""")
+
+ORACLE["interview_audit"] = """
+SELECT user_id AS uuid, event_type AS node, epoch_us(ts) // 1000 AS start,
+       epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS "end",
+       round(CAST(round(value * 1000) AS BIGINT) / 60000.0, 6) AS metadata_duration
+FROM events WHERE NOT contains(event_type, 'error')"""

@@ -138,3 +138,12 @@ def test_logit_interval(spark):
         assert r.stat_low == pytest.approx(1 / (1 + math.exp(-(lg - half))))
         assert r.stat_upp == pytest.approx(1 / (1 + math.exp(-(lg + half))))
         assert 0 < r.stat_low < p < r.stat_upp < 1
+
+
+def test_text_values_outside_numeric_domain(spark):
+    df = spark.createDataFrame([("1", 1.0), ("3", 1.0), ("n/a", 5.0)], "v string, w double")
+    r = rows(survey_results(df, SurveyDesign(None, "w"), [Analysis("v", "mean"),
+                                                           Analysis("v", "median")]))
+    assert r[("mean", None, None)].stat == pytest.approx(2.0)
+    assert r[("mean", None, None)].n == 2
+    assert r[("median", None, None)].stat == 1.0
