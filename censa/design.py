@@ -109,17 +109,3 @@ def prepared(df: DataFrame, design: SurveyDesign, columns) -> DataFrame:
     cols = list(dict.fromkeys(columns))
     return df.select(design.stratum_col().alias(H), design.weight_col().alias(W),
                      *[F.col(f"`{c}`") for c in cols])
-
-
-def stratum_sizes(df: DataFrame, design: SurveyDesign) -> DataFrame:
-    """Full-design rows per stratum with the variance factors.
-
-    f = n_h/(n_h-1) and g = 1/(n_h-1); a stratum of one row contributes 0
-    (``lonely='skip'``; ``'fail'`` is checked before the plan runs).
-    """
-    n_h = F.col("n_h")
-    return (df.select(design.stratum_col().alias(H)).groupBy(H)
-              .agg(F.count(F.lit(1)).alias("n_h"))
-              .select(H, "n_h",
-                      F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0).alias("__f"),
-                      F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0).alias("__g")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, StructField, StructType, DoubleType
+from pyspark.sql.types import NumericType, StringType
 
 from ..functions.columns import require_columns
 
@@ -21,12 +21,6 @@ SURVEY_METADATA = [
     "_submitted_by", "_attachments", "weights", "weight",
 ]
 
-LOA_SCHEMA = StructType([StructField("analysis_var", StringType()),
-                         StructField("analysis_type", StringType()),
-                         StructField("level", DoubleType()),
-                         StructField("group_var", StringType())])
-
-
 def multi_choice_parents(columns: list[str], sm_sep: str = "/") -> set[str]:
     """A column p is a multi-choice parent when some column starts with p+sep."""
     cols = set(columns)
