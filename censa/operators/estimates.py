@@ -209,7 +209,7 @@ def _records(base: DataFrame, recs: list[Column]) -> DataFrame:
 
 def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
     num = (fQ - 2 * p * fB + p * p * fT) - (gAA - 2 * p * gAS + p * p * gSS)
-    return F.greatest(num, F.lit(0.0)) / (Wt * Wt)
+    return F.try_divide(F.greatest(num, F.lit(0.0)), Wt * Wt)
 
 
 def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataFrame:
@@ -247,7 +247,7 @@ def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataF
                .withColumn("gSS", F.sum("dgSS").over(dom))
                .withColumn("n_total", F.sum("dn").over(dom)))
     Wt = F.col("Wt")
-    p = F.col("sumA") / Wt
+    p = F.try_divide(F.col("sumA"), Wt)  # NULL for a domain of zero weight
     se = F.sqrt(_variance(p, F.col("fQ"), F.col("fB"), F.col("fT"), F.col("gAA"),
                           F.col("gAS"), F.col("gSS"), Wt))
     typ = _pick(meta["types"], "string", aid)
@@ -257,8 +257,8 @@ def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataF
     low, upp = stat - crit * se, stat + crit * se
     if ci_method == "logit":
         inner = (p > 0) & (p < 1)
-        lg = F.log(p / (1 - p))
-        half = crit * se / (p * (1 - p))
+        lg = F.log(F.try_divide(p, 1 - p))
+        half = F.try_divide(crit * se, p * (1 - p))
         expit = lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
         low = F.when(is_mean, low).when(inner, expit(lg - half))
         upp = F.when(is_mean, upp).when(inner, expit(lg + half))
@@ -300,7 +300,7 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
                        F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("T")).alias("fT"),
                        F.sum(g * A * A).alias("gAA"), F.sum(g * A * S).alias("gAS"),
                        F.sum(g * S * S).alias("gSS")))
-    p = F.col("sumA") / F.col("Ws")
+    p = F.try_divide(F.col("sumA"), F.col("Ws"))
     se = F.sqrt(_variance(p, F.col("fB"), F.col("fB"), F.col("fT"), F.col("gAA"),
                           F.col("gAS"), F.col("gSS"), F.col("Ws")))
     aid = F.col("aid")

@@ -147,3 +147,11 @@ def test_text_values_outside_numeric_domain(spark):
     assert r[("mean", None, None)].stat == pytest.approx(2.0)
     assert r[("mean", None, None)].n == 2
     assert r[("median", None, None)].stat == 1.0
+
+
+def test_zero_weight_domain_gives_null(spark):
+    df = spark.createDataFrame([("a", 0.0, 1.0), ("a", 0.0, 2.0), ("b", 1.0, 3.0), ("b", 1.0, 5.0)],
+                               "g string, w double, y double")
+    r = rows(survey_results(df, SurveyDesign(None, "w"), [Analysis("y", "mean", 0.95, "g")]))
+    assert r[("mean", None, "a")].stat is None
+    assert r[("mean", None, "b")].stat == pytest.approx(4.0)
