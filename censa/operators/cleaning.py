@@ -182,7 +182,9 @@ def validate_cleaning_log(log: DataFrame, form: DataFrame, choices: DataFrame,
         raise ValueError("sm_dropdown_type must be 'logical' or 'numerical'")
     binary = ("binaries_sm_options_num" if (sm_dropdown_type or "").lower() == "numerical"
               else "binaries_sm_options_lgl")
-    lists = choice_lists(choices, form, others=use_others)
+    # form-sized, used three times below: stored once
+    ensure_checkpoint_dir(log.sparkSession)
+    lists = choice_lists(choices, form, others=use_others).checkpoint(eager=True)
     names = lists.select(F.col("name").alias("__ln")).distinct()
     pairs = lists.select(F.col("name").alias("__pn"), F.col("value").alias("__pv")).distinct()
     ct = lists.where(F.col("name") == "change_type_validation").select(
