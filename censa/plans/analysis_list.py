@@ -29,7 +29,7 @@ def multi_choice_parents(columns: list[str], sm_sep: str = "/") -> set[str]:
 
 def type_from_form(type_col) -> F.Column:
     """Form question type -> analysis type (packed with ':' for two)."""
-    t = F.trim(type_col)
+    t = type_col  # exact names, as in the form; selects match as substrings
     return (F.when(t.isin("integer", "decimal"), F.lit("mean:median"))
              .when(t.contains("select_one"), F.lit("prop_select_one"))
              .when(t.contains("select_mult"), F.lit("prop_select_multiple")))

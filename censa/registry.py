@@ -462,9 +462,9 @@ data_loa AS (
   WHERE name NOT IN ({meta}) AND name NOT LIKE '%/%' AND name NOT IN (SELECT name FROM form)),
 form_loa AS (
   SELECT name AS analysis_var,
-         CASE WHEN trim(type) IN ('integer', 'decimal') THEN 'mean:median'
-              WHEN contains(trim(type), 'select_one') THEN 'prop_select_one'
-              WHEN contains(trim(type), 'select_mult') THEN 'prop_select_multiple' END AS packed
+         CASE WHEN type IN ('integer', 'decimal') THEN 'mean:median'
+              WHEN contains(type, 'select_one') THEN 'prop_select_one'
+              WHEN contains(type, 'select_mult') THEN 'prop_select_multiple' END AS packed
   FROM form),
 loa AS (SELECT analysis_var, unnest(string_split(packed, ':')) AS analysis_type
         FROM (SELECT * FROM data_loa UNION ALL SELECT * FROM form_loa) u WHERE packed IS NOT NULL),
