@@ -13,6 +13,7 @@ from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import sample_sizes, stratified_sample, weight_diagnostics
 from .operators.tables import add_analysis_key, label_results, results_wide, review_labels
 from .plans.analysis_list import analysis_list
+from .plans.cleaning_log import write_cleaning_log
 from .plans.results import multi_results, write_results
 from .sources.audit import audit_log, read_audit_csv
 from .sources.multichoice import expand_select_multiple
@@ -25,5 +26,5 @@ __all__ = [
     "odds_ratios", "interview_duration", "read_audit_csv", "audit_log", "read_submissions",
     "split_repeats", "expand_select_multiple", "column_manifest", "variable_tracker",
     "other_options", "choice_lists", "choice_lists_wide", "validate_cleaning_log",
-    "recode_others",
+    "recode_others", "write_cleaning_log",
 ]

@@ -89,3 +89,23 @@ def test_other_options_strict(spark):
     assert other_options(form, choices).count() == 0
     with pytest.raises(ValueError):
         other_options(form, choices, strict=True)
+
+
+def test_write_cleaning_log(spark):
+    import pytest
+    from censa.plans.cleaning_log import write_cleaning_log
+    from censa.session import scratch_path
+    form, choices = _form(spark)
+    log = spark.createDataFrame(LOG, "uuid string, question string, change_type string, "
+                                     "issue string, new_value string")
+    out = scratch_path(spark, "test-cleaning-log")
+    paths = write_cleaning_log({"cleaning_log": log}, out, use_dropdown=True, use_others=True,
+                               form=form, choices=choices)
+    assert set(paths) == {"cleaning_log", "validation_rules", "readme"}
+    assert spark.read.parquet(paths["readme"]).count() == 4
+    assert "allowed_list" in spark.read.parquet(paths["cleaning_log"]).columns
+    assert spark.read.parquet(paths["validation_rules"]).count() == 4
+    with pytest.raises(ValueError):
+        write_cleaning_log({"other": log}, out)
+    with pytest.raises(ValueError):
+        write_cleaning_log({"cleaning_log": log}, out, use_dropdown=True)
