@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import q, require_columns
 from ..session import ensure_checkpoint_dir
 
-# Allowed change types and the two binary answer lists.
+# Allowed change types, the two binary answer lists, the
+# patterns that find "other" questions, group markers and {name} references,
+# and the literal "other" answers left out of option lists.
 CHANGE_TYPES = ["change_response", "blank_response", "remove_survey", "no_action"]
 FIXED_LISTS = {
     "change_type_validation": CHANGE_TYPES,
