@@ -29,7 +29,7 @@ from .operators.tables import label_results, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .plans.results import multi_results
 from .session import scratch_path
-from .sources.submissions import split_repeats
+from .sources.submissions import read_submissions, split_repeats
 from .sources.multichoice import expand_select_multiple, members_long
 
 DEC = oracle.R
@@ -220,7 +220,7 @@ def q_split_repeats(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     nested = (li.groupBy("l_orderkey")
                 .agg(F.array_sort(F.collect_list(F.struct(*LINE_FIELDS))).alias("lines")))
-    orders = table(spark, sf_dir, "orders")
+    orders = read_submissions(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "parquet")
     subs = orders.join(nested, orders.o_orderkey == nested.l_orderkey, "left").drop("l_orderkey")
     return rounded(split_repeats(subs, key="o_orderkey", repeats=["lines"]).repeats["lines"])
 
