@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from censa.operators.odds import odds_ratios
 
