@@ -28,11 +28,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import Window
-
 from ..design import H, W, SurveyDesign, design_table, prepared
 from ..functions.columns import q
 from ..functions.stats import two_sided_crit
+from ..session import ensure_checkpoint_dir
 from .cumulative import running_sum
 
 TYPES = ("prop_select_one", "prop_select_multiple", "mean", "median")
@@ -213,10 +212,11 @@ def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
 
 
 def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataFrame:
-    """One linear plan: sums per (analysis, group value, choice, stratum);
-    stratum factors; domain sums per stratum by a window (a single-choice
-    domain spans its values, other domains are their own row); per-choice
-    sums; domain totals by a window over the choices of a domain."""
+    """Sums per (analysis, group value, choice, stratum), stored once; domain
+    sums per stratum (a single-choice domain spans its values, other domains
+    are their own row) and per domain by grouped aggregates joined back, so
+    no step holds all values of a domain in one task (a free-text column
+    analysed as single-choice has as many values as rows)."""
     w, y = F.col(W), F.col("y")
     agg = (_records(base, recs)
            .groupBy("aid", "gval", "val", H)
@@ -226,26 +226,25 @@ def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataF
                 F.sum(w * w).alias("T")))
     aid = F.col("aid")
     is_one = _pick([t == "prop_select_one" for t in meta["types"]], "boolean", aid)
-    agg = _with_factors(agg, sizes).withColumn(
-        "vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val")))
-    dom_h = Window.partitionBy("aid", "gval", "vkey", H)
-    agg = (agg.withColumn("SD", F.sum("S").over(dom_h))
-              .withColumn("TD", F.sum("T").over(dom_h))
-              .withColumn("nD", F.sum("cnt").over(dom_h))
-              .withColumn("first", F.row_number().over(dom_h.orderBy("val")) == 1))
-    f, g, SD, A = F.col("__f"), F.col("__g"), F.col("SD"), F.col("A")
-    once = lambda c: F.sum(F.when(F.col("first"), c).otherwise(F.lit(0.0)))
-    vals = (agg.groupBy("aid", "gval", "vkey", "val")
-               .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
-                    F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("Q")).alias("fQ"),
-                    F.sum(g * A * A).alias("gAA"), F.sum(g * A * SD).alias("gAS"),
-                    once(SD).alias("dW"), once(f * F.col("TD")).alias("dfT"),
-                    once(g * SD * SD).alias("dgSS"), once(F.col("nD")).alias("dn")))
-    dom = Window.partitionBy("aid", "gval", "vkey")
-    res = (vals.withColumn("Wt", F.sum("dW").over(dom))
-               .withColumn("fT", F.sum("dfT").over(dom))
-               .withColumn("gSS", F.sum("dgSS").over(dom))
-               .withColumn("n_total", F.sum("dn").over(dom)))
+    ensure_checkpoint_dir(base.sparkSession)
+    agg = (_with_factors(agg, sizes)
+           .withColumn("vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val")))
+           .checkpoint(eager=True))  # result-sized x strata; read by both branches below
+    f, g = F.col("__f"), F.col("__g")
+    dom_h = (agg.groupBy("aid", "gval", "vkey", H)
+                .agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"), F.sum("cnt").alias("nD"),
+                     F.max("__f").alias("fD"), F.max("__g").alias("gD")))
+    SD = F.col("SD")
+    dom = (dom_h.groupBy("aid", "gval", "vkey")
+                .agg(F.sum(SD).alias("Wt"), F.sum(F.col("fD") * F.col("TD")).alias("fT"),
+                     F.sum(F.col("gD") * SD * SD).alias("gSS"), F.sum("nD").alias("n_total")))
+    A = F.col("A")
+    vals = (_nsjoin(agg, dom_h.select("aid", "gval", "vkey", H, "SD"), ["aid", "gval", "vkey", H])
+            .groupBy("aid", "gval", "vkey", "val")
+            .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
+                 F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("Q")).alias("fQ"),
+                 F.sum(g * A * A).alias("gAA"), F.sum(g * A * SD).alias("gAS")))
+    res = _nsjoin(vals, dom, ["aid", "gval", "vkey"])
     Wt = F.col("Wt")
     p = F.try_divide(F.col("sumA"), Wt)  # NULL for a domain of zero weight
     se = F.sqrt(_variance(p, F.col("fQ"), F.col("fB"), F.col("fT"), F.col("gAA"),
