@@ -16,13 +16,14 @@ pandas UDFs over those result rows.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.columns import q, require_columns
 from ..functions.stats import profile_ci_log_or, wald_p_value
+from ..session import ensure_checkpoint_dir
 
 
 @pandas_udf(DoubleType())
@@ -68,23 +69,23 @@ def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, s
                   .agg(F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).alias("k1"),
                        F.sum(F.when(F.col("y") == 0, 1).otherwise(0)).alias("k0"),
                        F.sum(F.when(~F.col("y").isin(0.0, 1.0), 1).otherwise(0)).alias("other")))
-    per_var = Window.partitionBy("group_var")
     ref_of = F.create_map(*[x for g, r in group_vars_refs.items() for x in (F.lit(g), F.lit(r))])
-    ref = F.element_at(ref_of, F.col("group_var"))
-    # one window over the (small) count table gives the variable checks and
-    # the reference level's counts; no self-join, so the counts run once
-    counts = (counts.withColumn("ref_group", ref)
-                    .withColumn("n_levels", F.count(F.lit(1)).over(per_var))
-                    .withColumn("n1", F.sum("k1").over(per_var))
-                    .withColumn("n0", F.sum("k0").over(per_var))
-                    .withColumn("n_other", F.sum("other").over(per_var))
-                    .withColumn("a1", F.max(F.when(F.col("level") == F.col("ref_group"),
-                                                   F.col("k1"))).over(per_var))
-                    .withColumn("a0", F.max(F.when(F.col("level") == F.col("ref_group"),
-                                                   F.col("k0"))).over(per_var))
-                    .where((F.col("n_levels") >= 2) & (F.col("n_other") == 0)
-                           & (F.col("n1") > 0) & (F.col("n0") > 0)))
-    rows = counts.where(F.col("level") != F.col("ref_group"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # one row per (variable, level): stored once, read by the per-variable
+    # checks and by the level rows (a variable may have very many levels, so
+    # no window holds a variable's levels in one task)
+    counts = counts.withColumn("ref_group", F.element_at(ref_of, F.col("group_var"))) \
+                   .checkpoint(eager=True)
+    at_ref = F.col("level") == F.col("ref_group")
+    per_var = (counts.groupBy(F.col("group_var").alias("__gv"))
+                     .agg(F.count(F.lit(1)).alias("n_levels"), F.sum("k1").alias("n1"),
+                          F.sum("k0").alias("n0"), F.sum("other").alias("n_other"),
+                          F.max(F.when(at_ref, F.col("k1"))).alias("a1"),
+                          F.max(F.when(at_ref, F.col("k0"))).alias("a0"))
+                     .where((F.col("n_levels") >= 2) & (F.col("n_other") == 0)
+                            & (F.col("n1") > 0) & (F.col("n0") > 0)))
+    rows = (counts.where(F.col("level") != F.col("ref_group"))
+                  .join(per_var, F.col("group_var") == F.col("__gv")))
     a1 = F.col("a1").cast("double")
     a0, k1, k0 = F.col("a0").cast("double"), F.col("k1").cast("double"), F.col("k0").cast("double")
     separated = (F.col("a1") == 0) | (F.col("a0") == 0) | (F.col("k1") == 0) | (F.col("k0") == 0)
