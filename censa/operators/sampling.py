@@ -42,14 +42,16 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
     Rows are ranked inside their stratum by ``md5(seed:key)`` (then key), so
     the draw is reproducible and does not depend on partitioning. Every
     stratum's sample is at most ceil(n0), a literal known on the driver, so
-    the rank filter first uses that bound: Spark then plans a
-    ``WindowGroupLimit`` that keeps only that many rows per stratum on each
-    map task before the shuffle, and a stratum holding a third of the data
-    ships only ``ceil(n0)`` rows per task. The bound is applied by the
-    optimizer when it is at most ``spark.sql.optimizer.windowGroupLimitThreshold``
+    rank filters use that bound and Spark plans ``WindowGroupLimit``: each
+    map task keeps only that many rows per group before the shuffle. The
+    top-k runs in two levels so that a stratum holding a third of the data
+    never lands whole in one task: first per (stratum, bucket of input
+    partitions), then per stratum, so a task receives about
+    sqrt(partitions) x ceil(n0) rows. The set drawn is the same at any
+    bucketing (the order is unique). The optimizer applies the limit when
+    the bound is at most ``spark.sql.optimizer.windowGroupLimitThreshold``
     (default 1000; 95 %/5 % gives 385); a larger bound raises that session
-    setting to the bound. Output: the data columns, ``n``, ``sample`` and
-    ``incl`` = true.
+    setting. Output: the data columns, ``n``, ``sample`` and ``incl`` = true.
     """
     require_columns(df, [strata, key], "data")
     n0 = base_sample_size(conf_level, margin_of_error, prop)
@@ -60,9 +62,13 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
         # keep the per-task top-k below the shuffle for larger samples too
         spark.conf.set(key_conf, str(bound))
     sizes = sample_sizes(df, strata, conf_level, margin_of_error, prop)
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string")))
-    w = Window.partitionBy(F.col(q(strata))).orderBy(order, F.col(q(key)))
-    ranked = df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= bound)
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string"))), F.col(q(key))]
+    buckets = max(1, math.isqrt(max(1, df.rdd.getNumPartitions())))
+    level1 = Window.partitionBy(F.col(q(strata)), F.col("__bucket")).orderBy(*order)
+    level2 = Window.partitionBy(F.col(q(strata))).orderBy(*order)
+    ranked = (df.withColumn("__bucket", F.spark_partition_id() % buckets)
+                .withColumn("__r1", F.row_number().over(level1)).where(F.col("__r1") <= bound)
+                .withColumn("__rank", F.row_number().over(level2)).where(F.col("__rank") <= bound))
     s = sizes.select(F.col(q(strata)).alias("__s"), "n", "sample")
     return (ranked.join(s, ranked[q(strata)].eqNullSafe(s["__s"]))
                   .where(F.col("__rank") <= F.col("sample"))
