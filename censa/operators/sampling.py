@@ -34,6 +34,15 @@ def sample_sizes(df: DataFrame, strata: str, conf_level: float = 0.95,
               .withColumn("sample", sample_size_expr(F.col("n"), n0)))
 
 
+def _input_partitions(df: DataFrame) -> int:
+    """Partitions of the planned input (no job runs); the shuffle setting
+    when the session offers no RDD view (Spark Connect)."""
+    try:
+        return max(1, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float = 0.95,
                       margin_of_error: float = 0.05, prop: float = 0.5,
                       seed: int = 42) -> DataFrame:
@@ -63,7 +72,7 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
         spark.conf.set(key_conf, str(bound))
     sizes = sample_sizes(df, strata, conf_level, margin_of_error, prop)
     order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string"))), F.col(q(key))]
-    buckets = max(1, math.isqrt(max(1, df.rdd.getNumPartitions())))
+    buckets = max(1, math.isqrt(_input_partitions(df)))
     level1 = Window.partitionBy(F.col(q(strata)), F.col("__bucket")).orderBy(*order)
     level2 = Window.partitionBy(F.col(q(strata))).orderBy(*order)
     ranked = (df.withColumn("__bucket", F.spark_partition_id() % buckets)
