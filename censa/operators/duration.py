@@ -23,8 +23,10 @@ class DurationResult(NamedTuple):
 
 
 def audit_minutes(audit: DataFrame, remove_geo: bool = True,
-                  exclude_pattern: str = "geo") -> DataFrame:
-    require_columns(audit, ["uuid", "node", "start", "end"], "audit")
+                  exclude_pattern: str = "geo", key: str = "uuid") -> DataFrame:
+    """Audit events kept after the node filter, with ``metadata_duration``
+    (minutes) per event."""
+    require_columns(audit, [key, "node", "start", "end"], "audit")
     a = audit
     if remove_geo:
         a = a.where(~F.col("node").contains(exclude_pattern))
@@ -38,9 +40,8 @@ def interview_duration(submissions: DataFrame, audit: DataFrame, remove_geo: boo
     ``interview_start`` (first event start, ms); existing columns of those
     names are replaced. Joined on ``key`` only."""
     require_columns(submissions, [key], "submissions")
-    events = audit_minutes(audit if key == "uuid" else audit.withColumnRenamed(key, "uuid"),
-                           remove_geo, exclude_pattern)
-    summary = (events.groupBy(F.col("uuid").alias(key))
+    events = audit_minutes(audit, remove_geo, exclude_pattern, key)
+    summary = (events.groupBy(F.col(q(key)).alias(key))
                      .agg(F.coalesce(F.sum("metadata_duration"), F.lit(0.0)).alias("interview_duration"),
                           F.min("start").alias("interview_start")))
     base = submissions.drop("interview_duration", "interview_start")

@@ -38,9 +38,9 @@ def start_duration_stream(spark: SparkSession, audit_dir: str, output: str,
     out = output.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_audit_rows(batch, max_columns).withColumnRenamed("file", "uuid")
-        per_file = (audit_minutes(rows, remove_geo, exclude_pattern)
-                    .groupBy(F.col("uuid").alias("file"))
+        rows = parse_audit_rows(batch, max_columns)
+        per_file = (audit_minutes(rows, remove_geo, exclude_pattern, key="file")
+                    .groupBy("file")
                     .agg(F.sum("metadata_duration").alias("minutes"),
                          F.min("start").alias("first_start"), F.count(F.lit(1)).alias("events")))
         per_file.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
