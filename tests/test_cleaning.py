@@ -109,3 +109,16 @@ def test_write_cleaning_log(spark):
         write_cleaning_log({"other": log}, out)
     with pytest.raises(ValueError):
         write_cleaning_log({"cleaning_log": log}, out, use_dropdown=True)
+
+
+def test_recode_query_row_invariant(spark):
+    """3 new rows per valid multi-choice recode, 2 per valid single-choice one."""
+    from pyspark.sql import functions as F
+    from censa.registry import MISSING_SEGMENT, q_recode_others
+    sf = "/root/testdata/sf0.001"
+    out = q_recode_others(spark, sf)
+    new_rows = out.where(F.col("issue").isNull()).count()
+    parts = spark.read.parquet(f"{sf}/part.parquet").where(F.col("p_type").isNotNull()).count()
+    cust = spark.read.parquet(f"{sf}/customer.parquet") \
+        .where(F.col("c_mktsegment") != MISSING_SEGMENT).count()
+    assert new_rows == 3 * parts + 2 * cust

@@ -33,3 +33,41 @@ def test_edges(spark):
     assert r.separated and r.estimate == 0.0 and r.conf_low is None and r.p_value is None
     with pytest.raises(Exception, match="reference level"):
         odds_ratios(_table(spark, {"a": (3, 4), "b": (2, 5)}), "y", {"g": "zz"}).collect()
+
+
+def _deviance_at(a1, a0, k1, k0, beta):
+    """2 * (max loglik - profile loglik at log-OR beta), by Newton on the intercept."""
+    import numpy as np
+
+    def ll(alpha, b):
+        p_ref = 1 / (1 + np.exp(-alpha))
+        p_lvl = 1 / (1 + np.exp(-(alpha + b)))
+        return a1 * np.log(p_ref) + a0 * np.log(1 - p_ref) + k1 * np.log(p_lvl) + k0 * np.log(1 - p_lvl)
+
+    alpha = np.log(a1 / a0)
+    for _ in range(100):
+        p_ref, p_lvl = 1 / (1 + np.exp(-alpha)), 1 / (1 + np.exp(-(alpha + beta)))
+        grad = (a1 - (a1 + a0) * p_ref) + (k1 - (k1 + k0) * p_lvl)
+        hess = -(a1 + a0) * p_ref * (1 - p_ref) - (k1 + k0) * p_lvl * (1 - p_lvl)
+        alpha -= grad / hess
+    lmax = ll(np.log(a1 / a0), np.log(k1 * a0 / (k0 * a1)))
+    return 2 * (lmax - ll(alpha, beta))
+
+
+def test_query_limits_satisfy_profile_condition(spark):
+    import math
+    from censa.registry import q_odds_ratio_counts, q_odds_ratios
+    sf = "/root/testdata/sf0.001"
+    counts = {r.term: r for r in q_odds_ratio_counts(spark, sf).collect()}
+    full = {r.term: r for r in q_odds_ratios(spark, sf).collect()}
+    assert counts.keys() == full.keys() and counts
+    chi2 = 3.841458820694124
+    for term, r in full.items():
+        c = counts[term]
+        if r.separated:
+            assert r.conf_low is None and r.p_value is None
+            continue
+        for lim in (r.conf_low, r.conf_high):
+            assert _deviance_at(c.a1, c.a0, c.k1, c.k0, math.log(lim)) == pytest.approx(chi2, abs=1e-3)
+        assert r.conf_low < r.estimate < r.conf_high
+        assert r.p_value == pytest.approx(math.erfc(abs(c.z) / math.sqrt(2)), abs=2e-6)
