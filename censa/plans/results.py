@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from ..design import SurveyDesign
 from ..functions.columns import safe_name
 from ..operators.estimates import plan_analyses, survey_results
-from ..operators.tables import VALUE_COLUMNS, add_analysis_key, label_results, results_wide
+from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, label_results, results_wide,
+                               review_labels)
 
 SUMMARY_SCHEMA = ("group string, safe_name string, success boolean, write_ok boolean, "
                   "path string, error string")
@@ -27,6 +28,7 @@ class MultiResults(NamedTuple):
     results: DataFrame        # long results (stored copy), labelled if asked
     summary: DataFrame        # one status row per disaggregation
     aggregated_path: str | None  # the combined long table (all groups)
+    label_review: DataFrame | None = None  # label problems, when labels are used
 
 
 def _unique_names(groups):
@@ -101,4 +103,5 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
                  f"analysis {a.analysis_type} of {a.analysis_var} dropped: {why}")
                 for a, why in dropped]
         summary = summary.unionByName(spark.createDataFrame(rows, SUMMARY_SCHEMA))
-    return MultiResults(spark.read.parquet(long_path), summary, long_path)
+    review = review_labels(questions, choices, label_column) if labelled else None
+    return MultiResults(spark.read.parquet(long_path), summary, long_path, review)

@@ -70,3 +70,19 @@ def test_numeric_value_columns(spark):
                                                               "x string, y string")
     r = numeric_value_columns(df).first()
     assert r.k1 == "a" and r.x == 1.5 and r.y is None
+
+
+def test_multi_results_with_labels(spark):
+    df, loa, _ = _res(spark)
+    qs = spark.createDataFrame([("select_one yn", "x", "Answer"), ("select_one gl", "g", "Group")],
+                               "type string, name string, label string")
+    ch = spark.createDataFrame([("yn", "yes", "Yes"), ("yn", "no", "Yes"), ("gl", "B", "Bee")],
+                               "list_name string, name string, label string")
+    out = scratch_path(spark, "test-multi-labels")
+    mr = multi_results(df, SurveyDesign("st", "w"), loa, out, questions=qs, choices=ch,
+                       label_column="label")
+    assert all(r.success for r in mr.summary.collect())
+    assert {r.issue for r in mr.label_review.collect()} == {"duplicated label"}
+    wide = spark.read.parquet(f"{out}/Desc_Table__g")
+    assert wide.columns[:3] == ["analysis_type", "label_analysis_var", "label_analysis_var_value"]
+    assert "Bee_stat" in wide.columns
