@@ -767,3 +767,13 @@ SELECT user_id AS uuid, event_type AS node, epoch_us(ts) // 1000 AS start,
        epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS "end",
        round(CAST(round(value * 1000) AS BIGINT) / 60000.0, 6) AS metadata_duration
 FROM events WHERE NOT contains(event_type, 'error')"""
+
+ORACLE["run_summary"] = """
+WITH cols AS (SELECT column_name FROM information_schema.columns WHERE table_name = 'lineitem')
+SELECT column_name AS "group", column_name AS safe_name, true AS success, true AS write_ok,
+       CAST(NULL AS VARCHAR) AS error
+FROM cols WHERE column_name IN ('l_returnflag', 'l_linestatus')
+UNION ALL
+SELECT CAST(NULL AS VARCHAR), 'Overall', false, false,
+       'analysis mean of no_such_column dropped: variable not in data'
+WHERE 'no_such_column' NOT IN (SELECT column_name FROM cols)"""
