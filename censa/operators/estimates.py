@@ -299,13 +299,13 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
                        F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("T")).alias("fT"),
                        F.sum(g * A * A).alias("gAA"), F.sum(g * A * S).alias("gAS"),
                        F.sum(g * S * S).alias("gSS")))
-    p = F.try_divide(F.col("sumA"), F.col("Ws"))
-    se = F.sqrt(_variance(p, F.col("fB"), F.col("fB"), F.col("fT"), F.col("gAA"),
-                          F.col("gAS"), F.col("gSS"), F.col("Ws")))
+    share = share.withColumn("p", F.try_divide(F.col("sumA"), F.col("Ws")))
     aid = F.col("aid")
-    crit = _pick(meta["crit"], "double", aid)
-    bounds = share.select("aid", "gval", (F.lit(0.5) - crit * se).alias("p_low"),
-                          (F.lit(0.5) + crit * se).alias("p_up"))
+    half = (share.select("aid", "gval", (_pick(meta["crit"], "double", aid) * F.sqrt(
+        _variance(F.col("p"), F.col("fB"), F.col("fB"), F.col("fT"), F.col("gAA"),
+                  F.col("gAS"), F.col("gSS"), F.col("Ws")))).alias("half")))
+    bounds = half.select("aid", "gval", (F.lit(0.5) - F.col("half")).alias("p_low"),
+                         (F.lit(0.5) + F.col("half")).alias("p_up"))
     limits = (_nsjoin(cumt, bounds, ["aid", "gval"])
               .groupBy("aid", "gval")
               .agg(F.min(F.when(F.col("C") >= F.col("p_low") * F.col("Wt"), F.col("y"))).alias("lo"),
