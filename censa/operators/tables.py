@@ -112,12 +112,14 @@ def review_labels(questions: DataFrame, choices: DataFrame,
 
 def results_wide(results: DataFrame, group_var: str | None,
                  value_columns=VALUE_COLUMNS, use_labels: bool = False,
-                 group_values: list[str] | None = None) -> DataFrame:
+                 group_values: list[str] | None = None, stored: bool = False) -> DataFrame:
     """Variable x group table for one disaggregation: three key columns,
     then for ``Overall`` and each group value the ``value_columns`` in the
     given order, named ``<group value>_<value column>``. A NULL group value
     is shown as ``NA``. ``group_values`` (else collected from the
-    result-sized table) fixes the pivot columns."""
+    result-sized table) fixes the pivot columns. ``stored`` says the input
+    is already a written table, so listing its group values is a cheap scan;
+    otherwise the rows are checkpointed first."""
     keys = LABEL_KEY_COLUMNS if use_labels else KEY_COLUMNS
     gcol, gvcol = ("label_group_var", "label_group_var_value") if use_labels else \
         ("group_var", "group_var_value")
@@ -131,8 +133,9 @@ def results_wide(results: DataFrame, group_var: str | None,
     if group_values is None:
         # the pivot columns come from the data: store the (result-sized) rows
         # once so listing them does not rerun the estimation plan
-        ensure_checkpoint_dir(results.sparkSession)
-        rows = rows.checkpoint(eager=True)
+        if not stored:
+            ensure_checkpoint_dir(results.sparkSession)
+            rows = rows.checkpoint(eager=True)
         found = [r["__pivot"] for r in rows.select("__pivot").distinct().collect()]
         group_values = sorted(v for v in found if v != OVERALL)
     pivots = [OVERALL] + [v for v in group_values if v != OVERALL]

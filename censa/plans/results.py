@@ -62,7 +62,7 @@ def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Tab
     for g, name in zip(targets, _unique_names(targets)):
         path = f"{out_dir}/{file_prefix}__{name}"
         try:
-            wide = results_wide(stored, g, value_columns, use_labels)
+            wide = results_wide(stored, g, value_columns, use_labels, stored=True)
             writer = wide.write.mode(mode).format(fmt)
             if fmt == "csv":
                 writer = writer.option("header", True)
