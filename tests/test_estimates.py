@@ -155,3 +155,17 @@ def test_zero_weight_domain_gives_null(spark):
     r = rows(survey_results(df, SurveyDesign(None, "w"), [Analysis("y", "mean", 0.95, "g")]))
     assert r[("mean", None, "a")].stat is None
     assert r[("mean", None, "b")].stat == pytest.approx(4.0)
+
+
+def test_null_stratum_and_numeric_codes(spark):
+    df = spark.createDataFrame(
+        [(None, 1.0, 1, 10), (None, 1.0, 2, 10), ("s", 2.0, 1, 20), ("s", 2.0, 1, 20)],
+        "h string, w double, code int, grp int")
+    res = rows(survey_results(df, SurveyDesign("h", "w"),
+                              [Analysis("code", "prop_select_one"),
+                               Analysis("code", "prop_select_one", 0.95, "grp")]))
+    assert res[("prop_select_one", "1", None)].stat == pytest.approx(5 / 6)
+    assert res[("prop_select_one", "1", "10")].stat == pytest.approx(0.5)
+    assert res[("prop_select_one", "1", "20")].stat == pytest.approx(1.0)
+    # NULL stratum is a stratum of two rows: same interval as the B9 fixture
+    assert res[("prop_select_one", "1", None)].stat_low == pytest.approx(0.11622, abs=1e-5)

@@ -86,3 +86,15 @@ def test_multi_results_with_labels(spark):
     wide = spark.read.parquet(f"{out}/Desc_Table__g")
     assert wide.columns[:3] == ["analysis_type", "label_analysis_var", "label_analysis_var_value"]
     assert "Bee_stat" in wide.columns
+
+
+def test_multi_choice_value_labels(spark):
+    from censa.sources.multichoice import expand_select_multiple
+    df = expand_select_multiple(spark.createDataFrame([("hoe rake", 1.0), ("rake", 1.0)],
+                                                      "tools string, w double"), "tools")
+    res = survey_results(df, SurveyDesign(None, "w"), [Analysis("tools", "prop_select_multiple")])
+    qs = spark.createDataFrame([("select_multiple tl", "tools", "Tools")], "type string, name string, label string")
+    ch = spark.createDataFrame([("tl", "hoe", "Hoe"), ("tl", "rake", "Rake")],
+                               "list_name string, name string, label string")
+    got = {r.analysis_var_value: r.label_analysis_var_value for r in label_results(res, qs, ch, "label").collect()}
+    assert got == {"hoe": "Hoe", "rake": "Rake"}
