@@ -15,13 +15,12 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from . import oracle
 from .design import SurveyDesign
-from .operators.estimates import Analysis, survey_results
 from .functions.columns import epoch_millis
 from .operators.cleaning import (CHANGE_TYPES, FIXED_LISTS, choice_lists, choice_lists_wide,
-                                 column_manifest,
-                                 other_options, recode_others, validate_cleaning_log,
-                                 variable_tracker)
+                                 column_manifest, other_options, recode_others,
+                                 validate_cleaning_log, variable_tracker)
 from .operators.duration import interview_duration
+from .operators.estimates import Analysis, survey_results
 from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
                                  weight_diagnostics)
@@ -29,8 +28,8 @@ from .operators.tables import label_results, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .plans.results import multi_results
 from .session import scratch_path
-from .sources.submissions import read_submissions, split_repeats
 from .sources.multichoice import expand_select_multiple, members_long
+from .sources.submissions import read_submissions, split_repeats
 
 DEC = oracle.R
 
