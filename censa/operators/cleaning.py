@@ -36,13 +36,25 @@ LIST_SEP = ";\n"
 
 # --- W13 variable tracker ----------------------------------------------------
 
-def column_manifest(df: DataFrame, dataset_col: str | None = None,
-                    dataset: str = "data") -> DataFrame:
-    """(dataset, variable) for every column holding at least one non-NULL
-    value in that dataset (exports drop empty answers, so an all-NULL column
-    is an absent column). One grouped count, partially aggregated."""
+def column_manifest(df: DataFrame, dataset_col: str | None = None, dataset: str = "data",
+                    present: str = "schema") -> DataFrame:
+    """(dataset, variable) for the columns of each dataset.
+
+    ``present='schema'`` lists every column (as comparing column names
+    does); with ``dataset_col`` every dataset value gets every column, by an
+    ``explode`` over the distinct datasets. ``present='values'`` lists only
+    columns holding at least one non-NULL value in that dataset (JSON
+    exports drop empty answers, so an all-NULL column is an absent column):
+    one grouped count, partially aggregated."""
+    if present not in ("schema", "values"):
+        raise ValueError("present must be 'schema' or 'values'")
     cols = [c for c in df.columns if c != dataset_col]
     key = F.col(q(dataset_col)).cast("string") if dataset_col else F.lit(dataset)
+    if present == "schema":
+        names = F.array(*[F.lit(c) for c in cols])
+        base = df.select(key.alias("dataset")).distinct() if dataset_col else \
+            df.sparkSession.range(1).select(F.lit(dataset).alias("dataset"))
+        return base.select("dataset", F.explode(names).alias("variable"))
     counts = df.groupBy(key.alias("dataset")).agg(
         *[F.count(F.col(q(c))).alias(f"__n{i}") for i, c in enumerate(cols)])
     stacked = F.inline(F.array(*[F.struct(F.lit(c).alias("variable"),

@@ -44,14 +44,15 @@ def _unique_names(groups):
 def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Table",
                   value_columns=VALUE_COLUMNS, overwrite: bool = True,
                   use_labels: bool = False, fmt: str = "parquet",
-                  na_text: str | None = None) -> tuple[DataFrame, str]:
+                  na_text: str | None = None,
+                  agg_filename: str | None = None) -> tuple[DataFrame, str]:
     """Write the long table partitioned by group_var and one wide table per
     disaggregation (``fmt`` parquet or csv; ``na_text`` is written for NULL
     in csv). Returns (run summary, path of the long table)."""
     spark = results.sparkSession
     mode = "overwrite" if overwrite else "errorifexists"
     out_dir = out_dir.rstrip("/")
-    long_path = f"{out_dir}/{file_prefix}_aggregated_results"
+    long_path = f"{out_dir}/{agg_filename or file_prefix + '_aggregated_results'}"
     results.write.mode(mode).partitionBy("group_var").parquet(long_path)
     stored = spark.read.parquet(long_path)
     # disaggregation variables: metadata-sized (one per grouping column)
@@ -80,7 +81,8 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
                   choices: DataFrame | None = None, label_column: str = "label::english",
                   use_labels: bool = True, value_columns=VALUE_COLUMNS,
                   overwrite: bool = True, sm_sep: str = "/", ci_method: str = "wald",
-                  fmt: str = "parquet", na_text: str | None = None) -> MultiResults:
+                  fmt: str = "parquet", na_text: str | None = None,
+                  agg_filename: str | None = None) -> MultiResults:
     """Estimates for every listed analysis and disaggregation, labelled,
     laid out per group and written. Analyses whose variable is missing are
     dropped and reported in the summary (``success = false``)."""
@@ -97,7 +99,8 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
     if labelled:
         res = label_results(res, questions, choices, label_column)
     summary, long_path = write_results(res, out_dir, file_prefix, value_columns, overwrite,
-                                       use_labels=labelled, fmt=fmt, na_text=na_text)
+                                       use_labels=labelled, fmt=fmt, na_text=na_text,
+                                       agg_filename=agg_filename)
     if dropped:
         rows = [(a.group_var, safe_name(a.group_var), False, False, None,
                  f"analysis {a.analysis_type} of {a.analysis_var} dropped: {why}")

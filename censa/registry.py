@@ -333,10 +333,20 @@ def q_interview_audit(spark, sf_dir):
     return rounded(res.audit)
 
 
+def _clean_orders(orders):
+    return orders.drop("o_orderstatus").withColumn("o_year", F.year("o_orderdate"))
+
+
+def q_variable_tracker_schema(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return variable_tracker(column_manifest(orders, "o_orderpriority"),
+                            column_manifest(_clean_orders(orders), "o_orderpriority"))
+
+
 def q_variable_tracker(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    raw = column_manifest(li, "l_returnflag")
-    clean = column_manifest(_clean_lineitem(li), "l_returnflag")
+    raw = column_manifest(li, "l_returnflag", present="values")
+    clean = column_manifest(_clean_lineitem(li), "l_returnflag", present="values")
     return variable_tracker(raw, clean)
 
 
@@ -367,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "choice_lists_wide": q_choice_lists_wide,
     "recode_others_pair": q_recode_others_pair,
     "interview_audit": q_interview_audit,
+    "variable_tracker_schema": q_variable_tracker_schema,
 }
 
 
@@ -776,3 +787,17 @@ UNION ALL
 SELECT CAST(NULL AS VARCHAR), 'Overall', false, false,
        'analysis mean of no_such_column dropped: variable not in data'
 WHERE 'no_such_column' NOT IN (SELECT column_name FROM cols)"""
+
+ORACLE["variable_tracker_schema"] = """
+WITH ds AS (SELECT DISTINCT o_orderpriority AS dataset FROM orders),
+rawc AS (SELECT column_name AS variable FROM information_schema.columns
+         WHERE table_name = 'orders' AND column_name <> 'o_orderpriority'),
+cleanc AS (SELECT variable FROM rawc WHERE variable <> 'o_orderstatus'
+           UNION ALL SELECT 'o_year'),
+raw AS (SELECT dataset, variable FROM ds, rawc),
+cln AS (SELECT dataset, variable FROM ds, cleanc)
+SELECT dataset, variable AS Variable, 'remove' AS Action, '' AS Rationale FROM raw
+WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM cln)
+UNION ALL
+SELECT dataset, variable, 'added', '' FROM cln
+WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM raw)"""

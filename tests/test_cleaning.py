@@ -122,3 +122,11 @@ def test_recode_query_row_invariant(spark):
     cust = spark.read.parquet(f"{sf}/customer.parquet") \
         .where(F.col("c_mktsegment") != MISSING_SEGMENT).count()
     assert new_rows == 3 * parts + 2 * cust
+
+
+def test_manifest_schema_vs_values(spark):
+    df = spark.createDataFrame([("x", 1, None), ("y", 2, None)], "ds string, a int, b int")
+    schema = {(r.dataset, r.variable) for r in column_manifest(df, "ds").collect()}
+    values = {(r.dataset, r.variable) for r in column_manifest(df, "ds", present="values").collect()}
+    assert schema == {("x", "a"), ("x", "b"), ("y", "a"), ("y", "b")}
+    assert values == {("x", "a"), ("y", "a")}
