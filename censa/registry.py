@@ -84,6 +84,17 @@ def q_survey_prop_select_multiple(spark, sf_dir):
     return rounded(survey_results(part, SurveyDesign(None, "p_size"), loa))
 
 
+def q_survey_all_types(spark, sf_dir):
+    """Every analysis type in one plan: multi-choice, single-choice, mean and
+    median, overall and by brand."""
+    part = expand_select_multiple(table(spark, sf_dir, "part"), "p_name")
+    loa = (_overall_and("p_name", "prop_select_multiple", ["p_brand"])
+           + _overall_and("p_type", "prop_select_one", ["p_brand"])
+           + _overall_and("p_retailprice", "mean", ["p_brand"])
+           + _overall_and("p_retailprice", "median", ["p_brand"]))
+    return rounded(survey_results(part, SurveyDesign(None, "p_size"), loa))
+
+
 def q_expand_select_multiple(spark, sf_dir):
     part = expand_select_multiple(table(spark, sf_dir, "part"), "p_name")
     return members_long(part, "p_name", "p_partkey")
@@ -356,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_mean": q_survey_mean,
     "survey_median": q_survey_median,
     "survey_prop_select_multiple": q_survey_prop_select_multiple,
+    "survey_all_types": q_survey_all_types,
     "expand_select_multiple": q_expand_select_multiple,
     "sample_sizes": q_sample_sizes,
     "stratified_sample": q_stratified_sample,
@@ -801,3 +813,9 @@ WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM cln)
 UNION ALL
 SELECT dataset, variable, 'added', '' FROM cln
 WHERE (dataset, variable) NOT IN (SELECT dataset, variable FROM raw)"""
+
+ORACLE["survey_all_types"] = _union(
+    oracle.survey_prop_sql("part", None, "p_size", "p_name", ["p_brand"], multi=True),
+    oracle.survey_prop_sql("part", None, "p_size", "p_type", ["p_brand"]),
+    oracle.survey_mean_sql("part", None, "p_size", "p_retailprice", ["p_brand"]),
+    oracle.survey_median_sql("part", None, "p_size", "p_retailprice", ["p_brand"]))
