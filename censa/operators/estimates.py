@@ -278,9 +278,9 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
     # weighted distinct values per domain, then their running weight
     dist = recs_df.groupBy("aid", "gval", "y").agg(F.sum(W).alias("ws"),
                                                    F.count(F.lit(1)).alias("cnt_v"))
-    cum = running_sum(dist, ["aid", "gval"], "y", "ws", "C", range_partitions)
-    tot = cum.groupBy("aid", "gval").agg(F.max("C").alias("Wt"), F.sum("cnt_v").alias("n_total"),
-                                         F.max("y").alias("ymax"))
+    cum, tot = running_sum(dist, ["aid", "gval"], "y", "ws", "C", range_partitions, count="cnt_v")
+    tot = tot.select("aid", "gval", F.col("__total").alias("Wt"),
+                     F.col("__count").alias("n_total"), F.col("__max_order").alias("ymax"))
     cumt = _nsjoin(cum, tot, ["aid", "gval"])
     med = (cumt.where(F.col("C") >= 0.5 * F.col("Wt"))
                .groupBy("aid", "gval").agg(F.min("y").alias("m")))

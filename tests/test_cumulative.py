@@ -12,7 +12,9 @@ def test_running_sum_across_ranges(spark):
     keys = np.where(np.arange(n) < 4000, "hot", np.where(np.arange(n) < 4900, "cold", None))
     df = spark.createDataFrame([(None if k is None else str(k), float(v), float(w))
                                 for k, v, w in zip(keys, vals, ws)], "g string, y double, w double")
-    out = running_sum(df, ["g"], "y", "w", "C", partitions=8).collect()
+    res = running_sum(df, ["g"], "y", "w", "C", partitions=8)
+    out = res.rows.collect()
+    totals = {r["g"]: (r["__total"], r["__count"], r["__max_order"]) for r in res.totals.collect()}
     got = {(r.g, r.y): r.C for r in out}
     assert len(got) == n
     for key in ("hot", "cold", None):
@@ -21,3 +23,4 @@ def test_running_sum_across_ranges(spark):
         cum = np.cumsum(ws[m][order])
         for y, c in zip(vals[m][order], cum):
             assert got[(key, y)] == c
+        assert totals[key] == (cum[-1], m.sum(), vals[m].max())
