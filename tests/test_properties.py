@@ -57,3 +57,55 @@ def test_proportions_match_definition(spark, rows):
     for r_ in rows:
         if r_[2] is not None:
             assert (r_[2], None) in got and (r_[2], r_[3]) in got
+
+
+median_rows = st.lists(
+    st.tuples(st.sampled_from(["h1", "h2"]),
+              st.integers(1, 4).map(float),                       # integer weights: exact sums
+              st.one_of(st.none(), st.integers(0, 12).map(float)),  # ties are common
+              st.sampled_from(["g1", "g2"])),
+    min_size=8, max_size=40)
+
+
+def brute_median(rows, group):
+    h = np.array([r[0] for r in rows])
+    w = np.array([r[1] for r in rows])
+    y = np.array([np.nan if r[2] is None else r[2] for r in rows])
+    g = np.array([r[3] for r in rows])
+    dom = ~np.isnan(y) & ((g == group) if group else True)
+    if not dom.any():
+        return None
+    vals = np.unique(y[dom])
+    cum = np.array([w[dom & (y <= v)].sum() for v in vals])
+    W = cum[-1]
+    q = lambda p: vals[np.argmax(cum >= p * W)] if (cum >= p * W).any() else vals.max()
+    m = q(0.5)
+    ind = np.where(dom & (y <= m), 1.0, 0.0)
+    p_hat = (w * ind)[dom].sum() / W
+    z = np.where(dom, w * (ind - p_hat) / W, 0.0)
+    var = 0.0
+    for s in np.unique(h):
+        k = h == s
+        n = k.sum()
+        if n > 1:
+            var += n / (n - 1) * ((z[k] ** 2).sum() - z[k].sum() ** 2 / n)
+    t = t_quantile(0.975, len(rows) - len(np.unique(h)))
+    se = math.sqrt(max(var, 0.0))
+    return m, q(0.5 - t * se), q(0.5 + t * se), int(dom.sum())
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=median_rows, parts=st.integers(1, 6))
+def test_medians_match_definition(spark, rows, parts):
+    df = spark.createDataFrame(rows, "h string, w double, y double, g string")
+    res = survey_results(df, SurveyDesign("h", "w", lonely="skip"),
+                         [Analysis("y", "median"), Analysis("y", "median", 0.95, "g")],
+                         range_partitions=parts)
+    got = {r.group_var_value: r for r in res.collect()}
+    for group in [None, "g1", "g2"]:
+        exp = brute_median(rows, group)
+        if exp is None:
+            assert group not in got
+            continue
+        r = got[group]
+        assert (r.stat, r.stat_low, r.stat_upp, r.n) == exp
