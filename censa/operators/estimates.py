@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..design import H, W, SurveyDesign, design_table, prepared
+from ..design import H, W, DesignInfo, SurveyDesign, design_table, prepared
 from ..functions.columns import q
 from ..functions.stats import two_sided_crit
 from ..session import ensure_checkpoint_dir
@@ -126,24 +126,30 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
 
     Columns: analysis_type, analysis_var, analysis_var_value, group_var,
     group_var_value, stat, stat_low, stat_upp, n, n_total, n_w, n_w_total,
-    level. One small design job runs first (sizes, NULL weights, centres).
+    level. The design (stratum sizes, NULL weights, centres of means) is
+    checked before the estimates are planned: from a small design pass when
+    means need centring, otherwise from design records in the main aggregate.
     ``ci_method='logit'`` gives proportions the interval
     ``expit(logit(p) -/+ t * SE / (p (1 - p)))`` (NULL at p = 0 or 1); means
     and medians keep theirs.
     """
     if ci_method not in ("wald", "logit"):
         raise ValueError("ci_method must be 'wald' or 'logit'")
+    design.check(df)
     analyses, _ = plan_analyses(df, loa, sm_sep)
     if not analyses:
         raise ValueError("no analysis in the list applies to the data")
     mean_vars = sorted({a.analysis_var for a in analyses if a.analysis_type == "mean"})
-    info, centres, sizes = design_table(df, design, center_cols=mean_vars)
-    if info.null_weights:
-        raise ValueError(f"{info.null_weights} row(s) have a NULL or non-numeric weight")
-    if info.lonely_strata and design.lonely == "fail":
-        raise ValueError(f"{info.lonely_strata} stratum/strata hold a single row; "
-                         "use SurveyDesign(lonely='skip') to let them add zero variance")
-    crit = [two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses]
+    has_moments = any(a.analysis_type != "median" for a in analyses)
+    # Means are centred before summing, so their centres need a design pass
+    # first. Without means, the design counts ride along in the main
+    # aggregate (one record per row), saving a scan of strata and weights.
+    merged = has_moments and not mean_vars
+    centres: dict[str, float] = {}
+    info = sizes = None
+    if not merged:
+        info, centres, sizes = design_table(df, design, center_cols=mean_vars)
+        _check_design(info, design)
 
     needed = []
     for a in analyses:
@@ -172,18 +178,29 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
             xv = x.try_cast("double")
             median_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), xv)))
 
-    parts = []
+    sums = None
+    if moment_recs:
+        if merged:
+            # design record: every row, counted in its stratum; y flags a NULL weight
+            moment_recs.append(_record(DESIGN_AID, F.lit(None), F.lit(None),
+                                       F.when(F.col(W).isNull(), 1.0).otherwise(0.0)))
+        sums = _stratum_sums(base, moment_recs)
+        if merged:
+            info, sizes = _design_from_sums(sums)
+            _check_design(info, design)
     if design.strata is None:
         # one stratum: the factors are constants, so no join with a one-row table
         n = info.n
         sizes = (float(n) / (n - 1) if n > 1 else 0.0, 1.0 / (n - 1) if n > 1 else 0.0)
+    crit = [two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses]
     meta = dict(
         types=[a.analysis_type for a in analyses], vars=[a.analysis_var for a in analyses],
         groups=[a.group_var for a in analyses], levels=[float(a.level) for a in analyses],
         crit=crit, centre=[centres.get(a.analysis_var, 0.0) if a.analysis_type == "mean" else 0.0
                            for a in analyses])
-    if moment_recs:
-        parts.append(_moment_estimates(base, sizes, moment_recs, meta, ci_method))
+    parts = []
+    if sums is not None:
+        parts.append(_moment_estimates(sums, sizes, meta, ci_method))
     if median_recs:
         parts.append(_median_estimates(base, sizes, median_recs, meta, range_partitions))
     out = parts[0]
@@ -192,6 +209,33 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     return out
 
 
+DESIGN_AID = -1
+
+
+def _check_design(info: DesignInfo, design: SurveyDesign) -> None:
+    if info.null_weights:
+        raise ValueError(f"{info.null_weights} row(s) have a NULL or non-numeric weight")
+    if info.lonely_strata and design.lonely == "fail":
+        raise ValueError(f"{info.lonely_strata} stratum/strata hold a single row; "
+                         "use SurveyDesign(lonely='skip') to let them add zero variance")
+
+
+def _design_from_sums(sums: DataFrame):
+    """Design summary and per-stratum factors from the design records of the
+    stored sums (one row per stratum)."""
+    n_h = F.col("cnt")
+    d = (sums.where(F.col("aid") == DESIGN_AID)
+             .select(H, n_h.alias("n_h"), F.col("sy").alias("nw"),
+                     F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0).alias("__f"),
+                     F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0).alias("__g")))
+    row = d.agg(F.count(F.lit(1)).alias("H"), F.sum("n_h").alias("n"),
+                F.sum(F.when(F.col("n_h") == 1, 1).otherwise(0)).alias("lonely"),
+                F.sum("nw").alias("nw")).first()
+    info = DesignInfo(int(row["n"] or 0), int(row["H"] or 0), int(row["lonely"] or 0),
+                      int(row["nw"] or 0))
+    return info, d.select(H, "n_h", "__f", "__g")
+
+
 def _with_factors(df: DataFrame, sizes) -> DataFrame:
     """Attach the stratum factors __f, __g: a join with the per-stratum
     table, or literals when the design has a single stratum."""
@@ -211,25 +255,30 @@ def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
     return F.try_divide(F.greatest(num, F.lit(0.0)), Wt * Wt)
 
 
-def _moment_estimates(base, sizes, recs, meta, ci_method: str = "wald") -> DataFrame:
-    """Sums per (analysis, group value, choice, stratum), stored once; domain
-    sums per stratum (a single-choice domain spans its values, other domains
-    are their own row) and per domain by grouped aggregates joined back, so
-    no step holds all values of a domain in one task (a free-text column
-    analysed as single-choice has as many values as rows)."""
+def _stratum_sums(base: DataFrame, recs: list[Column]) -> DataFrame:
+    """Sums per (analysis, group value, choice, stratum), partially
+    aggregated before the shuffle and stored once (result-sized x strata):
+    every later step reads this copy."""
     w, y = F.col(W), F.col("y")
-    agg = (_records(base, recs)
-           .groupBy("aid", "gval", "val", H)
-           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("sy"),
-                F.sum(w * y).alias("A"), F.sum(w * w * y).alias("B"),
-                F.sum(w * w * y * y).alias("Q"), F.sum(w).alias("S"),
-                F.sum(w * w).alias("T")))
+    ensure_checkpoint_dir(base.sparkSession)
+    return (_records(base, recs)
+            .groupBy("aid", "gval", "val", H)
+            .agg(F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("sy"),
+                 F.sum(w * y).alias("A"), F.sum(w * w * y).alias("B"),
+                 F.sum(w * w * y * y).alias("Q"), F.sum(w).alias("S"),
+                 F.sum(w * w).alias("T"))
+            .checkpoint(eager=True))
+
+
+def _moment_estimates(sums, sizes, meta, ci_method: str = "wald") -> DataFrame:
+    """Domain sums per stratum (a single-choice domain spans its values,
+    other domains are their own row) and per domain by grouped aggregates
+    joined back, so no step holds all values of a domain in one task (a
+    free-text column analysed as single-choice has as many values as rows)."""
     aid = F.col("aid")
     is_one = _pick([t == "prop_select_one" for t in meta["types"]], "boolean", aid)
-    ensure_checkpoint_dir(base.sparkSession)
-    agg = (_with_factors(agg, sizes)
-           .withColumn("vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val")))
-           .checkpoint(eager=True))  # result-sized x strata; read by both branches below
+    agg = (_with_factors(sums.where(aid >= 0), sizes)
+           .withColumn("vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val"))))
     f, g = F.col("__f"), F.col("__g")
     dom_h = (agg.groupBy("aid", "gval", "vkey", H)
                 .agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"), F.sum("cnt").alias("nD"),

@@ -169,3 +169,19 @@ def test_null_stratum_and_numeric_codes(spark):
     assert res[("prop_select_one", "1", "20")].stat == pytest.approx(1.0)
     # NULL stratum is a stratum of two rows: same interval as the B9 fixture
     assert res[("prop_select_one", "1", None)].stat_low == pytest.approx(0.11622, abs=1e-5)
+
+
+def test_design_checks_without_means(spark):
+    # proportions only: the design counts come from the main aggregate
+    df = spark.createDataFrame([("s1", 1.0, "a"), ("s2", 1.0, "b"), ("s2", 1.0, "a")],
+                               "h string, w double, x string")
+    with pytest.raises(ValueError, match="single row"):
+        survey_results(df, SurveyDesign("h", "w"), [Analysis("x", "prop_select_one")])
+    ok = rows(survey_results(df, SurveyDesign("h", "w", lonely="skip"),
+                             [Analysis("x", "prop_select_one")]))
+    assert ok[("prop_select_one", "a", None)].stat == pytest.approx(2 / 3)
+    bad = spark.createDataFrame([("s1", None, "a"), ("s1", 1.0, "b")], "h string, w double, x string")
+    with pytest.raises(ValueError, match="weight"):
+        survey_results(bad, SurveyDesign("h", "w"), [Analysis("x", "prop_select_one")])
+    with pytest.raises(ValueError, match="missing"):
+        survey_results(df, SurveyDesign("nope", "w"), [Analysis("x", "prop_select_one")])
