@@ -109,3 +109,45 @@ def test_medians_match_definition(spark, rows, parts):
             continue
         r = got[group]
         assert (r.stat, r.stat_low, r.stat_upp, r.n) == exp
+
+
+multi_rows = st.lists(
+    st.tuples(st.sampled_from(["h1", "h2", "h3"]),
+              st.floats(0.2, 3.0, allow_nan=False),
+              st.one_of(st.none(), st.sets(st.sampled_from(["a", "b", "c"]), max_size=3)
+                        .map(lambda s: " ".join(sorted(s)))),
+              st.sampled_from(["g1", "g2"])),
+    min_size=8, max_size=30)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=multi_rows)
+def test_multi_choice_match_definition(spark, rows):
+    from censa.sources.multichoice import expand_select_multiple
+    df = spark.createDataFrame(rows, "h string, w double, q string, g string")
+    df = expand_select_multiple(df, "q", choices=["a", "b", "c"])
+    res = survey_results(df, SurveyDesign("h", "w", lonely="skip"),
+                         [Analysis("q", "prop_select_multiple"),
+                          Analysis("q", "prop_select_multiple", 0.95, "g")])
+    got = {(r.analysis_var_value, r.group_var_value): r for r in res.collect()}
+    h = np.array([r[0] for r in rows])
+    w = np.array([r[1] for r in rows])
+    g = np.array([r[3] for r in rows])
+    answered = np.array([r[2] is not None for r in rows])
+    t = t_quantile(0.975, len(rows) - len(np.unique(h)))
+    for choice in "abc":
+        y = np.array([1.0 if r[2] is not None and choice in r[2].split() else 0.0 for r in rows])
+        for group in [None, "g1", "g2"]:
+            dom = answered & ((g == group) if group else True)
+            if not dom.any():
+                assert (choice, group) not in got
+                continue
+            W = w[dom].sum()
+            est = (w[dom] * y[dom]).sum() / W
+            z = np.where(dom, w * (y - est) / W, 0.0)
+            var = sum(n / (n - 1) * ((z[k] ** 2).sum() - z[k].sum() ** 2 / n)
+                      for s_ in np.unique(h) for k in [h == s_] for n in [k.sum()] if n > 1)
+            r = got[(choice, group)]
+            assert r.stat == pytest.approx(est, abs=1e-9)
+            assert r.stat_upp == pytest.approx(est + t * math.sqrt(max(var, 0.0)), abs=1e-9)
+            assert r.n == int(y[dom].sum()) and r.n_total == int(dom.sum())
