@@ -185,3 +185,23 @@ def test_design_checks_without_means(spark):
         survey_results(bad, SurveyDesign("h", "w"), [Analysis("x", "prop_select_one")])
     with pytest.raises(ValueError, match="missing"):
         survey_results(df, SurveyDesign("nope", "w"), [Analysis("x", "prop_select_one")])
+
+
+def test_merged_design_with_medians(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    design = SurveyDesign("l_suppkey", "l_quantity", lonely="skip")
+    med = [Analysis("l_discount", "median"), Analysis("l_discount", "median", 0.95, "l_returnflag")]
+    prop = [Analysis("l_linestatus", "prop_select_one", 0.95, "l_returnflag")]
+    both = rows(survey_results(li, design, prop + med))        # design from the main aggregate
+    alone_med = rows(survey_results(li, design, med))           # design pass
+    alone_prop = rows(survey_results(li, design, prop + [Analysis("l_tax", "mean")]))
+    def same(a, b):
+        assert a.n == b.n and a.n_total == b.n_total
+        for c in ("stat", "stat_low", "stat_upp", "n_w", "n_w_total"):
+            assert getattr(a, c) == pytest.approx(getattr(b, c), rel=1e-12)
+
+    for k, r in alone_med.items():
+        same(both[k], r)
+    for k, r in both.items():
+        if k[0] == "prop_select_one":
+            same(r, alone_prop[k])
