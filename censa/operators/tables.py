@@ -112,14 +112,16 @@ def review_labels(questions: DataFrame, choices: DataFrame,
 
 def results_wide(results: DataFrame, group_var: str | None,
                  value_columns=VALUE_COLUMNS, use_labels: bool = False,
-                 group_values: list[str] | None = None, stored: bool = False) -> DataFrame:
+                 group_values: list[str] | None = None, stored: bool = False,
+                 max_groups: int = 1000) -> DataFrame:
     """Variable x group table for one disaggregation: three key columns,
     then for ``Overall`` and each group value the ``value_columns`` in the
     given order, named ``<group value>_<value column>``. A NULL group value
     is shown as ``NA``. ``group_values`` (else collected from the
     result-sized table) fixes the pivot columns. ``stored`` says the input
     is already a written table, so listing its group values is a cheap scan;
-    otherwise the rows are checkpointed first."""
+    otherwise the rows are checkpointed first. At most ``max_groups`` group
+    values are collected to the driver (more raise an error)."""
     keys = LABEL_KEY_COLUMNS if use_labels else KEY_COLUMNS
     gcol, gvcol = ("label_group_var", "label_group_var_value") if use_labels else \
         ("group_var", "group_var_value")
@@ -136,7 +138,12 @@ def results_wide(results: DataFrame, group_var: str | None,
         if not stored:
             ensure_checkpoint_dir(results.sparkSession)
             rows = rows.checkpoint(eager=True)
-        found = [r["__pivot"] for r in rows.select("__pivot").distinct().collect()]
+        found = [r["__pivot"] for r in
+                 rows.select("__pivot").distinct().limit(max_groups + 2).collect()]
+        if len(found) > max_groups + 1:  # + Overall
+            raise ValueError(f"{group_var} has more than {max_groups} values; a wide table "
+                             "with a column block per value is not useful; raise max_groups "
+                             "or use the long results")
         group_values = sorted(v for v in found if v != OVERALL)
     pivots = [OVERALL] + [v for v in group_values if v != OVERALL]
     return (rows.groupBy(*keys).pivot("__pivot", pivots)

@@ -98,3 +98,10 @@ def test_multi_choice_value_labels(spark):
                                "list_name string, name string, label string")
     got = {r.analysis_var_value: r.label_analysis_var_value for r in label_results(res, qs, ch, "label").collect()}
     assert got == {"hoe": "Hoe", "rake": "Rake"}
+
+
+def test_wide_group_limit(spark):
+    import pytest
+    _, _, res = _res(spark)
+    with pytest.raises(ValueError, match="more than 1 values"):
+        results_wide(res, "g", max_groups=1)
