@@ -21,10 +21,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions import stats as _stats
 from ..functions.columns import q, require_columns
 from ..functions.stats import profile_ci_log_or, wald_p_value
 from ..session import ensure_checkpoint_dir
 
+# The pandas UDFs below run in Python workers that may not have this package
+# installed: ship their code (and the statistics helpers) with the task.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+    _cloudpickle.register_pickle_by_value(_stats)
+except Exception:  # noqa: BLE001 - older cloudpickle: workers import the package instead
+    pass
+
 
 @pandas_udf(DoubleType())
 def _p_value(z: pd.Series) -> pd.Series:

@@ -71,3 +71,25 @@ def test_query_limits_satisfy_profile_condition(spark):
             assert _deviance_at(c.a1, c.a0, c.k1, c.k0, math.log(lim)) == pytest.approx(chi2, abs=1e-3)
         assert r.conf_low < r.estimate < r.conf_high
         assert r.p_value == pytest.approx(math.erfc(abs(c.z) / math.sqrt(2)), abs=2e-6)
+
+
+def test_udfs_run_without_package_on_worker_path(tmp_path):
+    """Python workers started outside the repository still run the UDFs
+    (their code is shipped with the task)."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path / "ckpt")!r}).getOrCreate())
+from censa.registry import q_odds_ratios
+print("ROWS", len(q_odds_ratios(spark, "/root/testdata/sf0.001").collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
