@@ -94,7 +94,9 @@ def review_labels(questions: DataFrame, choices: DataFrame,
                           F.col("name").cast("string").alias("name"), lab.alias("label"))
     cs = choices.select(F.lit("choices").alias("sheet"), F.col("list_name").cast("string"),
                         F.col("name").cast("string").alias("name"), lab.alias("label"))
-    both = qs.unionByName(cs)
+    # form-sized and read three times below: stored once
+    ensure_checkpoint_dir(questions.sparkSession)
+    both = qs.unionByName(cs).checkpoint(eager=True)
     missing = (both.where(F.col("label").isNull() | (F.trim(F.col("label")) == ""))
                    .withColumn("issue", F.lit("missing label")))
     dup_keys = (both.where(F.col("label").isNotNull() & (F.trim(F.col("label")) != ""))
