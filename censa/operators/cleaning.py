@@ -153,6 +153,9 @@ def choice_lists(choices: DataFrame, form: DataFrame, others: bool = False) -> D
     ``others``, every 'other' question with its parent's choices."""
     spark = choices.sparkSession
     form = form.where(~F.coalesce(F.col("type").rlike(GROUP_MARKER), F.lit(False)))
+    if others:  # the sheet is read by both list builders: store it once
+        ensure_checkpoint_dir(spark)
+        choices = choices.checkpoint(eager=True)
     fixed = spark.createDataFrame(
         [(name, i + 1, v) for name, vals in FIXED_LISTS.items() for i, v in enumerate(vals)],
         "name string, pos int, value string")
