@@ -37,20 +37,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared scratch folder named by ``spark.checkpoint.dir``.
+    """Return the shared scratch folder of the session.
 
-    A machine-local folder is created only when the setting is unset, which
-    happens in local test sessions; cluster sessions always name a shared one.
+    A folder that is already set (``setCheckpointDir``, or the cluster's
+    ``spark.checkpoint.dir``) is kept. Where none is set, a local session
+    (tests, bench) gets a temporary one; any other master raises, since its
+    executors could not see a folder of the driver's machine.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver "
+                             f"and all executors share (master {sc.master})")
         path = tempfile.mkdtemp(prefix="censa-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the conf is enough
-        pass
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
