@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, secrets
+from . import bpe, langid, packing, quality, secrets
 from .common import read_documents
 
 
@@ -13,6 +13,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, sf_dir))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     found = secrets.scan(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -29,6 +34,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_documents(spark, sf_dir).select("doc_id", "text", "lang"))
 
 
+def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bpe.encode(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op6_secret_scan": op6_secret_scan,
-           "op8_language_id": op8_language_id}
+           "op8_language_id": op8_language_id, "op4_packing": op4_packing, "op10_bpe_chunks": op10_bpe_chunks}
 ORACLE: dict[str, str] = {}
