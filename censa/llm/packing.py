@@ -32,6 +32,7 @@ CAPACITY = 1024
 GRAIN = 4
 SALTS = 64
 END_ID = 0
+TOLERANCE = 0.005
 
 
 class UnitEncoder:
@@ -132,14 +133,15 @@ def best_pattern(price: np.ndarray, size: np.ndarray, capacity: int) -> tuple[fl
     class) of the highest total price that fits."""
     value = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
-    for w in range(1, capacity + 1):
-        value[w] = value[w - 1]
-        fits = np.flatnonzero(size <= w)
-        if len(fits):
-            got = value[w - size[fits]] + price[fits]
-            k = int(got.argmax())
-            if got[k] > value[w] + 1e-12:
-                value[w], choice[w] = got[k], fits[k]
+    for w, k in enumerate(np.searchsorted(size, np.arange(capacity + 1), "right").tolist()):
+        if k:  # the k classes that fit
+            got = value[w - size[:k]] + price[:k]
+            best = got.argmax()
+            if got[best] > value[w - 1] + 1e-12:
+                value[w], choice[w] = got[best], best
+                continue
+        if w:
+            value[w] = value[w - 1]
     pattern = np.zeros(len(size), np.int64)
     w = capacity
     while w > 0:
@@ -151,19 +153,26 @@ def best_pattern(price: np.ndarray, size: np.ndarray, capacity: int) -> tuple[fl
     return float(value[capacity]), pattern
 
 
-def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 5000) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (columns) and their fractional numbers that meet ``demand``
-    with the least sequences: revised simplex on the patterns so far, one new
-    pattern a round."""
-    n = len(size)
+def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (columns) and their fractional numbers that meet ``demand``:
+    revised simplex on the patterns so far, one new pattern a round. The best
+    new pattern's worth bounds the optimum from below (at least the present
+    number of sequences divided by it), so it ends within TOLERANCE of it."""
     single = capacity // size
     patterns = np.diag(single).astype(float)
-    inverse = np.diag(1.0 / single)
-    amount = demand / single
+    place = {int(c): i for i, c in enumerate(size)}
+    for i, c in enumerate(size.tolist()):  # a start: classes that fill a sequence together are paired
+        j = place.get(capacity - c)
+        if j is not None and i < j:
+            rare, other = (i, j) if demand[i] <= demand[j] else (j, i)
+            patterns[:, rare] = 0
+            patterns[[i, j], rare] = 1
+    inverse = np.linalg.inv(patterns)
+    amount = np.maximum(inverse @ demand, 0)
     for k in range(rounds):
         price = inverse.sum(axis=0)
         worth, pattern = best_pattern(price, size, capacity)
-        if worth <= 1 + 1e-6:
+        if worth <= 1 + TOLERANCE:
             break
         change = inverse @ pattern
         able = np.flatnonzero(change > 1e-9)
