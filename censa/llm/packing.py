@@ -153,28 +153,31 @@ def best_pattern(price: np.ndarray, size: np.ndarray, capacity: int) -> tuple[fl
     return float(value[capacity]), pattern
 
 
-def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and their fractional numbers that meet ``demand``:
     revised simplex on the patterns so far, one new pattern a round. The best
     new pattern's worth bounds the optimum from below (at least the present
-    number of sequences divided by it), so it ends within TOLERANCE of it."""
+    number of sequences divided by it), so it ends within TOLERANCE of it, or
+    after ``rounds``."""
     single = capacity // size
-    patterns = np.diag(single).astype(float)
+    patterns, inverse = np.diag(single).astype(float), np.diag(1.0 / single)
     place = {int(c): i for i, c in enumerate(size)}
     for i, c in enumerate(size.tolist()):  # a start: classes that fill a sequence together are paired
         j = place.get(capacity - c)
         if j is not None and i < j:
             rare, other = (i, j) if demand[i] <= demand[j] else (j, i)
-            patterns[:, rare] = 0
             patterns[[i, j], rare] = 1
-    inverse = np.linalg.inv(patterns)
-    amount = np.maximum(inverse @ demand, 0)
+            inverse[rare, rare] = 1
+            inverse[other, rare] = -inverse[other, other]
+            patterns[rare, rare] = 1
+    amount = np.maximum((inverse * demand).sum(axis=1), 0)
     for k in range(rounds):
         price = inverse.sum(axis=0)
         worth, pattern = best_pattern(price, size, capacity)
         if worth <= 1 + TOLERANCE:
             break
-        change = inverse @ pattern
+        used = np.flatnonzero(pattern)
+        change = (inverse[:, used] * pattern[used]).sum(axis=1)
         able = np.flatnonzero(change > 1e-9)
         out = able[np.argmin(amount[able] / change[able])]
         step = amount[out] / change[out]
@@ -183,11 +186,10 @@ def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int, rounds
         np.maximum(amount, 0, out=amount)
         patterns[:, out] = pattern
         row = inverse[out] / change[out]
-        inverse = inverse - np.outer(change, row)
+        inverse -= change[:, None] * row
         inverse[out] = row
-        if k % 200 == 199:  # fresh figures against rounding drift
-            inverse = np.linalg.inv(patterns)
-            amount = np.maximum(inverse @ demand, 0)
+        if k % 50 == 49:  # fresh figures against rounding drift
+            amount = np.maximum((inverse * demand).sum(axis=1), 0)
     return np.rint(patterns).astype(np.int64), amount
 
 
@@ -196,12 +198,14 @@ def plan(size: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[dict
     patterns for what is left, largest class first."""
     if not len(size):
         return []
-    patterns, amount = generate_columns(size, demand.astype(float), capacity)
+    # uneven crumbs on the demand keep the simplex from circling among ties; rounding takes them off
+    crumbs = 0.01 * (np.arange(len(size)) * 0.618034 % 1)
+    patterns, amount = generate_columns(size, demand + crumbs, capacity)
     left = demand.astype(np.int64).copy()
     out: dict[tuple, int] = {}
     for j in np.argsort(-amount, kind="stable"):
         used = np.flatnonzero(patterns[:, j])
-        times = min(int(amount[j] + 1e-6), *(int(left[i] // patterns[i, j]) for i in used))
+        times = min(int(amount[j] + 0.02), *(int(left[i] // patterns[i, j]) for i in used))
         if times > 0:
             key = tuple((int(size[i]), int(patterns[i, j])) for i in used)
             out[key] = out.get(key, 0) + times
