@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality, secrets
+from . import bpe, langid, packing, quality, secrets, simhash
 from .common import read_documents
 
 
@@ -13,6 +13,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, sf_dir))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_documents(spark, sf_dir))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
@@ -40,5 +45,6 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op6_secret_scan": op6_secret_scan,
-           "op8_language_id": op8_language_id, "op4_packing": op4_packing, "op10_bpe_chunks": op10_bpe_chunks}
+           "op8_language_id": op8_language_id, "op4_packing": op4_packing,
+           "op3_simhash_near_dedup": op3_simhash_near_dedup, "op10_bpe_chunks": op10_bpe_chunks}
 ORACLE: dict[str, str] = {}
