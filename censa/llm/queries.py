@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality, secrets, simhash
+from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs
 from .common import read_documents
 
 
@@ -13,6 +13,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, sf_dir))
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(read_documents(spark, sf_dir))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -23,6 +27,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_documents(spark, sf_dir)).drop("found")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     found = secrets.scan(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -44,7 +52,37 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op6_secret_scan": op6_secret_scan,
-           "op8_language_id": op8_language_id, "op4_packing": op4_packing,
-           "op3_simhash_near_dedup": op3_simhash_near_dedup, "op10_bpe_chunks": op10_bpe_chunks}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_spotsigs, op3_simhash_near_dedup, op4_packing, op5_license_scan, op6_secret_scan,
+    op8_language_id, op10_bpe_chunks)}
+
+_ANCHORS = ", ".join(f"'{a}'" for a in dict.fromkeys(spotsigs.ANCHORS))
+
+ORACLE: dict[str, str] = {"op2_spotsigs": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+nx AS (SELECT doc_id, text,
+              coalesce(lead(text) OVER (ORDER BY doc_id NULLS FIRST, text),
+                       first_value(text) OVER (ORDER BY doc_id NULLS FIRST, text)) AS next_text FROM d),
+e AS (SELECT doc_id, text, next_text, length(text) AS n,
+             left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM nx),
+t AS (SELECT text, row_number() OVER () AS tid FROM (SELECT text FROM e UNION SELECT edited FROM e)),
+w AS (SELECT tid, text, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS ws FROM t),
+u AS (SELECT tid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT tid, i, w, w IN ({_ANCHORS}) AS a,
+             sum(CASE WHEN w IN ({_ANCHORS}) THEN 0 ELSE 1 END) OVER (PARTITION BY tid ORDER BY i) AS k FROM u),
+s AS (SELECT tid, list_sort(list(DISTINCT sig)) AS sigs FROM (
+        SELECT x.tid, substr(md5(concat_ws(' ', x.w, c1.w, c2.w)), 1, 8) AS sig
+        FROM k x JOIN k c1 ON c1.tid = x.tid AND c1.k = x.k + 1 AND NOT c1.a
+        JOIN k c2 ON c2.tid = x.tid AND c2.k = x.k + 2 AND NOT c2.a WHERE x.a) GROUP BY tid),
+f AS (SELECT w.text, CASE WHEN s.sigs IS NOT NULL THEN s.sigs
+        WHEN len(ws) >= 3 THEN list_sort(list_distinct(list_transform(range(1, len(ws) - 1),
+             lambda j: substr(md5(concat_ws(' ', ws[j], ws[j + 1], ws[j + 2])), 1, 8))))
+        ELSE [substr(md5(lower(w.text)), 1, 8)] END AS sigs
+      FROM w LEFT JOIN s ON s.tid = w.tid)
+SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256,
+       array_to_string(fa.sigs, '') AS fingerprint, array_to_string(fe.sigs, '') AS edited_fingerprint,
+       len(list_intersect(fa.sigs, fe.sigs)) / (len(fa.sigs) + len(fe.sigs) - len(list_intersect(fa.sigs, fe.sigs)))::DOUBLE AS near_edited,
+       len(list_intersect(fa.sigs, fn.sigs)) / (len(fa.sigs) + len(fn.sigs) - len(list_intersect(fa.sigs, fn.sigs)))::DOUBLE AS near_next,
+       len(fa.sigs) AS n_signatures
+FROM e JOIN f fa ON fa.text = e.text JOIN f fe ON fe.text = e.edited JOIN f fn ON fn.text = e.next_text
+"""}
