@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs
+from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs, substring_dedup
 from .common import read_documents
 
 
@@ -43,6 +43,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op7_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_documents(spark, sf_dir)).drop("kept_text")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_documents(spark, sf_dir).select("doc_id", "text", "lang"))
 
@@ -54,7 +58,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_spotsigs, op3_simhash_near_dedup, op4_packing, op5_license_scan, op6_secret_scan,
-    op8_language_id, op10_bpe_chunks)}
+    op7_doubling_dedup, op8_language_id, op10_bpe_chunks)}
 
 _ANCHORS = ", ".join(f"'{a}'" for a in dict.fromkeys(spotsigs.ANCHORS))
 
