@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs, substring_dedup
+from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs, substring_dedup, suffix_dedup
 from .common import read_documents
 
 
@@ -51,6 +51,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_documents(spark, sf_dir).select("doc_id", "text", "lang"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_earlier(read_documents(spark, sf_dir)).drop("kept_text")
+
+
 def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.encode(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -58,7 +62,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_spotsigs, op3_simhash_near_dedup, op4_packing, op5_license_scan, op6_secret_scan,
-    op7_doubling_dedup, op8_language_id, op10_bpe_chunks)}
+    op7_doubling_dedup, op8_language_id, op9_suffix_array_dedup, op10_bpe_chunks)}
 
 _ANCHORS = ", ".join(f"'{a}'" for a in dict.fromkeys(spotsigs.ANCHORS))
 
