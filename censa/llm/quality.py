@@ -135,15 +135,19 @@ def measure(batch: pa.RecordBatch, min_repeat: int) -> dict[str, np.ndarray]:
 
 
 def quality_rules(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: float = MAX_COVERED,
-                  max_longest: int = MAX_LONGEST, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, the counts, ``base_failed`` and ``kept`` of every row; columns
-    named in ``keep`` are handed through before them."""
+                  max_longest: int = MAX_LONGEST, keep: list[str] | None = None,
+                  verdict: str | None = None) -> DataFrame:
+    """doc_id, the counts, ``base_failed`` and ``kept`` of every row. With
+    ``keep`` and ``verdict``: the columns named in ``keep``, whatever they are
+    called, and the verdict under that name alone."""
     passed = keep or ["doc_id"]
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_span_words",
+    counts = [] if verdict else ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_span_words",
               "longest_repeat", "n_maximal"]
     frame = docs.select(*dict.fromkeys([*passed, "text"]))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name in passed]
-                       + [f"{c} long" for c in counts] + ["base_failed boolean", "kept boolean"])
+                       + [f"{c} long" for c in counts]
+                       + ([f"`{verdict}` boolean"] if verdict else ["base_failed boolean", "kept boolean"]))
+    last = [verdict] if verdict else ["base_failed", "kept"]
     passed = [c for c in frame.columns if c in passed]
 
     def run(batches):
@@ -154,7 +158,8 @@ def quality_rules(docs: DataFrame, min_repeat: int = MIN_REPEAT, max_covered: fl
                 kept = ~failed & (m["n_span_words"] <= max_covered * m["n_words"]) & (m["longest_repeat"] <= max_longest)
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in passed),
-                     *(pa.array(m[c].astype(np.int64)) for c in counts), pa.array(failed), pa.array(kept)],
-                    [*passed, *counts, "base_failed", "kept"])
+                     *(pa.array(m[c].astype(np.int64)) for c in counts),
+                     *([pa.array(kept)] if len(last) == 1 else [pa.array(failed), pa.array(kept)])],
+                    [*passed, *counts, *last])
 
     return frame.mapInArrow(run, schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs, substring_dedup, suffix_dedup
 from .common import read_documents
 
@@ -62,7 +64,7 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_spotsigs, op3_simhash_near_dedup, op4_packing, op5_license_scan, op6_secret_scan,
-    op7_doubling_dedup, op8_language_id, op9_suffix_array_dedup, op10_bpe_chunks)}
+    op7_doubling_dedup, op8_language_id, op9_suffix_array_dedup, op10_bpe_chunks)} | {"pipeline": corpus_pipeline.run}
 
 _ANCHORS = ", ".join(f"'{a}'" for a in dict.fromkeys(spotsigs.ANCHORS))
 

@@ -117,12 +117,13 @@ def find_spans(data: np.ndarray, off: np.ndarray, n_tokens, max_ratio: float) ->
     return found
 
 
-def scan(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, with_text: bool = False) -> DataFrame:
+def scan(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, keep: list[str] | None = None) -> DataFrame:
     """doc_id, spans (array of kind, start, end in code points) of every row;
     ``vocabulary`` is a .tiktoken file that every executor can read. With
-    ``with_text`` the text and a ``redacted`` text follow, where the union of
-    the spans is replaced by ``[SECRET]``, span by span."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    ``keep``: the columns named there and ``_redacted``, the text with
+    ``[SECRET]`` in place of each run of overlapping spans."""
+    frame = docs.select("doc_id", "text") if keep is None else docs.select(*dict.fromkeys([*keep, "text"]))
+    kinds = {f.name: f.dataType.simpleString() for f in frame.schema}
     span = "array<struct<kind:string,start:long,end:long>>"
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -147,20 +148,20 @@ def scan(docs: DataFrame, vocabulary: str, max_ratio: float = MAX_RATIO, with_te
                         base = points[off[r]]
                         spans[r].append({"kind": KINDS[k], "start": int(points[s] - base), "end": int(points[e] - base)})
                         cut.setdefault(r, []).append((s, e))
-                out = [b.column("doc_id"), pa.array(spans, span_type)]
-                names = ["doc_id", "spans"]
-                if with_text:
+                if keep is None:
+                    out, names = [b.column("doc_id"), pa.array(spans, span_type)], ["doc_id", "spans"]
+                else:
                     texts = b.column("text").cast(pa.string()).to_pylist()
                     raw = data.tobytes()
                     for r, parts in cut.items():
                         texts[r] = redact(raw, int(off[r]), int(off[r + 1]), parts)
-                    out += [pa.array(texts, pa.string())]
-                    names += ["redacted"]
+                    names = [*keep, "_redacted"]
+                    out = [*(b.column(c) for c in keep), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(out, names)
 
-    schema = f"doc_id {kind}, spans {span}" + ", redacted string" * with_text
-    cols = ["doc_id", "text"]
-    return docs.select(*cols).mapInArrow(run, schema)
+    if keep is not None:
+        return frame.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", _redacted string")
+    return frame.mapInArrow(run, f"doc_id {kinds['doc_id']}, spans {span}")
 
 
 def redact(raw: bytes, start: int, end: int, spans: list[tuple[int, int]]) -> str:

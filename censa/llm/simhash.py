@@ -179,8 +179,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, hold: int = HOLD) -> DataFra
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     keep: list[Column] | None = None) -> DataFrame:
-    """The given columns (default and at least: doc_id), ``fp`` and
-    ``component_id`` of every row."""
+    """The given columns (default and at least: doc_id), ``fp``,
+    ``component_id`` and ``label`` (a fingerprint that names the component) of
+    every row."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = fingerprints(docs, shingle, keep).checkpoint()
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
@@ -188,4 +189,4 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     labelled = (distinct.join(labels, distinct["fp"] == labels["node"], "left")
                 .select("fp", "first", F.coalesce("label", "fp").alias("label")))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    return rows.join(labelled.join(smallest, "label").select("fp", "component_id"), "fp")
+    return rows.join(labelled.join(smallest, "label").select("fp", "component_id", "label"), "fp")
