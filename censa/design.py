@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .functions.columns import require_columns
+from .functions.columns import number, q, require_columns
 
 # Internal column names used by the estimators.
 H = "__stratum"
@@ -32,12 +32,11 @@ class SurveyDesign:
             raise ValueError("lonely must be 'fail' or 'skip'")
 
     def stratum_col(self) -> Column:
-        return F.col(self.strata) if self.strata else F.lit(None).cast("string")
+        return F.col(q(self.strata)) if self.strata else F.lit(None).cast("string")
 
     def weight_col(self) -> Column:
-        # try_cast: text that is not a number becomes NULL instead of failing
-        return (F.col(self.weights).try_cast("double") if self.weights
-                else F.lit(1.0))
+        # text that is not a number, and NaN, count as missing
+        return number(F.col(q(self.weights))) if self.weights else F.lit(1.0)
 
     def check(self, df: DataFrame) -> None:
         require_columns(df, [c for c in (self.strata, self.weights) if c], "data")
@@ -74,13 +73,13 @@ def design_table(df: DataFrame, design: SurveyDesign, center_cols=()):
                   F.sum(F.when(F.col(W).isNull(), 1).otherwise(0)).alias("nw")]
     tot_aggs = []
     for i, c in enumerate(center_cols):
-        x = F.col(f"`{c}`").try_cast("double")
+        x = number(F.col(q(c)))
         per_h_aggs += [F.sum(x).alias(f"s{i}"), F.count(x).alias(f"c{i}")]
         tot_aggs += [F.sum(f"s{i}").alias(f"s{i}"), F.sum(f"c{i}").alias(f"c{i}")]
     ensure_checkpoint_dir(df.sparkSession)
     n_h = F.col("n_h")
     per_h = (df.select(design.stratum_col().alias(H), design.weight_col().alias(W),
-                       *[F.col(f"`{c}`") for c in center_cols])
+                       *[F.col(q(c)) for c in center_cols])
                .groupBy(H).agg(*per_h_aggs)
                .withColumn("__f", F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0))
                .withColumn("__g", F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0))
@@ -108,4 +107,4 @@ def prepared(df: DataFrame, design: SurveyDesign, columns) -> DataFrame:
     """Project the data to stratum, weight and the needed columns."""
     cols = list(dict.fromkeys(columns))
     return df.select(design.stratum_col().alias(H), design.weight_col().alias(W),
-                     *[F.col(f"`{c}`") for c in cols])
+                     *[F.col(q(c)) for c in cols])

@@ -18,6 +18,12 @@ def col(name: str) -> Column:
     return F.col(q(name))
 
 
+def number(c: Column) -> Column:
+    """The value as a double; text that is not a number, and NaN, are NULL."""
+    v = c.try_cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def require_columns(df: DataFrame, names: Iterable[str], what: str = "input") -> None:
     """Raise ValueError before any job when required columns are missing."""
     have = set(df.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..design import H, W, DesignInfo, SurveyDesign, design_table, prepared
-from ..functions.columns import q
+from ..functions.columns import number, q
 from ..functions.stats import two_sided_crit
 from ..session import ensure_checkpoint_dir
 from .cumulative import running_sum
@@ -167,15 +167,15 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         if a.analysis_type == "prop_select_one":
             moment_recs.append(F.when(x.isNotNull(), _record(aid, g, x, F.lit(1.0))))
         elif a.analysis_type == "mean":
-            xv = x.try_cast("double")  # text that is not a number is not in the domain
+            xv = number(x)  # text that is not a number, and NaN, are not in the domain
             y = xv - F.lit(centres[a.analysis_var])
             moment_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), y)))
         elif a.analysis_type == "prop_select_multiple":
             for mcol, choice in members(df, a.analysis_var, sm_sep):
-                y = F.coalesce(F.col(q(mcol)).try_cast("double"), F.lit(0.0))
+                y = F.coalesce(number(F.col(q(mcol))), F.lit(0.0))
                 moment_recs.append(F.when(x.isNotNull(), _record(aid, g, F.lit(choice), y)))
         else:
-            xv = x.try_cast("double")
+            xv = number(x)
             median_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), xv)))
 
     sums = None

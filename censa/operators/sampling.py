@@ -34,15 +34,6 @@ def sample_sizes(df: DataFrame, strata: str, conf_level: float = 0.95,
               .withColumn("sample", sample_size_expr(F.col("n"), n0)))
 
 
-def _input_partitions(df: DataFrame) -> int:
-    """Partitions of the planned input (no job runs); the shuffle setting
-    when the session offers no RDD view (Spark Connect)."""
-    try:
-        return max(1, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float = 0.95,
                       margin_of_error: float = 0.05, prop: float = 0.5,
                       seed: int = 42) -> DataFrame:
@@ -54,28 +45,26 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
     rank filters use that bound and Spark plans ``WindowGroupLimit``: each
     map task keeps only that many rows per group before the shuffle. The
     top-k runs in two levels so that a stratum holding a third of the data
-    never lands whole in one task: first per (stratum, bucket of input
-    partitions), then per stratum, so a task receives about
-    sqrt(partitions) x ceil(n0) rows. The set drawn is the same at any
-    bucketing (the order is unique). The optimizer applies the limit when
-    the bound is at most ``spark.sql.optimizer.windowGroupLimitThreshold``
-    (default 1000; 95 %/5 % gives 385); a larger bound raises that session
-    setting. Output: the data columns, ``n``, ``sample`` and ``incl`` = true.
+    never lands whole in one task: first per (stratum, bucket of the key),
+    then per stratum. The set drawn is the same at any bucketing (the order
+    is unique). The optimizer applies the limit when the bound is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000; 95 %/5 %
+    gives 385); for a larger bound every row reaches its bucket, so there are
+    more buckets. No job runs and no session setting changes. Output: the
+    data columns, ``n``, ``sample`` and ``incl`` = true.
     """
     require_columns(df, [strata, key], "data")
     n0 = base_sample_size(conf_level, margin_of_error, prop)
     bound = max(1, math.ceil(n0))
     spark = df.sparkSession
-    key_conf = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if bound > int(spark.conf.get(key_conf, "1000")):
-        # keep the per-task top-k below the shuffle for larger samples too
-        spark.conf.set(key_conf, str(bound))
+    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = max(1, math.isqrt(partitions) if bound <= limit else partitions)
     sizes = sample_sizes(df, strata, conf_level, margin_of_error, prop)
     order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string"))), F.col(q(key))]
-    buckets = max(1, math.isqrt(_input_partitions(df)))
     level1 = Window.partitionBy(F.col(q(strata)), F.col("__bucket")).orderBy(*order)
     level2 = Window.partitionBy(F.col(q(strata))).orderBy(*order)
-    ranked = (df.withColumn("__bucket", F.spark_partition_id() % buckets)
+    ranked = (df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(q(key))), F.lit(buckets)))
                 .withColumn("__r1", F.row_number().over(level1)).where(F.col("__r1") <= bound)
                 .withColumn("__rank", F.row_number().over(level2)).where(F.col("__rank") <= bound))
     s = sizes.select(F.col(q(strata)).alias("__s"), "n", "sample")

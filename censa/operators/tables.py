@@ -7,6 +7,8 @@ plain equi-joins; AQE turns them into broadcasts after measuring the sides.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,48 +114,81 @@ def review_labels(questions: DataFrame, choices: DataFrame,
     return missing.unionByName(dups)
 
 
+class GroupValue(NamedTuple):
+    """A column block of a wide table: the raw value (``overall`` and a NULL
+    value apart from any text) and what it is called."""
+    overall: bool
+    value: str | None
+    label: str
+
+
+def group_values_of(results: DataFrame, use_labels: bool = False) -> dict[str, list[GroupValue]]:
+    """The group values of every disaggregation in a stored results table, in
+    one job. They become columns, so the driver gets as many as the widest
+    wide tables have. Values with equal labels are all listed."""
+    label = F.col("label_group_var_value") if use_labels else F.col("group_var_value")
+    rows = (results.where(F.col("group_var").isNotNull())
+            .groupBy("group_var", F.col("group_var_value").cast("string").alias("value"))
+            .agg(F.min(label.cast("string")).alias("label")).collect())
+    out: dict[str, list[GroupValue]] = {}
+    for r in sorted(rows, key=lambda r: (r["group_var"], r["label"] or "NA", r["value"] is not None, r["value"] or "")):
+        out.setdefault(r["group_var"], []).append(GroupValue(False, r["value"], r["label"] or "NA"))
+    return out
+
+
+def _headers(blocks: list[GroupValue], value_columns) -> list[list[str]]:
+    """Header of each block's columns; a clash (also in letter case) gets a suffix."""
+    seen: set[str] = set()
+    out = []
+    for b in blocks:
+        k, name = 1, b.label
+        while any(f"{name}_{c}".lower() in seen for c in value_columns):
+            k += 1
+            name = f"{b.label}_{k}"
+        names = [f"{name}_{c}" for c in value_columns]
+        seen |= {n.lower() for n in names}
+        out.append(names)
+    return out
+
+
 def results_wide(results: DataFrame, group_var: str | None,
                  value_columns=VALUE_COLUMNS, use_labels: bool = False,
-                 group_values: list[str] | None = None, stored: bool = False,
-                 max_groups: int = 1000) -> DataFrame:
-    """Variable x group table for one disaggregation: three key columns,
-    then for ``Overall`` and each group value the ``value_columns`` in the
-    given order, named ``<group value>_<value column>``. A NULL group value
-    is shown as ``NA``. ``group_values`` (else collected from the
-    result-sized table) fixes the pivot columns. ``stored`` says the input
-    is already a written table, so listing its group values is a cheap scan;
-    otherwise the rows are checkpointed first. At most ``max_groups`` group
-    values are collected to the driver (more raise an error)."""
-    keys = LABEL_KEY_COLUMNS if use_labels else KEY_COLUMNS
-    gcol, gvcol = ("label_group_var", "label_group_var_value") if use_labels else \
-        ("group_var", "group_var_value")
-    require_columns(results, keys + [gcol, gvcol] + list(value_columns), "results")
+                 group_values: list[GroupValue] | None = None, stored: bool = False) -> DataFrame:
+    """Variable x group table for one disaggregation: the key columns, then
+    for ``Overall`` and each group value the ``value_columns`` in the given
+    order, named ``<group value>_<value column>``. A NULL group value is
+    called ``NA``. Rows and columns go by the raw names and values: with
+    labels, the label columns stand first and the raw key columns beside
+    them, so two choices of one label stay two rows, and headers that would
+    be equal get a suffix. ``group_values`` (see :func:`group_values_of`)
+    fixes the columns; else they are listed from the rows, which are stored
+    first unless ``stored`` says they are."""
+    labels = LABEL_KEY_COLUMNS[1:] if use_labels else []
+    keys = [KEY_COLUMNS[0], *labels, *KEY_COLUMNS[1:]]
+    require_columns(results, [*keys, "group_var", "group_var_value", *value_columns], "results")
     sel = F.col("group_var").isNull()
     if group_var is not None:
         sel = sel | (F.col("group_var") == group_var)
-    rows = results.where(sel).withColumn(
-        "__pivot", F.when(F.col("group_var").isNull(), F.lit(OVERALL))
-                    .otherwise(F.coalesce(F.col(gvcol).cast("string"), F.lit("NA"))))
+    rows = results.where(sel)
     if group_values is None:
-        # the pivot columns come from the data: store the (result-sized) rows
-        # once so listing them does not rerun the estimation plan
-        if not stored:
+        if group_var is not None and not stored:
             ensure_checkpoint_dir(results.sparkSession)
             rows = rows.checkpoint(eager=True)
-        found = [r["__pivot"] for r in
-                 rows.select("__pivot").distinct().limit(max_groups + 2).collect()]
-        if len(found) > max_groups + 1:  # + Overall
-            raise ValueError(f"{group_var} has more than {max_groups} values; a wide table "
-                             "with a column block per value is not useful; raise max_groups "
-                             "or use the long results")
-        group_values = sorted(v for v in found if v != OVERALL)
-    pivots = [OVERALL] + [v for v in group_values if v != OVERALL]
-    return (rows.groupBy(*keys).pivot("__pivot", pivots)
+        group_values = group_values_of(rows, use_labels).get(group_var, []) if group_var is not None else []
+    blocks = [GroupValue(True, None, OVERALL), *(g for g in group_values if not g.overall)]
+    # the pivot value: its kind in front keeps Overall, NULL and any text apart
+    mark = F.when(F.col("group_var").isNull(), F.lit("O")) \
+            .otherwise(F.coalesce(F.concat(F.lit("V"), F.col("group_var_value").cast("string")), F.lit("N")))
+    marks = ["O" if b.overall else "N" if b.value is None else f"V{b.value}" for b in blocks]
+    wide = (rows.withColumn("__pivot", mark).groupBy(*keys).pivot("__pivot", marks)
                 .agg(*[F.max(F.col(q(c))).alias(c) for c in value_columns]))
+    names = [n for block in _headers(blocks, value_columns) for n in block]
+    return wide.toDF(*keys, *names)
 
 
 def numeric_value_columns(wide: DataFrame, n_keys: int = 3) -> DataFrame:
-    """Cast every column after the first ``n_keys`` to double (text that is
-    not a number becomes NULL), e.g. for a wide table read back from CSV."""
+    """Cast every column after the first ``n_keys`` (5 for a labelled table)
+    to double (text that is not a number becomes NULL), e.g. for a wide table
+    read back from CSV."""
     return wide.select(*[F.col(q(c)) if i < n_keys else F.col(q(c)).try_cast("double").alias(c)
                          for i, c in enumerate(wide.columns)])

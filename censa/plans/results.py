@@ -10,6 +10,7 @@ summary.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -17,13 +18,17 @@ from pyspark.sql import DataFrame
 from ..design import SurveyDesign
 from ..functions.columns import safe_name
 from ..operators.estimates import plan_analyses, survey_results
-from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, label_results, results_wide,
-                               review_labels)
+from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, group_values_of, label_results,
+                               results_wide, review_labels)
 
 SUMMARY_SCHEMA = ("group string, safe_name string, success boolean, write_ok boolean, "
                   "path string, error string")
 
 
+RESULT_SCHEMA = ("analysis_type string, analysis_var string, analysis_var_value string, group_var string, "
+                 "group_var_value string, stat double, stat_low double, stat_upp double, n long")
+
+
 class MultiResults(NamedTuple):
     results: DataFrame        # long results (stored copy), labelled if asked
     summary: DataFrame        # one status row per disaggregation
@@ -32,47 +37,68 @@ class MultiResults(NamedTuple):
 
 
 def _unique_names(groups):
-    seen, out = {}, []
+    """Folder names: clean tokens, all different. A name without Latin letters
+    or digits is called ``group``; a token already given gets the first free
+    suffix."""
+    given, out = set(), []
     for g in groups:
-        base = safe_name(g)
-        k = seen.get(base, 0)
-        seen[base] = k + 1
-        out.append(base if k == 0 else f"{base}_{k}")
+        base = safe_name(g) or "group"
+        name, k = base, 0
+        while name in given:
+            k += 1
+            name = f"{base}_{k}"
+        given.add(name)
+        out.append(name)
     return out
 
 
+def _try(write) -> str | None:
+    """Run a write; the full text of what went wrong, if anything did."""
+    try:
+        write()
+        return None
+    except Exception as e:  # noqa: BLE001 - reported in the summary
+        return str(e)
+
+
 def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Table",
                   value_columns=VALUE_COLUMNS, overwrite: bool = True,
                   use_labels: bool = False, fmt: str = "parquet",
                   na_text: str | None = None,
-                  agg_filename: str | None = None) -> tuple[DataFrame, str]:
+                  agg_filename: str | None = None) -> tuple[DataFrame, str | None]:
     """Write the long table partitioned by group_var and one wide table per
     disaggregation (``fmt`` parquet or csv; ``na_text`` is written for NULL
-    in csv). Returns (run summary, path of the long table)."""
+    in csv). All group values come from one job on the written long table,
+    and the wide tables are written side by side. A write that fails, the
+    long table's included, becomes a status row with the full error. Returns
+    (run summary, path of the long table or None if it could not be written)."""
     spark = results.sparkSession
     mode = "overwrite" if overwrite else "errorifexists"
     out_dir = out_dir.rstrip("/")
     long_path = f"{out_dir}/{agg_filename or file_prefix + '_aggregated_results'}"
-    results.write.mode(mode).partitionBy("group_var").parquet(long_path)
+    failed = _try(lambda: results.write.mode(mode).partitionBy("group_var").parquet(long_path))
+    if failed is not None:
+        return spark.createDataFrame([(None, safe_name(None), False, False, long_path, failed)], SUMMARY_SCHEMA), None
     stored = spark.read.parquet(long_path)
-    # disaggregation variables: metadata-sized (one per grouping column)
-    groups = sorted(r["group_var"] for r in stored.select("group_var").distinct().collect()
-                    if r["group_var"] is not None)
-    targets = groups if groups else [None]
-    statuses = []
-    for g, name in zip(targets, _unique_names(targets)):
+    blocks = group_values_of(stored, use_labels)
+    targets = sorted(blocks) or [None]
+
+    def write(g, name):
         path = f"{out_dir}/{file_prefix}__{name}"
-        try:
-            wide = results_wide(stored, g, value_columns, use_labels, stored=True)
+
+        def save():
+            wide = results_wide(stored, g, value_columns, use_labels, blocks.get(g, []))
             writer = wide.write.mode(mode).format(fmt)
             if fmt == "csv":
                 writer = writer.option("header", True)
                 if na_text is not None:
                     writer = writer.option("nullValue", na_text)
             writer.save(path)
-            statuses.append((g, name, True, True, path, None))
-        except Exception as e:  # noqa: BLE001 - reported in the summary
-            statuses.append((g, name, False, False, path, str(e).splitlines()[0][:500]))
+        error = _try(save)
+        return g, name, error is None, error is None, path, error
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        statuses = list(pool.map(write, targets, _unique_names(targets)))
     return spark.createDataFrame(statuses, SUMMARY_SCHEMA), long_path
 
 
@@ -93,7 +119,7 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
     except ValueError as e:  # design problems (lonely strata, bad weights): one row per group
         groups = sorted({a.group_var for a in kept if a.group_var is not None}) or [None]
         rows = [(g, safe_name(g), False, False, None, str(e)) for g in groups]
-        empty = spark.createDataFrame([], "analysis_type string")
+        empty = spark.createDataFrame([], RESULT_SCHEMA)
         return MultiResults(empty, spark.createDataFrame(rows, SUMMARY_SCHEMA), None)
     labelled = use_labels and questions is not None and choices is not None
     if labelled:
@@ -107,4 +133,4 @@ def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
                 for a, why in dropped]
         summary = summary.unionByName(spark.createDataFrame(rows, SUMMARY_SCHEMA))
     review = review_labels(questions, choices, label_column) if labelled else None
-    return MultiResults(spark.read.parquet(long_path), summary, long_path, review)
+    return MultiResults(spark.read.parquet(long_path) if long_path else res, summary, long_path, review)

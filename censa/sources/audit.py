@@ -2,18 +2,19 @@
 
 Each submission has an ``audit.csv`` attachment. The files come from
 different form versions, so their headers differ (``old-value`` vs
-``old_value``, extra columns, any order). All files are read by ONE
-headerless CSV scan with a fixed wide string schema; ``_metadata.file_path``
-tags each row with its file. Header rows are the rows whose cells include
-``node``, ``start`` and ``end``; every data row is joined to its file's
-header and its fields are picked by position in that header.
+``old_value``, extra columns, any order and number). One scan reads each file
+as one row (an audit file is one interview's log) with
+``_metadata.file_path``; the row is cut into records and cells, quotes
+observed, its header is the first record whose cells include ``node``,
+``start`` and ``end``, and every other record's fields are picked by their
+position in that header. Nothing is joined or shuffled, and there is no limit
+on the number of columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import q, require_columns
 
@@ -25,28 +26,37 @@ def normalise_path(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:(//)?", "")
 
 
-def audit_schema(max_columns: int = 32) -> StructType:
-    """Fixed wide string schema of the headerless audit scan."""
-    return StructType([StructField(f"c{i}", StringType()) for i in range(max_columns)])
+# a record: quoted parts (which may hold line breaks) and other characters;
+# possessive, so matching neither backtracks nor recurses on long files
+_RECORD = r'((?:"(?:[^"]++|"")*+"|[^"\r\n]++)++)'
+_CELL = r'(?:^|,)((?:"(?:[^"]++|"")*+"|[^",]++)*+)'
 
 
-def parse_audit_rows(raw: DataFrame, max_columns: int = 32) -> DataFrame:
-    """Header-aware fields of raw headerless rows tagged with ``file``.
+def _cells(record: Column) -> Column:
+    """Cells of a CSV record; an empty cell without quotes is NULL."""
+    def plain(cell: Column) -> Column:
+        quoted = cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1)
+        return F.when(quoted, F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))) \
+                .otherwise(F.nullif(cell, F.lit("")))
+    return F.transform(F.regexp_extract_all(record, F.lit(_CELL), F.lit(1)), plain)
 
-    Works on a batch scan and on a micro-batch of a stream alike (a file is
-    read whole, so its header row is in the same batch as its data rows)."""
-    cells = F.array(*[F.col(f"c{i}") for i in range(max_columns)])
-    is_header = F.coalesce(F.array_contains(cells, "node") & F.array_contains(cells, "start")
-                           & F.array_contains(cells, "end"), F.lit(False))
-    headers = raw.where(is_header).select(F.col("file").alias("__hf"), cells.alias("__hdr"))
-    rows = raw.where(~is_header).select("file", cells.alias("__cells"))
-    joined = rows.join(headers, F.col("file") == F.col("__hf"))
+
+def parse_audit_files(raw: DataFrame) -> DataFrame:
+    """Audit rows of whole files: ``raw`` has ``value`` (a file's text) and
+    ``file``. Works on a batch scan and on a micro-batch of a stream alike.
+    A file without a header gives no rows."""
+    has = lambda cells: F.coalesce(
+        F.array_contains(cells, "node") & F.array_contains(cells, "start") & F.array_contains(cells, "end"), F.lit(False))
+    records = F.transform(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1)), _cells)
+    rows = (raw.select("file", records.alias("__all"))
+               .withColumn("__hdr", F.get(F.filter("__all", has), 0)).where(F.col("__hdr").isNotNull())
+               .select("file", "__hdr", F.explode(F.filter("__all", lambda c: ~has(c))).alias("__cells")))
 
     def pick(name: str) -> Column:
         pos = F.array_position(F.col("__hdr"), name).cast("int")
-        return F.when(pos > 0, F.element_at(F.col("__cells"), pos))
+        return F.when(pos > 0, F.get(F.col("__cells"), pos - 1))
 
-    return joined.select(
+    return rows.select(
         "file", pick("node").alias("node"),
         pick("start").try_cast("bigint").alias("start"),
         pick("end").try_cast("bigint").alias("end"),
@@ -54,13 +64,12 @@ def parse_audit_rows(raw: DataFrame, max_columns: int = 32) -> DataFrame:
         F.coalesce(pick("new_value"), pick("new-value")).alias("new_value"))
 
 
-def read_audit_csv(spark: SparkSession, paths, max_columns: int = 32) -> DataFrame:
+def read_audit_csv(spark: SparkSession, paths) -> DataFrame:
     """Audit rows of many files: file, node, start (ms), end (ms),
     old_value, new_value (hyphenated header names are folded in)."""
-    raw = (spark.read.schema(audit_schema(max_columns)).option("header", False)
-                .option("multiLine", True).option("mode", "PERMISSIVE").csv(paths)
-                .select("*", normalise_path(F.col("_metadata.file_path")).alias("file")))
-    return parse_audit_rows(raw, max_columns)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return parse_audit_files(spark.read.text(paths, wholetext=True)
+                             .select("value", normalise_path(F.col("_metadata.file_path")).alias("file")))
 
 
 def audit_attachments(submissions: DataFrame, key: str = "uuid",

@@ -10,28 +10,23 @@ from ..functions.columns import q, require_columns
 TOKEN_SPLIT = r"\s+"
 
 
-def choice_tokens(df: DataFrame, column: str, max_choices: int = 10_000) -> list[str]:
-    """Distinct answer tokens of a multi-choice column, sorted.
-
-    The list becomes column names, so its size is checked: more than
-    ``max_choices`` distinct tokens raises instead of pulling them all.
-    """
+def choice_tokens(df: DataFrame, column: str) -> list[str]:
+    """Distinct answer tokens of a multi-choice column, sorted. They become
+    column names, so they are listed on the driver: as many as the form's
+    choice list has, whatever the number of answers."""
     toks = (df.select(F.explode(F.split(F.trim(F.col(q(column))), TOKEN_SPLIT)).alias("t"))
               .where(F.col("t") != "").distinct())
-    got = [r["t"] for r in toks.limit(max_choices + 1).collect()]
-    if len(got) > max_choices:
-        raise ValueError(f"{column} has more than {max_choices} distinct tokens; pass choices=")
-    return sorted(got)
+    return sorted(r["t"] for r in toks.collect())
 
 
 def expand_select_multiple(df: DataFrame, column: str, choices: list[str] | None = None,
-                           sm_sep: str = "/", max_choices: int = 10_000) -> DataFrame:
+                           sm_sep: str = "/") -> DataFrame:
     """Add one int column ``column<sm_sep>choice`` per choice: 1 when the
     blank-separated answer holds the choice, 0 when not, NULL when the answer
     is NULL. Existing member columns of the same name are replaced."""
     require_columns(df, [column], "data")
     if choices is None:
-        choices = choice_tokens(df, column, max_choices)
+        choices = choice_tokens(df, column)
     toks = F.split(F.trim(F.col(q(column))), TOKEN_SPLIT)
     names = [f"{column}{sm_sep}{c}" for c in choices]
     keep = [F.col(q(c)) for c in df.columns if c not in set(names)]

@@ -20,12 +20,12 @@ from ..functions.columns import q, require_columns
 def read_submissions(spark: SparkSession, path, fmt: str = "json", schema=None,
                      **options) -> DataFrame:
     """Scan exported submissions. JSON exports drop empty answers, so pass a
-    ``schema`` (or rely on the merged inferred one) to keep every column."""
+    ``schema`` (or rely on the inferred one, which JSON merges over all rows)
+    to keep every column. For parquet files of differing schemas pass
+    ``mergeSchema=True``; it reads every file's footer."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    elif fmt == "parquet":
-        reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
 
@@ -44,8 +44,10 @@ def repeat_columns(df: DataFrame) -> list[str]:
 def split_repeats(df: DataFrame, key: str = "uuid", repeats: list[str] | None = None,
                   index_col: str = "_index") -> Submissions:
     """Main table without the repeat columns, plus one child table per
-    repeat group: (key, index_col, fields of the group). Parents with an
-    empty or NULL group have no child rows."""
+    repeat group: (key, index_col, fields of the group). A field of the group
+    named like the key or the index (exports have an ``_index`` of their own)
+    is kept as ``<group>/<field>``. Parents with an empty or NULL group have
+    no child rows."""
     require_columns(df, [key], "submissions")
     repeats = repeat_columns(df) if repeats is None else repeats
     require_columns(df, repeats, "submissions")
@@ -54,5 +56,9 @@ def split_repeats(df: DataFrame, key: str = "uuid", repeats: list[str] | None =
     for r in repeats:
         exploded = df.select(F.col(q(key)).alias(key),
                              F.posexplode(F.col(q(r))).alias("__pos", "__item"))
-        children[r] = exploded.select(key, (F.col("__pos") + 1).alias(index_col), "__item.*")
+        fields = df.schema[r].dataType.elementType.fieldNames()
+        taken = {key.lower(), index_col.lower()}
+        children[r] = exploded.select(
+            q(key), (F.col("__pos") + 1).alias(index_col),
+            *[F.col("__item").getField(f).alias(f"{r}/{f}" if f.lower() in taken else f) for f in fields])
     return Submissions(main, children)

@@ -17,35 +17,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.duration import audit_minutes
-from ..sources.audit import audit_attachments, audit_schema, normalise_path, parse_audit_rows
+from ..sources.audit import audit_attachments, normalise_path, parse_audit_files
 
 
-def audit_file_stream(spark: SparkSession, audit_dir: str, max_columns: int = 32,
+def audit_file_stream(spark: SparkSession, audit_dir: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(audit_schema(max_columns)).option("header", False)
-                   .option("multiLine", True).option("mode", "PERMISSIVE"))
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(audit_dir).select(
-        "*", normalise_path(F.col("_metadata.file_path")).alias("file"))
+    return reader.text(audit_dir, wholetext=True).select(
+        "value", normalise_path(F.col("_metadata.file_path")).alias("file"))
 
 
 def start_duration_stream(spark: SparkSession, audit_dir: str, output: str,
                           checkpoint_location: str, remove_geo: bool = True,
-                          exclude_pattern: str = "geo", max_columns: int = 32,
+                          exclude_pattern: str = "geo",
                           available_now: bool = True) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     out = output.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_audit_rows(batch, max_columns)
+        rows = parse_audit_files(batch)
         per_file = (audit_minutes(rows, remove_geo, exclude_pattern, key="file")
                     .groupBy("file")
                     .agg(F.sum("metadata_duration").alias("minutes"),
                          F.min("start").alias("first_start"), F.count(F.lit(1)).alias("events")))
         per_file.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    writer = (audit_file_stream(spark, audit_dir, max_columns).writeStream
+    writer = (audit_file_stream(spark, audit_dir).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

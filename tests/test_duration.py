@@ -49,3 +49,18 @@ def test_audit_harmonised(spark, audit_setup):
     assert got[("u2", "/x/b")] == ("a", "b")
     assert got[("u1", "/x/geo")] == (None, "multi\nline")
     assert os.sep  # paths normalised without scheme
+
+
+def test_wide_headers_and_quotes(spark, tmp_path):
+    """Columns past any fixed width are read; quotes, doubled quotes, CRLF and
+    a file without a header are handled; one scan, no shuffle."""
+    d = tmp_path / "audit"
+    d.mkdir()
+    extra = ",".join(f"x{i}" for i in range(40))
+    (d / "w.csv").write_text(f'event,{extra},node,start,end,old-value\r\nq,{"," * 39},"/a ""b"", c",5,65,"1,2"\r\n')
+    (d / "none.csv").write_text("a,b\n1,2\n")
+    rows = read_audit_csv(spark, str(d))
+    got = [(r.node, r.start, r.end, r.old_value, r.new_value) for r in rows.collect()]
+    assert got == [('/a "b", c', 5, 65, "1,2", None)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan

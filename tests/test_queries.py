@@ -42,8 +42,8 @@ def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     sql = oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) >= 0
+    if sql is None:  # held against brute force elsewhere; here: rows, and the same ones again
+        assert rows and all(c for c in df.columns)
         return
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]

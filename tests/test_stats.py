@@ -15,8 +15,16 @@ def test_t_quantile_table_values(p, df, expected):
     assert t_quantile(p, df) == pytest.approx(expected, abs=1e-8)
 
 
-def test_large_df_is_normal():
-    assert t_quantile(0.975, 10**7) == pytest.approx(normal_quantile(0.975), abs=1e-12)
+def test_one_formula_at_every_df():
+    from censa.functions.stats import EXPAND_DF, _expanded, t_central
+    for p in (0.9, 0.975, 0.9995):
+        for df in (EXPAND_DF, 5 * EXPAND_DF):
+            assert t_central(_expanded(p, df), df) == pytest.approx(p - 0.5, abs=2e-13)
+        assert t_quantile(p, EXPAND_DF - 1) - _expanded(p, EXPAND_DF - 1) == pytest.approx(0, abs=2e-11)
+    # no switch to the normal quantile: the difference keeps shrinking as 1 / df
+    for df in (10**5, 10**6, 10**8):
+        gap = t_quantile(0.975, df) - normal_quantile(0.975)
+        assert gap * df == pytest.approx(2.3722712, rel=1e-3)
     assert normal_quantile(0.975) == pytest.approx(1.959963984540054, abs=1e-14)
 
 

@@ -85,7 +85,8 @@ def test_multi_results_with_labels(spark):
     assert {r.issue for r in mr.label_review.collect()} == {"duplicated label"}
     wide = spark.read.parquet(f"{out}/Desc_Table__g")
     assert wide.columns[:3] == ["analysis_type", "label_analysis_var", "label_analysis_var_value"]
-    assert "Bee_stat" in wide.columns
+    assert wide.columns[3:5] == ["analysis_var", "analysis_var_value"]
+    assert "Bee_stat" in wide.columns and wide.count() == 2  # two choices of one label stay two rows
 
 
 def test_multi_choice_value_labels(spark):
@@ -100,8 +101,46 @@ def test_multi_choice_value_labels(spark):
     assert got == {"hoe": "Hoe", "rake": "Rake"}
 
 
-def test_wide_group_limit(spark):
-    import pytest
-    _, _, res = _res(spark)
-    with pytest.raises(ValueError, match="more than 1 values"):
-        results_wide(res, "g", max_groups=1)
+def _long(spark, rows):
+    return spark.createDataFrame(
+        [("mean", v, vv, g, gv, s, s, s, 1) for v, vv, g, gv, s in rows],
+        "analysis_type string, analysis_var string, analysis_var_value string, group_var string, "
+        "group_var_value string, stat double, stat_upp double, stat_low double, n long")
+
+
+def test_wide_keeps_overall_na_and_null_apart(spark):
+    res = _long(spark, [("x", None, None, None, 5.0), ("x", None, "g", "Overall", 9.0), ("x", None, "g", "NA", 2.0),
+                        ("x", None, "g", None, 1.0), ("x", None, "g", "na", 3.0)])
+    wide = results_wide(res, "g", ("stat",))
+    row = wide.first().asDict()
+    assert row["Overall_stat"] == 5.0 and sorted(v for k, v in row.items() if k.endswith("_stat") or "stat" in k) == [1.0, 2.0, 3.0, 5.0, 9.0]
+    assert len({c.lower() for c in wide.columns}) == len(wide.columns)
+    assert row["Overall_2_stat"] == 9.0 and row["NA_stat"] == 1.0
+
+
+def test_wide_with_equal_labels_keeps_rows_and_columns(spark):
+    res = _long(spark, [("x", "a", None, None, 0.2), ("x", "b", None, None, 0.7), ("x", "a", "g", "1", 0.3),
+                        ("x", "a", "g", "2", 0.4)])
+    qs = spark.createDataFrame([("select_one l", "x", "X"), ("select_one gl", "g", "G")], "type string, name string, label string")
+    ch = spark.createDataFrame([("l", "a", "Same"), ("l", "b", "Same"), ("gl", "1", "One"), ("gl", "2", "One")],
+                               "list_name string, name string, label string")
+    wide = results_wide(label_results(res, qs, ch, "label"), "g", ("stat",), use_labels=True)
+    got = {r.analysis_var_value: (r.label_analysis_var_value, r.Overall_stat, r.One_stat, r.One_2_stat) for r in wide.collect()}
+    assert got == {"a": ("Same", 0.2, 0.3, 0.4), "b": ("Same", 0.7, None, None)}
+
+
+def test_folder_names_are_unique():
+    from censa.plans.results import _unique_names
+    names = _unique_names(["a b", "a-b", "a_b_1", "имя", "名"])
+    assert names == ["a_b", "a_b_1", "a_b_1_1", "group", "group_1"]
+
+
+def test_second_run_without_overwrite_reports(spark):
+    df, loa, _ = _res(spark)
+    out = scratch_path(spark, "test-multi-twice")
+    run = lambda: multi_results(df, SurveyDesign("st", "w"), loa, out, use_labels=False, overwrite=False)
+    assert all(r.success for r in run().summary.collect())
+    again = run()
+    rows = again.summary.collect()
+    assert rows and not any(r.success for r in rows) and "exist" in rows[0].error and again.aggregated_path is None
+    assert again.results.count() == 5
