@@ -1,8 +1,7 @@
-"""Scalar statistics used on the driver or on result-sized rows.
+"""Scalar statistics used on the driver.
 
 Nothing here touches data-sized input: quantiles are computed once per
-design on the driver, and the vectorised helpers run inside pandas UDFs over
-result tables (one row per estimate).
+design on the driver.
 """
 
 from __future__ import annotations
@@ -74,78 +73,3 @@ def t_quantile(p: float, df: float) -> float:
 def two_sided_crit(level: float, df: float) -> float:
     """t critical value for a two-sided interval at ``level``."""
     return t_quantile((1.0 + level) / 2.0, df)
-
-
-# --- vectorised helpers for pandas UDFs over result rows -------------------
-
-_erfc = np.vectorize(math.erfc, otypes=[float])
-
-
-def wald_p_value(z: np.ndarray) -> np.ndarray:
-    """Two-sided normal p-value, NaN where z is NaN."""
-    z = np.asarray(z, dtype=float)
-    out = np.full(z.shape, np.nan)
-    ok = np.isfinite(z)
-    out[ok] = _erfc(np.abs(z[ok]) / math.sqrt(2.0))
-    return out
-
-
-def _loglik(y1: float, y0: float, eta: np.ndarray) -> np.ndarray:
-    # y1*log(sigma(eta)) + y0*log(1-sigma(eta)), stable form
-    return -(y1 * np.logaddexp(0.0, -eta) + y0 * np.logaddexp(0.0, eta))
-
-
-def _profile_alpha(a1, a0, k1, k0, beta):
-    """Intercept maximising the 2x2 logistic likelihood for fixed log-OR."""
-    total1 = a1 + k1
-    lo, hi = -60.0, 60.0
-    for _ in range(200):
-        mid = 0.5 * (lo + hi)
-        fitted = (a1 + a0) / (1.0 + math.exp(-mid)) + (k1 + k0) / (1.0 + math.exp(-(mid + beta)))
-        if fitted < total1:
-            lo = mid
-        else:
-            hi = mid
-        if hi - lo < 1e-13:
-            break
-    return 0.5 * (lo + hi)
-
-
-def _profile_dev(a1, a0, k1, k0, beta, lmax):
-    alpha = _profile_alpha(a1, a0, k1, k0, beta)
-    ll = (_loglik(a1, a0, np.array(alpha)) + _loglik(k1, k0, np.array(alpha + beta)))
-    return 2.0 * (lmax - float(ll))
-
-
-def profile_ci_log_or(a1: float, a0: float, k1: float, k0: float,
-                      level: float = 0.95) -> tuple[float, float]:
-    """Profile-likelihood limits of the log odds ratio of a 2x2 table.
-
-    (a1, a0) are outcome 1/0 counts at the reference level, (k1, k0) at the
-    compared level. With one categorical predictor the logistic model is
-    saturated, so the other levels profile out and each limit is a root of
-    this 2x2 problem. Returns NaNs when a cell is zero.
-    """
-    if min(a1, a0, k1, k0) <= 0:
-        return float("nan"), float("nan")
-    beta_hat = math.log(k1 * a0 / (k0 * a1))
-    alpha_hat = math.log(a1 / a0)
-    lmax = float(_loglik(a1, a0, np.array(alpha_hat)) + _loglik(k1, k0, np.array(alpha_hat + beta_hat)))
-    crit = normal_quantile((1.0 + level) / 2.0) ** 2
-    se = math.sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0)
-
-    def root(direction: float) -> float:
-        inner, outer = beta_hat, beta_hat + direction * se
-        while _profile_dev(a1, a0, k1, k0, outer, lmax) < crit:
-            outer = beta_hat + 2.0 * (outer - beta_hat)
-        for _ in range(200):
-            mid = 0.5 * (inner + outer)
-            if _profile_dev(a1, a0, k1, k0, mid, lmax) < crit:
-                inner = mid
-            else:
-                outer = mid
-            if abs(outer - inner) < 1e-12:
-                break
-        return 0.5 * (inner + outer)
-
-    return root(-1.0), root(1.0)

@@ -9,54 +9,69 @@ are the roots of the 2x2 profile deviance (the other levels profile out).
 
 All grouping variables are unpivoted into (group_var, level) records and
 counted in one aggregate; the statistics run on the count table (one row per
-level). Only the tail probability and the profile root need Python, as
-pandas UDFs over those result rows.
+level) as column expressions. For a fixed log odds ratio the intercept solves
+a quadratic, so the profile deviance has a closed form, and each limit is
+found by a fixed number of bisections.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions import stats as _stats
-from ..functions.columns import q, require_columns
-from ..functions.stats import profile_ci_log_or, wald_p_value
+from ..functions.columns import number, q, require_columns
+from ..functions.stats import normal_quantile
 from ..session import ensure_checkpoint_dir
 
-# The pandas UDFs below run in Python workers that may not have this package
-# installed: ship their code (and the statistics helpers) with the task.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-    _cloudpickle.register_pickle_by_value(_stats)
-except Exception:  # noqa: BLE001 - older cloudpickle: workers import the package instead
-    pass
-
-
-@pandas_udf(DoubleType())
-def _p_value(z: pd.Series) -> pd.Series:
-    return pd.Series(wald_p_value(z.to_numpy(dtype=float, na_value=float("nan"))))
-
-
-@pandas_udf(StructType([StructField("lo", DoubleType()), StructField("hi", DoubleType())]))
-def _profile_ci(a1: pd.Series, a0: pd.Series, k1: pd.Series, k0: pd.Series,
-                level: pd.Series) -> pd.DataFrame:
-    import math
-    lo, hi = [], []
-    for x1, x0, y1, y0, lv in zip(a1, a0, k1, k0, level):
-        if min(x1, x0, y1, y0) <= 0:
-            lo.append(None)
-            hi.append(None)
-            continue
-        l, h = profile_ci_log_or(float(x1), float(x0), float(y1), float(y0), float(lv))
-        lo.append(math.exp(l))
-        hi.append(math.exp(h))
-    return pd.DataFrame({"lo": lo, "hi": hi})
+#: Bisections of a profile limit, and terms of the normal tail.
+STEPS = 80
+TERMS = 80
+
+
+def normal_two_sided(z: Column) -> Column:
+    """P(|Z| > |z|) of the standard normal: the power series of the error
+    function near zero, its continued fraction further out."""
+    x = F.abs(z) / math.sqrt(2.0)
+    start = F.struct(x.alias("term"), x.alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, lambda s, n: F.struct(
+        (s["term"] * 2 * x * x / (2 * n + 1)).alias("term"), (s["sum"] + s["term"] * 2 * x * x / (2 * n + 1)).alias("sum")))
+    near = 1 - 2 / math.sqrt(math.pi) * F.exp(-x * x) * series["sum"]
+    tail = F.aggregate(F.sequence(F.lit(TERMS), F.lit(1), F.lit(-1)), F.lit(0.0), lambda acc, k: k / 2 / (x + acc))
+    return F.when(x < 2.5, near).otherwise(F.exp(-x * x) / math.sqrt(math.pi) / (x + tail))
+
+
+def profile_deviance(a1: Column, a0: Column, k1: Column, k0: Column, beta: Column) -> Column:
+    """Twice the loss of log-likelihood of a 2 x 2 table (all cells positive)
+    at log odds ratio ``beta``, the intercept profiled out."""
+    total, ones, r = a1 + a0 + k1 + k0, a1 + k1, F.exp(beta)
+    # with u = exp(intercept): r (total - ones) u^2 + b u - ones = 0
+    b = a1 + a0 + (k1 + k0) * r - ones * (1 + r)
+    root = F.sqrt(b * b + 4 * r * (total - ones) * ones)
+    u = F.when(b > 0, 2 * ones / (b + root)).otherwise((root - b) / (2 * r * (total - ones)))
+    fitted = -(a1 * F.log1p(1 / u) + a0 * F.log1p(u) + k1 * F.log1p(1 / (r * u)) + k0 * F.log1p(r * u))
+    best = (a1 * F.log(a1 / (a1 + a0)) + a0 * F.log(a0 / (a1 + a0)) + k1 * F.log(k1 / (k1 + k0)) + k0 * F.log(k0 / (k1 + k0)))
+    return 2 * (best - fitted)
+
+
+def profile_limit(a1: Column, a0: Column, k1: Column, k0: Column, level: float, side: int) -> Column:
+    """Lower (side -1) or upper (1) profile-likelihood limit of the odds
+    ratio. The deviance grows away from the estimate and passes the critical
+    value well within the bracket."""
+    crit = normal_quantile((1.0 + level) / 2.0) ** 2
+    beta = F.log(k1 * a0 / (k0 * a1))
+    se = F.sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0)
+    start = F.struct(beta.alias("inside"), (beta + side * (crit * se + crit + 20)).alias("outside"))
+
+    def halve(s, _):
+        mid = (s["inside"] + s["outside"]) / 2
+        within = profile_deviance(a1, a0, k1, k0, mid) < crit
+        return F.struct(F.when(within, mid).otherwise(s["inside"]).alias("inside"),
+                        F.when(within, s["outside"]).otherwise(mid).alias("outside"))
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve)
+    return F.exp((end["inside"] + end["outside"]) / 2)
 
 
 def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, str]) -> DataFrame:
@@ -65,13 +80,40 @@ def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, s
     Columns: question, group_var, ref_group, term, a1, a0, k1, k0, estimate,
     se, z, separated. Rows with a NULL outcome or group are dropped per
     variable. A grouping variable with fewer than two levels, or whose
-    outcome is not 0/1 with both values present, gives no rows. A reference
-    level absent from the data raises an error when the plan runs.
+    outcome is not 0/1 (text, other numbers) with both values present, gives
+    no rows (see :func:`odds_ratio_skips`). A reference level absent from the
+    data raises an error when the plan runs.
     """
+    counts, per_var = _level_counts(df, question, group_vars_refs)
+    return _level_rows(counts, per_var.where(_skip_reason().isNull()), question)
+
+
+def odds_ratio_skips(df: DataFrame, question: str, group_vars_refs: dict[str, str]) -> DataFrame:
+    """(group_var, reason) of the grouping variables that give no odds ratios."""
+    _, per_var = _level_counts(df, question, group_vars_refs)
+    asked = df.sparkSession.createDataFrame([(g,) for g in group_vars_refs], "group_var string")
+    return (asked.join(per_var, F.col("group_var") == F.col("__gv"), "left")
+                 .select("group_var", F.when(F.col("__gv").isNull(), "no rows with outcome and level")
+                                       .otherwise(_skip_reason()).alias("reason"))
+                 .where(F.col("reason").isNotNull()))
+
+
+def _skip_reason() -> Column:
+    return (F.when(F.col("n_levels") < 2, "fewer than two levels")
+             .when(F.col("n_other") > 0, "outcome is not 0/1")
+             .when((F.col("n1") == 0) | (F.col("n0") == 0), "outcome has one value only"))
+
+
+def _level_counts(df: DataFrame, question: str, group_vars_refs: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Outcome counts per variable and level (stored), and per variable."""
     require_columns(df, [question, *group_vars_refs], "data")
     if not group_vars_refs:
         raise ValueError("group_vars_refs is empty")
-    y = F.col(q(question)).cast("double")
+    raw = F.col(q(question))
+    # text that is no number stays in the table as an outcome that is not 0/1
+    y = F.when(raw.isNotNull(), F.coalesce(number(raw), F.lit(-1.0)))
+    if dict(df.dtypes)[question] in ("double", "float"):
+        y = number(raw)
     recs = F.inline(F.array(*[F.struct(F.lit(g).alias("group_var"),
                                        F.col(q(g)).cast("string").alias("level"))
                               for g in group_vars_refs]))
@@ -94,8 +136,11 @@ def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, s
                           F.sum("k0").alias("n0"), F.sum("other").alias("n_other"),
                           F.max(F.when(at_ref, F.col("k1"))).alias("a1"),
                           F.max(F.when(at_ref, F.col("k0"))).alias("a0"))
-                     .where((F.col("n_levels") >= 2) & (F.col("n_other") == 0)
-                            & (F.col("n1") > 0) & (F.col("n0") > 0)))
+               )
+    return counts, per_var
+
+
+def _level_rows(counts: DataFrame, per_var: DataFrame, question: str) -> DataFrame:
     rows = (counts.where(F.col("level") != F.col("ref_group"))
                   .join(per_var, F.col("group_var") == F.col("__gv")))
     a1 = F.col("a1").cast("double")
@@ -118,9 +163,11 @@ def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, s
 def odds_ratios(df: DataFrame, question: str, group_vars_refs: dict[str, str],
                 level: float = 0.95) -> DataFrame:
     """Columns: question, group_var, ref_group, term, estimate, conf_low,
-    conf_high, p_value, separated (profile-likelihood limits, Wald p)."""
+    conf_high, p_value, separated (profile-likelihood limits, Wald p; NULL
+    where a cell is empty)."""
     c = odds_ratio_counts(df, question, group_vars_refs)
-    ci = _profile_ci("a1", "a0", "k1", "k0", F.lit(float(level)))
+    cells = [F.col(n).cast("double") for n in ("a1", "a0", "k1", "k0")]
+    limit = lambda side: F.when(~F.col("separated"), profile_limit(*cells, level, side))
     return c.select("question", "group_var", "ref_group", "term", "estimate",
-                    ci["lo"].alias("conf_low"), ci["hi"].alias("conf_high"),
-                    _p_value("z").alias("p_value"), "separated")
+                    limit(-1).alias("conf_low"), limit(1).alias("conf_high"),
+                    F.when(F.col("z").isNotNull(), normal_two_sided(F.col("z"))).alias("p_value"), "separated")

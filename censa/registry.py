@@ -19,6 +19,7 @@ from .functions.columns import epoch_millis
 from .operators.cleaning import (CHANGE_TYPES, FIXED_LISTS, choice_lists, choice_lists_wide,
                                  column_manifest, other_options, recode_others,
                                  validate_cleaning_log, variable_tracker)
+from .functions.stats import normal_quantile
 from .operators.duration import interview_duration
 from .operators.estimates import Analysis, survey_results
 from .operators.odds import odds_ratio_counts, odds_ratios
@@ -606,6 +607,42 @@ FROM s"""
 
 ORACLE["odds_ratio_counts"] = _odds_sql()
 
+
+def _odds_limits_sql(level: float = 0.95) -> str:
+    """Profile limits by 80 bisections in a recursive query (the intercept at a
+    fixed log odds ratio is the positive root of a quadratic), and the normal
+    tail by the error function's power series."""
+    crit = repr(normal_quantile((1 + level) / 2) ** 2)
+    best = "a1 * ln(a1 / (a1 + a0)) + a0 * ln(a0 / (a1 + a0)) + k1 * ln(k1 / (k1 + k0)) + k0 * ln(k0 / (k1 + k0))"
+    return f"""
+WITH RECURSIVE o AS ({_odds_sql()}),
+c AS (SELECT term, CAST(a1 AS DOUBLE) AS a1, CAST(a0 AS DOUBLE) AS a0, CAST(k1 AS DOUBLE) AS k1,
+             CAST(k0 AS DOUBLE) AS k0 FROM o WHERE NOT separated),
+e AS (SELECT *, ln(k1 * a0 / (k0 * a1)) AS beta, sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0) AS se FROM c),
+step AS (
+  SELECT term, a1, a0, k1, k0, side, beta AS lo, beta + side * ({crit} * se + {crit} + 20) AS hi, 0 AS i
+  FROM e, (VALUES (-1), (1)) AS sides(side)
+  UNION ALL
+  SELECT term, a1, a0, k1, k0, side, CASE WHEN d < {crit} THEN mid ELSE lo END,
+         CASE WHEN d < {crit} THEN hi ELSE mid END, i + 1
+  FROM (SELECT *, 2 * ({best} + a1 * ln(1 + 1 / u) + a0 * ln(1 + u) + k1 * ln(1 + 1 / (r * u)) + k0 * ln(1 + r * u)) AS d
+        FROM (SELECT *, CASE WHEN b > 0 THEN 2 * (a1 + k1) / (b + q) ELSE (q - b) / (2 * r * (a0 + k0)) END AS u
+              FROM (SELECT *, sqrt(b * b + 4 * r * (a0 + k0) * (a1 + k1)) AS q
+                    FROM (SELECT *, a1 + a0 + (k1 + k0) * r - (a1 + k1) * (1 + r) AS b
+                          FROM (SELECT *, (lo + hi) / 2 AS mid, exp((lo + hi) / 2) AS r FROM step WHERE i < 80)))))),
+lim AS (SELECT term, max(CASE WHEN side = -1 THEN exp((lo + hi) / 2) END) AS conf_low,
+               max(CASE WHEN side = 1 THEN exp((lo + hi) / 2) END) AS conf_high
+        FROM step WHERE i = 80 GROUP BY term),
+p AS (SELECT term, CASE WHEN x = 0 THEN 1.0 ELSE 1 - 2 / sqrt(pi()) * exp(-x * x) * list_sum(list_transform(range(0, 400),
+               lambda n: exp(n * ln(2 * x * x) + ln(x) - ((n + 1) * ln(2) + lgamma(n + 1.5) - 0.5 * ln(pi()))))) END AS p_value
+      FROM (SELECT term, abs(beta / se) / sqrt(2) AS x FROM e))
+SELECT o.question, o.group_var, o.ref_group, o.term, o.estimate, round(lim.conf_low, 6) AS conf_low,
+       round(lim.conf_high, 6) AS conf_high, round(p.p_value, 6) AS p_value, o.separated
+FROM o LEFT JOIN lim ON lim.term = o.term LEFT JOIN p ON p.term = o.term"""
+
+
+ORACLE["odds_ratios"] = _odds_limits_sql()
+
 ORACLE["interview_duration"] = """
 WITH a AS (SELECT user_id AS uuid, epoch_us(ts) // 1000 AS s,
                   epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS e

@@ -35,6 +35,24 @@ def test_edges(spark):
         odds_ratios(_table(spark, {"a": (3, 4), "b": (2, 5)}), "y", {"g": "zz"}).collect()
 
 
+def test_skips_are_reported_and_text_outcomes_left_out(spark):
+    from censa.operators.odds import odds_ratio_skips
+    df = spark.createDataFrame([("a", "m", None, 1, "yes"), ("b", "m", None, 0, "no"), ("a", "m", None, 0, "1")],
+                               "g string, one string, none string, y int, t string")
+    refs = {"g": "a", "one": "m", "none": "x"}
+    assert {r.group_var: r.reason for r in odds_ratio_skips(df, "y", refs).collect()} == {
+        "one": "fewer than two levels", "none": "no rows with outcome and level"}
+    assert odds_ratios(df, "t", {"g": "a"}).count() == 0
+    assert {r.reason for r in odds_ratio_skips(df, "t", {"g": "a"}).collect()} == {"outcome is not 0/1"}
+    only = df.where("y = 0")
+    assert [r.reason for r in odds_ratio_skips(only, "y", {"g": "a"}).collect()] == ["outcome has one value only"]
+
+
+def test_limits_run_in_the_jvm(spark):
+    plan = odds_ratios(_table(spark, {"a": (3, 4), "b": (2, 5)}), "y", {"g": "a"})._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def _deviance_at(a1, a0, k1, k0, beta):
     """2 * (max loglik - profile loglik at log-OR beta), by Newton on the intercept."""
     import numpy as np

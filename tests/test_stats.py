@@ -3,7 +3,7 @@ import math
 import pytest
 
 from censa.functions.columns import safe_name
-from censa.functions.stats import normal_quantile, t_quantile, wald_p_value
+from censa.functions.stats import normal_quantile, t_quantile
 
 
 @pytest.mark.parametrize("p,df,expected", [
@@ -28,11 +28,14 @@ def test_one_formula_at_every_df():
     assert normal_quantile(0.975) == pytest.approx(1.959963984540054, abs=1e-14)
 
 
-def test_wald_p_value():
-    got = wald_p_value([1.959963984540054, 0.0, float("nan")])
-    assert got[0] == pytest.approx(0.05, abs=1e-12)
-    assert got[1] == pytest.approx(1.0)
-    assert math.isnan(got[2])
+def test_normal_tail_column(spark):
+    from pyspark.sql import functions as F
+
+    from censa.operators.odds import normal_two_sided
+    zs = [0.0, 0.3, 1.959963984540054, -3.4, 3.6, 5.0, 9.0, 30.0]
+    rows = spark.createDataFrame([(z,) for z in zs], "z double").select("z", normal_two_sided(F.col("z")).alias("p")).collect()
+    for r in rows:
+        assert r.p == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)), rel=1e-12)
 
 
 def test_safe_name():
