@@ -4,9 +4,10 @@
 Words are runs of digits, letters a-z (A-Z lower-cased) and characters
 outside ASCII. The templates below are indexed by word: each word's postings
 are the templates and positions it has, and its inverse document frequency is
-taken over the templates. A file's licence words of the highest frequencies
-(those in at most RARE templates) are looked up; every posting says where its
-template would have to start. Starts on which a template's rare words agree
+taken over the templates, where common words of the language and single
+characters count as being in all. A file's licence words of the highest
+frequencies (those in at most RARE templates) are looked up; every posting
+says where its template would have to start. Starts on which a template's rare words agree
 are kept, and a start counts if the template's mandatory key phrase stands in
 its place. The share of the template's words found in place is its score.
 
@@ -53,6 +54,8 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain",
      "unencumbered software released into the public domain"),
 )
+# Words of the templates that are common in any text.
+COMMON = frozenset("and any are by code for form free in into is of or terms the this to under use with without work".split())
 #: Words in at most so many templates are rare.
 RARE = 3
 #: Rare words of a template that must agree on its start.
@@ -67,7 +70,8 @@ def postings(templates, rare: int) -> dict[str, list[tuple[int, int]]]:
     for t, (_, notice, _) in enumerate(templates):
         for p, w in enumerate(notice.split()):
             where[w].append((t, p))
-    idf = {w: math.log(len(templates) / len({t for t, _ in at})) for w, at in where.items()}
+    plain = {w for w in where if len(w) == 1 or w in COMMON}
+    idf = {w: 0.0 if w in plain else math.log(len(templates) / len({t for t, _ in at})) for w, at in where.items()}
     least = math.log(len(templates) / rare)
     return {w: where[w] for w in sorted(where, key=lambda w: (-idf[w], w)) if idf[w] >= least - 1e-9}
 
@@ -107,7 +111,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, rare: int = RARE, agree: int = AG
             out_ = F.when(x["w"] == w, F.array(*(F.lit(t * _SPAN + _SPAN // 2 - p) + x["i"] for t, p in at))).otherwise(out_)
         return out_
 
-    all_votes = F.array_sort(F.flatten(F.transform("_hits", votes)))
+    all_votes = F.sort_array(F.flatten(F.transform("_hits", votes)))
     agreed = F.array_distinct(F.filter("_votes", lambda v, i: F.coalesce(F.get("_votes", i + (agree - 1)) == v, F.lit(False))))
     template = lambda v: F.floor(v / _SPAN).cast("int")
     start = lambda v: (v % _SPAN - _SPAN // 2).cast("int")
@@ -132,7 +136,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, rare: int = RARE, agree: int = AG
     found = F.transform(F.filter("_agreed", verified),
                         lambda v: F.struct(F.get(names, template(v)).alias("label"), start(v).cast("long").alias("start"), share(v).alias("share")))
     out = out.withColumn("_votes", all_votes).withColumn("_agreed", agreed).withColumn("found", found)
-    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
     return out.select(
         "doc_id", F.size("_words").cast("long").alias("n_words"), F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),

@@ -61,7 +61,7 @@ def spot_signatures(frame: DataFrame, text: str, name: str, chain: int = CHAIN,
     found = (F.when(F.size("_spots") > 0, F.col("_spots")).when(F.size("_words") >= 3, triples)
              .otherwise(F.array(signature(F.lower(text)))))
     return (frame.withColumn("_words", words_of(F.col(text))).withColumn("_content", content)
-            .withColumn("_spots", chains).withColumn(name, F.array_sort(F.array_distinct(found)))
+            .withColumn("_spots", chains).withColumn(name, F.sort_array(F.array_distinct(found)))
             .drop("_words", "_content", "_spots"))
 
 
