@@ -8,6 +8,7 @@ decimals so Spark and DuckDB results can be hashed and compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from .operators.tables import label_results, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .plans.results import multi_results
 from .session import scratch_path
+from .sources.audit import audit_log, read_audit_csv
 from .sources.multichoice import expand_select_multiple, members_long
 from .sources.submissions import read_submissions, split_repeats
 
@@ -216,6 +218,32 @@ def events_as_audit(spark, sf_dir) -> DataFrame:
                      (start + F.round(F.col("value") * 1000).cast("long")).alias("end"))
 
 
+def q_audit_log(spark, sf_dir):
+    """The audit source: events are written as one CSV file a user, with two
+    header forms (hyphens, and 40 columns more in another order), and read
+    back through the attachments."""
+    ev = table(spark, sf_dir, "events")
+    start = epoch_millis(ev, "ts")
+    rows = ev.select(F.col("user_id").alias("uuid"), F.lit("question").alias("event"), F.col("event_type").alias("node"),
+                     start.alias("start"), (start + F.round(F.col("value") * 1000).cast("long")).alias("end"),
+                     F.concat(F.col("event_type"), F.lit(', "x"\nline '), F.col("event_id").cast("string")).alias("old"),
+                     F.col("props").alias("new"))
+    folder = scratch_path(spark, f"audit-{uuid4().hex}")
+    forms = {"a": (rows.where("uuid % 2 = 0"), ["event", "node", "start", "end"], ["old-value", "new-value"]),
+             "b": (rows.where("uuid % 2 <> 0"), [*(f"x{i}" for i in range(40)), "new_value", "old_value"], ["end", "start", "node"])}
+    for form, (part, first, last) in forms.items():
+        named = part.withColumns({"old-value": F.col("old"), "new-value": F.col("new"), "old_value": F.col("old"),
+                                  "new_value": F.col("new"), **{f"x{i}": F.lit(None).cast("string") for i in range(40)}})
+        (named.select("uuid", *[F.col(f"`{c}`") for c in [*first, *last]]).repartition("uuid").write.partitionBy("uuid")
+              .option("header", True).option("escape", '"').csv(f"{folder}/form={form}"))
+    files = (spark.read.text(folder, wholetext=True)
+             .select(F.regexp_extract("_metadata.file_path", "uuid=([0-9-]+)/", 1).cast("long").alias("uuid"),
+                     F.struct(F.lit("audit.csv").alias("media_file_basename"),
+                              F.col("_metadata.file_path").alias("download_url")).alias("a")))
+    subs = files.groupBy("uuid").agg(F.collect_list("a").alias("_attachments"))  # the files of one user
+    return audit_log(subs, read_audit_csv(spark, folder)).drop("file")
+
+
 def q_interview_duration(spark, sf_dir):
     subs = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "uuid")
     res = interview_duration(subs, events_as_audit(spark, sf_dir), remove_geo=True,
@@ -380,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_summary": q_run_summary,
     "odds_ratio_counts": q_odds_ratio_counts,
     "odds_ratios": q_odds_ratios,
+    "audit_log": q_audit_log,
     "interview_duration": q_interview_duration,
     "split_repeats": q_split_repeats,
     "other_options": q_other_options,
@@ -643,6 +672,12 @@ FROM o LEFT JOIN lim ON lim.term = o.term LEFT JOIN p ON p.term = o.term"""
 
 ORACLE["odds_ratios"] = _odds_limits_sql()
 
+ORACLE["audit_log"] = """
+SELECT user_id AS uuid, event_type AS node, epoch_us(ts) // 1000 AS start,
+       epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS "end",
+       event_type || ', "x"' || chr(10) || 'line ' || event_id AS old_value, props AS new_value
+FROM events"""
+
 ORACLE["interview_duration"] = """
 WITH a AS (SELECT user_id AS uuid, epoch_us(ts) // 1000 AS s,
                   epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS e

@@ -29,7 +29,7 @@ def normalise_path(c: Column) -> Column:
 # a record: quoted parts (which may hold line breaks) and other characters;
 # possessive, so matching neither backtracks nor recurses on long files
 _RECORD = r'((?:"(?:[^"]++|"")*+"|[^"\r\n]++)++)'
-_CELL = r'(?:^|,)((?:"(?:[^"]++|"")*+"|[^",]++)*+)'
+_CELL = r',((?:"(?:[^"]++|"")*+"|[^",]++)*+)'  # of a record with a comma put in front
 
 
 def _cells(record: Column) -> Column:
@@ -38,7 +38,7 @@ def _cells(record: Column) -> Column:
         quoted = cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1)
         return F.when(quoted, F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))) \
                 .otherwise(F.nullif(cell, F.lit("")))
-    return F.transform(F.regexp_extract_all(record, F.lit(_CELL), F.lit(1)), plain)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_CELL), F.lit(1)), plain)
 
 
 def parse_audit_files(raw: DataFrame) -> DataFrame:

@@ -58,9 +58,10 @@ def test_wide_headers_and_quotes(spark, tmp_path):
     d.mkdir()
     extra = ",".join(f"x{i}" for i in range(40))
     (d / "w.csv").write_text(f'event,{extra},node,start,end,old-value\r\nq,{"," * 39},"/a ""b"", c",5,65,"1,2"\r\n')
+    (d / "v.csv").write_text("x,node,start,end\n,/first cell empty,1,2\n")
     (d / "none.csv").write_text("a,b\n1,2\n")
     rows = read_audit_csv(spark, str(d))
     got = [(r.node, r.start, r.end, r.old_value, r.new_value) for r in rows.collect()]
-    assert got == [('/a "b", c', 5, 65, "1,2", None)]
+    assert sorted(got) == [('/a "b", c', 5, 65, "1,2", None), ("/first cell empty", 1, 2, None, None)]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
