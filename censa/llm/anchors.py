@@ -91,9 +91,10 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def slot_count(docs: DataFrame) -> int:
-    """Slots, and parts: so many that one holds a few MB of the input where
-    shuffle partitions are set for the input."""
-    return max(16, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Slots, and parts: as many as shuffle partitions, which are set for the
+    input. Every part sends every slot one packed row, so more would only
+    make more and smaller rows."""
+    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def groups_of(batch: pa.RecordBatch, text: str = "text"):

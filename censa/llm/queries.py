@@ -95,4 +95,40 @@ SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256,
        len(list_intersect(fa.sigs, fn.sigs)) / (len(fa.sigs) + len(fn.sigs) - len(list_intersect(fa.sigs, fn.sigs)))::DOUBLE AS near_next,
        len(fa.sigs) AS n_signatures
 FROM e JOIN f fa ON fa.text = e.text JOIN f fe ON fe.text = e.edited JOIN f fn ON fn.text = e.next_text
+""",
+    "op7_doubling_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+s AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
+      FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 33, 1))) AS i FROM d)),
+again AS (SELECT s.r, s.i FROM s JOIN (SELECT h FROM s GROUP BY h HAVING count(*) > 1) g ON g.h = s.h),
+m AS (SELECT w.r, w.i, w.w, max(CASE WHEN a.i IS NULL THEN 0 ELSE 1 END)
+        OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+      FROM w LEFT JOIN again a ON a.r = w.r AND a.i = w.i),
+k AS (SELECT r, sum(gone) AS n, string_agg(CASE WHEN gone = 0 THEN w END, ' ' ORDER BY i) AS kept FROM m GROUP BY r)
+SELECT d.doc_id, len(d.ws) AS n_words, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.r = d.r
+""",
+    "op9_suffix_array_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT r, unnest(range(0, length(x) // 2)) AS i, unnest(regexp_extract_all(x, '..')) AS byte FROM d),
+h1 AS (SELECT r, i, byte AS h FROM b),
+h2 AS (SELECT r, i, md5(h || lead(h, 1) OVER (PARTITION BY r ORDER BY i)) AS h FROM h1),
+h4 AS (SELECT r, i, md5(h || lead(h, 2) OVER (PARTITION BY r ORDER BY i)) AS h FROM h2),
+h8 AS (SELECT r, i, md5(h || lead(h, 4) OVER (PARTITION BY r ORDER BY i)) AS h FROM h4),
+h16 AS (SELECT r, i, md5(h || lead(h, 8) OVER (PARTITION BY r ORDER BY i)) AS h FROM h8),
+h32 AS (SELECT r, i, md5(h || lead(h, 16) OVER (PARTITION BY r ORDER BY i)) AS h FROM h16),
+h50 AS (SELECT r, i, md5(h || lead(h, 18) OVER (PARTITION BY r ORDER BY i)) AS h FROM h32),
+s AS (SELECT h50.r, d.doc_id, h50.i, h50.h FROM h50 JOIN d ON d.r = h50.r WHERE h50.h IS NOT NULL AND d.doc_id IS NOT NULL),
+least_id AS (SELECT h, min(doc_id) AS least_id FROM s GROUP BY h HAVING count(*) > 1),
+late AS (SELECT s.r, s.i FROM s JOIN least_id l ON l.h = s.h WHERE s.doc_id > l.least_id),
+m AS (SELECT b.r, b.i, b.byte, max(CASE WHEN l.i IS NULL THEN 0 ELSE 1 END)
+        OVER (PARTITION BY b.r ORDER BY b.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+      FROM b LEFT JOIN late l ON l.r = b.r AND l.i = b.i),
+e AS (SELECT *, CASE WHEN gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), 0) = 0 THEN 1 ELSE 0 END AS first FROM m),
+k AS (SELECT r, sum(gone) AS n, sum(first) AS spans, string_agg(CASE WHEN gone = 0 THEN byte END, '' ORDER BY i) AS kept FROM e GROUP BY r)
+SELECT d.doc_id, length(d.x) // 2 AS n_bytes, CAST(coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k ON k.r = d.r
 """}
