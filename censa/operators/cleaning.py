@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import lookup_join
 from ..functions.columns import q, require_columns
 from ..session import ensure_checkpoint_dir
 
@@ -202,19 +203,21 @@ def validate_cleaning_log(log: DataFrame, form: DataFrame, choices: DataFrame,
     # form-sized, used three times below: stored once
     ensure_checkpoint_dir(log.sparkSession)
     lists = choice_lists(choices, form, others=use_others).checkpoint(eager=True)
-    names = lists.select(F.col("name").alias("__ln")).distinct()
-    pairs = lists.select(F.col("name").alias("__pn"), F.col("value").alias("__pv")).distinct()
-    ct = lists.where(F.col("name") == "change_type_validation").select(
+    names = lists.where("name IS NOT NULL").select(F.col("name").alias("__ln")).distinct()
+    pairs = (lists.where("name IS NOT NULL AND value IS NOT NULL")
+                  .select(F.col("name").alias("__pn"), F.col("value").alias("__pv")).distinct())
+    ct = lists.where((F.col("name") == "change_type_validation") & F.col("value").isNotNull()).select(
         F.col("value").alias("__ct"))
     not_all = F.coalesce(F.col("uuid").cast("string") != "all", F.lit(False))
-    flagged = log.join(names, log["question"] == names["__ln"], "left")
+    # a few questions hold most of the log: the lists' size is checked, they go to the rows
+    flagged = lookup_join(log, names, [("question", "__ln")], "left")
     rule = (F.when(F.col("__ln").isNotNull() & not_all, F.col("question"))
              .when((F.col("question").contains(".") | F.col("question").contains("/")) & not_all,
                    F.lit(binary)))
     flagged = flagged.withColumn("allowed_list", rule).drop("__ln")
-    flagged = flagged.join(pairs, (F.col("allowed_list") == F.col("__pn"))
-                           & (F.col("new_value").cast("string") == F.col("__pv")), "left")
-    flagged = flagged.join(ct, F.col(q(change_type_col)) == F.col("__ct"), "left")
+    flagged = lookup_join(flagged.withColumn("__nv", F.col("new_value").cast("string")), pairs,
+                          [("allowed_list", "__pn"), ("__nv", "__pv")], "left")
+    flagged = lookup_join(flagged, ct, [(change_type_col, "__ct")], "left")
     return flagged.select(
         *[F.col(q(c)) for c in log.columns], "allowed_list",
         F.when(F.col("allowed_list").isNotNull(), F.col("__pn").isNotNull()).alias("new_value_ok"),

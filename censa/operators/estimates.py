@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..design import H, W, DesignInfo, SurveyDesign, design_table, prepared
 from ..functions.columns import number, q
+from ..functions.joins import lookup_join
 from ..functions.stats import two_sided_crit
 from ..session import ensure_checkpoint_dir
 from .cumulative import running_sum
@@ -322,6 +323,13 @@ def _moment_estimates(sums, sizes, meta, ci_method: str = "wald") -> DataFrame:
         Wt.alias("n_w_total"), _pick(meta["levels"], "double", aid).alias("level"))
 
 
+def _lookup(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of all domains with their domain's values from a stored table; the
+    overall domain holds every row, so rows are not gathered by domain."""
+    renamed = stored.withColumnsRenamed({"aid": "__aid", "gval": "__gval"})
+    return lookup_join(rows, renamed, [("aid", "__aid"), ("gval", "__gval")]).drop("__aid", "__gval")
+
+
 def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
     recs_df = _records(base, recs).drop("val")
     # weighted distinct values per domain, then their running weight
@@ -330,14 +338,15 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
     cum, tot = running_sum(dist, ["aid", "gval"], "y", "ws", "C", range_partitions, count="cnt_v")
     tot = tot.select("aid", "gval", F.col("__total").alias("Wt"),
                      F.col("__count").alias("n_total"), F.col("__max_order").alias("ymax"))
-    cumt = _nsjoin(cum, tot, ["aid", "gval"])
+    # per-domain tables are result-sized: stored, and looked up by the rows
+    cumt = _lookup(cum, tot.checkpoint(eager=True))
     med = (cumt.where(F.col("C") >= 0.5 * F.col("Wt"))
-               .groupBy("aid", "gval").agg(F.min("y").alias("m")))
+               .groupBy("aid", "gval").agg(F.min("y").alias("m"))).checkpoint(eager=True)
 
     # second pass: SE of the weighted share of the domain at or below the median
     w = F.col(W)
     ind = F.when(F.col("y") <= F.col("m"), 1.0).otherwise(0.0)
-    per_h = (_nsjoin(recs_df, med, ["aid", "gval"])
+    per_h = (_lookup(recs_df, med)
              .groupBy("aid", "gval", H)
              .agg(F.sum(w * ind).alias("A"), F.sum(w * w * ind).alias("B"),
                   F.sum(w).alias("S"), F.sum(w * w).alias("T")))
@@ -355,7 +364,7 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
                   F.col("gAS"), F.col("gSS"), F.col("Ws")))).alias("half")))
     bounds = half.select("aid", "gval", (F.lit(0.5) - F.col("half")).alias("p_low"),
                          (F.lit(0.5) + F.col("half")).alias("p_up"))
-    limits = (_nsjoin(cumt, bounds, ["aid", "gval"])
+    limits = (_lookup(cumt, bounds.checkpoint(eager=True))
               .groupBy("aid", "gval")
               .agg(F.min(F.when(F.col("C") >= F.col("p_low") * F.col("Wt"), F.col("y"))).alias("lo"),
                    F.min(F.when(F.col("C") >= F.col("p_up") * F.col("Wt"), F.col("y"))).alias("hi")))
