@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 
-DEALT = "part int, first long, hashes binary, more binary, rows binary, places binary, known boolean"
+DEALT = "part int, first long, hashes binary, more binary, rows binary, places binary, known binary"
 FOUND = "slot int, rids binary, places binary"
 DEALT_NAMES = [c.split()[0] for c in DEALT.split(", ")]
 
@@ -133,7 +133,7 @@ def deal(first: int, row: np.ndarray, place: np.ndarray, hashes: np.ndarray, mor
     rest = np.flatnonzero(known & ~lead)
     out: dict[str, list] = {n: [] for n in DEALT_NAMES}
 
-    def put(which: np.ndarray, part: np.ndarray, flag: bool, with_hash: bool) -> None:
+    def put(which: np.ndarray, part: np.ndarray, with_hash: bool) -> None:
         by = np.argsort(part, kind="stable")
         which, part = which[by], part[by]
         bounds = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else []
@@ -145,14 +145,12 @@ def deal(first: int, row: np.ndarray, place: np.ndarray, hashes: np.ndarray, mor
             out["more"].append(more[own].tobytes() if with_hash and more is not None else b"")
             out["rows"].append(planes(np.diff(row[own], prepend=0).astype(np.uint16)))
             out["places"].append(planes(place[own].astype(np.uint32)))
-            out["known"].append(flag)
+            out["known"].append(known[own].tobytes() if with_hash else b"")
 
     home = (mix(hashes) % U64(parts)).astype(np.int64)
-    for flag in (False, True):
-        own = send[known[send] == flag]
-        put(own, home[own], flag, True)
-    put(rest, slot_of[row[rest]].astype(np.int64), True, False)
-    kinds = {"part": pa.int32(), "first": pa.int64(), "known": pa.bool_()}
+    put(send, home[send], True)
+    put(rest, slot_of[row[rest]].astype(np.int64), False)
+    kinds = {"part": pa.int32(), "first": pa.int64()}
     yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()], DEALT_NAMES)
 
 
@@ -209,11 +207,10 @@ def repeated(dealt: DataFrame, slots: int, apart: bool) -> DataFrame:
         asked = [k for k, n in enumerate(has) if n]
         rid, place = entries(table, done)
         if asked:
-            flags = table.column("known").to_pylist()
             h = np.concatenate([from_planes(table.column("hashes")[k].as_py(), has[k], U64) for k in asked])
             extra = [np.frombuffer(table.column("more")[k].as_py(), U64) for k in asked]
             m = np.concatenate(extra)
-            known = np.concatenate([np.full(has[k], flags[k]) for k in asked])
+            known = np.concatenate([np.frombuffer(table.column("known")[k].as_py(), bool) for k in asked])
             r, p = entries(table, asked)
             order = np.lexsort((h, m)) if len(m) else np.argsort(h, kind="stable")
             h, r, p, known = h[order], r[order], p[order], known[order]
@@ -272,7 +269,7 @@ def matched(texts: pa.Table, found: pa.Table, every: bool = False):
 def deal_slot(slot: int, dealt: list[tuple], parts: int, apart: bool, width: int = 8) -> pa.Table:
     """``deal`` for (rank, place, hashes, more) of a slot's rows, rising ranks."""
     empty = pa.schema([("part", pa.int32()), ("first", pa.int64()), ("hashes", pa.binary()), ("more", pa.binary()),
-                       ("rows", pa.binary()), ("places", pa.binary()), ("known", pa.bool_())])
+                       ("rows", pa.binary()), ("places", pa.binary()), ("known", pa.binary())])
     if not dealt:
         return empty.empty_table()
     rank, place, hashes = (np.concatenate([d[k] for d in dealt]) for k in range(3))
