@@ -12,7 +12,7 @@ from .common import read_documents
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(read_documents(spark, sf_dir))
+    return quality.quality_rules(read_documents(spark, sf_dir)).drop("longest_repeat", "n_maximal")
 
 
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,3 +132,75 @@ SELECT d.doc_id, length(d.x) // 2 AS n_bytes, CAST(coalesce(k.n, 0) AS BIGINT) A
        CAST(coalesce(k.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
 FROM d LEFT JOIN k ON k.r = d.r
 """}
+
+
+def _quality_sql() -> str:
+    """The union of maximal repeats of MIN_REPEAT or more words is that of all
+    repeated windows of MIN_REPEAT words; a longer repeat than MAX_LONGEST is a
+    repeated window of one word more."""
+    def windows(k: int) -> str:
+        return f"""
+s{k} AS (SELECT r, i, md5(array_to_string(ws[i:i + {k - 1}], ' ')) AS h
+         FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - {k - 2}, 1))) AS i FROM d)),
+a{k} AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, h) AS n FROM s{k}) WHERE n > 1),
+c{k} AS (SELECT r, sum(hit) AS n FROM (
+           SELECT w.r, max(CASE WHEN a.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.r ORDER BY w.i
+                  ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS hit
+           FROM w LEFT JOIN a{k} a ON a.r = w.r AND a.i = w.i) GROUP BY r),"""
+    q = quality
+    return rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT r, generate_subscripts(ws, 1) AS i FROM d),{windows(3)}{windows(q.MIN_REPEAT)}{windows(q.MAX_LONGEST + 1)}
+e AS (SELECT d.doc_id, len(d.ws) AS n_words, length(coalesce(array_to_string(d.ws, ''), '')) AS word_chars,
+             length(d.t) - length(translate(d.t, '#*$%&|<>', '')) AS n_symbols,
+             list_filter(string_split(d.t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+             CAST(coalesce(c3.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(c{q.MIN_REPEAT}.n, 0) AS BIGINT) AS n_span_words,
+             coalesce(c{q.MAX_LONGEST + 1}.n, 0) AS too_long
+      FROM d LEFT JOIN c3 ON c3.r = d.r LEFT JOIN c{q.MIN_REPEAT} ON c{q.MIN_REPEAT}.r = d.r
+      LEFT JOIN c{q.MAX_LONGEST + 1} ON c{q.MAX_LONGEST + 1}.r = d.r),
+f AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM e)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+       n_repeat_words, n_span_words, base_failed,
+       NOT base_failed AND n_span_words <= {q.MAX_COVERED} * n_words AND too_long = 0 AS kept
+FROM f
+"""
+
+
+def _license_sql() -> str:
+    rare = licenses.postings(licenses.TEMPLATES, licenses.RARE)
+    rows = []
+    for t, (label, notice, key) in enumerate(licenses.TEMPLATES):
+        words, key_words = notice.split(), key.split()
+        at = len(notice[:f" {notice} ".index(f" {key} ")].split())
+        rows += [f"({t}, '{label}', {p}, '{w}', {w in rare}, {at <= p < at + len(key_words)}, {len(words)}, {len(key_words)})"
+                 for p, w in enumerate(words)]
+    base = "\nUNION ALL ".join(
+        f"SELECT r, i, '{label}' AS label FROM w WHERE w = '{p.split()[0]}' AND w1 = '{p.split()[1]}'"
+        + (f" AND w2 = '{p.split()[2]}'" if len(p.split()) > 2 else "") for p, label in licenses.BASE.items())
+    return rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+u AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM d),
+w AS (SELECT *, lead(w, 1) OVER (PARTITION BY r ORDER BY i) AS w1, lead(w, 2) OVER (PARTITION BY r ORDER BY i) AS w2 FROM u),
+tpl(t, label, p, w, rare, is_key, n_words, n_key) AS (VALUES {", ".join(rows)}),
+b AS ({base}),
+votes AS (SELECT u.r, tpl.t, u.i - tpl.p AS st FROM u JOIN tpl ON tpl.w = u.w AND tpl.rare GROUP BY ALL HAVING count(*) >= {licenses.AGREE}),
+m AS (SELECT v.r, tpl.label, tpl.n_words, tpl.n_key, v.t, v.st, count(*) AS n, count(*) FILTER (tpl.is_key) AS k
+      FROM votes v JOIN tpl ON tpl.t = v.t JOIN u ON u.r = v.r AND u.i = v.st + tpl.p AND u.w = tpl.w GROUP BY ALL),
+f AS (SELECT r, label, n / n_words AS share FROM m WHERE k = n_key),
+bs AS (SELECT r, count(*) AS n, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM b GROUP BY r),
+fs AS (SELECT r, max(share) AS share FROM f GROUP BY r),
+al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+       FROM (SELECT r, label FROM b UNION SELECT r, label FROM f) GROUP BY r)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(bs.n, 0) AS n_base, CAST(bs.first_word AS BIGINT) AS first_word,
+       CAST(bs.last_word AS BIGINT) AS last_word, coalesce(bs.labels, '') AS base_labels, coalesce(al.labels, '') AS labels,
+       CASE WHEN bs.n > 0 THEN 1.0::DOUBLE ELSE coalesce(fs.share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN bs ON bs.r = d.r LEFT JOIN fs ON fs.r = d.r LEFT JOIN al ON al.r = d.r
+"""
+
+
+ORACLE["op1_quality_rules"] = _quality_sql()
+ORACLE["op5_license_scan"] = _license_sql()
