@@ -6,10 +6,12 @@ outside ASCII. The templates below are indexed by word: each word's postings
 are the templates and positions it has, and its inverse document frequency is
 taken over the templates, where common words of the language and single
 characters count as being in all. A file's licence words of the highest
-frequencies (those in at most RARE templates) are looked up; every posting
-says where its template would have to start. Starts on which a template's rare words agree
-are kept, and a start counts if the template's mandatory key phrase stands in
-its place. The share of the template's words found in place is its score.
+frequencies (those in at most RARE templates, and as many more of a key phrase
+that AGREE of its words are among them) are looked up; every posting says where
+its template would have to start. Starts on which AGREE of a template's words
+agree are kept, and a start counts if the template's mandatory key phrase
+stands in its place. So a key phrase alone is enough: its own words agree.
+The share of the template's words found in place is its score.
 
 Everything is computed within the row from the places of its licence words,
 so nothing is shuffled and a long file costs in proportion to its length.
@@ -58,14 +60,15 @@ TEMPLATES = (
 COMMON = frozenset("and any are by code for form free in into is of or terms the this to under use with without work".split())
 #: Words in at most so many templates are rare.
 RARE = 3
-#: Rare words of a template that must agree on its start.
+#: Looked-up words of a template that must agree on its start.
 AGREE = 2
 _SPAN = 1 << 40
 
 
-def postings(templates, rare: int) -> dict[str, list[tuple[int, int]]]:
+def postings(templates, rare: int, agree: int = AGREE) -> dict[str, list[tuple[int, int]]]:
     """Rare words, by falling inverse document frequency, with (template,
-    position) of each."""
+    position) of each. A key phrase with fewer than ``agree`` of them adds its
+    next words of the highest frequencies."""
     where = defaultdict(list)
     for t, (_, notice, _) in enumerate(templates):
         for p, w in enumerate(notice.split()):
@@ -73,7 +76,13 @@ def postings(templates, rare: int) -> dict[str, list[tuple[int, int]]]:
     plain = {w for w in where if len(w) == 1 or w in COMMON}
     idf = {w: 0.0 if w in plain else math.log(len(templates) / len({t for t, _ in at})) for w, at in where.items()}
     least = math.log(len(templates) / rare)
-    return {w: where[w] for w in sorted(where, key=lambda w: (-idf[w], w)) if idf[w] >= least - 1e-9}
+    order = sorted(where, key=lambda w: (-idf[w], w))
+    chosen = {w for w in order if idf[w] >= least - 1e-9}
+    for _, _, key in templates:
+        words = sorted(key.split(), key=order.index)
+        missing = agree - sum(w in chosen for w in words)
+        chosen.update([w for w in words if w not in chosen][:max(missing, 0)])
+    return {w: where[w] for w in order if w in chosen}
 
 
 def in_place(start: Column, words: list[str], offset: int = 0) -> Column:
@@ -87,7 +96,8 @@ def in_place(start: Column, words: list[str], offset: int = 0) -> Column:
 def scan(docs: DataFrame, templates=TEMPLATES, rare: int = RARE, agree: int = AGREE) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score, and ``found`` (label and start of each verified template)."""
-    index = postings(templates, rare)
+    agree = min([agree, *(len(key.split()) for _, _, key in templates)])  # a key phrase alone is enough
+    index = postings(templates, rare, agree)
     starts_of = sorted({p.split()[0] for p in BASE})
     vocabulary = sorted({*index, *starts_of})
     words = F.filter(F.split(ascii_lower(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")

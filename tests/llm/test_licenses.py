@@ -54,6 +54,23 @@ def test_edited_notice_scores_below_one(spark):
     assert got.labels == "mit" and got.n_base == 0 and 0.5 < got.score < 1
 
 
+def test_key_phrase_alone_is_enough(spark):
+    notices = {"Mozilla Public License, v. 2.0": "mpl", "Mozilla Public License Version 2.0": "mpl",
+               "distributed under the terms of the Mozilla Public License": "mpl",
+               "Licensed under the MIT License": "mit", "The MIT License (MIT)": "mit",
+               "a public license of Mozilla": "", "the license of MIT": ""}
+    got = licenses.scan(frame(spark, [(i, t, *[None] * 5) for i, t in enumerate(notices)]))
+    assert {r.doc_id: r.labels for r in got.collect()} == dict(enumerate(notices.values()))
+
+
+def test_every_key_phrase_is_found_alone(spark):
+    data = [(i, f"x {key} y", *[None] * 5) for i, (_, _, key) in enumerate(licenses.TEMPLATES)]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan(frame(spark, data)).collect()}
+    assert all(label in got[i] for i, (label, _, _) in enumerate(licenses.TEMPLATES))
+    one_word = (("x", "under foo license", "foo"), ("y", "the bar baz", "bar baz"))
+    assert [r.labels for r in licenses.scan(frame(spark, [(1, "foo", *[None] * 5)]), one_word).collect()] == ["x"]
+
+
 def test_no_python_and_no_shuffle(spark):
     plan = licenses.scan(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
