@@ -8,12 +8,14 @@ Base kinds, leftmost and not overlapping within a kind:
 * ``hex``: a run of 24 or more lower-case hexadecimal digits.
 
 The method adds ``random``: a run of ``[A-Za-z0-9+/_=-]`` of MIN_RANDOM or
-more characters with both letters and digits, for which a tiktoken vocabulary
-needs so many tokens that characters per token fall below MAX_RATIO. Ordinary
-words and joined words compress well under such a vocabulary; random strings
-do not. Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128 digits, and
-UUIDs) and identifiers (words, numbers and camel-case parts joined by ``_``,
-``-`` or ``/``) are excluded first, and so are runs that touch a base span.
+more characters with a letter, for which a tiktoken vocabulary needs so many
+tokens that characters per token fall below MAX_RATIO; it need not hold a
+digit. Ordinary words and joined words compress well under such a vocabulary;
+random strings do not. Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128
+digits, and UUIDs) and identifiers (words, numbers and camel-case parts joined
+by ``_``, ``-`` or ``/``) are excluded first, and so are runs that touch a base
+span. A part of MIN_RANDOM or more capitals and digits is no identifier's, as
+base32 keys look like that; lower-case letters alone are a word at any length.
 
 Offsets are code points, ends exclusive. Edge rules: a null text is empty;
 spans are ordered by start, then kind in the order above, then end.
@@ -45,12 +47,12 @@ _HEX_RUN = np.zeros(256, bool)
 _HEX_RUN[list(b"0123456789abcdef")] = True
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[list(b"0123456789")] = True
 _UUID = re.compile(rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
 _HEX = re.compile(rb"[0-9a-f]+|[0-9A-F]+")
+# possessive {2,}+: parts of camel case have one split, or a long run that fails late takes exponential time
 _IDENTIFIER = re.compile(rb"[-_/=+]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Za-z]|[0-9]+)[-_/=+]+)*"
-                         rb"(?:(?:[A-Z]?[a-z]{2,})+[0-9]{0,4}|[A-Z]{2,}[0-9]{0,4}|[0-9]+|[A-Za-z])[-_/=+]*")
+                         rb"(?:(?:[A-Z]?[a-z]{2,}+)+[0-9]{0,4}|[A-Z]{2,}[0-9]{0,4}|[0-9]+|[A-Za-z])[-_/=+]*")
+_CAPITALS = re.compile(rb"[A-Z][A-Z0-9]{%d,}" % (MIN_RANDOM - 1))
 
 
 def runs(data: np.ndarray, off: np.ndarray, member: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +70,7 @@ def runs(data: np.ndarray, off: np.ndarray, member: np.ndarray, least: int) -> t
 def is_known(token: bytes) -> bool:
     """Digest or identifier, which the efficiency test leaves alone."""
     return bool(len(token) in DIGESTS and _HEX.fullmatch(token) or _UUID.fullmatch(token)
-                or _IDENTIFIER.fullmatch(token))
+                or _IDENTIFIER.fullmatch(token) and not _CAPITALS.search(token))
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -94,13 +96,9 @@ def find_spans(data: np.ndarray, off: np.ndarray, n_tokens, max_ratio: float) ->
     for s, e in zip(*(x.tolist() for x in runs(data, off, _HEX_RUN, MIN_HEX)), strict=True):
         found.append((int(np.searchsorted(off, s, "right")) - 1, s, 2, e))
     found.sort()
-    # runs that hold a digit and a letter, and touch no base span
+    # runs that hold a letter and touch no base span
     starts, ends = runs(data, off, _RUN, MIN_RANDOM)
     if len(starts):
-        digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
-        n = digits[ends] - digits[starts]
-        mixed = n > 0
-        starts, ends = starts[mixed], ends[mixed]
         taken = np.array(sorted((s, e) for _, s, _, e in found), np.int64).reshape(-1, 2)
         last = np.maximum.accumulate(taken[:, 1]) if len(taken) else taken[:, 1]
         more = []

@@ -47,6 +47,23 @@ def test_random_strings_found_and_known_ones_left(spark):
     assert spans[11] == []
 
 
+def test_random_keys_need_no_digit(spark):
+    keys = ["QwZxLpTrVbNmKsHdGfJc", "hVbQzXkWnRtJmYpL", "KfTq+ZrWx/bGvLnPyHdS", "XQZJKVWPTRGHNMBD", "MZXKWQYTGJRPVLBNHCDF",
+            "XKQWZJVPTRGHNB23", "bQzXkWnRtJmYpLhVsDfG=="]
+    clean = ["SomeCamelCaseIdentifier", "internationalization", "INTERNATIONALIZATION", "snake_case_name_of_some_length",
+             "MAXIMUM_NUMBER_OF_CONNECTIONS", "usr/share/documentation/examples", "----------------------", "XMLHttpRequestFactory"]
+    data = [(i, f"key {k} here", *[None] * 5) for i, k in enumerate(keys + clean)]
+    spans = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.spans] for r in secrets.scan(frame(spark, data), VOCABULARY).collect()}
+    assert [spans[i] for i in range(len(data))] == [[("random", 4, 4 + len(k))] for k in keys] + [[] for _ in clean]
+    redacted = {r.doc_id: r._redacted for r in secrets.scan(frame(spark, data), VOCABULARY, keep=["doc_id"]).collect()}
+    assert all(redacted[i] == "key [SECRET] here" for i in range(len(keys)))
+
+
+def test_long_runs_are_told_in_proportion():
+    for token in (b"a" * 100_000 + b"X", b"abC" * 30_000 + b"!", b"a_" * 50_000 + b"aXb", b"AB" * 50_000 + b"c"):
+        assert not secrets.is_known(token)
+
+
 def test_query_columns(spark, tmp_path):
     table(spark).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in queries.op6_secret_scan(spark, str(tmp_path)).collect()}
