@@ -4,9 +4,14 @@ Wherever a common word (anchor) stands, the next CHAIN content words (words
 that are no anchors) form a chain; the anchor and its chain make a spot
 signature, eight hexadecimal digits of its MD5. A text's fingerprint is its
 set of signatures, sorted and run together. Likeness is the Jaccard index of
-two sets. A pair can only reach a threshold if the smaller set's length is at
-least that share of the larger one's, so texts are partitioned by set length,
-and the bound prunes pairs before sets are compared.
+two sets.
+
+``similar`` searches a table for the pairs of fingerprints that reach a
+threshold. A pair can only do so if the smaller set's length is at least that
+share of the larger one's, so sets are partitioned by length, met by their
+rarest signatures within the partitions in reach, and the bound prunes pairs
+before sets are compared. ``compare_edited``, the query, compares given pairs
+alone: all are wanted, so nothing is partitioned or pruned there.
 
 A text without a complete chain takes every three words in a row as a
 signature, and one of fewer than three words the whole lower-case text, so
@@ -80,6 +85,40 @@ def length_partition(n: Column, threshold: float) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / threshold))).cast("int")
 
 
+def similar(docs: DataFrame, threshold: float) -> DataFrame:
+    """fingerprint, other, near: every pair of different fingerprints of
+    ``docs`` with a Jaccard index of ``threshold`` or more, once each (the
+    smaller set first). Documents with one fingerprint are alike in full and
+    count once.
+
+    Two such sets share a signature among the first n - ceil(threshold n) + 1
+    of each in any common order; the order is by falling rarity, so common
+    signatures seldom meet. A group of G alike sets has G * G / 2 pairs, all
+    of which are rows of the result."""
+    if not 0 < threshold < 1:
+        raise ValueError("threshold must lie between 0 and 1")
+    sets = (spot_signatures(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text", "sigs")
+            .select("sigs", F.array_join("sigs", "").alias("fingerprint"))
+            .withColumn("key", F.md5("fingerprint")).dropDuplicates(["key"]))
+    each = sets.select("key", F.explode("sigs").alias("sig"))
+    order = (each.join(each.groupBy("sig").agg(F.count("*").alias("c")), "sig")
+             .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("c", "sig"))).alias("_order")))
+    n, least = F.col("n"), F.ceil(F.col("n") * threshold - 1e-9).cast("int")
+    first = (order.withColumn("n", F.size("_order"))
+             .select("key", "n", F.explode(F.slice("_order", F.lit(1), n - least + 1)["sig"]).alias("sig")))
+    small = first.select("sig", length_partition(n, threshold).alias("part"), F.col("key").alias("a"), F.col("n").alias("na"))
+    reach = F.sequence(length_partition(least, threshold), length_partition(n, threshold))
+    large = first.select("sig", F.explode(reach).alias("part"), F.col("key").alias("b"), F.col("n").alias("nb"))
+    met = (small.join(large, ["sig", "part"])
+           .where("na < nb OR na = nb AND a < b").where(F.col("na") >= F.col("nb") * threshold - 1e-9)
+           .select("a", "b").distinct())
+    side = lambda key, name: sets.select(
+        F.col("key").alias(key), F.col("sigs").alias(f"_{key}"), F.col("fingerprint").alias(name))
+    return (met.join(side("a", "fingerprint"), "a").join(side("b", "other"), "b")
+            .select("fingerprint", "other", jaccard(F.col("_a"), F.col("_b"), threshold).alias("near"))
+            .where(F.col("near") >= threshold))
+
+
 def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc_id, text, next_text and both fingerprint sets (sigs, next_sigs).
 

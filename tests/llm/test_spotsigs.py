@@ -58,3 +58,32 @@ def test_jaccard_prunes_by_length(spark):
     row = spark.range(1).select(spotsigs.jaccard(a, b).alias("exact"), spotsigs.jaccard(a, b, 0.5).alias("pruned"),
                                 spotsigs.jaccard(a, a, 0.5).alias("same")).first()
     assert (row.exact, row.pruned, row.same) == (0.1, 0.0, 1.0)
+
+
+@pytest.mark.parametrize("threshold", [0.2, 1 / 3, 0.5, 0.8])
+def test_similar_pairs_equal_brute_force(spark, threshold):
+    import random
+    rng = random.Random(7)
+    vocabulary = "the of a river house stone light water field night".split()
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([2, 5, 12, 40, 120]))) for _ in range(60)]
+    texts += [texts[k] + " the old mill and the long road" for k in range(0, 60, 3)] + [texts[0], texts[0], "", None]
+    docs = frame(spark, [(i, t, *[None] * 5) for i, t in enumerate(texts)])
+    sets = {tuple(r.sigs) for r in spotsigs.spot_signatures(docs.fillna({"text": ""}), "text", "sigs").collect()}
+    want = {}
+    for a in sets:
+        for b in sets:
+            near = len({*a} & {*b}) / len({*a} | {*b})
+            if a < b and near >= threshold:
+                want[frozenset(("".join(a), "".join(b)))] = near
+    rows_ = spotsigs.similar(docs, threshold).collect()
+    got = {frozenset((r.fingerprint, r.other)): r.near for r in rows_}
+    assert want and len(rows_) == len(got) and got == want
+
+
+def test_similar_reaches_sets_at_the_bound(spark):
+    words = [f"w{i}" for i in range(731)]  # no anchors: 729 triples, and 243 of them
+    docs = frame(spark, [(1, " ".join(words), *[None] * 5), (2, " ".join(words[:245]), *[None] * 5)])
+    (got,) = spotsigs.similar(docs, 1 / 3).collect()
+    assert got.near == 243 / 729
+    with pytest.raises(ValueError):
+        spotsigs.similar(docs, 0.0)
