@@ -218,23 +218,35 @@ def events_as_audit(spark, sf_dir) -> DataFrame:
                      (start + F.round(F.col("value") * 1000).cast("long")).alias("end"))
 
 
+#: Events that one audit file holds at most; a file is read as one row.
+FILE_EVENTS = 20_000
+
+
 def q_audit_log(spark, sf_dir):
-    """The audit source: events are written as one CSV file a user, with two
-    header forms (hyphens, and 40 columns more in another order), and read
-    back through the attachments."""
+    """The audit source: events are written as CSV files, each of one user and
+    of FILE_EVENTS events at most, with two header forms (hyphens, and 40
+    columns more in another order), and read back through the attachments.
+    A user with more events is dealt by event_id over several tasks; only such
+    users, at most one for FILE_EVENTS events, are broadcast."""
     ev = table(spark, sf_dir, "events")
     start = epoch_millis(ev, "ts")
-    rows = ev.select(F.col("user_id").alias("uuid"), F.lit("question").alias("event"), F.col("event_type").alias("node"),
+    files = F.ceil(F.count("*") / FILE_EVENTS).alias("__files")
+    large = ev.groupBy(F.col("user_id").alias("uuid")).agg(files).where("__files > 1")
+    rows = ev.select(F.col("user_id").alias("uuid"), F.xxhash64("event_id").alias("__salt"),
+                     F.lit("question").alias("event"), F.col("event_type").alias("node"),
                      start.alias("start"), (start + F.round(F.col("value") * 1000).cast("long")).alias("end"),
                      F.concat(F.col("event_type"), F.lit(', "x"\nline '), F.col("event_id").cast("string")).alias("old"),
                      F.col("props").alias("new"))
+    rows = rows.join(F.broadcast(large), "uuid", "left").withColumn(
+        "__part", F.pmod("__salt", F.coalesce("__files", F.lit(1))))
     folder = scratch_path(spark, f"audit-{uuid4().hex}")
     forms = {"a": (rows.where("uuid % 2 = 0"), ["event", "node", "start", "end"], ["old-value", "new-value"]),
              "b": (rows.where("uuid % 2 <> 0"), [*(f"x{i}" for i in range(40)), "new_value", "old_value"], ["end", "start", "node"])}
     for form, (part, first, last) in forms.items():
         named = part.withColumns({"old-value": F.col("old"), "new-value": F.col("new"), "old_value": F.col("old"),
                                   "new_value": F.col("new"), **{f"x{i}": F.lit(None).cast("string") for i in range(40)}})
-        (named.select("uuid", *[F.col(f"`{c}`") for c in [*first, *last]]).repartition("uuid").write.partitionBy("uuid")
+        (named.repartition("uuid", "__part").select("uuid", *[F.col(f"`{c}`") for c in [*first, *last]])
+              .write.partitionBy("uuid").option("maxRecordsPerFile", FILE_EVENTS)
               .option("header", True).option("escape", '"').csv(f"{folder}/form={form}"))
     files = (spark.read.text(folder, wholetext=True)
              .select(F.regexp_extract("_metadata.file_path", "uuid=([0-9-]+)/", 1).cast("long").alias("uuid"),

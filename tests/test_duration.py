@@ -65,3 +65,32 @@ def test_wide_headers_and_quotes(spark, tmp_path):
     assert sorted(got) == [('/a "b", c', 5, 65, "1,2", None), ("/first cell empty", 1, 2, None, None)]
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_audit_query_spreads_a_large_user_over_files(spark, tmp_path, monkeypatch):
+    import duckdb
+
+    from censa import registry
+    (tmp_path / "sf").mkdir()
+    events = str(tmp_path / "sf" / "events.parquet")
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT i AS event_id, CASE WHEN i < 3000 THEN 4 ELSE i % 10 END::BIGINT AS user_id,
+        TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, 'click' AS event_type, i / 4.0::DOUBLE AS value,
+        '{{"k": ' || i || '}}' AS props FROM range(4000) t(i)) TO '{events}' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{events}')")
+    monkeypatch.setattr(registry, "FILE_EVENTS", 200, raising=False)
+    monkeypatch.setattr(registry, "scratch_path", lambda s, name: str(tmp_path / "audit"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    try:
+        df = registry.q_audit_log(spark, str(tmp_path / "sf"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sql = registry.ORACLE["audit_log"]
+    columns = ["uuid", "node", "start", "end", "old_value", "new_value"]
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(con.execute(f"SELECT {quoted} FROM ({sql})").fetchall())
+    files = sorted((tmp_path / "audit").rglob("*.csv"))
+    assert max(f.read_text().count("question") for f in files) <= 200
+    large = [f for f in files if "uuid=4" in str(f)]
+    assert len(large) >= 15 and len({f.name[:10] for f in large}) > 1  # more than one task
+    assert all(f.read_text().startswith("event,node,start,end,") for f in large)
