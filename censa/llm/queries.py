@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, langid, licenses, packing, quality, secrets, simhash, spotsigs, substring_dedup, suffix_dedup
+from ..session import scratch_path
+from . import (bpe, divergence, filter_audit, langid, licenses, packing, quality, secrets, simhash, spotsigs,
+               substring_dedup, suffix_dedup, warc)
 from .common import read_documents
 
 
@@ -62,9 +67,27 @@ def op10_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_documents(spark, sf_dir))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, f"warc-{uuid4().hex}")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    back = warc.read_archives(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").checkpoint()
+    warc.remove_archives(folder)
+    return back
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_spotsigs, op3_simhash_near_dedup, op4_packing, op5_license_scan, op6_secret_scan,
-    op7_doubling_dedup, op8_language_id, op9_suffix_array_dedup, op10_bpe_chunks)} | {"pipeline": corpus_pipeline.run}
+    op7_doubling_dedup, op8_language_id, op9_suffix_array_dedup, op10_bpe_chunks, op11_source_divergence,
+    op12_filter_interactions, op13_warc)} | {"pipeline": corpus_pipeline.run}
 
 _ANCHORS = ", ".join(f"'{a}'" for a in dict.fromkeys(spotsigs.ANCHORS))
 
@@ -204,3 +227,75 @@ FROM d LEFT JOIN bs ON bs.r = d.r LEFT JOIN fs ON fs.r = d.r LEFT JOIN al ON al.
 
 ORACLE["op1_quality_rules"] = _quality_sql()
 ORACLE["op5_license_scan"] = _license_sql()
+
+
+ORACLE["op11_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(list_filter(regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+own AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+cell AS (SELECT g.lang, g.source, kept.term, coalesce(own.n, 0) AS n, kept.n AS lang_n
+         FROM g JOIN kept ON kept.lang = g.lang
+         LEFT JOIN own ON own.lang = g.lang AND own.source = g.source AND own.term = kept.term),
+t AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total FROM cell),
+p AS (SELECT t.lang, t.source, t.term, t.n,
+        1 + {divergence.SCALE}::HUGEINT * (t.n + {divergence.SMOOTH}) // (t.total + {divergence.SMOOTH} * v.v) AS p,
+        1 + {divergence.SCALE}::HUGEINT * (t.lang_n + {divergence.SMOOTH}) // (v.total + {divergence.SMOOTH} * v.v) AS q
+      FROM t JOIN v ON v.lang = t.lang),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+         FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+          FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+          LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) <= {divergence.TOP}
+"""
+
+_ORDERS = ", ".join("('" + "".join(o) + "')" for o in permutations(filter_audit.FILTERS))
+
+ORACLE["op12_filter_interactions"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+least AS (SELECT t, min(doc_id) AS least_id FROM d GROUP BY t),
+m AS (SELECT w.part,
+        coalesce(w.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+        coalesce(w.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic,
+        [len(ws) < {filter_audit.MIN_WORDS}, 100 * len(list_distinct(ws)) < {filter_audit.MIN_DISTINCT} * len(ws),
+          100 * (length(w.t) - length(translate(w.t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > {filter_audit.MAX_UPPER} * length(w.t),
+          regexp_matches(w.t, '[#$%&*|]'), coalesce(w.doc_id > least.least_id, false)] AS f
+      FROM w JOIN least ON least.t = w.t),
+c AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+o(filter_order) AS (VALUES {_ORDERS}),
+x AS (SELECT c.*, o.filter_order, list_filter(range(1, 6), lambda k: f[strpos('ABCDE', filter_order[k])]) AS failing FROM c, o),
+y AS (SELECT x.*, s.step, len(failing) > 0 AND failing[1] < s.step AS before, f[strpos('ABCDE', filter_order[s.step])] AS fails
+      FROM x, (SELECT unnest(range(1, 6)) AS step) s),
+z AS (SELECT part, filter_order, step, sum(CASE WHEN before OR fails THEN 0 ELSE n END) AS kept,
+        sum(CASE WHEN fails AND NOT before THEN n ELSE 0 END) AS removed, sum(CASE WHEN fails AND before THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails AND len(failing) = 1 THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN fails AND NOT before THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN fails AND NOT before THEN toxic ELSE 0 END) AS toxic_lost FROM y GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM z
+"""
+
+ORACLE["op13_warc"] = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT *, list_transform(range(0, 8), lambda k: ('0x' || substr(h, 5 * k + 1, 5))::BIGINT) AS part,
+        max(page_id) OVER (PARTITION BY t) AS last_id,
+        row_number() OVER (PARTITION BY t ORDER BY page_id DESC NULLS LAST) AS nth FROM d)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((part[k // 4 + 1] >> CAST(15 - 5 * (k % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN last_id END AS refers_to
+FROM b
+"""
