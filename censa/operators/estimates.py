@@ -13,27 +13,27 @@ Definitions (Taylor linearisation, every row its own unit, strata optional):
 * median: smallest value whose cumulative weight reaches W/2; limits invert
   the weighted distribution at ``0.5 -/+ t * SE(F(median))``.
 
-Execution: all analyses are turned into records by one ``inline`` over the
-column-pruned rows and summed by (analysis, group value, choice, stratum) with
-partial aggregation; every later step works on those sums (result-sized x
-strata). The variance is expanded into sums that exist per stratum, so no
-step pairs choices with strata. Medians collapse to distinct values and use a
-range-partitioned running sum.
+Execution: analyses are grouped into cells of a (variable, group column) pair
+(``cells``); records of all cells are summed by (cell, group value, choice,
+stratum) with partial aggregation, and every later step works on those sums
+(result-sized x strata). Levels share a cell, and overall cells are rolled up
+from grouped ones. The variance is expanded into sums that exist per stratum,
+so no step pairs choices with strata. Medians are found by selection
+(``selection``): one exchange of histograms and one of the values in a window.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..design import H, W, DesignInfo, SurveyDesign, design_table, prepared
-from ..functions.columns import number, q
-from ..functions.joins import lookup_join
 from ..functions.stats import two_sided_crit
 from ..session import ensure_checkpoint_dir
-from .cumulative import running_sum
+from .cells import DESIGN_CELL, Cells, Variable, at, records
+from .selection import BUCKETS, DOMAIN, LIMIT, window_sums
 
 TYPES = ("prop_select_one", "prop_select_multiple", "mean", "median")
 
@@ -68,7 +68,7 @@ def as_analyses(loa) -> list[Analysis]:
     return out
 
 
-def plan_analyses(df: DataFrame, loa, sm_sep: str = "/"):
+def plan_analyses(df: DataFrame, loa, sm_sep: str = "/", choices: str = "columns"):
     """Keep analyses whose variable (and group) exist in the data, drop
     self-disaggregations. Returns (kept, dropped-with-reason)."""
     cols = set(df.columns)
@@ -82,7 +82,7 @@ def plan_analyses(df: DataFrame, loa, sm_sep: str = "/"):
             dropped.append((a, "group variable not in data"))
         elif a.group_var is not None and a.group_var == a.analysis_var:
             dropped.append((a, "variable is its own group"))
-        elif a.analysis_type == "prop_select_multiple" and not members(df, a.analysis_var, sm_sep):
+        elif choices == "columns" and a.analysis_type == "prop_select_multiple" and not members(df, a.analysis_var, sm_sep):
             dropped.append((a, "no member columns"))
         else:
             kept.append(a)
@@ -104,15 +104,6 @@ def _pick(values, dtype: str, idx: Column) -> Column:
     return F.element_at(_lit_array(values, dtype), idx + 1)
 
 
-def _record(aid: int, gval: Column, val: Column, y: Column) -> Column:
-    return F.struct(F.lit(aid).alias("aid"), gval.cast("string").alias("gval"),
-                    val.cast("string").alias("val"), y.cast("double").alias("y"))
-
-
-def _group_value(a: Analysis) -> Column:
-    return F.col(q(a.group_var)).cast("string") if a.group_var else F.lit(None).cast("string")
-
-
 def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on keys that may be NULL (NULL matches NULL); keeps left's keys."""
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
@@ -122,70 +113,62 @@ def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 
 def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
-                   range_partitions: int | None = None, ci_method: str = "wald") -> DataFrame:
+                   range_partitions: int | None = None, ci_method: str = "wald",
+                   choices: str = "columns") -> DataFrame:
     """Long results table: one row per (analysis, choice, group value).
 
     Columns: analysis_type, analysis_var, analysis_var_value, group_var,
     group_var_value, stat, stat_low, stat_upp, n, n_total, n_w, n_w_total,
-    level. The design (stratum sizes, NULL weights, centres of means) is
-    checked before the estimates are planned: from a small design pass when
-    means need centring, otherwise from design records in the main aggregate.
+    level. The design (stratum sizes, NULL weights, centres of means, ranges
+    of medians) is checked before the estimates are planned: from a small
+    design pass for means and medians, otherwise from design records in the
+    main aggregate. Medians take no negative weights.
     ``ci_method='logit'`` gives proportions the interval
     ``expit(logit(p) -/+ t * SE / (p (1 - p)))`` (NULL at p = 0 or 1); means
-    and medians keep theirs.
+    and medians keep theirs. ``choices='text'`` reads the choices of
+    select-multiple variables from their packed answers instead of member
+    columns: choices are found and summed as data, so there may be any number
+    of them; one that nobody of a group value chose has no row there.
+    ``range_partitions`` is the number of ranges into which a median's domain
+    is cut per pass.
     """
     if ci_method not in ("wald", "logit"):
         raise ValueError("ci_method must be 'wald' or 'logit'")
+    if choices not in ("columns", "text"):
+        raise ValueError("choices must be 'columns' or 'text'")
     design.check(df)
-    analyses, _ = plan_analyses(df, loa, sm_sep)
+    analyses, _ = plan_analyses(df, loa, sm_sep, choices)
     if not analyses:
         raise ValueError("no analysis in the list applies to the data")
-    mean_vars = sorted({a.analysis_var for a in analyses if a.analysis_type == "mean"})
-    has_moments = any(a.analysis_type != "median" for a in analyses)
-    # Means are centred before summing, so their centres need a design pass
-    # first. Without means, the design counts ride along in the main
-    # aggregate (one record per row), saving a scan of strata and weights.
-    merged = has_moments and not mean_vars
+    moments, medians = Cells(), Cells()
+    for aid, a in enumerate(analyses):
+        listed: tuple | None = ()
+        if a.analysis_type == "prop_select_multiple":
+            listed = None if choices == "text" else tuple(members(df, a.analysis_var, sm_sep))
+        plan = medians if a.analysis_type == "median" else moments
+        plan.add(aid, Variable(a.analysis_var, a.analysis_type, listed), a.group_var)
+    mean_vars = sorted({v.name for v in moments.variables if v.kind == "mean"})
+    median_vars = sorted({v.name for v in medians.variables})
+    # Means are centred before summing and medians need their ranges, so these
+    # take a design pass first. Without them, the design counts ride along in
+    # the main aggregate (one record per row), saving a scan.
+    merged = not mean_vars and not median_vars
     centres: dict[str, float] = {}
     info = sizes = None
+    ranges: dict[str, tuple[float, float]] = {}
     if not merged:
-        info, centres, sizes = design_table(df, design, center_cols=mean_vars)
-        _check_design(info, design)
-
-    needed = []
-    for a in analyses:
-        needed.append(a.analysis_var)
-        if a.group_var:
-            needed.append(a.group_var)
-        if a.analysis_type == "prop_select_multiple":
-            needed += [c for c, _ in members(df, a.analysis_var, sm_sep)]
-    base = prepared(df, design, needed)
+        info, centres, sizes, ranges = design_table(df, design, mean_vars, median_vars)
+        _check_design(info, design, bool(median_vars))
 
-    moment_recs, median_recs = [], []
-    for aid, a in enumerate(analyses):
-        x = F.col(q(a.analysis_var))
-        g = _group_value(a)
-        if a.analysis_type == "prop_select_one":
-            moment_recs.append(F.when(x.isNotNull(), _record(aid, g, x, F.lit(1.0))))
-        elif a.analysis_type == "mean":
-            xv = number(x)  # text that is not a number, and NaN, are not in the domain
-            y = xv - F.lit(centres[a.analysis_var])
-            moment_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), y)))
-        elif a.analysis_type == "prop_select_multiple":
-            for mcol, choice in members(df, a.analysis_var, sm_sep):
-                y = F.coalesce(number(F.col(q(mcol))), F.lit(0.0))
-                moment_recs.append(F.when(x.isNotNull(), _record(aid, g, F.lit(choice), y)))
-        else:
-            xv = number(x)
-            median_recs.append(F.when(xv.isNotNull(), _record(aid, g, F.lit(None), xv)))
+    def base(plan: Cells) -> DataFrame:
+        needed = [*plan.groups, *(v.name for v in plan.variables)]
+        needed += [c for v in plan.variables for c, _ in v.choices or ()]
+        return prepared(df, design, needed)
 
     sums = None
-    if moment_recs:
-        if merged:
-            # design record: every row, counted in its stratum; y flags a NULL weight
-            moment_recs.append(_record(DESIGN_AID, F.lit(None), F.lit(None),
-                                       F.when(F.col(W).isNull(), 1.0).otherwise(0.0)))
-        sums = _stratum_sums(base, moment_recs)
+    if moments.cells:
+        by_vid = {vid: centres[v.name] for vid, v in enumerate(moments.variables) if v.kind == "mean"}
+        sums = _stratum_sums(records(base(moments), moments, by_vid, merged))
         if merged:
             info, sizes = _design_from_sums(sums)
             _check_design(info, design)
@@ -201,21 +184,25 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
                            for a in analyses])
     parts = []
     if sums is not None:
-        parts.append(_moment_estimates(sums, sizes, meta, ci_method))
-    if median_recs:
-        parts.append(_median_estimates(base, sizes, median_recs, meta, range_partitions))
+        parts.append(_moment_estimates(sums, sizes, moments, meta, ci_method))
+    if medians.cells:
+        # a stratum's factor is at most 2: n / (n - 1) from two rows on
+        widest = [max((crit[a] for a in aids if crit[a] == crit[a]), default=0.0) * 2 ** 0.5 for aids in medians.analyses]
+        window = window_sums(records(base(medians), medians, roll_up=False).drop("val"),
+                             [ranges[medians.variables[vid].name] for vid, _ in medians.cells], widest,
+                             max(2, range_partitions or BUCKETS), LIMIT)
+        parts.append(_median_estimates(window, sizes, medians, meta))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-DESIGN_AID = -1
-
-
-def _check_design(info: DesignInfo, design: SurveyDesign) -> None:
+def _check_design(info: DesignInfo, design: SurveyDesign, medians: bool = False) -> None:
     if info.null_weights:
         raise ValueError(f"{info.null_weights} row(s) have a NULL or non-numeric weight")
+    if medians and info.negative_weights:
+        raise ValueError(f"{info.negative_weights} row(s) have a negative weight: medians are not defined")
     if info.lonely_strata and design.lonely == "fail":
         raise ValueError(f"{info.lonely_strata} stratum/strata hold a single row; "
                          "use SurveyDesign(lonely='skip') to let them add zero variance")
@@ -225,7 +212,7 @@ def _design_from_sums(sums: DataFrame):
     """Design summary and per-stratum factors from the design records of the
     stored sums (one row per stratum)."""
     n_h = F.col("cnt")
-    d = (sums.where(F.col("aid") == DESIGN_AID)
+    d = (sums.where(F.col("cid") == DESIGN_CELL)
              .select(H, n_h.alias("n_h"), F.col("sy").alias("nw"),
                      F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0).alias("__f"),
                      F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0).alias("__g")))
@@ -245,25 +232,18 @@ def _with_factors(df: DataFrame, sizes) -> DataFrame:
     return _nsjoin(df, sizes.drop("n_h"), [H])
 
 
-def _records(base: DataFrame, recs: list[Column]) -> DataFrame:
-    # a NULL element (variable not answered) inlines as a row of NULLs and is
-    # dropped by the filter; no lambda, so the stage stays in generated code
-    return base.select(H, W, F.inline(F.array(*recs))).where(F.col("aid").isNotNull())
-
-
 def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
     num = (fQ - 2 * p * fB + p * p * fT) - (gAA - 2 * p * gAS + p * p * gSS)
     return F.try_divide(F.greatest(num, F.lit(0.0)), Wt * Wt)
 
 
-def _stratum_sums(base: DataFrame, recs: list[Column]) -> DataFrame:
-    """Sums per (analysis, group value, choice, stratum), partially
-    aggregated before the shuffle and stored once (result-sized x strata):
-    every later step reads this copy."""
+def _stratum_sums(recs: DataFrame) -> DataFrame:
+    """Sums per (cell, group value, choice, stratum), partially aggregated
+    before the shuffle and stored once (result-sized x strata): every later
+    step reads this copy."""
     w, y = F.col(W), F.col("y")
-    ensure_checkpoint_dir(base.sparkSession)
-    return (_records(base, recs)
-            .groupBy("aid", "gval", "val", H)
+    ensure_checkpoint_dir(recs.sparkSession)
+    return (recs.groupBy("cid", "gval", "val", H)
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("sy"),
                  F.sum(w * y).alias("A"), F.sum(w * w * y).alias("B"),
                  F.sum(w * w * y * y).alias("Q"), F.sum(w).alias("S"),
@@ -271,30 +251,59 @@ def _stratum_sums(base: DataFrame, recs: list[Column]) -> DataFrame:
             .checkpoint(eager=True))
 
 
-def _moment_estimates(sums, sizes, meta, ci_method: str = "wald") -> DataFrame:
-    """Domain sums per stratum (a single-choice domain spans its values,
-    other domains are their own row) and per domain by grouped aggregates
-    joined back, so no step holds all values of a domain in one task (a
-    free-text column analysed as single-choice has as many values as rows)."""
-    aid = F.col("aid")
-    is_one = _pick([t == "prop_select_one" for t in meta["types"]], "boolean", aid)
-    agg = (_with_factors(sums.where(aid >= 0), sizes)
-           .withColumn("vkey", F.when(is_one, F.lit(None).cast("string")).otherwise(F.col("val"))))
-    f, g = F.col("__f"), F.col("__g")
-    dom_h = (agg.groupBy("aid", "gval", "vkey", H)
-                .agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"), F.sum("cnt").alias("nD"),
-                     F.max("__f").alias("fD"), F.max("__g").alias("gD")))
+def _rolled_up(sums: DataFrame, plan: Cells) -> DataFrame:
+    """Sums of all cells: overall cells are summed from their grouped ones."""
+    own = sums.where(F.col("cid") >= 0)
+    rolled = plan.rolled_up()
+    if not rolled:
+        return own
+    to = {grouped: overall for overall, grouped in rolled.items()}
+    target = at(F.array(*[F.lit(to.get(c)).cast("int") for c in range(len(plan.cells))]), F.col("cid"))
+    overall = (own.withColumn("cid", target).where(F.col("cid").isNotNull()).groupBy("cid", "val", H)
+               .agg(*[F.sum(c).alias(c) for c in ("cnt", "sy", "A", "B", "Q", "S", "T")])
+               .withColumn("gval", F.lit(None).cast("string")))
+    return own.unionByName(overall)
+
+
+def _per_analysis(cells: DataFrame, plan: Cells) -> DataFrame:
+    """A row of a cell for each of its analyses (``aid``)."""
+    of = F.array(*[F.array(*[F.lit(a) for a in aids]) for aids in plan.analyses])
+    return cells.withColumn("aid", F.explode(at(of, F.col("cid"))))
+
+
+def _moment_estimates(sums, sizes, plan: Cells, meta, ci_method: str = "wald") -> DataFrame:
+    """Domain sums per stratum (a single-choice domain spans its values, a
+    select-multiple has domain records, a mean is its own) and per domain by
+    grouped aggregates joined back, so no step holds all values of a domain in
+    one task (a free-text column analysed as single-choice has as many values
+    as rows). Listed choices that nobody took get their zero rows from the
+    domains."""
+    kinds = [plan.variables[vid].kind for vid, _ in plan.cells]
+    listed = [plan.variables[vid].choices for vid, _ in plan.cells]
+    flag = lambda flags: at(F.array(*[F.lit(x) for x in flags]), F.col("cid"))
+    multi = flag([k == "prop_select_multiple" for k in kinds])
+    every = _rolled_up(sums, plan)
+    domains, chosen = every.where(~multi | F.col("val").isNull()), every.where(~multi | F.col("val").isNotNull())
+    dom_h = domains.groupBy(*DOMAIN, H).agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"), F.sum("cnt").alias("nD"))
     SD = F.col("SD")
-    dom = (dom_h.groupBy("aid", "gval", "vkey")
-                .agg(F.sum(SD).alias("Wt"), F.sum(F.col("fD") * F.col("TD")).alias("fT"),
-                     F.sum(F.col("gD") * SD * SD).alias("gSS"), F.sum("nD").alias("n_total")))
-    A = F.col("A")
-    vals = (_nsjoin(agg, dom_h.select("aid", "gval", "vkey", H, "SD"), ["aid", "gval", "vkey", H])
-            .groupBy("aid", "gval", "vkey", "val")
+    dom = (_with_factors(dom_h, sizes).groupBy(*DOMAIN)
+           .agg(F.sum(SD).alias("Wt"), F.sum(F.col("__f") * F.col("TD")).alias("fT"),
+                F.sum(F.col("__g") * SD * SD).alias("gSS"), F.sum("nD").alias("n_total")))
+    f, g, A = F.col("__f"), F.col("__g"), F.col("A")
+    vals = (_nsjoin(_with_factors(chosen, sizes), dom_h.select(*DOMAIN, H, "SD"), [*DOMAIN, H])
+            .groupBy(*DOMAIN, "val")
             .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
                  F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("Q")).alias("fQ"),
                  F.sum(g * A * A).alias("gAA"), F.sum(g * A * SD).alias("gAS")))
-    res = _nsjoin(vals, dom, ["aid", "gval", "vkey"])
+    of_list = [k == "prop_select_multiple" and c is not None for k, c in zip(kinds, listed, strict=True)]
+    res = _nsjoin(vals.where(~flag(of_list)), dom, DOMAIN)
+    if any(of_list):
+        names = F.array(*[F.array(*[F.lit(c) for _, c in choices or ()]).cast("array<string>") for choices in listed])
+        zero = (dom.where(flag(of_list)).withColumn("val", F.explode(at(names, F.col("cid")))))
+        some = _nsjoin(zero, vals.where(flag(of_list)), [*DOMAIN, "val"], "left")
+        res = res.unionByName(some.fillna(0, ["sumA", "n_y", "n_c", "fB", "fQ", "gAA", "gAS"]).select(*res.columns))
+    res = _per_analysis(res, plan)
+    aid = F.col("aid")
     Wt = F.col("Wt")
     p = F.try_divide(F.col("sumA"), Wt)  # NULL for a domain of zero weight
     se = F.sqrt(_variance(p, F.col("fQ"), F.col("fB"), F.col("fT"), F.col("gAA"),
@@ -323,52 +332,43 @@ def _moment_estimates(sums, sizes, meta, ci_method: str = "wald") -> DataFrame:
         Wt.alias("n_w_total"), _pick(meta["levels"], "double", aid).alias("level"))
 
 
-def _lookup(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of all domains with their domain's values from a stored table; the
-    overall domain holds every row, so rows are not gathered by domain."""
-    renamed = stored.withColumnsRenamed({"aid": "__aid", "gval": "__gval"})
-    return lookup_join(rows, renamed, [("aid", "__aid"), ("gval", "__gval")]).drop("__aid", "__gval")
-
-
-def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
-    recs_df = _records(base, recs).drop("val")
-    # weighted distinct values per domain, then their running weight
-    dist = recs_df.groupBy("aid", "gval", "y").agg(F.sum(W).alias("ws"),
-                                                   F.count(F.lit(1)).alias("cnt_v"))
-    cum, tot = running_sum(dist, ["aid", "gval"], "y", "ws", "C", range_partitions, count="cnt_v")
-    tot = tot.select("aid", "gval", F.col("__total").alias("Wt"),
-                     F.col("__count").alias("n_total"), F.col("__max_order").alias("ymax"))
-    # per-domain tables are result-sized: stored, and looked up by the rows
-    cumt = _lookup(cum, tot.checkpoint(eager=True))
-    med = (cumt.where(F.col("C") >= 0.5 * F.col("Wt"))
-               .groupBy("aid", "gval").agg(F.min("y").alias("m"))).checkpoint(eager=True)
-
-    # second pass: SE of the weighted share of the domain at or below the median
-    w = F.col(W)
-    ind = F.when(F.col("y") <= F.col("m"), 1.0).otherwise(0.0)
-    per_h = (_lookup(recs_df, med)
-             .groupBy("aid", "gval", H)
-             .agg(F.sum(w * ind).alias("A"), F.sum(w * w * ind).alias("B"),
-                  F.sum(w).alias("S"), F.sum(w * w).alias("T")))
+def _median_estimates(window: DataFrame, sizes, plan: Cells, meta) -> DataFrame:
+    """Medians and their limits from the stored window sums. A domain's values
+    in the window are few (``selection``), so their running weight is a plain
+    window; it starts from the weight below."""
+    inside, by = F.col("side") == 0, Window.partitionBy(*DOMAIN)
+    tot = window.groupBy(*DOMAIN).agg(F.sum("ws").alias("Wt"), F.sum("n").alias("n_total"),
+                                      F.sum(F.when(F.col("side") < 0, F.col("ws")).otherwise(0.0)).alias("below"))
+    cum = _nsjoin(window.where(inside).groupBy(*DOMAIN, "y").agg(F.sum("ws").alias("ws")), tot, DOMAIN)
+    cum = cum.withColumn("C", F.col("below") + F.sum("ws").over(
+        by.orderBy("y").rowsBetween(Window.unboundedPreceding, 0)))
+    med = cum.groupBy(*DOMAIN).agg(F.min(F.when(F.col("C") >= 0.5 * F.col("Wt"), F.col("y"))).alias("m"))
+
+    # SE of the weighted share of the domain at or below the median
+    at_most = (F.col("side") < 0) | (inside & (F.col("y") <= F.col("m")))
+    ind = F.when(at_most, 1.0).otherwise(0.0)
+    per_h = (_nsjoin(window, med, DOMAIN).groupBy(*DOMAIN, H)
+             .agg(F.max("m").alias("m"), F.sum(F.col("ws") * ind).alias("A"), F.sum(F.col("tt") * ind).alias("B"),
+                  F.sum("ws").alias("S"), F.sum("tt").alias("T")))
     per_h = _with_factors(per_h, sizes)
     f, g, A, S = F.col("__f"), F.col("__g"), F.col("A"), F.col("S")
-    share = (per_h.groupBy("aid", "gval")
-                  .agg(F.sum(A).alias("sumA"), F.sum(S).alias("Ws"),
+    share = (per_h.groupBy(*DOMAIN)
+                  .agg(F.max("m").alias("m"), F.sum(A).alias("sumA"), F.sum(S).alias("Ws"),
                        F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("T")).alias("fT"),
                        F.sum(g * A * A).alias("gAA"), F.sum(g * A * S).alias("gAS"),
                        F.sum(g * S * S).alias("gSS")))
     share = share.withColumn("p", F.try_divide(F.col("sumA"), F.col("Ws")))
+    se = F.sqrt(_variance(F.col("p"), F.col("fB"), F.col("fB"), F.col("fT"), F.col("gAA"),
+                          F.col("gAS"), F.col("gSS"), F.col("Ws")))
     aid = F.col("aid")
-    half = (share.select("aid", "gval", (_pick(meta["crit"], "double", aid) * F.sqrt(
-        _variance(F.col("p"), F.col("fB"), F.col("fB"), F.col("fT"), F.col("gAA"),
-                  F.col("gAS"), F.col("gSS"), F.col("Ws")))).alias("half")))
-    bounds = half.select("aid", "gval", (F.lit(0.5) - F.col("half")).alias("p_low"),
-                         (F.lit(0.5) + F.col("half")).alias("p_up"))
-    limits = (_lookup(cumt, bounds.checkpoint(eager=True))
-              .groupBy("aid", "gval")
-              .agg(F.min(F.when(F.col("C") >= F.col("p_low") * F.col("Wt"), F.col("y"))).alias("lo"),
-                   F.min(F.when(F.col("C") >= F.col("p_up") * F.col("Wt"), F.col("y"))).alias("hi")))
-    res = _nsjoin(_nsjoin(med, tot, ["aid", "gval"]), limits, ["aid", "gval"])
+    bounds = (_per_analysis(share.select(*DOMAIN, "m", se.alias("se")), plan)
+              .select("aid", *DOMAIN, "m", (_pick(meta["crit"], "double", aid) * F.col("se")).alias("half")))
+    limit = lambda share: F.min(F.when(F.col("C") >= share * F.col("Wt"), F.col("y")))
+    res = (_nsjoin(cum, bounds, DOMAIN).groupBy("aid", "gval")
+           .agg(F.max(F.when(F.col("Wt") != 0, F.col("m"))).alias("m"), F.max("Wt").alias("Wt"),
+                F.max("n_total").alias("n_total"), limit(F.lit(0.5) - F.col("half")).alias("lo"),
+                # a limit above all of the domain's weight is its largest value
+                F.coalesce(limit(F.lit(0.5) + F.col("half")), F.max(F.when(~F.isnan("half"), F.col("y")))).alias("hi")))
     return res.select(
         _pick(meta["types"], "string", aid).alias("analysis_type"),
         _pick(meta["vars"], "string", aid).alias("analysis_var"),
@@ -376,7 +376,7 @@ def _median_estimates(base, sizes, recs, meta, range_partitions) -> DataFrame:
         _pick(meta["groups"], "string", aid).alias("group_var"),
         F.col("gval").alias("group_var_value"),
         F.col("m").alias("stat"), F.col("lo").alias("stat_low"),
-        F.coalesce(F.col("hi"), F.col("ymax")).alias("stat_upp"),
+        F.col("hi").alias("stat_upp"),
         F.col("n_total").cast("long").alias("n"), F.col("n_total").cast("long").alias("n_total"),
         F.col("Wt").alias("n_w"), F.col("Wt").alias("n_w_total"),
         _pick(meta["levels"], "double", aid).alias("level"))

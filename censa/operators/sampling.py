@@ -87,7 +87,9 @@ def weight_diagnostics(df: DataFrame, weights: str, by: str | list[str] | None =
     does not skip missing values, any NULL weight in a group makes every
     statistic NULL while ``n`` still counts the row. With ``by`` and
     ``overall`` both set, one grouping-sets aggregate gives the overall row
-    (group columns NULL) and the per-group rows in one pass.
+    (group columns NULL) and the per-group rows of each column in one pass.
+    ``grouped_by`` then names the column a row is grouped by; it is NULL in the
+    overall row alone, which tells that row from a NULL group.
     """
     require_columns(df, [weights], "data")
     if not isinstance(df.schema[weights].dataType, NumericType):
@@ -101,15 +103,17 @@ def weight_diagnostics(df: DataFrame, weights: str, by: str | list[str] | None =
             F.when(n_w == n_all, F.stddev_samp(w)).alias("sd_weight")]
     if by and overall:
         sets = [[]] + [[F.col(q(b))] for b in by]
-        grouped = df.groupingSets(sets, *[F.col(q(b)) for b in by]).agg(*aggs)
+        own = F.coalesce(*[F.when(F.grouping(F.col(q(b))) == 0, F.lit(b)) for b in by])
+        grouped = df.groupingSets(sets, *[F.col(q(b)) for b in by]).agg(own.alias("grouped_by"), *aggs)
     elif by:
-        grouped = df.groupBy(*[F.col(q(b)) for b in by]).agg(*aggs)
+        grouped = (df.groupBy(*[F.col(q(b)) for b in by]).agg(*aggs)
+                   .withColumn("grouped_by", F.lit(", ".join(by))))
     else:
         grouped = df.agg(*aggs)
     cv = F.try_divide(F.col("sd_weight"), F.col("mean_weight"))
     n = F.col("n").cast("double")
     n_eff = n / (F.lit(1.0) + cv * cv)
     return grouped.select(
-        *[F.col(q(b)) for b in by], "n", "mean_weight", "sd_weight", cv.alias("cv_weight"),
+        *[F.col(q(b)) for b in by], *(["grouped_by"] if by else []), "n", "mean_weight", "sd_weight", cv.alias("cv_weight"),
         (n / n_eff).alias("design_effect"), n_eff.alias("effective_n"),
         (F.lit(1.96) * F.sqrt(F.lit(0.25) / n_eff) * F.lit(100.0)).alias("margin_of_error_95"))

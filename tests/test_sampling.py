@@ -56,6 +56,14 @@ def test_b2_weight_diagnostics(spark):
     assert r.margin_of_error_95 == pytest.approx(35.7249014178)
 
 
+def test_weight_diagnostics_tell_overall_from_a_null_group(spark):
+    df = spark.createDataFrame([(1.0, "a", 1), (2.0, "a", None), (3.0, None, 1), (5.0, None, None)], "w double, g string, h int")
+    got = {(r.grouped_by, r.g, r.h): r.n for r in weight_diagnostics(df, "w", by=["g", "h"]).collect()}
+    assert got == {(None, None, None): 4, ("g", "a", None): 2, ("g", None, None): 2, ("h", None, 1): 2, ("h", None, None): 2}
+    assert {r.grouped_by for r in weight_diagnostics(df, "w", by=["g", "h"], overall=False).collect()} == {"g, h"}
+    assert "grouped_by" not in weight_diagnostics(df, "w").columns
+
+
 def test_weight_diagnostics_edges(spark):
     one = weight_diagnostics(spark.createDataFrame([(1.0,)], "w double"), "w").first()
     assert one.n == 1 and one.sd_weight is None and one.design_effect is None
