@@ -28,6 +28,7 @@ from .operators.sampling import (base_sample_size, sample_sizes, stratified_samp
                                  weight_diagnostics)
 from .operators.tables import label_results, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
+from .functions.joins import lookup_join
 from .plans.results import multi_results
 from .session import scratch_path
 from .sources.audit import audit_log, read_audit_csv
@@ -98,6 +99,13 @@ def q_survey_all_types(spark, sf_dir):
     return rounded(survey_results(part, SurveyDesign(None, "p_size"), loa))
 
 
+def q_survey_prop_packed(spark, sf_dir):
+    """Select-multiple proportions from the packed answers themselves: no
+    member columns, choices found as data."""
+    loa = _overall_and("p_name", "prop_select_multiple", ["p_brand"])
+    return rounded(survey_results(table(spark, sf_dir, "part"), SurveyDesign(None, "p_size"), loa, choices="text"))
+
+
 def q_expand_select_multiple(spark, sf_dir):
     part = expand_select_multiple(table(spark, sf_dir, "part"), "p_name")
     return members_long(part, "p_name", "p_partkey")
@@ -218,41 +226,63 @@ def events_as_audit(spark, sf_dir) -> DataFrame:
                      (start + F.round(F.col("value") * 1000).cast("long")).alias("end"))
 
 
-#: Events that one audit file holds at most; a file is read as one row.
+#: Events that one attachment holds at most.
 FILE_EVENTS = 20_000
 
 
-def q_audit_log(spark, sf_dir):
-    """The audit source: events are written as CSV files, each of one user and
-    of FILE_EVENTS events at most, with two header forms (hyphens, and 40
-    columns more in another order), and read back through the attachments.
-    A user with more events is dealt by event_id over several tasks; only such
-    users, at most one for FILE_EVENTS events, are broadcast."""
+def _audit_forms(rows: DataFrame):
+    """(form, rows, columns) of two form versions: the first with hyphens in
+    its header, the second with 40 columns more, in another order."""
+    names = {"old-value": F.col("old"), "new-value": F.col("new"), "old_value": F.col("old"), "new_value": F.col("new"),
+             **{f"x{i}": F.lit(None).cast("string") for i in range(40)}}
+    first = ["event", "node", "start", "end", "old-value", "new-value"]
+    second = [*(f"x{i}" for i in range(40)), "new_value", "old_value", "end", "start", "node"]
+    form = F.pmod(F.coalesce(F.col("uuid").cast("string").try_cast("bigint"), F.length(F.col("uuid").cast("string"))), F.lit(2))
+    return [("a", rows.withColumns(names).where(form == 0), first), ("b", rows.withColumns(names).where(form == 1), second)]
+
+
+def _audit_rows(spark, sf_dir, interview: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     start = epoch_millis(ev, "ts")
-    files = F.ceil(F.count("*") / FILE_EVENTS).alias("__files")
-    large = ev.groupBy(F.col("user_id").alias("uuid")).agg(files).where("__files > 1")
-    rows = ev.select(F.col("user_id").alias("uuid"), F.xxhash64("event_id").alias("__salt"),
+    return ev.select(F.col(interview).alias("uuid"), F.xxhash64("event_id").alias("__salt"),
                      F.lit("question").alias("event"), F.col("event_type").alias("node"),
                      start.alias("start"), (start + F.round(F.col("value") * 1000).cast("long")).alias("end"),
                      F.concat(F.col("event_type"), F.lit(', "x"\nline '), F.col("event_id").cast("string")).alias("old"),
                      F.col("props").alias("new"))
-    rows = rows.join(F.broadcast(large), "uuid", "left").withColumn(
+
+
+def q_audit_log(spark, sf_dir):
+    """The audit source on exports that hold many interviews: events are
+    written as CSV files of two form versions, every record naming its user,
+    and read back."""
+    folder = scratch_path(spark, f"audit-{uuid4().hex}")
+    for form, part, columns in _audit_forms(_audit_rows(spark, sf_dir, "user_id")):
+        (part.select(F.col("uuid").alias("instance ID"), *[F.col(f"`{c}`") for c in columns])
+             .write.option("header", True).option("escape", '"').csv(f"{folder}/form={form}"))
+    return (read_audit_csv(spark, folder, instance=True).withColumn("uuid", F.col("instance").cast("long"))
+            .select("uuid", "node", "start", "end", "old_value", "new_value"))
+
+
+def q_audit_attachments(spark, sf_dir, interview: str = "event_type"):
+    """The audit source on attachments: an interview's events are written as
+    its own CSV files, of FILE_EVENTS events at most, and found through the
+    attachments of the submissions. An interview with more events is dealt by
+    event_id over several tasks."""
+    rows = _audit_rows(spark, sf_dir, interview)
+    files = F.ceil(F.count("*") / FILE_EVENTS).alias("__files")
+    large = rows.groupBy(F.col("uuid").alias("__uuid")).agg(files).where("__files > 1").checkpoint()
+    rows = lookup_join(rows, large, [("uuid", "__uuid")], "left").drop("__uuid").withColumn(
         "__part", F.pmod("__salt", F.coalesce("__files", F.lit(1))))
     folder = scratch_path(spark, f"audit-{uuid4().hex}")
-    forms = {"a": (rows.where("uuid % 2 = 0"), ["event", "node", "start", "end"], ["old-value", "new-value"]),
-             "b": (rows.where("uuid % 2 <> 0"), [*(f"x{i}" for i in range(40)), "new_value", "old_value"], ["end", "start", "node"])}
-    for form, (part, first, last) in forms.items():
-        named = part.withColumns({"old-value": F.col("old"), "new-value": F.col("new"), "old_value": F.col("old"),
-                                  "new_value": F.col("new"), **{f"x{i}": F.lit(None).cast("string") for i in range(40)}})
-        (named.repartition("uuid", "__part").select("uuid", *[F.col(f"`{c}`") for c in [*first, *last]])
-              .write.partitionBy("uuid").option("maxRecordsPerFile", FILE_EVENTS)
-              .option("header", True).option("escape", '"').csv(f"{folder}/form={form}"))
-    files = (spark.read.text(folder, wholetext=True)
-             .select(F.regexp_extract("_metadata.file_path", "uuid=([0-9-]+)/", 1).cast("long").alias("uuid"),
-                     F.struct(F.lit("audit.csv").alias("media_file_basename"),
-                              F.col("_metadata.file_path").alias("download_url")).alias("a")))
-    subs = files.groupBy("uuid").agg(F.collect_list("a").alias("_attachments"))  # the files of one user
+    for form, part, columns in _audit_forms(rows):
+        (part.repartition("uuid", "__part").select("uuid", *[F.col(f"`{c}`") for c in columns])
+             .write.partitionBy("uuid").option("maxRecordsPerFile", FILE_EVENTS)
+             .option("header", True).option("escape", '"').csv(f"{folder}/form={form}"))
+    kind = rows.schema["uuid"].dataType
+    listed = (spark.read.format("binaryFile").load(folder)
+              .select(F.regexp_extract("path", "uuid=([^/]+)/", 1).cast(kind).alias("uuid"),
+                      F.struct(F.lit("audit.csv").alias("media_file_basename"), F.col("path").alias("download_url")).alias("a")))
+    subs = listed.groupBy("uuid").agg(F.collect_list("a").alias("_attachments"))  # the files of one interview
     return audit_log(subs, read_audit_csv(spark, folder)).drop("file")
 
 
@@ -409,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_median": q_survey_median,
     "survey_prop_select_multiple": q_survey_prop_select_multiple,
     "survey_all_types": q_survey_all_types,
+    "survey_prop_packed": q_survey_prop_packed,
     "expand_select_multiple": q_expand_select_multiple,
     "sample_sizes": q_sample_sizes,
     "stratified_sample": q_stratified_sample,
@@ -421,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "odds_ratio_counts": q_odds_ratio_counts,
     "odds_ratios": q_odds_ratios,
     "audit_log": q_audit_log,
+    "audit_attachments": q_audit_attachments,
     "interview_duration": q_interview_duration,
     "split_repeats": q_split_repeats,
     "other_options": q_other_options,
@@ -486,18 +518,18 @@ FROM r JOIN s ON r.o_orderpriority IS NOT DISTINCT FROM s.sp
 WHERE r.rk <= s.sample""",
     "weight_diagnostics": """
 WITH g AS (
-  SELECT CAST(NULL AS VARCHAR) AS l_returnflag, count(*) AS n,
+  SELECT CAST(NULL AS VARCHAR) AS l_returnflag, CAST(NULL AS VARCHAR) AS grouped_by, count(*) AS n,
          CASE WHEN count(l_quantity) = count(*) THEN avg(l_quantity) END AS m,
          CASE WHEN count(l_quantity) = count(*) THEN stddev_samp(l_quantity) END AS sd
   FROM lineitem
   UNION ALL
-  SELECT l_returnflag, count(*),
+  SELECT l_returnflag, 'l_returnflag', count(*),
          CASE WHEN count(l_quantity) = count(*) THEN avg(l_quantity) END,
          CASE WHEN count(l_quantity) = count(*) THEN stddev_samp(l_quantity) END
   FROM lineitem GROUP BY l_returnflag),
 c AS (SELECT *, CASE WHEN m <> 0 THEN sd / m END AS cv FROM g),
 e AS (SELECT *, n / (1.0 + cv * cv) AS neff FROM c)
-SELECT l_returnflag, CAST(n AS BIGINT) AS n, round(m, 6) AS mean_weight, round(sd, 6) AS sd_weight,
+SELECT l_returnflag, grouped_by, CAST(n AS BIGINT) AS n, round(m, 6) AS mean_weight, round(sd, 6) AS sd_weight,
        round(cv, 6) AS cv_weight, round(n / neff, 6) AS design_effect, round(neff, 6) AS effective_n,
        round(1.96 * sqrt(0.25 / neff) * 100.0, 6) AS margin_of_error_95
 FROM e""",
@@ -690,6 +722,11 @@ SELECT user_id AS uuid, event_type AS node, epoch_us(ts) // 1000 AS start,
        event_type || ', "x"' || chr(10) || 'line ' || event_id AS old_value, props AS new_value
 FROM events"""
 
+# a choice that nobody of a group value chose has no row
+ORACLE["survey_prop_packed"] = f"SELECT * FROM ({ORACLE['survey_prop_select_multiple']}) WHERE n > 0"
+
+ORACLE["audit_attachments"] = ORACLE["audit_log"].replace("user_id AS uuid", "event_type AS uuid")
+
 ORACLE["interview_duration"] = """
 WITH a AS (SELECT user_id AS uuid, epoch_us(ts) // 1000 AS s,
                   epoch_us(ts) // 1000 + CAST(round(value * 1000) AS BIGINT) AS e

@@ -82,7 +82,7 @@ def test_audit_query_spreads_a_large_user_over_files(spark, tmp_path, monkeypatc
     monkeypatch.setattr(registry, "scratch_path", lambda s, name: str(tmp_path / "audit"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
     try:
-        df = registry.q_audit_log(spark, str(tmp_path / "sf"))
+        df = registry.q_audit_attachments(spark, str(tmp_path / "sf"), "user_id")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sql = registry.ORACLE["audit_log"]
@@ -94,3 +94,57 @@ def test_audit_query_spreads_a_large_user_over_files(spark, tmp_path, monkeypatc
     large = [f for f in files if "uuid=4" in str(f)]
     assert len(large) >= 15 and len({f.name[:10] for f in large}) > 1  # more than one task
     assert all(f.read_text().startswith("event,node,start,end,") for f in large)
+
+
+def _csv_text(rng, n):
+    """A CSV text with quoted line breaks, doubled quotes, both line ends and blank lines."""
+    def cell():
+        kind = rng.random()
+        if kind < 0.25:
+            return '"' + rng.choice(['a\nb', '""', '\n""x""\n\n', ',', 'end\n', '\r\n', 'node,start,end', '\n' * 40]) + '"'
+        return rng.choice(["", "x", "7", "12", "é中", "long " * 5])
+    lines = []
+    for _ in range(n):
+        lines.append(",".join(cell() for _ in range(6)) + rng.choice(["\n", "\r\n", "\n\n"]))
+    lines.insert(rng.choice([0, 0, 3]), "a,node,end,start,old-value,instance ID\n")
+    lines.insert(len(lines) // 2, "node,start,end\n")
+    return "".join(lines) + rng.choice(["", "q,node,1,2,3,4", 'q,"open', '"'])
+
+
+def test_split_scan_equals_the_single_reader(spark, tmp_path):
+    import random
+
+    from censa.sources.audit import normalise_path, parse_audit_files
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    d = tmp_path / "audit"
+    d.mkdir()
+    for k in range(6):
+        (d / f"f{k}.csv").write_text(_csv_text(rng, rng.choice([3, 40, 120])), newline="")
+    (d / "no_header.csv").write_text("a,b\n" * 30)
+    (d / "empty.csv").write_text("")
+    whole = parse_audit_files(spark.read.text(str(d), wholetext=True).select(
+        "value", normalise_path(F.col("_metadata.file_path")).alias("file")), True)
+    want = sorted(map(repr, whole.collect()))
+    settings = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for split_bytes, chunk_bytes in [(0, 50), (700, 100), (0, 1), (1 << 30, 50)]:
+            rows = read_audit_csv(spark, str(d), True, split_bytes, chunk_bytes)
+            assert sorted(map(repr, rows.collect())) == want
+        lines = spark.read.option("lineSep", "\n").text(str(d))
+        assert lines.rdd.getNumPartitions() > 20
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert len(want) > 150
+
+
+def test_records_name_their_interview(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("instance ID,event,node,start,end\nu1,q,/a,0,60000\nu2,q,/b,0,30000\nu1,q,/c,5,60005\n")
+    (tmp_path / "b.csv").write_text("node,start,end,uuid\n/d,0,60000,u2\n")
+    audit = read_audit_csv(spark, str(tmp_path), instance=True).withColumnRenamed("instance", "uuid")
+    subs = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "uuid string")
+    got = {r.uuid: r.interview_duration for r in interview_duration(subs, audit).df_and_duration.collect()}
+    assert got == {"u1": 2.0, "u2": 1.5, "u3": None}
