@@ -5,7 +5,8 @@ The estimates for all groups come from one :func:`survey_results` plan
 once, partitioned by ``group_var``; each group's wide table is then built
 from that stored, result-sized table with partition pruning, and written to
 ``{out_dir}/{prefix}__{safe_name}``. A status row per group forms the run
-summary.
+summary. All tables of a run are staged first and published together
+(``publish``): a run that fails or is killed leaves the old tables as they are.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from ..design import SurveyDesign
 from ..functions.columns import safe_name
 from ..operators.estimates import plan_analyses, survey_results
+from .publish import Staged, recover
 from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, group_values_of, label_results,
                                results_wide, review_labels)
 
@@ -68,38 +70,52 @@ def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Tab
                   agg_filename: str | None = None) -> tuple[DataFrame, str | None]:
     """Write the long table partitioned by group_var and one wide table per
     disaggregation (``fmt`` parquet or csv; ``na_text`` is written for NULL
-    in csv). All group values come from one job on the written long table,
+    in csv). All group values come from one job on the staged long table,
     and the wide tables are written side by side. A write that fails, the
-    long table's included, becomes a status row with the full error. Returns
-    (run summary, path of the long table or None if it could not be written)."""
+    long table's included, becomes a status row with the full error, and the
+    table of an earlier run stays in its place. Without ``overwrite`` a table
+    that exists already is such a failure. Returns (run summary, path of the
+    long table or None if it could not be written)."""
     spark = results.sparkSession
-    mode = "overwrite" if overwrite else "errorifexists"
-    out_dir = out_dir.rstrip("/")
-    long_path = f"{out_dir}/{agg_filename or file_prefix + '_aggregated_results'}"
-    failed = _try(lambda: results.write.mode(mode).partitionBy("group_var").parquet(long_path))
+    run = Staged(spark, out_dir)
+    recover(spark, out_dir)
+    long_name = agg_filename or file_prefix + "_aggregated_results"
+
+    def stage(name: str, save) -> str | None:
+        def checked():
+            if not overwrite and run.exists(run.final(name)):
+                raise FileExistsError(f"{run.final(name)} already exists")
+            save(run.staged(name))
+        return _try(checked)
+
+    failed = stage(long_name, lambda path: results.write.partitionBy("group_var").parquet(path))
     if failed is not None:
-        return spark.createDataFrame([(None, safe_name(None), False, False, long_path, failed)], SUMMARY_SCHEMA), None
-    stored = spark.read.parquet(long_path)
+        run.drop()
+        return spark.createDataFrame([(None, safe_name(None), False, False, run.final(long_name), failed)], SUMMARY_SCHEMA), None
+    stored = spark.read.parquet(run.staged(long_name))
     blocks = group_values_of(stored, use_labels)
     targets = sorted(blocks) or [None]
 
     def write(g, name):
-        path = f"{out_dir}/{file_prefix}__{name}"
-
-        def save():
+        def save(path):
             wide = results_wide(stored, g, value_columns, use_labels, blocks.get(g, []))
-            writer = wide.write.mode(mode).format(fmt)
+            writer = wide.write.format(fmt)
             if fmt == "csv":
                 writer = writer.option("header", True)
                 if na_text is not None:
                     writer = writer.option("nullValue", na_text)
             writer.save(path)
-        error = _try(save)
-        return g, name, error is None, error is None, path, error
+        error = stage(name, save)
+        return name, error
 
+    names = [f"{file_prefix}__{n}" for n in _unique_names(targets)]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        statuses = list(pool.map(write, targets, _unique_names(targets)))
-    return spark.createDataFrame(statuses, SUMMARY_SCHEMA), long_path
+        written = list(pool.map(write, targets, names))
+    lost = _try(lambda: run.publish([long_name, *(n for n, error in written if error is None)]))
+    statuses = [(g, n.removeprefix(f"{file_prefix}__"), (error or lost) is None, (error or lost) is None, run.final(n), error or lost)
+                for g, (n, error) in zip(targets, written, strict=True)]
+    summary = spark.createDataFrame(statuses, SUMMARY_SCHEMA)
+    return summary, run.final(long_name) if lost is None else None
 
 
 def multi_results(data: DataFrame, design: SurveyDesign, loa, out_dir: str,
