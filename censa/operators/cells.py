@@ -1,15 +1,10 @@
-"""Cells of a list of analyses, and the records that feed them.
+"""Cells of a list of analyses.
 
-A cell is a (variable, group column) pair. Analyses that differ in their level
-alone share one, and a variable's overall cell is rolled up from one of its
-grouped cells where it has any (every row has a group value, NULL included),
-so no record is sent for it.
-
-Records are made in two steps, so the plan grows with variables + cells and
-not with their product: a row's answers are listed once per variable, and each
-answered one is then repeated for the variable's cells. A select-multiple
-variable sends one domain record a row (value NULL) and one record for each
-choice that the row has, none for the others.
+A cell is a (variable, group column) pair; analyses that differ in their level
+alone share one. ``records`` makes the records of numeric variables for all
+cells in two steps, so the plan grows with variables + cells and not with
+their product: a row's answers are listed once per variable, and each answered
+one is then repeated for the variable's cells.
 """
 
 from __future__ import annotations
@@ -22,10 +17,6 @@ from pyspark.sql import functions as F
 from ..design import H, W
 from ..functions.columns import number, q
 
-#: Cell of the design records: one record a row, y flags a NULL weight.
-DESIGN_CELL = -1
-
-
 @dataclass(frozen=True)
 class Variable:
     """An analysed column: ``kind`` is the analysis type; ``choices`` are the
@@ -61,75 +52,27 @@ class Cells:
             self.analyses.append([])
         self.analyses[cid].append(aid)
 
-    def rolled_up(self) -> dict[int, int]:
-        """Overall cells and the grouped cell that each is the sum of."""
-        first: dict[int, int] = {}
-        for cid, (vid, gid) in enumerate(self.cells):
-            if gid is not None:
-                first.setdefault(vid, cid)
-        return {cid: first[vid] for cid, (vid, gid) in enumerate(self.cells) if gid is None and vid in first}
-
 
 def at(lists: Column, index: Column) -> Column:
     """lists[index], counted from 0."""
     return F.element_at(lists, (index + 1).cast("int"))
 
 
-def _answer(vid: int, val: Column, y: Column) -> Column:
-    return F.struct(F.lit(vid).alias("vid"), val.cast("string").alias("val"), y.cast("double").alias("y"))
-
-
-def answers(vid: int, v: Variable, centre: float = 0.0) -> list[Column]:
-    """Elements of a row's list of answers; NULL where the row is outside the
-    variable's domain or did not take the choice."""
-    x = F.col(q(v.name))
-    none = F.lit(None)
-    if v.kind == "prop_select_one":
-        return [F.when(x.isNotNull(), _answer(vid, x, F.lit(1.0)))]
-    if v.kind in ("mean", "median"):
-        xv = number(x)  # text that is not a number, and NaN, are not in the domain
-        y = xv - F.lit(centre) if centre else xv
-        return [F.when(xv.isNotNull(), _answer(vid, none, y))]
-    out = [F.when(x.isNotNull(), _answer(vid, none, F.lit(0.0)))]
-    for column, choice in v.choices or ():
-        y = F.coalesce(number(F.col(q(column))), F.lit(0.0))
-        out.append(F.when(x.isNotNull() & (y != 0), _answer(vid, F.lit(choice), y)))
-    return out
-
-
-def records(base: DataFrame, plan: Cells, centres: dict[int, float] | None = None, with_design: bool = False,
-            roll_up: bool = True) -> DataFrame:
-    """(stratum, weight, cid, gval, val, y) of every answer and cell.
-    ``roll_up`` leaves out the cells that are summed up from others."""
-    centres = centres or {}
-    skipped = set(plan.rolled_up()) if roll_up else set()
+def records(base: DataFrame, plan: Cells) -> DataFrame:
+    """(stratum, weight, cid, gval, y) of every answered numeric variable and
+    cell; text that is not a number, and NaN, are no answers."""
     own: list[list[int]] = [[] for _ in plan.variables]
     for cid, (vid, _) in enumerate(plan.cells):
-        if cid not in skipped:
-            own[vid].append(cid)
-    listed = [a for vid, v in enumerate(plan.variables) for a in answers(vid, v, centres.get(vid, 0.0))]
-    gids = [gid for _, gid in plan.cells]
-    if with_design:
-        design = len(own)
-        own.append([DESIGN_CELL])
-        listed.append(_answer(design, F.lit(None), F.when(F.col(W).isNull(), 1.0).otherwise(0.0)))
-    cells_of = F.array(*[F.array(*[F.struct(F.lit(c).alias("cid"), F.lit(None if c < 0 else gids[c]).cast("int").alias("gid"))
+        own[vid].append(cid)
+    listed = []
+    for vid, v in enumerate(plan.variables):
+        y = number(F.col(q(v.name)))
+        listed.append(F.when(y.isNotNull(), F.struct(F.lit(vid).alias("vid"), y.alias("y"))))
+    cells_of = F.array(*[F.array(*[F.struct(F.lit(c).alias("cid"), F.lit(plan.cells[c][1]).cast("int").alias("gid"))
                                    for c in cells]) for cells in own])
     gvals = F.array(*[F.col(q(g)).cast("string") for g in plan.groups]).cast("array<string>").alias("gvals")
-
-    def spread(rows: DataFrame) -> DataFrame:
-        return (rows.where(F.col("vid").isNotNull())
-                .select(H, W, "gvals", "val", "y", F.inline(at(cells_of, F.col("vid"))))
-                .select(H, W, "cid", at(F.col("gvals"), F.col("gid")).alias("gval"), "val", "y"))
-
     # lists and records in separate operators: each stays a small compiled method
-    out = spread(base.select(H, W, gvals, F.array(*listed).alias("answers"))
-                 .select(H, W, "gvals", F.inline("answers")))
-    packed = [(vid, v) for vid, v in enumerate(plan.variables) if v.choices is None]
-    if packed:
-        chosen = F.array(*[F.struct(F.lit(vid).alias("vid"), F.array_distinct(
-            F.split(F.trim(F.col(q(v.name)).cast("string")), r"\s+")).alias("vals")) for vid, v in packed])
-        out = out.unionByName(spread(
-            base.select(H, W, gvals, chosen.alias("chosen")).select(H, W, "gvals", F.inline("chosen"))
-            .select(H, W, "gvals", "vid", F.explode("vals").alias("val"), F.lit(1.0).alias("y")).where("val <> ''")))
-    return out
+    return (base.select(H, W, gvals, F.array(*listed).alias("answers"))
+            .select(H, W, "gvals", F.inline("answers")).where(F.col("vid").isNotNull())
+            .select(H, W, "gvals", "y", F.inline(at(cells_of, F.col("vid"))))
+            .select(H, W, "cid", at(F.col("gvals"), F.col("gid")).alias("gval"), "y"))

@@ -14,16 +14,17 @@ Definitions (Taylor linearisation, every row its own unit, strata optional):
   the weighted distribution at ``0.5 -/+ t * SE(F(median))``.
 
 Execution: analyses are grouped into cells of a (variable, group column) pair
-(``cells``); records of all cells are summed by (cell, group value, choice,
-stratum) with partial aggregation, and every later step works on those sums
-(result-sized x strata). Levels share a cell, and overall cells are rolled up
-from grouped ones. The variance is expanded into sums that exist per stratum,
-so no step pairs choices with strata. Medians are found by selection
-(``selection``): one exchange of histograms and one of the values in a window.
+(``cells``); analyses that differ in their level alone share one. The sums of
+all cells come from one pass (``moments``), and every later step works on
+them. The variance is expanded into sums that exist per stratum; strata that
+lie in one task are finished there, the others here by grouped aggregates and
+joins. Medians are found by selection (``selection``): one exchange of
+histograms and one of the values in a window.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ..design import H, W, DesignInfo, SurveyDesign, design_table, prepared
 from ..functions.stats import two_sided_crit
-from ..session import ensure_checkpoint_dir
-from .cells import DESIGN_CELL, Cells, Variable, at, records
+from .cells import Cells, Variable, at, records
+from .moments import cell_sums
 from .selection import BUCKETS, DOMAIN, LIMIT, window_sums
 
 TYPES = ("prop_select_one", "prop_select_multiple", "mean", "median")
@@ -95,13 +96,14 @@ def members(df: DataFrame, parent: str, sm_sep: str = "/") -> list[tuple[str, st
     return [(c, c[len(pre):]) for c in df.columns if c.startswith(pre) and len(c) > len(pre)]
 
 
-def _lit_array(values, dtype: str) -> Column:
-    return F.array(*[F.lit(v).cast(dtype) for v in values])
+def _constants(values, dtype: str) -> Column:
+    """A constant array, from one literal however long it is."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{dtype}>")
 
 
 def _pick(values, dtype: str, idx: Column) -> Column:
     """values[idx] for a small per-analysis constant list."""
-    return F.element_at(_lit_array(values, dtype), idx + 1)
+    return at(_constants(values, dtype), idx)
 
 
 def _nsjoin(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -168,7 +170,7 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     sums = None
     if moments.cells:
         by_vid = {vid: centres[v.name] for vid, v in enumerate(moments.variables) if v.kind == "mean"}
-        sums = _stratum_sums(records(base(moments), moments, by_vid, merged))
+        sums = cell_sums(base(moments), moments, by_vid, design.strata is None, merged)
         if merged:
             info, sizes = _design_from_sums(sums)
             _check_design(info, design)
@@ -176,7 +178,8 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         # one stratum: the factors are constants, so no join with a one-row table
         n = info.n
         sizes = (float(n) / (n - 1) if n > 1 else 0.0, 1.0 / (n - 1) if n > 1 else 0.0)
-    crit = [two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses]
+    by_level = {a.level: two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses}
+    crit = [by_level[a.level] for a in analyses]
     meta = dict(
         types=[a.analysis_type for a in analyses], vars=[a.analysis_var for a in analyses],
         groups=[a.group_var for a in analyses], levels=[float(a.level) for a in analyses],
@@ -188,7 +191,7 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     if medians.cells:
         # a stratum's factor is at most 2: n / (n - 1) from two rows on
         widest = [max((crit[a] for a in aids if crit[a] == crit[a]), default=0.0) * 2 ** 0.5 for aids in medians.analyses]
-        window = window_sums(records(base(medians), medians, roll_up=False).drop("val"),
+        window = window_sums(records(base(medians), medians),
                              [ranges[medians.variables[vid].name] for vid, _ in medians.cells], widest,
                              max(2, range_partitions or BUCKETS), LIMIT)
         parts.append(_median_estimates(window, sizes, medians, meta))
@@ -209,11 +212,11 @@ def _check_design(info: DesignInfo, design: SurveyDesign, medians: bool = False)
 
 
 def _design_from_sums(sums: DataFrame):
-    """Design summary and per-stratum factors from the design records of the
+    """Design summary and per-stratum factors from the design rows of the
     stored sums (one row per stratum)."""
-    n_h = F.col("cnt")
-    d = (sums.where(F.col("cid") == DESIGN_CELL)
-             .select(H, n_h.alias("n_h"), F.col("sy").alias("nw"),
+    n_h = F.col("x0")
+    d = (sums.where(F.col("part") == "design")
+             .select(F.col("h").alias(H), n_h.alias("n_h"), F.col("x1").alias("nw"),
                      F.when(n_h > 1, n_h / (n_h - 1)).otherwise(0.0).alias("__f"),
                      F.when(n_h > 1, 1.0 / (n_h - 1)).otherwise(0.0).alias("__g")))
     row = d.agg(F.count(F.lit(1)).alias("H"), F.sum("n_h").alias("n"),
@@ -229,7 +232,7 @@ def _with_factors(df: DataFrame, sizes) -> DataFrame:
     table, or literals when the design has a single stratum."""
     if isinstance(sizes, tuple):
         return df.withColumn("__f", F.lit(sizes[0])).withColumn("__g", F.lit(sizes[1]))
-    return _nsjoin(df, sizes.drop("n_h"), [H])
+    return _nsjoin(df, sizes.drop("n_h").withColumn(H, F.col(H).cast("string")), [H])
 
 
 def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
@@ -237,71 +240,46 @@ def _variance(p, fQ, fB, fT, gAA, gAS, gSS, Wt) -> Column:
     return F.try_divide(F.greatest(num, F.lit(0.0)), Wt * Wt)
 
 
-def _stratum_sums(recs: DataFrame) -> DataFrame:
-    """Sums per (cell, group value, choice, stratum), partially aggregated
-    before the shuffle and stored once (result-sized x strata): every later
-    step reads this copy."""
-    w, y = F.col(W), F.col("y")
-    ensure_checkpoint_dir(recs.sparkSession)
-    return (recs.groupBy("cid", "gval", "val", H)
-            .agg(F.count(F.lit(1)).alias("cnt"), F.sum(y).alias("sy"),
-                 F.sum(w * y).alias("A"), F.sum(w * w * y).alias("B"),
-                 F.sum(w * w * y * y).alias("Q"), F.sum(w).alias("S"),
-                 F.sum(w * w).alias("T"))
-            .checkpoint(eager=True))
-
-
-def _rolled_up(sums: DataFrame, plan: Cells) -> DataFrame:
-    """Sums of all cells: overall cells are summed from their grouped ones."""
-    own = sums.where(F.col("cid") >= 0)
-    rolled = plan.rolled_up()
-    if not rolled:
-        return own
-    to = {grouped: overall for overall, grouped in rolled.items()}
-    target = at(F.array(*[F.lit(to.get(c)).cast("int") for c in range(len(plan.cells))]), F.col("cid"))
-    overall = (own.withColumn("cid", target).where(F.col("cid").isNotNull()).groupBy("cid", "val", H)
-               .agg(*[F.sum(c).alias(c) for c in ("cnt", "sy", "A", "B", "Q", "S", "T")])
-               .withColumn("gval", F.lit(None).cast("string")))
-    return own.unionByName(overall)
-
-
 def _per_analysis(cells: DataFrame, plan: Cells) -> DataFrame:
     """A row of a cell for each of its analyses (``aid``)."""
-    of = F.array(*[F.array(*[F.lit(a) for a in aids]) for aids in plan.analyses])
-    return cells.withColumn("aid", F.explode(at(of, F.col("cid"))))
+    return cells.withColumn("aid", F.explode(at(_constants(plan.analyses, "array<int>"), F.col("cid"))))
+
+
+def _named(sums: DataFrame, part: str, *names: str) -> DataFrame:
+    return (sums.where(F.col("part") == part).withColumnsRenamed({f"x{i}": n for i, n in enumerate(names)})
+            .withColumnRenamed("h", H).select(*DOMAIN, "val", H, *names))
 
 
 def _moment_estimates(sums, sizes, plan: Cells, meta, ci_method: str = "wald") -> DataFrame:
-    """Domain sums per stratum (a single-choice domain spans its values, a
-    select-multiple has domain records, a mean is its own) and per domain by
-    grouped aggregates joined back, so no step holds all values of a domain in
-    one task (a free-text column analysed as single-choice has as many values
-    as rows). Listed choices that nobody took get their zero rows from the
-    domains."""
-    kinds = [plan.variables[vid].kind for vid, _ in plan.cells]
-    listed = [plan.variables[vid].choices for vid, _ in plan.cells]
-    flag = lambda flags: at(F.array(*[F.lit(x) for x in flags]), F.col("cid"))
-    multi = flag([k == "prop_select_multiple" for k in kinds])
-    every = _rolled_up(sums, plan)
-    domains, chosen = every.where(~multi | F.col("val").isNull()), every.where(~multi | F.col("val").isNotNull())
-    dom_h = domains.groupBy(*DOMAIN, H).agg(F.sum("S").alias("SD"), F.sum("T").alias("TD"), F.sum("cnt").alias("nD"))
+    """Estimates from the sums of cells. Strata that are still open are joined
+    with their domain's sums in that stratum; no step holds all values of a
+    domain in one task (a free-text column analysed as single-choice has as
+    many values as rows). Listed choices that nobody took get their zero rows
+    from the domains."""
+    domain = _with_factors(_named(sums, "domain", "SD", "TD", "nD"), sizes)
     SD = F.col("SD")
-    dom = (_with_factors(dom_h, sizes).groupBy(*DOMAIN)
-           .agg(F.sum(SD).alias("Wt"), F.sum(F.col("__f") * F.col("TD")).alias("fT"),
-                F.sum(F.col("__g") * SD * SD).alias("gSS"), F.sum("nD").alias("n_total")))
-    f, g, A = F.col("__f"), F.col("__g"), F.col("A")
-    vals = (_nsjoin(_with_factors(chosen, sizes), dom_h.select(*DOMAIN, H, "SD"), [*DOMAIN, H])
-            .groupBy(*DOMAIN, "val")
-            .agg(F.sum(A).alias("sumA"), F.sum("sy").alias("n_y"), F.sum("cnt").alias("n_c"),
-                 F.sum(f * F.col("B")).alias("fB"), F.sum(f * F.col("Q")).alias("fQ"),
-                 F.sum(g * A * A).alias("gAA"), F.sum(g * A * SD).alias("gAS")))
-    of_list = [k == "prop_select_multiple" and c is not None for k, c in zip(kinds, listed, strict=True)]
-    res = _nsjoin(vals.where(~flag(of_list)), dom, DOMAIN)
-    if any(of_list):
-        names = F.array(*[F.array(*[F.lit(c) for _, c in choices or ()]).cast("array<string>") for choices in listed])
-        zero = (dom.where(flag(of_list)).withColumn("val", F.explode(at(names, F.col("cid")))))
-        some = _nsjoin(zero, vals.where(flag(of_list)), [*DOMAIN, "val"], "left")
-        res = res.unionByName(some.fillna(0, ["sumA", "n_y", "n_c", "fB", "fQ", "gAA", "gAS"]).select(*res.columns))
+    dom_names = ["Wt", "fT", "gSS", "n_total"]
+    dom = (domain.select(*DOMAIN, SD.alias("Wt"), (F.col("__f") * F.col("TD")).alias("fT"),
+                         (F.col("__g") * SD * SD).alias("gSS"), F.col("nD").alias("n_total"))
+           .unionByName(_named(sums, "domain_closed", *dom_names).drop("val", H))
+           .groupBy(*DOMAIN).agg(*[F.sum(c).alias(c) for c in dom_names]))
+    names = ["sumA", "fB", "fQ", "gAA", "gAS", "n_y", "n_c"]
+    A, f, g = F.col("sumA"), F.col("__f"), F.col("__g")
+    choice = _nsjoin(_named(sums, "choice", "sumA", "B", "Q", "n_y", "n_c"), domain.select(*DOMAIN, H, "SD", "__f", "__g"), [*DOMAIN, H])
+    vals = (choice.select(*DOMAIN, "val", "sumA", (f * F.col("B")).alias("fB"), (f * F.col("Q")).alias("fQ"),
+                          (g * A * A).alias("gAA"), (g * A * SD).alias("gAS"), "n_y", "n_c")
+            .unionByName(_named(sums, "choice_closed", *names).drop(H))
+            .groupBy(*DOMAIN, "val").agg(*[F.sum(c).alias(c) for c in names]))
+    listed = [plan.variables[vid].choices if plan.variables[vid].kind == "prop_select_multiple" else None
+              for vid, _ in plan.cells]
+    if any(c is not None for c in listed):
+        from_list = _pick([c is not None for c in listed], "boolean", F.col("cid"))
+        every = _pick([[name for _, name in c or ()] for c in listed], "array<string>", F.col("cid"))
+        some = _nsjoin(dom.where(from_list).withColumn("val", F.explode(every)), vals.where(from_list), [*DOMAIN, "val"], "left")
+        res = _nsjoin(vals.where(~from_list), dom, DOMAIN)
+        res = res.unionByName(some.fillna(0.0, names).select(*res.columns))
+    else:
+        res = _nsjoin(vals, dom, DOMAIN)
     res = _per_analysis(res, plan)
     aid = F.col("aid")
     Wt = F.col("Wt")
@@ -326,7 +304,7 @@ def _moment_estimates(sums, sizes, plan: Cells, meta, ci_method: str = "wald") -
         _pick(meta["groups"], "string", aid).alias("group_var"),
         F.col("gval").alias("group_var_value"),
         stat.alias("stat"), low.alias("stat_low"), upp.alias("stat_upp"),
-        F.when(is_mean, F.col("n_c")).otherwise(F.col("n_y").cast("long")).alias("n"),
+        F.when(is_mean, F.col("n_c")).otherwise(F.col("n_y")).cast("long").alias("n"),
         F.col("n_total").cast("long").alias("n_total"),
         F.when(is_mean, Wt).otherwise(F.col("sumA")).alias("n_w"),
         Wt.alias("n_w_total"), _pick(meta["levels"], "double", aid).alias("level"))

@@ -119,6 +119,6 @@ def window_sums(rows: DataFrame, ranges: list[tuple[float, float]], spreads: lis
     side = F.when(y < F.col("lo"), -1).when(y > F.col("hi"), 1).otherwise(0)
     w = F.col(W)
     return (within(rows, windows.select(*DOMAIN, "lo", "hi"))
-            .select(*DOMAIN, H, W, side.alias("side"), F.when(side == 0, y).alias("y"))
+            .select(*DOMAIN, F.col(H).cast("string").alias(H), W, side.alias("side"), F.when(side == 0, y).alias("y"))
             .groupBy(*DOMAIN, H, "side", "y")
             .agg(F.sum(w).alias("ws"), F.sum(w * w).alias("tt"), F.count(F.lit(1)).alias("n")).checkpoint())

@@ -205,3 +205,85 @@ def test_merged_design_with_medians(spark):
     for k, r in both.items():
         if k[0] == "prop_select_one":
             same(r, alone_prop[k])
+
+
+def _people(n, seed=11):
+    import random
+    rng = random.Random(seed)
+    return [("big" if rng.random() < 0.4 else rng.choice(["s1", "s2", "s3", "s4", None]), rng.uniform(0.5, 3.0),
+             rng.choice(["a", "b", "c", None]), rng.choice(["x", "y", None]), rng.choice([None, rng.gauss(5, 2)]),
+             rng.choice([None, "", "hoe", "hoe rake", "rake  hoe saw", "saw"])) for _ in range(n)]
+
+
+PEOPLE = "st string, w double, c string, g string, m double, tools string"
+
+
+def test_chunks_and_tasks_give_the_same_estimates(spark, monkeypatch):
+    """Large strata in pieces, strata shared by tasks, strata finished in a task."""
+    from censa.operators import moments
+    from censa.sources.multichoice import expand_select_multiple
+    df = expand_select_multiple(spark.createDataFrame(_people(900), PEOPLE).repartition(4), "tools")
+    loa = [Analysis(v, t, lvl, g) for v, t in [("c", "prop_select_one"), ("m", "mean"), ("tools", "prop_select_multiple")]
+           for g in (None, "g") for lvl in (0.9, 0.95)]
+    key = lambda r: tuple(map(str, (r.analysis_type, r.analysis_var_value, r.group_var, r.group_var_value, r.level)))
+
+    def run(partitions, chunk):
+        monkeypatch.setattr(moments, "CHUNK", chunk)
+        monkeypatch.setattr(moments.cell_sums, "__defaults__", (False, chunk))
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            return {key(r): r for r in survey_results(df, SurveyDesign("st", "w"), loa).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    one = run(1, 1 << 16)
+    assert len(one) == 2 * (3 + 9 + 1 + 3 + 3 + 9)
+    for other in (run(7, 1 << 16), run(3, 50), run(1, 7)):
+        assert set(other) == set(one)
+        for k, r in one.items():
+            for c in ("stat", "stat_low", "stat_upp", "n", "n_total", "n_w", "n_w_total"):
+                assert other[k][c] == pytest.approx(r[c], rel=1e-9, abs=1e-12)
+
+
+def test_choices_from_packed_answers(spark):
+    from censa.sources.multichoice import expand_select_multiple
+    df = spark.createDataFrame(_people(300), PEOPLE)
+    loa = [Analysis("tools", "prop_select_multiple", 0.95, g) for g in (None, "g")]
+    design = SurveyDesign("st", "w")
+    key = lambda r: (r.analysis_var_value, r.group_var, r.group_var_value)
+    packed = {key(r): r for r in survey_results(df, design, loa, choices="text").collect()}
+    wide = {key(r): r for r in survey_results(expand_select_multiple(df, "tools"), design, loa).collect() if r.n}
+    assert set(packed) == set(wide)
+    assert all(packed[k][c] == pytest.approx(wide[k][c]) for k in wide for c in ("stat", "stat_low", "stat_upp", "n", "n_total"))
+
+
+def test_a_million_choices(spark):
+    df = spark.range(1_000_000).selectExpr("concat('t', id, ' t', id div 2) AS q", "1.0 AS w")
+    res = survey_results(df, SurveyDesign(None, "w"), [Analysis("q", "prop_select_multiple")], choices="text")
+    got = res.selectExpr("count(*) AS rows", "sum(n) AS n", "sum(stat) AS stat").first()
+    assert got.rows == 1_000_000 and got.n == 1_999_999  # t0 twice in the first answer
+    assert got.stat == pytest.approx(1.999999)
+
+
+def test_medians_of_skewed_values(spark, monkeypatch):
+    """Values over many orders of magnitude, ties and infinities; narrow windows force more passes."""
+    import random
+    from censa.operators import estimates
+    rng = random.Random(2)
+    values = [rng.choice([10.0 ** rng.uniform(-6, 9), 7.0, -3.5, 0.0]) for _ in range(1500)] + [float("inf"), float("-inf")]
+    data = [(rng.choice(["s1", "s2"]), rng.choice([1.0, 2.0, 0.5]), v, rng.choice(["x", "y", None])) for v in values]
+    df = spark.createDataFrame(data, "st string, w double, y double, g string")
+    loa = [Analysis("y", "median", lvl, g) for g in (None, "g") for lvl in (0.5, 0.95)]
+    key = lambda r: (r.group_var, r.group_var_value, r.level)
+    run = lambda buckets: {key(r): tuple(r) for r in survey_results(
+        df, SurveyDesign("st", "w"), loa, range_partitions=buckets).collect()}
+    plain = run(None)
+    monkeypatch.setattr(estimates, "LIMIT", 3)
+    assert run(2) == run(4) == run(64) == plain
+    for (_, g, _), r in plain.items():
+        own = sorted((v, w) for _, w, v, gv in data if g is None and r[3] is None or gv == g and r[3] is not None)
+        total, upto = sum(w for _, w in own), 0.0
+        for v, w in own:
+            upto += w
+            if upto >= total / 2:
+                break
+        assert r[5] == v
