@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pieces
+
 U64 = np.uint64
 
 DEALT = "part int, first long, hashes binary, more binary, rows binary, places binary, known binary"
@@ -33,8 +35,8 @@ DEALT_NAMES = [c.split()[0] for c in DEALT.split(", ")]
 DEAL_BYTES = 8 << 20
 #: Rows whose anchors are dealt together (numbers of two bytes).
 DEAL_ROWS = 1 << 16
-
-
+#: Text bytes of a slot, about.
+SLOT_BYTES = 64 << 20
 
 
 def planes(a: np.ndarray, width: int | None = None) -> bytes:
@@ -83,23 +85,22 @@ def anchor_flags(h: np.ndarray, valid: np.ndarray, span: int) -> np.ndarray:
     return ~sliding_min(~over, span)[:n] == h
 
 
-def numbered(docs: DataFrame) -> DataFrame:
+def numbered(docs: DataFrame, slots: int) -> DataFrame:
     """rid, doc_id, text and slot of every row."""
-    slots = slot_count(docs)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
     return rows.withColumn("slot", F.pmod(F.xxhash64("rid"), F.lit(slots)).cast("int"))
 
 
 def slot_count(docs: DataFrame) -> int:
-    """Slots, and parts: as many as shuffle partitions, which are set for the
-    input. Every part sends every slot one packed row, so more would only
-    make more and smaller rows."""
-    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Slots, and parts: as many as shuffle partitions, and at least one for
+    SLOT_BYTES of text, as a task takes a slot's texts at once. Every part sends
+    every slot one packed row, so more would only make more and smaller rows."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLOT_BYTES))
 
 
 def groups_of(batch: pa.RecordBatch, text: str = "text"):
     """Slices of a batch to be dealt together."""
-    from .common import pieces
     for piece in pieces(batch, text, DEAL_BYTES):
         for at in range(0, piece.num_rows, DEAL_ROWS):
             yield piece.slice(at, DEAL_ROWS)
@@ -255,7 +256,6 @@ def matched(texts: pa.Table, found: pa.Table, every: bool = False):
     used = np.arange(len(rids)) if every else np.unique(row)
     if not len(used):
         return
-    from .common import pieces
     some = texts.take(pa.array(by[used])).combine_chunks()
     local = np.searchsorted(used, row)
     at = 0

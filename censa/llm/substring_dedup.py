@@ -151,8 +151,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by
     one space) and kept_text of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = numbered(docs)
-    starts = windows_repeated(rows, window, slot_count(docs))
+    slots = slot_count(docs)
+    rows = numbered(docs, slots)
+    starts = windows_repeated(rows, window, slots)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
 
     def finish(texts: pa.Table, found: pa.Table) -> pa.Table:

@@ -61,3 +61,33 @@ def test_run_and_empty(spark, tmp_path):
     frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_the_row_that_stays_among_equal_ids(spark, tmp_path):
+    """Smallest MD5 of id and text; of rows equal in both, the first by the other columns."""
+    base = " ".join(f"w{i}" for i in range(200))
+    data = [(k, base.replace("w7 ", f"{a} "), lang, "s", 1, "k", "s") for k in range(3)
+            for a, lang in [("x", "en"), ("y", "en"), ("y", "de"), ("y", None)]]
+    got = [tuple(r) for r in corpus_pipeline.simhash_near_dedup(spark, frame(spark, data), "").collect()]
+    md5 = lambda r: hashlib.md5(f"{r[0]}:{r[1]}".encode()).digest()
+    of_least = [r for r in data if r[0] == 0]
+    stays = [r for r in of_least if md5(r) == min(map(md5, of_least))]
+    assert got == [min(stays, key=lambda r: (r[2] is not None, r[2] or ""))]
+
+
+def test_any_further_column_names(spark, tmp_path):
+    names = ["kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "_redacted", "kept", "spans", "label", "fp",
+             "component_id", "key", "_key", "_stay", "rid", "slot", "c0", "c1", "a.b", "verdict", "hash", "kept_text_"]
+    data = [(r[0], r[1], *[f"{n} {i}" for n in names]) for i, r in enumerate(rows()) if r[1] is None or len(r[1]) < 6000]
+    docs = spark.createDataFrame(data, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        own = {r[2]: r for r in docs.collect()}
+        assert all(tuple(r)[2:] == tuple(own[r[2]])[2:] for r in got.collect())
+        got.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    assert 0 < docs.count() and corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
