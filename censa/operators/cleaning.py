@@ -252,13 +252,18 @@ def recode_others(form: DataFrame, choices: DataFrame, log: DataFrame, sm_sep: s
     legal = (parents.join(ch, "list_name")
                     .select(F.col("name").alias("__qa_parent"), F.col("choice").alias("__qa_answer"))
                     .distinct())
-    rc = log.where((F.col("change_type") == "change_response") & (F.col("issue") == "recode other"))
-    rc = rc.join(oq, rc["question"] == oq["other_question"], "left")
-    rc = rc.join(legal, (F.col("parent_question") == F.col("__qa_parent"))
-                 & (F.col("new_value").cast("string") == F.col("__qa_answer")), "left")
     kinds = sel.select(F.col("name").alias("__sn"), "select_type")
-    valid = (rc.where(F.col("__qa_parent").isNotNull())
-               .join(kinds, F.col("parent_question") == F.col("__sn"), "left"))
+    # the legal recodes of every text question: form-sized, stored, and looked
+    # up by the log rows, so a question with most of the log is no hot key and
+    # rows that cannot match travel nowhere
+    ensure_checkpoint_dir(log.sparkSession)
+    recodes = (oq.join(legal, F.col("parent_question") == F.col("__qa_parent"))
+                 .join(kinds, F.col("parent_question") == F.col("__sn"), "left")
+                 .where(F.col("other_question").isNotNull() & F.col("__qa_answer").isNotNull())
+                 .select("other_question", "parent_question", "__qa_answer", "select_type").checkpoint(eager=True))
+    rc = log.where((F.col("change_type") == "change_response") & (F.col("issue") == "recode other"))
+    valid = lookup_join(rc.withColumn("__nv", F.col("new_value").cast("string")), recodes,
+                        [("question", "other_question"), ("__nv", "__qa_answer")])
 
     def change(question: Column, value: Column) -> Column:
         return F.struct(F.col("uuid").alias("uuid"), question.cast("string").alias("question"),
@@ -274,7 +279,6 @@ def recode_others(form: DataFrame, choices: DataFrame, log: DataFrame, sm_sep: s
     changes = F.when(F.col("select_type") == "select_multiple", multi) \
                .when(F.col("select_type") == "select_one", single)
     # stored once: the rows are appended and also drive both memberships
-    ensure_checkpoint_dir(log.sparkSession)
     new_rows = valid.select(F.explode(changes).alias("c")).select("c.*").checkpoint(eager=True)
 
     if match == "pair":
@@ -285,12 +289,14 @@ def recode_others(form: DataFrame, choices: DataFrame, log: DataFrame, sm_sep: s
         hit = F.coalesce(F.col("__hit"), F.lit(False))
         kept = kept.where(~(hit & (F.col("change_type") == "change_response")))
     else:
-        uu = new_rows.select(F.col("uuid").alias("__u")).distinct().withColumn("__hu", F.lit(True))
-        qq = new_rows.select(F.col("question").alias("__q")).distinct().withColumn("__hq", F.lit(True))
-        kept = (log.join(uu, F.col("uuid").eqNullSafe(F.col("__u")), "left")
-                   .join(qq, F.col("question").eqNullSafe(F.col("__q")), "left"))
-        hit = F.coalesce(F.col("__hu"), F.lit(False)) & F.coalesce(F.col("__hq"), F.lit(False))
-        kept = kept.where(~(hit & (F.col("change_type") == "change_response")))
+        # few questions are recoded: they go to the rows, and only their
+        # change_response rows are asked for their uuid
+        qq = new_rows.select(F.col("question").alias("__q")).distinct().withColumn("__hq", F.lit(True)).checkpoint(eager=True)
+        uu = new_rows.select(F.col("uuid").alias("__u")).distinct()
+        asked = F.coalesce(F.col("__hq") & (F.col("change_type") == "change_response"), F.lit(False))
+        marked = lookup_join(log, qq, [("question", "__q")], "left").withColumn("__asked", asked)
+        kept = (marked.where(~F.col("__asked")).unionByName(
+            marked.where("__asked").join(uu, F.col("uuid").eqNullSafe(F.col("__u")), "left_anti")))
     kept = kept.select(*[F.col(q(c)) for c in log.columns])
     if "new_value" in kept.columns:
         kept = kept.withColumn("new_value", F.col("new_value").cast("string"))

@@ -42,36 +42,43 @@ def normal_two_sided(z: Column) -> Column:
     return F.when(x < 2.5, near).otherwise(F.exp(-x * x) / math.sqrt(math.pi) / (x + tail))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def profile_deviance(a1: Column, a0: Column, k1: Column, k0: Column, beta: Column) -> Column:
     """Twice the loss of log-likelihood of a 2 x 2 table (all cells positive)
     at log odds ratio ``beta``, the intercept profiled out."""
-    total, ones, r = a1 + a0 + k1 + k0, a1 + k1, F.exp(beta)
-    # with u = exp(intercept): r (total - ones) u^2 + b u - ones = 0
-    b = a1 + a0 + (k1 + k0) * r - ones * (1 + r)
-    root = F.sqrt(b * b + 4 * r * (total - ones) * ones)
-    u = F.when(b > 0, 2 * ones / (b + root)).otherwise((root - b) / (2 * r * (total - ones)))
-    fitted = -(a1 * F.log1p(1 / u) + a0 * F.log1p(u) + k1 * F.log1p(1 / (r * u)) + k0 * F.log1p(r * u))
+    total, ones = a1 + a0 + k1 + k0, a1 + k1
     best = (a1 * F.log(a1 / (a1 + a0)) + a0 * F.log(a0 / (a1 + a0)) + k1 * F.log(k1 / (k1 + k0)) + k0 * F.log(k0 / (k1 + k0)))
-    return 2 * (best - fitted)
 
-
-def profile_limit(a1: Column, a0: Column, k1: Column, k0: Column, level: float, side: int) -> Column:
-    """Lower (side -1) or upper (1) profile-likelihood limit of the odds
-    ratio. The deviance grows away from the estimate and passes the critical
-    value well within the bracket."""
+    # with u = exp(intercept): r (total - ones) u^2 + b u - ones = 0
+    def at_ratio(r):
+        return _let(a1 + a0 + (k1 + k0) * r - ones * (1 + r), lambda b: _let(
+            F.sqrt(b * b + 4 * r * (total - ones) * ones), lambda root: _let(
+                F.when(b > 0, 2 * ones / (b + root)).otherwise((root - b) / (2 * r * (total - ones))), lambda u:
+                2 * (best + a1 * F.log1p(1 / u) + a0 * F.log1p(u) + k1 * F.log1p(1 / (r * u)) + k0 * F.log1p(r * u)))))
+    return _let(F.exp(beta), at_ratio)
+
+
+def profile_limits(a1: Column, a0: Column, k1: Column, k0: Column, level: float) -> Column:
+    """Lower and upper profile-likelihood limit of the odds ratio, as an
+    array. The deviance grows away from the estimate and passes the critical
+    value well within the bracket. Both sides go through the same bisections."""
     crit = normal_quantile((1.0 + level) / 2.0) ** 2
     beta = F.log(k1 * a0 / (k0 * a1))
     se = F.sqrt(1 / a1 + 1 / a0 + 1 / k1 + 1 / k0)
-    start = F.struct(beta.alias("inside"), (beta + side * (crit * se + crit + 20)).alias("outside"))
+    brackets = F.array(*[F.struct(beta.alias("inside"), (beta + side * (crit * se + crit + 20)).alias("outside")) for side in (-1, 1)])
 
     def halve(s, _):
-        mid = (s["inside"] + s["outside"]) / 2
-        within = profile_deviance(a1, a0, k1, k0, mid) < crit
-        return F.struct(F.when(within, mid).otherwise(s["inside"]).alias("inside"),
-                        F.when(within, s["outside"]).otherwise(mid).alias("outside"))
+        return _let((s["inside"] + s["outside"]) / 2, lambda mid: _let(
+            profile_deviance(a1, a0, k1, k0, mid) < crit, lambda within: F.struct(
+                F.when(within, mid).otherwise(s["inside"]).alias("inside"),
+                F.when(within, s["outside"]).otherwise(mid).alias("outside"))))
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve)
-    return F.exp((end["inside"] + end["outside"]) / 2)
+    steps = F.sequence(F.lit(1), F.lit(STEPS))
+    return F.transform(brackets, lambda s: F.aggregate(steps, s, halve, lambda e: F.exp((e["inside"] + e["outside"]) / 2)))
 
 
 def odds_ratio_counts(df: DataFrame, question: str, group_vars_refs: dict[str, str]) -> DataFrame:
@@ -165,9 +172,10 @@ def odds_ratios(df: DataFrame, question: str, group_vars_refs: dict[str, str],
     """Columns: question, group_var, ref_group, term, estimate, conf_low,
     conf_high, p_value, separated (profile-likelihood limits, Wald p; NULL
     where a cell is empty)."""
-    c = odds_ratio_counts(df, question, group_vars_refs)
+    # stored: the limits read plain cells, not the expressions that count them
+    c = odds_ratio_counts(df, question, group_vars_refs).checkpoint(eager=True)
     cells = [F.col(n).cast("double") for n in ("a1", "a0", "k1", "k0")]
-    limit = lambda side: F.when(~F.col("separated"), profile_limit(*cells, level, side))
+    c = c.withColumn("limits", F.when(~F.col("separated"), profile_limits(*cells, level)))
     return c.select("question", "group_var", "ref_group", "term", "estimate",
-                    limit(-1).alias("conf_low"), limit(1).alias("conf_high"),
+                    F.get("limits", F.lit(0)).alias("conf_low"), F.get("limits", F.lit(1)).alias("conf_high"),
                     F.when(F.col("z").isNotNull(), normal_two_sided(F.col("z"))).alias("p_value"), "separated")

@@ -24,7 +24,8 @@ SURVEY_METADATA = [
 def multi_choice_parents(columns: list[str], sm_sep: str = "/") -> set[str]:
     """A column p is a multi-choice parent when some column starts with p+sep."""
     cols = set(columns)
-    return {p for p in cols if any(c.startswith(p + sm_sep) and c != p for c in cols)}
+    starts = {c[:i] for c in cols for i in range(len(c)) if c.startswith(sm_sep, i)}
+    return cols & starts
 
 
 def type_from_form(type_col) -> F.Column:

@@ -26,14 +26,16 @@ from .operators.estimates import Analysis, survey_results
 from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
                                  weight_diagnostics)
-from .operators.tables import label_results, results_wide, review_labels
+from .operators.tables import label_results, numeric_value_columns, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .functions.joins import lookup_join
-from .plans.results import multi_results
+from .plans.cleaning_log import write_cleaning_log
+from .plans.publish import read_published
+from .plans.results import multi_results, write_results
 from .session import scratch_path
 from .sources.audit import audit_log, read_audit_csv
 from .sources.multichoice import expand_select_multiple, members_long
-from .sources.submissions import read_submissions, split_repeats
+from .sources.submissions import read_form_versions, read_submissions, split_repeats
 
 DEC = oracle.R
 
@@ -196,6 +198,35 @@ def q_run_summary(spark, sf_dir):
                          use_labels=False).summary.drop("path")
 
 
+def q_results_rerun(spark, sf_dir):
+    """Failed and repeated writes: a first run, one that may not overwrite,
+    one whose wide tables fail, one that overwrites. Status rows of all runs,
+    with the rows that the published table has after each."""
+    out = scratch_path(spark, f"rerun-{uuid4().hex}")
+    res = _lineitem_results(spark, sf_dir).checkpoint()
+    runs = [(res, {}), (res, {"overwrite": False}), (res.drop("n"), {}), (res.where("analysis_type = 'mean'"), {})]
+    statuses = []
+    for number, (rows, options) in enumerate(runs, 1):
+        summary, _ = write_results(rows, out, **options)
+        left = read_published(spark, out, "Desc_Table__l_returnflag").count()
+        error = F.when(F.col("error").contains("already exists"), "exists").when(F.col("error").contains("missing column"), "columns")
+        statuses.append(summary.select(F.lit(number).alias("run"), "group", "safe_name", "success", "write_ok",
+                                       error.alias("error"), F.lit(left).cast("long").alias("rows_left")))
+    done = statuses[0]
+    for more in statuses[1:]:
+        done = done.unionByName(more)
+    return done
+
+
+def q_results_csv(spark, sf_dir):
+    """NULL text at the sink and numbers read back: the wide table written as
+    CSV with ``NA`` for NULL, and its value columns coerced to numbers."""
+    out = scratch_path(spark, f"csv-{uuid4().hex}")
+    write_results(_lineitem_results(spark, sf_dir), out, fmt="csv", na_text="NA")
+    back = spark.read.option("header", True).csv(f"{out}/Desc_Table__l_returnflag")
+    return rounded(numeric_value_columns(back))
+
+
 # --- W12 odds ratios ----------------------------------------------------------
 
 ODDS_REFS = {"lang": "en", "source": "src0"}
@@ -306,6 +337,31 @@ def q_split_repeats(spark, sf_dir):
     return rounded(split_repeats(subs, key="o_orderkey", repeats=["lines"]).repeats["lines"])
 
 
+def q_form_versions(spark, sf_dir):
+    """JSON submissions of three form versions that share some questions, one
+    of them with another type, read as VARIANT in one scan."""
+    out = scratch_path(spark, f"forms-{uuid4().hex}")
+    forms = [
+        table(spark, sf_dir, "customer").select(
+            F.concat(F.lit("c"), "c_custkey").alias("uuid"), F.lit("v1").alias("__version__"), F.col("c_nationkey").alias("area"),
+            F.col("c_acctbal").alias("amount"), F.col("c_mktsegment").alias("grp/segment")),
+        table(spark, sf_dir, "supplier").select(
+            F.concat(F.lit("s"), "s_suppkey").alias("uuid"), F.lit("v2").alias("__version__"),
+            F.concat(F.lit("area "), "s_nationkey").alias("area"), F.col("s_suppkey").alias("amount"), F.col("s_name").alias("name")),
+        table(spark, sf_dir, "part").select(
+            F.concat(F.lit("p"), "p_partkey").alias("uuid"), F.lit("v3").alias("__version__"), F.col("p_size").alias("size"),
+            F.struct(F.col("p_retailprice").alias("price"), F.col("p_brand").alias("brand")).alias("item"),
+            F.split("p_name", " ").alias("words"))]
+    for k, form in enumerate(forms):
+        form.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in form.columns])).alias("value")).write.text(f"{out}/form={k}")
+    subs = read_form_versions(spark, out).submissions
+    return rounded(subs.select(
+        "uuid", F.col("__version__").alias("form_version"), "area", F.col("amount").cast("double").alias("amount"),
+        F.col("`grp/segment`").alias("segment"), "name", F.col("size").cast("long").alias("size"),
+        F.col("item.price").cast("double").alias("price"), F.col("item.brand").alias("brand"),
+        F.get("words", F.lit(0)).alias("first_word"), F.when(F.col("words").isNotNull(), F.size("words")).alias("n_words")))
+
+
 # --- W13-W17 cleaning log ------------------------------------------------------
 
 CLEAN_FORM = [
@@ -372,6 +428,23 @@ def q_validate_cleaning_log(spark, sf_dir):
                                  clean_choices(spark, sf_dir))
 
 
+def q_cleaning_log_tables(spark, sf_dir):
+    """The cleaning-log writer: every table it wrote, read back, with its rows
+    and the log's flags."""
+    out = scratch_path(spark, f"log-{uuid4().hex}")
+    cust = table(spark, sf_dir, "customer")
+    paths = write_cleaning_log({"cleaning_log": _validation_log(spark, sf_dir), "clean_data": cust}, out, use_dropdown=True,
+                               form=clean_form(spark), choices=clean_choices(spark, sf_dir))
+    done = None
+    for name, path in paths.items():
+        back = spark.read.parquet(path)
+        flagged = F.count(F.when(~F.col("new_value_ok"), 1)) if name == "cleaning_log" else F.lit(0)
+        row = back.agg(F.count(F.lit(1)).alias("n_rows"), flagged.cast("long").alias("n_flagged")).select(
+            F.lit(name).alias("name"), F.lit(len(back.columns)).alias("n_columns"), "n_rows", "n_flagged")
+        done = row if done is None else done.unionByName(row)
+    return done
+
+
 def _recode_log(spark, sf_dir):
     cust, part = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
     cols = ["uuid", "question", "change_type", "issue", "new_value"]
@@ -449,6 +522,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_results": q_label_results,
     "review_labels": q_review_labels,
     "run_summary": q_run_summary,
+    "results_rerun": q_results_rerun,
+    "results_csv": q_results_csv,
+    "form_versions": q_form_versions,
+    "cleaning_log_tables": q_cleaning_log_tables,
     "odds_ratio_counts": q_odds_ratio_counts,
     "odds_ratios": q_odds_ratios,
     "audit_log": q_audit_log,
@@ -940,3 +1017,35 @@ ORACLE["survey_all_types"] = _union(
     oracle.survey_prop_sql("part", None, "p_size", "p_type", ["p_brand"]),
     oracle.survey_mean_sql("part", None, "p_size", "p_retailprice", ["p_brand"]),
     oracle.survey_median_sql("part", None, "p_size", "p_retailprice", ["p_brand"]))
+
+_WIDE_VALUES = [f"{g}_{c}" for g in ("Overall", "A", "N", "R") for c in ("stat", "stat_upp", "stat_low", "n")]
+ORACLE["results_csv"] = f"""
+SELECT analysis_type, analysis_var, coalesce(analysis_var_value, 'NA') AS analysis_var_value,
+       {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _WIDE_VALUES)}
+FROM ({ORACLE["results_wide"]})"""
+
+ORACLE["results_rerun"] = """
+WITH v AS (SELECT count(DISTINCT l_linestatus) + 1 AS k FROM lineitem)
+SELECT 1 AS run, 'l_returnflag' AS "group", 'l_returnflag' AS safe_name, true AS success, true AS write_ok,
+       CAST(NULL AS VARCHAR) AS error, k AS rows_left FROM v
+UNION ALL SELECT 2, NULL, 'Overall', false, false, 'exists', k FROM v
+UNION ALL SELECT 3, 'l_returnflag', 'l_returnflag', false, false, 'columns', k FROM v
+UNION ALL SELECT 4, 'l_returnflag', 'l_returnflag', true, true, NULL, 1 FROM v"""
+
+ORACLE["form_versions"] = """
+SELECT 'c' || c_custkey AS uuid, 'v1' AS form_version, CAST(c_nationkey AS VARCHAR) AS area, round(c_acctbal, 6) AS amount,
+       c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS BIGINT) AS size, CAST(NULL AS DOUBLE) AS price,
+       CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS VARCHAR) AS first_word, CAST(NULL AS INTEGER) AS n_words FROM customer
+UNION ALL SELECT 's' || s_suppkey, 'v2', 'area ' || s_nationkey, CAST(s_suppkey AS DOUBLE), NULL, s_name, NULL, NULL, NULL, NULL, NULL
+FROM supplier
+UNION ALL SELECT 'p' || p_partkey, 'v3', NULL, NULL, NULL, NULL, p_size, round(p_retailprice, 6), p_brand,
+       string_split(p_name, ' ')[1], CAST(len(string_split(p_name, ' ')) AS INTEGER) FROM part"""
+
+ORACLE["cleaning_log_tables"] = f"""
+SELECT 'cleaning_log' AS name, 8 AS n_columns, count(*) AS n_rows, count(*) FILTER (NOT new_value_ok) AS n_flagged
+FROM ({ORACLE["validate_cleaning_log"]})
+UNION ALL SELECT 'clean_data', (SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = 'customer'),
+       count(*), 0 FROM customer
+UNION ALL SELECT 'validation_rules', CAST(count(DISTINCT name) + 1 AS INTEGER), max(pos), 0
+FROM ({ORACLE["choice_lists"]}) WHERE NOT ends_with(name, '_other')
+UNION ALL SELECT 'readme', 2, 4, 0"""

@@ -4,10 +4,12 @@ Submissions are read from exported files (JSON lines, parquet, CSV) instead
 of a live server. A repeat group (e.g. a household roster) is an
 ``array<struct>`` column; :func:`split_repeats` turns each into a child table
 keyed by the parent key and the 1-based position in the group.
+Exports of drifting form versions are read by :func:`read_form_versions`.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from ..functions.columns import q, require_columns
+from ..session import ensure_checkpoint_dir
 
 
 def read_submissions(spark: SparkSession, path, fmt: str = "json", schema=None,
@@ -29,6 +32,51 @@ def read_submissions(spark: SparkSession, path, fmt: str = "json", schema=None,
     return reader.load(path)
 
 
+class FormVersions(NamedTuple):
+    submissions: DataFrame  # one row per record, the columns of all versions
+    versions: DataFrame     # version, records, schema (as Spark writes it)
+
+
+def _merged_type(schema: str) -> str:
+    """DDL of a merged VARIANT schema. What is an object in one version and a
+    text in another, or a number and a text, becomes text; so does what is
+    always null. Numbers with decimals are doubles."""
+    def plain(m: re.Match) -> str:
+        kind = m[2]
+        if kind.startswith("DECIMAL"):
+            return m[1] + (kind if m[3] == "0" else "DOUBLE")
+        return m[1] + ("STRUCT<" if kind == "OBJECT<" else "STRING")
+    parts = re.split(r"(`(?:[^`]|``)*`)", schema.replace("OBJECT<>", "VOID"))  # names in back-ticks stay
+    types = r"(^|: |ARRAY<)(OBJECT<|VARIANT\b|VOID\b|DECIMAL\(\d+,\s*(\d+)\))"
+    return "".join(x if i % 2 else re.sub(types, plain, x) for i, x in enumerate(parts))
+
+
+def _field(name: str) -> str:
+    """Path of a top-level field; a name may hold one kind of quotes."""
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
+
+
+def read_form_versions(spark: SparkSession, path, version: str = "__version__") -> FormVersions:
+    """Read JSON submissions of several form versions. Records are scanned as
+    VARIANT, so a question that changes its type does not fail the scan; the
+    schemas are united by one aggregate, grouped by version, which is
+    result-sized (one row a version). ``submissions`` then is a single scan
+    that extracts every column of every version, NULL where a version has
+    none; no column is lost, whatever the order and the share of a version.
+    Lines that are no JSON object are counted in ``versions`` (NULL version)
+    and give no row."""
+    raw = spark.read.format("json").option("singleVariantColumn", "v").load(path)
+    tag = F.try_variant_get("v", _field(version), "string").alias("version")
+    ensure_checkpoint_dir(spark)
+    versions = raw.groupBy(tag).agg(F.count(F.lit(1)).alias("records"), F.schema_of_variant_agg("v").alias("schema")).checkpoint()
+    objects = F.schema_of_variant("v").startswith("OBJECT<")
+    merged = raw.where(objects).agg(F.schema_of_variant_agg("v")).first()[0]
+    ddl = _merged_type(merged) if merged else "VOID"
+    fields = StructType.fromDDL(f"r {ddl}")[0].dataType.fields if ddl.startswith("STRUCT<") else []
+    rows = raw.where(objects).select(*[F.try_variant_get("v", _field(f.name), f.dataType.simpleString()).alias(f.name) for f in fields])
+    return FormVersions(rows, versions)
+
+
 class Submissions(NamedTuple):
     main: DataFrame
     repeats: dict[str, DataFrame]
