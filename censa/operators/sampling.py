@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.columns import q, require_columns
+from ..functions.joins import lookup_join
 from ..functions.stats import normal_quantile
+from ..session import ensure_checkpoint_dir
+
+#: A cut above every hash.
+EVERY = "g"
 
 
 def base_sample_size(conf_level: float, margin_of_error: float, prop: float = 0.5) -> float:
@@ -40,38 +45,45 @@ def stratified_sample(df: DataFrame, strata: str, key: str, conf_level: float =
     """Exact-size draw without replacement in every stratum.
 
     Rows are ranked inside their stratum by ``md5(seed:key)`` (then key), so
-    the draw is reproducible and does not depend on partitioning. Every
-    stratum's sample is at most ceil(n0), a literal known on the driver, so
-    rank filters use that bound and Spark plans ``WindowGroupLimit``: each
-    map task keeps only that many rows per group before the shuffle. The
-    top-k runs in two levels so that a stratum holding a third of the data
-    never lands whole in one task: first per (stratum, bucket of the key),
-    then per stratum. The set drawn is the same at any bucketing (the order
-    is unique). The optimizer applies the limit when the bound is at most
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (default 1000; 95 %/5 %
-    gives 385); for a larger bound every row reaches its bucket, so there are
-    more buckets. No job runs and no session setting changes. Output: the
-    data columns, ``n``, ``sample`` and ``incl`` = true.
+    the draw is reproducible and does not depend on partitioning; ``key``
+    names a row. A stratum's size is known from the size table, so a cut of
+    the hash is too: of n rows about s + 4 sqrt(s) + 10 lie below
+    ``(s + 4 sqrt(s) + 10) / n`` of its range. Rows above the cut never leave
+    their task, whatever the size of the sample and of the stratum. All rows
+    below a cut rank before all others, so the draw is exact where at least s
+    rows are below; a pass over stratum and key counts them, and strata that
+    fall short (4 standard deviations) take all their rows. Every sample is at
+    most ceil(n0), a literal known on the driver, so Spark plans
+    ``WindowGroupLimit`` for the rank as well. The stratum table is stored
+    (one row a stratum). Output: the data columns, ``n``, ``sample`` and
+    ``incl`` = true.
     """
     require_columns(df, [strata, key], "data")
-    n0 = base_sample_size(conf_level, margin_of_error, prop)
-    bound = max(1, math.ceil(n0))
-    spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    buckets = max(1, math.isqrt(partitions) if bound <= limit else partitions)
-    sizes = sample_sizes(df, strata, conf_level, margin_of_error, prop)
-    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string"))), F.col(q(key))]
-    level1 = Window.partitionBy(F.col(q(strata)), F.col("__bucket")).orderBy(*order)
-    level2 = Window.partitionBy(F.col(q(strata))).orderBy(*order)
-    ranked = (df.withColumn("__bucket", F.pmod(F.xxhash64(F.col(q(key))), F.lit(buckets)))
-                .withColumn("__r1", F.row_number().over(level1)).where(F.col("__r1") <= bound)
-                .withColumn("__rank", F.row_number().over(level2)).where(F.col("__rank") <= bound))
-    s = sizes.select(F.col(q(strata)).alias("__s"), "n", "sample")
-    return (ranked.join(s, ranked[q(strata)].eqNullSafe(s["__s"]))
-                  .where(F.col("__rank") <= F.col("sample"))
-                  .select(*[F.col(q(c)) for c in df.columns], "n", "sample",
-                          F.lit(True).alias("incl")))
+    bound = max(1, math.ceil(base_sample_size(conf_level, margin_of_error, prop)))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = F.col("sample").cast("double")
+    share = F.least((s + 4 * F.sqrt(s) + 10) / F.col("n"), F.lit(1.0))
+    cut = F.lpad(F.lower(F.hex(F.floor(share * F.lit(float(1 << 48))).cast("long"))), 12, "0")
+    sizes = (sample_sizes(df, strata, conf_level, margin_of_error, prop)
+             .select(F.col(q(strata)).alias("__s"), "n", "sample", F.when(share < 1, cut).otherwise(EVERY).alias("__cut"))
+             .checkpoint(eager=True))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(q(key)).cast("string")))
+
+    def below(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+        named = rows.withColumnsRenamed({c: f"__own_{c}" for c in ("n", "sample") if c in rows.columns})
+        return lookup_join(named.withColumn("__hash", F.coalesce(digest, F.lit(""))), sizes, [(strata, "__s")]).where("__hash < __cut")
+
+    counted = (below(df.select(q(strata), q(key)) if strata != key else df.select(q(key)), sizes)
+               .groupBy("__s").agg(F.count(F.lit(1)).alias("__found")))
+    c = counted.withColumnRenamed("__s", "__c")
+    sizes = (sizes.join(c, sizes["__s"].eqNullSafe(c["__c"]), "left")
+             .withColumn("__cut", F.when(F.coalesce("__found", F.lit(0)) >= F.col("sample"), F.col("__cut")).otherwise(EVERY))
+             .select("__s", "n", "sample", "__cut").checkpoint(eager=True))
+    order = Window.partitionBy("__s").orderBy("__hash", F.col(q(key)))
+    ranked = below(df, sizes).withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= bound)
+    own = [F.col(q(f"__own_{c}" if c in ("n", "sample") else c)).alias(c) for c in df.columns]
+    return (ranked.where(F.col("__rank") <= F.col("sample"))
+                  .select(*own, "n", "sample", F.lit(True).alias("incl")))
 
 
 DIAG_COLUMNS = ["n", "mean_weight", "sd_weight", "cv_weight", "design_effect",

@@ -4,7 +4,8 @@ Each listed DataFrame is written to ``{out_dir}/{name}``; the allowed-value
 lists go to ``validation_rules`` (wide, one column per list) and the meaning
 of the change types to ``readme``. The log itself is written with the
 validation columns of :func:`validate_cleaning_log` when drop-down rules are
-asked for. Writes are ``overwrite``, so a rerun replaces its own output.
+asked for. All tables are staged and published together (``publish``), so a
+rerun replaces its own output and a run that fails leaves the old tables.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.cleaning import (CHANGE_TYPES, choice_lists, choice_lists_wide,
                                   validate_cleaning_log)
+from .publish import Staged, recover
 
 # What each change type means (readme table).
 CHANGE_TYPE_MEANING = [
@@ -54,12 +56,12 @@ def write_cleaning_log(write_list: dict[str, DataFrame], out_dir: str,
             [(c,) for c in CHANGE_TYPES], "change_type_validation string")
     tables["readme"] = spark.createDataFrame(CHANGE_TYPE_MEANING,
                                              "change_type_validation string, description string")
-    paths = {}
+    run = Staged(spark, out_dir)
+    recover(spark, out_dir)
     for name, df in tables.items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite").format(fmt)
+        writer = df.write.format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
-        writer.save(path)
-        paths[name] = path
-    return paths
+        writer.save(run.staged(name))
+    run.publish(list(tables))
+    return {name: run.final(name) for name in tables}

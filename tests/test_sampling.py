@@ -43,6 +43,25 @@ def test_stratified_sample_plans_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_draw_equals_a_plain_ranking(spark):
+    """Few rows leave their tasks, strata that fall short take all rows, and
+    the rows drawn are those of a plain ranking."""
+    from censa.operators import sampling
+    from pyspark.sql import Window
+    df = spark.range(60_000).selectExpr("id", "CASE WHEN id % 10 < 7 THEN 'big' WHEN id < 40 THEN NULL ELSE concat('s', id % 37) END AS st",
+                                        "id * 2 AS n")
+    got = stratified_sample(df, "st", "id", margin_of_error=0.02)
+    assert got.columns == ["id", "st", "n", "n", "sample", "incl"]
+    got = {(r[0], r[1], r[2]) for r in got.collect()}
+    w = Window.partitionBy("st").orderBy(F.md5(F.concat(F.lit("42:"), F.col("id").cast("string"))), "id")
+    sizes = sample_sizes(df, "st", margin_of_error=0.02).withColumnsRenamed({"st": "z", "n": "total"})
+    ranked = df.withColumn("k", F.row_number().over(w))
+    want = ranked.join(sizes, ranked["st"].eqNullSafe(sizes["z"])).where("k <= sample").select("id", "st", "n")
+    assert got == {tuple(r) for r in want.collect()}
+    few = sampling.sample_sizes(df, "st", margin_of_error=0.02).where("st = 'big'").first()
+    assert few.n == 42_000 and few["sample"] > 2000
+
+
 def test_b2_weight_diagnostics(spark):
     w = [0.8, 1.0, 1.2, 0.9, 1.5, 0.7, 1.1, 1.3]
     df = spark.createDataFrame([(x,) for x in w], "w double")
