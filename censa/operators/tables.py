@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import q, require_columns
 from ..session import ensure_checkpoint_dir
+from .cumulative import running_sum
 
 KEY_COLUMNS = ["analysis_type", "analysis_var", "analysis_var_value"]
 LABEL_KEY_COLUMNS = ["analysis_type", "label_analysis_var", "label_analysis_var_value"]
@@ -122,6 +123,13 @@ class GroupValue(NamedTuple):
     label: str
 
 
+def group_value_counts(results: DataFrame) -> dict[str, int]:
+    """Number of group values of every disaggregation."""
+    rows = (results.where(F.col("group_var").isNotNull()).select("group_var", F.col("group_var_value").cast("string")).distinct()
+            .groupBy("group_var").count().collect())
+    return {r["group_var"]: r["count"] for r in rows}
+
+
 def group_values_of(results: DataFrame, use_labels: bool = False) -> dict[str, list[GroupValue]]:
     """The group values of every disaggregation in a stored results table, in
     one job. They become columns, so the driver gets as many as the widest
@@ -186,6 +194,43 @@ def results_wide(results: DataFrame, group_var: str | None,
     return wide.toDF(*keys, *names)
 
 
+class ResultTiles(NamedTuple):
+    """A variable x group table in tiles of equal width."""
+    rows: DataFrame    # tile, key columns, b<place>_<value column> ...
+    header: DataFrame  # tile, place, overall, group_var_value, label
+
+
+def result_tiles(results: DataFrame, group_var: str, value_columns=VALUE_COLUMNS, use_labels: bool = False,
+                 width: int = 100) -> ResultTiles:
+    """The table of :func:`results_wide` for any number of group values: the
+    columns of ``width`` blocks at a time form a tile, and a header table says
+    which group value stands in which place of which tile (Overall first, then
+    by label; a NULL value is called ``NA``). Values are numbered by a
+    distributed running sum, so neither the driver nor a task holds them all.
+    A key has a row in the tiles where it has values."""
+    labels = LABEL_KEY_COLUMNS[1:] if use_labels else []
+    keys = [KEY_COLUMNS[0], *labels, *KEY_COLUMNS[1:]]
+    require_columns(results, [*keys, "group_var", "group_var_value", *value_columns], "results")
+    rows = results.where(F.col("group_var").isNull() | (F.col("group_var") == group_var))
+    label = F.col("label_group_var_value") if use_labels else F.col("group_var_value")
+    named = (rows.where(F.col("group_var").isNotNull()).groupBy(F.col("group_var_value").cast("string").alias("value"))
+             .agg(F.coalesce(F.min(label.cast("string")), F.lit("NA")).alias("label"))
+             # one sortable text per value: labels first, a NULL value before any other of its label
+             .withColumn("order", F.concat("label", F.lit("\x00"), F.coalesce(F.concat(F.lit("v"), F.col("value")), F.lit(""))))
+             .withColumn("one", F.lit(1)).withColumn("all", F.lit(0)))
+    numbered = running_sum(named, ["all"], "order", "one", "number").rows
+    overall = results.sparkSession.range(1).select(F.lit(True).alias("overall"), F.lit(None).cast("string").alias("value"),
+                                                   F.lit(OVERALL).alias("label"), F.lit(0).cast("long").alias("number"))
+    header = (overall.unionByName(numbered.select(F.lit(False).alias("overall"), "value", "label", F.col("number").cast("long").alias("number")))
+              .select(F.floor(F.col("number") / width).cast("int").alias("tile"), (F.col("number") % width).cast("int").alias("place"),
+                      "overall", F.col("value").alias("group_var_value"), "label").checkpoint(eager=True))
+    at = header.select("tile", "place", F.col("overall").alias("__overall"), F.col("group_var_value").alias("__value"))
+    placed = rows.join(at, F.col("group_var").isNull().eqNullSafe(F.col("__overall"))
+                       & F.col("group_var_value").cast("string").eqNullSafe(F.col("__value")))
+    wide = placed.groupBy("tile", *keys).pivot("place", list(range(width))).agg(*[F.max(F.col(q(c))).alias(c) for c in value_columns])
+    return ResultTiles(wide.toDF("tile", *keys, *[f"b{i}_{c}" for i in range(width) for c in value_columns]), header)
+
+
 def numeric_value_columns(wide: DataFrame, n_keys: int = 3) -> DataFrame:
     """Cast every column after the first ``n_keys`` (5 for a labelled table)
     to double (text that is not a number becomes NULL), e.g. for a wide table

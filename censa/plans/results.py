@@ -15,18 +15,23 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..design import SurveyDesign
 from ..functions.columns import safe_name
 from ..operators.estimates import plan_analyses, survey_results
 from .publish import Staged, recover
-from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, group_values_of, label_results,
-                               results_wide, review_labels)
+from ..operators.tables import (VALUE_COLUMNS, add_analysis_key, group_value_counts, group_values_of, label_results,
+                                result_tiles, results_wide, review_labels)
 
 SUMMARY_SCHEMA = ("group string, safe_name string, success boolean, write_ok boolean, "
                   "path string, error string")
 
 
+#: Group values that a wide table has as columns, at most; more are laid out in tiles.
+MAX_VALUES = 1000
+HEADER = "__header"
+
 RESULT_SCHEMA = ("analysis_type string, analysis_var string, analysis_var_value string, group_var string, "
                  "group_var_value string, stat double, stat_low double, stat_upp double, n long")
 
@@ -66,15 +71,18 @@ def _try(write) -> str | None:
 def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Table",
                   value_columns=VALUE_COLUMNS, overwrite: bool = True,
                   use_labels: bool = False, fmt: str = "parquet",
-                  na_text: str | None = None,
-                  agg_filename: str | None = None) -> tuple[DataFrame, str | None]:
+                  na_text: str | None = None, agg_filename: str | None = None,
+                  max_values: int = MAX_VALUES) -> tuple[DataFrame, str | None]:
     """Write the long table partitioned by group_var and one wide table per
     disaggregation (``fmt`` parquet or csv; ``na_text`` is written for NULL
     in csv). All group values come from one job on the staged long table,
     and the wide tables are written side by side. A write that fails, the
     long table's included, becomes a status row with the full error, and the
     table of an earlier run stays in its place. Without ``overwrite`` a table
-    that exists already is such a failure. Returns (run summary, path of the
+    that exists already is such a failure. A disaggregation of more than
+    ``max_values`` group values is written in tiles (``result_tiles``,
+    partitioned by tile) with their header in ``...__header``; its values are
+    not listed on the driver. Returns (run summary, path of the
     long table or None if it could not be written)."""
     spark = results.sparkSession
     run = Staged(spark, out_dir)
@@ -93,25 +101,35 @@ def write_results(results: DataFrame, out_dir: str, file_prefix: str = "Desc_Tab
         run.drop()
         return spark.createDataFrame([(None, safe_name(None), False, False, run.final(long_name), failed)], SUMMARY_SCHEMA), None
     stored = spark.read.parquet(run.staged(long_name))
-    blocks = group_values_of(stored, use_labels)
-    targets = sorted(blocks) or [None]
+    counts = group_value_counts(stored)
+    tiled = {g for g, k in counts.items() if k > max_values}
+    blocks = group_values_of(stored.where(~F.col("group_var").isin(*tiled)) if tiled else stored, use_labels)
+    targets = sorted(counts) or [None]
 
     def write(g, name):
-        def save(path):
-            wide = results_wide(stored, g, value_columns, use_labels, blocks.get(g, []))
-            writer = wide.write.format(fmt)
+        def writer(table):
+            out = table.write.format(fmt)
             if fmt == "csv":
-                writer = writer.option("header", True)
+                out = out.option("header", True)
                 if na_text is not None:
-                    writer = writer.option("nullValue", na_text)
-            writer.save(path)
-        error = stage(name, save)
-        return name, error
+                    out = out.option("nullValue", na_text)
+            return out
+
+        if g not in tiled:
+            return stage(name, lambda path: writer(results_wide(stored, g, value_columns, use_labels, blocks.get(g, []))).save(path))
+
+        def save(path):
+            tiles = result_tiles(stored, g, value_columns, use_labels)
+            writer(tiles.rows).partitionBy("tile").save(path)
+            writer(tiles.header).save(path + HEADER)
+        return stage(name, save)
 
     names = [f"{file_prefix}__{n}" for n in _unique_names(targets)]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        written = list(pool.map(write, targets, names))
-    lost = _try(lambda: run.publish([long_name, *(n for n, error in written if error is None)]))
+        written = list(zip(names, pool.map(write, targets, names), strict=True))
+    good = [n for n, error in written if error is None]
+    headers = [n + HEADER for g, n in zip(targets, names, strict=True) if g in tiled and n in good]
+    lost = _try(lambda: run.publish([long_name, *good, *headers]))
     statuses = [(g, n.removeprefix(f"{file_prefix}__"), (error or lost) is None, (error or lost) is None, run.final(n), error or lost)
                 for g, (n, error) in zip(targets, written, strict=True)]
     summary = spark.createDataFrame(statuses, SUMMARY_SCHEMA)

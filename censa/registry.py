@@ -26,7 +26,7 @@ from .operators.estimates import Analysis, survey_results
 from .operators.odds import odds_ratio_counts, odds_ratios
 from .operators.sampling import (base_sample_size, sample_sizes, stratified_sample,
                                  weight_diagnostics)
-from .operators.tables import label_results, numeric_value_columns, results_wide, review_labels
+from .operators.tables import label_results, numeric_value_columns, result_tiles, results_wide, review_labels
 from .plans.analysis_list import SURVEY_METADATA, analysis_list
 from .functions.joins import lookup_join
 from .plans.cleaning_log import write_cleaning_log
@@ -218,6 +218,13 @@ def q_results_rerun(spark, sf_dir):
     return done
 
 
+def q_results_tiles(spark, sf_dir):
+    """The variable x group table in tiles of eight group values."""
+    res = survey_results(table(spark, sf_dir, "customer"), SurveyDesign(None, None),
+                         _overall_and("c_mktsegment", "prop_select_one", ["c_nationkey"]))
+    return rounded(result_tiles(res, "c_nationkey", ("stat", "n"), width=8).rows)
+
+
 def q_results_csv(spark, sf_dir):
     """NULL text at the sink and numbers read back: the wide table written as
     CSV with ``NA`` for NULL, and its value columns coerced to numbers."""
@@ -524,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_summary": q_run_summary,
     "results_rerun": q_results_rerun,
     "results_csv": q_results_csv,
+    "results_tiles": q_results_tiles,
     "form_versions": q_form_versions,
     "cleaning_log_tables": q_cleaning_log_tables,
     "odds_ratio_counts": q_odds_ratio_counts,
@@ -1024,6 +1032,15 @@ SELECT analysis_type, analysis_var, coalesce(analysis_var_value, 'NA') AS analys
        {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _WIDE_VALUES)}
 FROM ({ORACLE["results_wide"]})"""
 
+ORACLE["results_tiles"] = f"""
+WITH r AS ({oracle.survey_prop_sql("customer", None, None, "c_mktsegment", ["c_nationkey"])}),
+h AS (SELECT group_var_value AS v, row_number() OVER (ORDER BY group_var_value) AS k
+      FROM (SELECT DISTINCT group_var_value FROM r WHERE group_var IS NOT NULL)),
+p AS (SELECT r.*, coalesce(h.k, 0) AS k FROM r LEFT JOIN h ON r.group_var IS NOT NULL AND h.v = r.group_var_value)
+SELECT CAST(k // 8 AS INTEGER) AS tile, analysis_type, analysis_var, analysis_var_value,
+       {", ".join(f"max(CASE WHEN k % 8 = {i} THEN {c} END) AS b{i}_{c}" for i in range(8) for c in ("stat", "n"))}
+FROM p GROUP BY ALL"""
+
 ORACLE["results_rerun"] = """
 WITH v AS (SELECT count(DISTINCT l_linestatus) + 1 AS k FROM lineitem)
 SELECT 1 AS run, 'l_returnflag' AS "group", 'l_returnflag' AS safe_name, true AS success, true AS write_ok,

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from censa.design import SurveyDesign
 from censa.operators.estimates import Analysis, survey_results
 from censa.operators.tables import label_results, results_wide
@@ -144,3 +146,34 @@ def test_second_run_without_overwrite_reports(spark):
     rows = again.summary.collect()
     assert rows and not any(r.success for r in rows) and "exist" in rows[0].error and again.aggregated_path is None
     assert again.results.count() == 5
+
+
+def test_tiles_hold_any_number_of_group_values(spark):
+    from censa.operators.tables import result_tiles
+    n = 100_000
+    res = spark.range(n).selectExpr("'mean' AS analysis_type", "'x' AS analysis_var", "CAST(NULL AS string) AS analysis_var_value",
+                                    "IF(id = 7, NULL, 'g') AS group_var", "IF(id IN (7, 8), NULL, concat('v', id)) AS group_var_value",
+                                    "id * 1.5 AS stat")
+    tiles = result_tiles(res, "g", ("stat",), width=200)
+    header = tiles.header
+    assert header.count() == n and header.selectExpr("max(tile)", "max(place)").first()[:] == (499, 199)
+    first = header.where("tile = 0 AND place < 2").orderBy("place").collect()
+    assert [(r.overall, r.group_var_value, r.label) for r in first] == [(True, None, "Overall"), (False, None, "NA")]
+    assert tiles.rows.count() == 500
+    cells = tiles.rows.select("tile", F.posexplode(F.array(*[f"b{i}_stat" for i in range(200)])).alias("place", "stat"))
+    back = cells.join(header, ["tile", "place"]).where("group_var_value IS NOT NULL")
+    assert back.where("stat <> 1.5 * CAST(substring(group_var_value, 2) AS int)").count() == 0
+    assert back.count() == n - 2 and cells.where("tile = 0 AND place = 1").first().stat == 12.0
+
+
+def test_a_wide_disaggregation_is_written_in_tiles(spark):
+    from censa.plans.results import write_results
+    out = scratch_path(spark, "test-tiles")
+    rows = [("x", None, None, None, 5.0)] + [("x", None, "h", str(i), float(i)) for i in range(30)] + [("x", None, "g", "a", 1.0)]
+    summary, _ = write_results(_long(spark, rows), out, max_values=10)
+    assert {r.group: r.success for r in summary.collect()} == {"g": True, "h": True}
+    assert spark.read.parquet(f"{out}/Desc_Table__g").columns[3:7] == ["Overall_stat", "Overall_stat_upp", "Overall_stat_low", "Overall_n"]
+    header = {(r.tile, r.place): r.label for r in spark.read.parquet(f"{out}/Desc_Table__h__header").collect()}
+    row = spark.read.parquet(f"{out}/Desc_Table__h").first()
+    assert len(header) == 31 and row.b0_stat == 5.0
+    assert all(row[f"b{p}_stat"] == float(v) for (_, p), v in header.items() if v != "Overall")
