@@ -25,6 +25,7 @@ histograms and one of the values in a window.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -167,19 +168,32 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
         needed += [c for v in plan.variables for c, _ in v.choices or ()]
         return prepared(df, design, needed)
 
-    sums = None
-    if moments.cells:
+    def moment_sums():
         by_vid = {vid: centres[v.name] for vid, v in enumerate(moments.variables) if v.kind == "mean"}
-        sums = cell_sums(base(moments), moments, by_vid, design.strata is None, merged)
-        if merged:
-            info, sizes = _design_from_sums(sums)
-            _check_design(info, design)
+        return cell_sums(base(moments), moments, by_vid, design.strata is None, merged)
+
+    def median_windows():
+        # a stratum's factor is at most 2: n / (n - 1) from two rows on
+        widest = [max((crit[a] for a in aids if crit[a] == crit[a]), default=0.0) * 2 ** 0.5 for aids in medians.analyses]
+        return window_sums(records(base(medians), medians),
+                           [ranges[medians.variables[vid].name] for vid, _ in medians.cells], widest,
+                           max(2, range_partitions or BUCKETS), LIMIT)
+
+    sums = None
+    if merged:
+        sums = moment_sums()
+        info, sizes = _design_from_sums(sums)
+        _check_design(info, design)
+    by_level = {a.level: two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses}
+    crit = [by_level[a.level] for a in analyses]
+    with ThreadPoolExecutor(2) as pool:  # two passes that do not need each other
+        window = pool.submit(median_windows) if medians.cells else None
+        if moments.cells and not merged:
+            sums = moment_sums()
     if design.strata is None:
         # one stratum: the factors are constants, so no join with a one-row table
         n = info.n
         sizes = (float(n) / (n - 1) if n > 1 else 0.0, 1.0 / (n - 1) if n > 1 else 0.0)
-    by_level = {a.level: two_sided_crit(a.level, info.df) if info.df > 0 else float("nan") for a in analyses}
-    crit = [by_level[a.level] for a in analyses]
     meta = dict(
         types=[a.analysis_type for a in analyses], vars=[a.analysis_var for a in analyses],
         groups=[a.group_var for a in analyses], levels=[float(a.level) for a in analyses],
@@ -188,13 +202,8 @@ def survey_results(df: DataFrame, design: SurveyDesign, loa, sm_sep: str = "/",
     parts = []
     if sums is not None:
         parts.append(_moment_estimates(sums, sizes, moments, meta, ci_method))
-    if medians.cells:
-        # a stratum's factor is at most 2: n / (n - 1) from two rows on
-        widest = [max((crit[a] for a in aids if crit[a] == crit[a]), default=0.0) * 2 ** 0.5 for aids in medians.analyses]
-        window = window_sums(records(base(medians), medians),
-                             [ranges[medians.variables[vid].name] for vid, _ in medians.cells], widest,
-                             max(2, range_partitions or BUCKETS), LIMIT)
-        parts.append(_median_estimates(window, sizes, medians, meta))
+    if window is not None:
+        parts.append(_median_estimates(window.result(), sizes, medians, meta))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
