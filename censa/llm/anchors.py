@@ -91,12 +91,21 @@ def numbered(docs: DataFrame, slots: int) -> DataFrame:
     return rows.withColumn("slot", F.pmod(F.xxhash64("rid"), F.lit(slots)).cast("int"))
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """About the bytes of all texts: files by their size (known from their
+    listing, taken as compressed four times), any other input by a scan."""
+    leaves = docs.select("text")._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    if all(leaf.getClass().getSimpleName() == "LogicalRelation" for leaf in leaves):
+        return 4 * sum(int(leaf.stats().sizeInBytes().toString()) for leaf in leaves)
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
 def slot_count(docs: DataFrame) -> int:
     """Slots, and parts: as many as shuffle partitions, and at least one for
     SLOT_BYTES of text, as a task takes a slot's texts at once. Every part sends
     every slot one packed row, so more would only make more and smaller rows."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLOT_BYTES))
+    return max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(docs) // SLOT_BYTES))
 
 
 def groups_of(batch: pa.RecordBatch, text: str = "text"):
