@@ -97,7 +97,7 @@ def text_bytes(docs: DataFrame) -> int:
     leaves = docs.select("text")._jdf.queryExecution().optimizedPlan().collectLeaves()
     leaves = [leaves.apply(i) for i in range(leaves.size())]
     if all(leaf.getClass().getSimpleName() == "LogicalRelation" for leaf in leaves):
-        return 4 * sum(int(leaf.stats().sizeInBytes().toString()) for leaf in leaves)
+        return 4 * sum(int(str(leaf.stats().sizeInBytes())) for leaf in leaves)
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
